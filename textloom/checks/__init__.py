@@ -1,9 +1,9 @@
 """Registered queries (Spark) and their oracles (DuckDB SQL) by area."""
 
-from textloom.checks import cleaning
+from textloom.checks import cleaning, profiling
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _m in (cleaning,):
+for _m in (cleaning, profiling):
     QUERIES.update(_m.QUERIES)
     ORACLES.update(_m.ORACLES)

@@ -83,7 +83,7 @@ def q_cleaning_stats(spark, sf):
 CLASSES_SQL = f"""SELECT label, n,
   CASE WHEN n >= {THRESHOLD} THEN 'kept' ELSE 'deleted' END AS section,
   CASE WHEN n >= {THRESHOLD} THEN '保留' ELSE '删除' END AS status,
-  row_number() OVER (PARTITION BY n >= {THRESHOLD} ORDER BY n DESC, label) AS rank
+  row_number() OVER (PARTITION BY n >= {THRESHOLD} ORDER BY n DESC, label)::INTEGER AS rank
 FROM counts"""
 
 

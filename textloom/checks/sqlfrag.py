@@ -31,7 +31,7 @@ def tokens(x: str) -> str:
 
 
 def token_len(x: str) -> str:
-    return f"(len({tokens(x)}) + 2)"
+    return f"CAST(len({tokens(x)}) + 2 AS INTEGER)"
 
 
 CORPUS = """corpus AS (
