@@ -229,3 +229,85 @@ def q_drop_blank(spark, sf):
 
 
 __all__ = ["QUERIES", "ORACLES", "q"]
+
+
+# -- sinks ---------------------------------------------------------------------
+@reg("write_corpus", f"""{PREPARED}
+SELECT p.row_id, p.summary, p.label, p.source FROM prepared p JOIN counts c ON p.label = c.label
+WHERE p.summary IS NOT NULL AND c.n >= {THRESHOLD}""")
+def q_write_corpus(spark, sf):
+    from textloom.session import work_path
+    path = S.write_corpus(_m1(spark, sf).corpus, work_path(spark, "clean_corpus_csv"), "csv")
+    return S.read_corpus(spark, path, "csv", row_id_col="row_id").select("row_id", "summary", "label", "source")
+
+
+REPORT_SQL = f"""{PREPARED},
+st AS ({STATS_SQL}),
+cls AS ({CLASSES_SQL})
+SELECT CAST(block AS INTEGER) AS block, CAST(ord AS BIGINT) AS ord, line FROM (
+  SELECT 0 AS block, 0 AS ord, repeat('=', 60) AS line
+  UNION ALL SELECT 0, 1, '数据处理统计信息'
+  UNION ALL SELECT 0, 2, repeat('=', 60)
+  UNION ALL SELECT 0, 3, '原始样本数: ' || n_input FROM st
+  UNION ALL SELECT 0, 4, '处理后样本数: ' || n_output FROM st
+  UNION ALL SELECT 0, 5, '删除样本数: ' || n_rare_dropped FROM st
+  UNION ALL SELECT 0, 6, '原始类别数: ' || n_classes_before FROM st
+  UNION ALL SELECT 0, 7, '处理后类别数: ' || n_classes_after FROM st
+  UNION ALL SELECT 0, 8, '删除类别数: ' || n_classes_deleted FROM st
+  UNION ALL SELECT 0, 9, '最小样本数标准: ' || min_samples FROM st
+  UNION ALL SELECT 0, 10, ''
+  UNION ALL SELECT 1, 0, '删除的类别:' FROM st WHERE n_classes_deleted > 0
+  UNION ALL SELECT 1, 1, repeat('-', 60) FROM st WHERE n_classes_deleted > 0
+  UNION ALL SELECT 2, rank, label || ': ' || n || ' 样本' FROM cls WHERE section = 'deleted'
+  UNION ALL SELECT 3, 0, ''
+  UNION ALL SELECT 3, 1, '保留的类别分布:'
+  UNION ALL SELECT 3, 2, repeat('-', 60)
+  UNION ALL SELECT 4, rank, label || ': ' || n || ' 样本' FROM cls WHERE section = 'kept')"""
+
+
+@reg("write_stats_report", REPORT_SQL)
+def q_write_stats_report(spark, sf):
+    from textloom.session import work_path
+    from textloom.sources.reports import cleaning_report_lines, write_lines
+    m = _m1(spark, sf)
+    lines = cleaning_report_lines(m.stats, m.classes)
+    write_lines(lines, work_path(spark, "stats_report"))
+    return lines
+
+
+@reg("pct_of_total", f"""{PREPARED}
+SELECT label, n, round(100.0 * n / sum(n) OVER (), 6) AS pct FROM counts""")
+def q_pct_of_total(spark, sf):
+    counts = _m1(spark, sf).counts
+    return C.pct_of_total(counts).select("label", "n", F.round("pct", 6).alias("pct"))
+
+
+OLD_REPORT_SQL = f"""{PREPARED_OLD},
+st AS ({STATS_SQL}),
+cls AS ({CLASSES_SQL})
+SELECT CAST(block AS INTEGER) AS block, CAST(ord AS BIGINT) AS ord, line FROM (
+  SELECT 0 AS block, 0 AS ord, repeat('=', 60) AS line
+  UNION ALL SELECT 0, 1, '数据清洗统计信息'
+  UNION ALL SELECT 0, 2, repeat('=', 60)
+  UNION ALL SELECT 0, 3, '原始样本数: ' || n_after_null FROM st
+  UNION ALL SELECT 0, 4, '清洗后样本数: ' || n_output FROM st
+  UNION ALL SELECT 0, 5, '删除样本数: ' || n_rare_dropped FROM st
+  UNION ALL SELECT 0, 6, '原始类别数: ' || n_classes_before FROM st
+  UNION ALL SELECT 0, 7, '清洗后类别数: ' || n_classes_after FROM st
+  UNION ALL SELECT 0, 8, '删除类别数: ' || n_classes_deleted FROM st
+  UNION ALL SELECT 0, 9, '最小样本数标准: ' || min_samples FROM st
+  UNION ALL SELECT 0, 10, ''
+  UNION ALL SELECT 1, 0, '删除的类别:' FROM st WHERE n_classes_deleted > 0
+  UNION ALL SELECT 1, 1, repeat('-', 60) FROM st WHERE n_classes_deleted > 0
+  UNION ALL SELECT 2, rank, label || ': ' || n || ' 样本' FROM cls WHERE section = 'deleted'
+  UNION ALL SELECT 3, 0, ''
+  UNION ALL SELECT 3, 1, '保留的类别分布:'
+  UNION ALL SELECT 3, 2, repeat('-', 60)
+  UNION ALL SELECT 4, rank, label || ': ' || n || ' 样本' FROM cls WHERE section = 'kept')"""
+
+
+@reg("write_stats_report_two_stage", OLD_REPORT_SQL)
+def q_write_stats_report_two_stage(spark, sf):
+    from textloom.sources.reports import cleaning_report_lines
+    m = _m2(spark, sf)
+    return cleaning_report_lines(m.stats, m.classes, style="old")

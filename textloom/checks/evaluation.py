@@ -313,3 +313,11 @@ def q_write_history(spark, sf):
 
 
 __all__ = ["QUERIES", "ORACLES", "Window"]
+
+
+@reg("confusion_wide", f"""WITH {Z}
+SELECT y_true, {", ".join(f'CAST(sum(CASE WHEN y_pred = {i} THEN 1 ELSE 0 END) AS BIGINT) AS "{i}"' for i in range(10))}
+FROM s GROUP BY y_true""")
+def q_confusion_wide(spark, sf):
+    conf = MT.confusion_matrix(_scored(spark, sf))
+    return MT.confusion_wide(conf, _class_dict(spark, sf))

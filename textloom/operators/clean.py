@@ -132,3 +132,10 @@ def label_rank(counts: DataFrame, partition_col: str | None = None) -> DataFrame
     if partition_col:
         w = Window.partitionBy(partition_col).orderBy(F.desc("n"), F.col(LABEL))
     return counts.withColumn("rank", F.row_number().over(w))
+
+
+def pct_of_total(counts: DataFrame, n_col: str = "n") -> DataFrame:
+    """Each row's share of the total in percent (on a small table; the
+    total is a scalar subquery, not a join)."""
+    total = counts.agg(F.sum(n_col)).scalar()
+    return counts.withColumn("pct", F.col(n_col) / total * 100)
