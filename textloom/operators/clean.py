@@ -78,7 +78,7 @@ def filter_rare_classes(df: DataFrame, min_samples: int = 100,
     """
     counts = counts if counts is not None else label_counts(df, label_col)
     kept = kept_classes(counts, min_samples).withColumnRenamed(LABEL, label_col)
-    return df.join(broadcast_if_small(kept), label_col, "left_semi")
+    return df.join(broadcast_if_small(kept), label_col, "left_semi").select(*df.columns)
 
 
 def rare_rows(df: DataFrame, min_samples: int = 100,
@@ -87,7 +87,7 @@ def rare_rows(df: DataFrame, min_samples: int = 100,
     counts = counts if counts is not None else label_counts(df, label_col)
     kept = kept_classes(counts, min_samples).withColumnRenamed(LABEL, label_col)
     return (df.where(F.col(label_col).isNotNull())
-            .join(broadcast_if_small(kept), label_col, "left_anti"))
+            .join(broadcast_if_small(kept), label_col, "left_anti").select(*df.columns))
 
 
 def cleaning_stats(summary: DataFrame, min_samples: int) -> DataFrame:

@@ -35,14 +35,14 @@ def encode_labels(df: DataFrame, dictionary: DataFrame, label_col: str = LABEL,
                   code_col: str = CODE) -> DataFrame:
     """Label -> code by an inner join with the broadcast dictionary."""
     d = dictionary.select(F.col(LABEL).alias(label_col), F.col(CODE).alias(code_col))
-    return df.join(broadcast_if_small(d), label_col, "inner")
+    return df.join(broadcast_if_small(d), label_col, "inner").select(*df.columns, code_col)
 
 
 def decode_labels(df: DataFrame, dictionary: DataFrame, code_col: str = CODE,
                   label_col: str = LABEL) -> DataFrame:
     """Code -> class name by a left join with the broadcast dictionary."""
     d = dictionary.select(F.col(CODE).alias(code_col), F.col(LABEL).alias(label_col))
-    return df.join(broadcast_if_small(d), code_col, "left")
+    return df.join(broadcast_if_small(d), code_col, "left").select(*df.columns, label_col)
 
 
 def dictionary_map_json(dictionary: DataFrame) -> DataFrame:
