@@ -114,6 +114,13 @@ def token_length(tokens) -> Column:
     return F.size(_c(tokens)) + F.lit(N_SPECIAL_TOKENS)
 
 
+def token_count(col) -> Column:
+    """Number of basic tokens of a text. Lower-casing never moves a token
+    boundary (case maps letters to letters and combining marks), so the
+    count skips it and only matches the pattern."""
+    return F.size(F.regexp_extract_all(_c(col), F.lit(TOKEN_PATTERN), 0))
+
+
 def truncation_excess(length, limit: int) -> Column:
     """Tokens lost at ``limit``."""
     return F.greatest(_c(length) - F.lit(limit), F.lit(0))

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from typing import NamedTuple
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -78,23 +79,41 @@ def encoded_examples(prepared: Prepared, vocab_size: int = 21128, max_length: in
     return enc, vocab
 
 
-def feature_pipeline(n_classes: int, num_features: int = NUM_FEATURES, max_iter: int = ITERS_PER_EPOCH,
-                     initial_weights=None, text_col: str = TEXT, seed: int = SEED) -> Pipeline:
+def text_stages(num_features: int = NUM_FEATURES, text_col: str = TEXT) -> list:
+    """Text -> ``tokens`` (P15 pattern) -> hashed term counts ``features``."""
     tok = SQLTransformer(statement=(
         f"SELECT *, regexp_extract_all(lower({text_col}), R'{TOKEN_PATTERN}', 0) AS tokens FROM __THIS__"))
-    tf = HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features)
+    return [tok, HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features)]
+
+
+def classifier(n_classes: int, num_features: int = NUM_FEATURES, max_iter: int = ITERS_PER_EPOCH,
+               initial_weights=None, seed: int = SEED) -> MultilayerPerceptronClassifier:
+    """A softmax layer over the hashed features (MLP without hidden layer)."""
     mlp = MultilayerPerceptronClassifier(layers=[num_features, n_classes], maxIter=max_iter, seed=seed,
                                          labelCol="label_idx", featuresCol="features", blockSize=128)
     if initial_weights is not None:
         mlp.setInitialWeights(initial_weights)
-    return Pipeline(stages=[tok, tf, mlp])
+    return mlp
+
+
+def feature_pipeline(n_classes: int, num_features: int = NUM_FEATURES, max_iter: int = ITERS_PER_EPOCH,
+                     initial_weights=None, text_col: str = TEXT, seed: int = SEED) -> Pipeline:
+    """The whole trainable pipeline: text stages + classifier."""
+    return Pipeline(stages=text_stages(num_features, text_col)
+                    + [classifier(n_classes, num_features, max_iter, initial_weights, seed)])
 
 
 def _with_label_idx(df: DataFrame) -> DataFrame:
     return df.withColumn("label_idx", F.col("code").cast("double"))
 
 
-def score_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
+def featurize(df: DataFrame, num_features: int = NUM_FEATURES, text_col: str = TEXT) -> DataFrame:
+    """``row_id, code, label_idx, features``: texts hashed once."""
+    out = PipelineModel(stages=text_stages(num_features, text_col)).transform(_with_label_idx(df))
+    return out.select(ROW_ID, "code", "label_idx", "features")
+
+
+def score_rows(model, df: DataFrame) -> DataFrame:
     """Model output as arrays: ``logits`` (raw prediction), ``probs``, ``y_pred``."""
     out = model.transform(df)
     return out.withColumn("logits", vector_to_array("rawPrediction")) \
@@ -102,10 +121,11 @@ def score_rows(model: PipelineModel, df: DataFrame) -> DataFrame:
         .withColumn("y_pred", F.col("prediction").cast("int"))
 
 
-def evaluate(model: PipelineModel, df: DataFrame, batch_size: int = BATCH_SIZE,
+def evaluate(model, df: DataFrame, batch_size: int = BATCH_SIZE,
              shuffle: bool = False, epoch: int = 1, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """M8: predictions, per-row loss (P13), batch-mean loss (A15, W6) and
-    accuracy (A14). Returns (pairs, one-row summary)."""
+    accuracy (A14). ``model`` is a full pipeline over texts, or the
+    classifier alone over a featurized table. Returns (pairs, summary)."""
     scored = score_rows(model, df).select(ROW_ID, F.col("code").alias("y_true"), "y_pred", "logits",
                                           row_cross_entropy("logits", "code").alias("loss"))
     batched = assign_batches(scored, batch_size, seed=seed, epoch=epoch, shuffle=shuffle)
@@ -145,27 +165,43 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
                         epochs: int = EPOCHS, patience: int = PATIENCE, min_delta: float = MIN_DELTA,
                         batch_size: int = BATCH_SIZE, checkpoint_every: int = CHECKPOINT_EVERY,
                         num_features: int = NUM_FEATURES, iters_per_epoch: int = ITERS_PER_EPOCH,
-                        resume_from: str | None = None, seed: int = SEED) -> Fitted:
+                        resume_from: str | None = None, seed: int = SEED, log=None) -> Fitted:
     """M7: epoch loop with validation, history, best model (strictly higher
     validation accuracy, from 0), periodic checkpoints and early stopping
-    (``min_delta`` gain within ``patience`` epochs)."""
+    (``min_delta`` gain within ``patience`` epochs).
+
+    Texts are tokenised and hashed once into checkpointed feature tables;
+    each epoch runs L-BFGS over them (gradients summed across executors)
+    and scores both splits with the classifier alone. Saved models are the
+    full text -> prediction pipeline."""
     spark = train.sparkSession
     n_classes = dictionary.count()
-    # The loop reads both splits many times: materialise them once in the
-    # shared folder so each epoch restarts from there, not from the raw scan.
-    train, val = cut_lineage(_with_label_idx(train)), cut_lineage(_with_label_idx(val))
+    say = log or (lambda *_: None)
+    t0 = time.time()
+    # Both splits are read every epoch: hash them once and cut lineage so
+    # each epoch (and any recomputation after an executor loss) starts here.
+    train_f = cut_lineage(featurize(train, num_features))
+    val_f = cut_lineage(featurize(val, num_features))
+    text = text_stages(num_features)
+    say("featurize", time.time() - t0)
     weights = None
     if resume_from:
         weights = PipelineModel.load(os.path.join(resume_from, "model")).stages[-1].weights
     rows, best_acc, best_epoch, stopped, model = [], 0.0, 0, None, None
     for epoch in range(1, epochs + 1):
-        model = feature_pipeline(n_classes, num_features, iters_per_epoch, weights, seed=seed).fit(train)
-        weights = model.stages[-1].weights
-        _, tr = evaluate(model, train, batch_size, shuffle=True, epoch=epoch, seed=seed)
-        pairs, va = evaluate(model, val, batch_size)
+        t0 = time.time()
+        clf = classifier(n_classes, num_features, iters_per_epoch, weights, seed).fit(train_f)
+        weights = clf.weights
+        model = PipelineModel(stages=text + [clf])
+        say("fit", time.time() - t0)
+        t0 = time.time()
+        _, tr = evaluate(clf, train_f, batch_size, shuffle=True, epoch=epoch, seed=seed)
+        pairs, va = evaluate(clf, val_f, batch_size)
         t, v = tr.first(), va.first()
+        say("evaluate", time.time() - t0)
         rows.append((epoch, float(t["mean_loss"]), float(t["accuracy"]), float(v["mean_loss"]),
                      float(v["accuracy"])))
+        t0 = time.time()
         if v["accuracy"] > best_acc:                      # W4 rule
             best_acc, best_epoch = float(v["accuracy"]), epoch
             save_model(model, os.path.join(out_dir, "best"), dictionary,
@@ -177,6 +213,7 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
             write_confusion(ev.confusion, os.path.join(out_dir, "confusion_matrix"))
         if epoch % checkpoint_every == 0:                 # F6 rule
             save_model(model, os.path.join(out_dir, f"checkpoint-epoch-{epoch}"), dictionary)
+        say("save", time.time() - t0)
         hist = spark.createDataFrame([(r[0], r[4]) for r in rows], "epoch INT, score DOUBLE") \
             .withColumn("run", F.lit("fit"))
         stop = H.early_stopping(hist, patience, min_delta).first()["stop_epoch"]   # W5 rule

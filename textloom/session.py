@@ -66,6 +66,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread_for_cpu(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Round-robin spread rows before CPU-heavy per-row work (tokenising)
+    when the scan yields fewer partitions than the cluster has cores.
+
+    Large inputs already have many more scan splits than cores, so this is
+    a no-op there; a small input (at most about one split per core) is
+    cheap to redistribute and otherwise runs in a handful of tasks.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores * factor)
+    return df
+
+
 def checked_small(df: DataFrame, what: str, max_rows: int = SMALL_TABLE_ROWS) -> int:
     """Count a derived small table and fail loudly if it is not small."""
     n = df.count()

@@ -11,11 +11,16 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textloom.session import spread_for_cpu
 from textloom.sources.corpus import LABEL, ROW_ID, TEXT
 
+# Tables whose rows carry long texts (per-row tokenising is CPU-heavy).
+TEXT_TABLES = ("documents", "benchmark", "pages", "conversations")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread_for_cpu(df) if name in TEXT_TABLES else df
 
 
 def corpus_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
