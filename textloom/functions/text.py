@@ -70,14 +70,17 @@ def to_text(col, null_label: str = "drop") -> Column:
 
 
 def first_label(col, null_label: str = "drop") -> Column:
-    """First label; the full-width comma wins over the ASCII comma."""
-    s = strip_text(to_text(col, null_label))
+    """First label; the full-width comma wins over the ASCII comma.
+
+    Stripping before the split (as the reference does) and stripping the
+    piece after it give the same text, because a comma is never white
+    space; so every branch runs exactly one strip.
+    """
+    s = to_text(col, null_label)
     return (
-        F.when(F.instr(s, FULLWIDTH_COMMA) > 0,
-               strip_text(F.substring_index(s, FULLWIDTH_COMMA, 1)))
-        .when(F.instr(s, ASCII_COMMA) > 0,
-              strip_text(F.substring_index(s, ASCII_COMMA, 1)))
-        .otherwise(s)
+        F.when(F.instr(s, FULLWIDTH_COMMA) > 0, strip_text(F.substring_index(s, FULLWIDTH_COMMA, 1)))
+        .when(F.instr(s, ASCII_COMMA) > 0, strip_text(F.substring_index(s, ASCII_COMMA, 1)))
+        .otherwise(strip_text(s))
     )
 
 
