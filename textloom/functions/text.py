@@ -59,6 +59,13 @@ def strip_text(col) -> Column:
     return F.regexp_replace(_c(col), STRIP_PATTERN, "")
 
 
+def has_visible_text(col) -> Column:
+    """True when the stripped text would be non-empty: one search for a
+    character outside the strip set (usually found at position 0), instead
+    of stripping the whole text."""
+    return _c(col).rlike("[^" + PY_WHITESPACE_CLASS[1:])
+
+
 def to_text(col, null_label: str = "drop") -> Column:
     """String cast; ``literal_nan`` turns null into the text ``nan``."""
     s = _c(col).cast("string")

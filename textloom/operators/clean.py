@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.scores import keep_flag
-from textloom.functions.text import strip_text
+from textloom.functions.text import has_visible_text
 from textloom.session import broadcast_if_small
 from textloom.sources.corpus import LABEL, TEXT
 
@@ -27,7 +27,7 @@ def drop_null_rows(df: DataFrame, cols=(TEXT, LABEL)) -> DataFrame:
 
 def drop_blank_text(df: DataFrame, col: str = TEXT) -> DataFrame:
     """keep rows whose stripped text is non-empty."""
-    return df.where(F.length(strip_text(F.col(col))) > 0)
+    return df.where(has_visible_text(F.col(col)))
 
 
 def label_summary(df: DataFrame, text_col: str = TEXT, label_col: str = LABEL) -> DataFrame:

@@ -36,6 +36,13 @@ def _key_bucket(h: Column, n_buckets: Column) -> Column:
     return F.floor(top32.cast("double") * n_buckets / F.lit(4294967296.0)).cast("bigint")
 
 
+def _bucket_rows(df: DataFrame, n_rows: int, rows_per_bucket: int) -> int:
+    """Rows per bucket: at most ``rows_per_bucket`` (bounds every window
+    partition), and small enough for about four buckets per core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(rows_per_bucket, math.ceil(n_rows / (4 * cores))))
+
+
 # -- W7 ----------------------------------------------------------------------
 def split_quotas(counts: DataFrame, test_size: float) -> DataFrame:
     """Exact per-class train quotas (largest remainder, ties by label).
@@ -87,8 +94,12 @@ def stratified_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
         raise ValueError(f"train ({n_train}) and test ({n_test}) sizes must be at least the number of "
                          f"classes ({n_classes})")
 
+    # Bucket size: at most ``rows_per_bucket``, and small enough that the
+    # table spans about four buckets per core, so only one small boundary
+    # bucket per class is ranked while whole buckets keep their partitions.
+    target = _bucket_rows(df, n_total, rows_per_bucket)
     quotas = split_quotas(counts, test_size).withColumn(
-        "n_buckets", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(rows_per_bucket))).cast("bigint"))
+        "n_buckets", F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(target))).cast("bigint"))
     if materialize:
         quotas = cut_lineage(quotas)
 
@@ -145,7 +156,7 @@ def assign_batches(df: DataFrame, batch_size: int, seed: int = 42, epoch: int =
     """
     agg = df.agg(F.count(F.lit(1)).alias("n"), F.min(ROW_ID).alias("lo"), F.max(ROW_ID).alias("hi")).first()
     n = int(agg["n"] or 0)
-    nb = max(1, math.ceil(n / rows_per_bucket))
+    nb = max(1, math.ceil(n / _bucket_rows(df, n, rows_per_bucket)))
     if shuffle:
         key = shuffle_key(F.lit(seed), F.lit(epoch), F.col(ROW_ID).cast("string"))
         out = global_positions(df, key, _key_bucket(key, F.lit(nb)), [key, F.col(ROW_ID)])

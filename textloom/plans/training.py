@@ -65,6 +65,10 @@ def prepare_training(df: DataFrame, test_size: float = TEST_SIZE, seed: int = SE
         dictionary = cut_lineage(dictionary)
     coded = L.encode_labels(clean, dictionary)
     split = stratified_split(coded, test_size, seed, materialize=materialize)
+    if materialize:
+        # The training set is read by every later step (vocabulary, features,
+        # both splits): write it once to the shared folder.
+        split = cut_lineage(split)
     return Prepared(split, dictionary)
 
 
@@ -121,18 +125,26 @@ def score_rows(model, df: DataFrame) -> DataFrame:
         .withColumn("y_pred", F.col("prediction").cast("int"))
 
 
+def summarize_scored(scored: DataFrame, batch_size: int = BATCH_SIZE, shuffle: bool = False,
+                     epoch: int = 1, seed: int = SEED) -> DataFrame:
+    """Batch-mean loss (P13 per row, W6 batches, A15) and accuracy (A14) of
+    scored rows (``row_id, code, y_pred, logits``): one summary row."""
+    rows = scored.select(ROW_ID, F.col("code").alias("y_true"), "y_pred",
+                         row_cross_entropy("logits", "code").alias("loss"))
+    batched = assign_batches(rows, batch_size, seed=seed, epoch=epoch, shuffle=shuffle)
+    loss = MT.batch_mean_loss(batched)
+    return loss.select("mean_loss", "n_batches").withColumn("accuracy", MT.accuracy(rows).scalar())
+
+
 def evaluate(model, df: DataFrame, batch_size: int = BATCH_SIZE,
              shuffle: bool = False, epoch: int = 1, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """M8: predictions, per-row loss (P13), batch-mean loss (A15, W6) and
-    accuracy (A14). ``model`` is a full pipeline over texts, or the
-    classifier alone over a featurized table. Returns (pairs, summary)."""
-    scored = score_rows(model, df).select(ROW_ID, F.col("code").alias("y_true"), "y_pred", "logits",
-                                          row_cross_entropy("logits", "code").alias("loss"))
-    batched = assign_batches(scored, batch_size, seed=seed, epoch=epoch, shuffle=shuffle)
-    loss = MT.batch_mean_loss(batched)
-    acc = MT.accuracy(scored)
-    summary = loss.select("mean_loss", "n_batches").withColumn("accuracy", acc.scalar())
-    return scored.select(ROW_ID, "y_true", "y_pred", "loss"), summary
+    """M8: predictions, per-row loss, batch-mean loss and accuracy. ``model``
+    is a full pipeline over texts, or the classifier alone over a
+    featurized table. Returns (pairs, one-row summary)."""
+    scored = score_rows(model, df)
+    pairs = scored.select(ROW_ID, F.col("code").alias("y_true"), "y_pred",
+                          row_cross_entropy("logits", "code").alias("loss"))
+    return pairs, summarize_scored(scored, batch_size, shuffle, epoch, seed)
 
 
 class Fitted(NamedTuple):
@@ -155,8 +167,27 @@ def save_model(model: PipelineModel, path: str, dictionary: DataFrame, params: d
     return path
 
 
+def point_best_to(spark: SparkSession, best_path: str, target: str, params: dict) -> str:
+    """Mark an already saved checkpoint as the best model (a one-line
+    manifest instead of a second copy of the same model)."""
+    doc = json.dumps(dict(params, target=target), sort_keys=True)
+    spark.createDataFrame([(doc,)], "value STRING").write.mode("overwrite").text(os.path.join(best_path, "manifest"))
+    return best_path
+
+
+def _resolve(spark: SparkSession, path: str) -> str:
+    manifest = os.path.join(path, "manifest")
+    try:
+        doc = spark.read.text(manifest).first()
+    except Exception:  # noqa: BLE001 - no manifest: a full model folder
+        return path
+    return json.loads(doc[0])["target"] if doc else path
+
+
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
-    """Load a model folder written by ``save_model``."""
+    """Load a model folder written by ``save_model`` (or a best-model
+    manifest pointing at one)."""
+    path = _resolve(spark, path)
     return (PipelineModel.load(os.path.join(path, "model")),
             L.read_label_dict(spark, os.path.join(path, "label_encoder"), "list"))
 
@@ -180,39 +211,51 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
     t0 = time.time()
     # Both splits are read every epoch: hash them once and cut lineage so
     # each epoch (and any recomputation after an executor loss) starts here.
-    train_f = cut_lineage(featurize(train, num_features))
-    val_f = cut_lineage(featurize(val, num_features))
+    # Cached on top of the reliable checkpoint: lost blocks are recomputed
+    # from the checkpoint files, not from the raw scan.
+    train_f = cut_lineage(featurize(train, num_features)).persist()
+    val_f = cut_lineage(featurize(val, num_features)).persist()
     text = text_stages(num_features)
     say("featurize", time.time() - t0)
     weights = None
     if resume_from:
-        weights = PipelineModel.load(os.path.join(resume_from, "model")).stages[-1].weights
+        weights = load_model(spark, resume_from)[0].stages[-1].weights
     rows, best_acc, best_epoch, stopped, model = [], 0.0, 0, None, None
     for epoch in range(1, epochs + 1):
+        if model is not None:
+            for d in scored_frames:
+                d.unpersist()
         t0 = time.time()
         clf = classifier(n_classes, num_features, iters_per_epoch, weights, seed).fit(train_f)
         weights = clf.weights
         model = PipelineModel(stages=text + [clf])
         say("fit", time.time() - t0)
         t0 = time.time()
-        _, tr = evaluate(clf, train_f, batch_size, shuffle=True, epoch=epoch, seed=seed)
-        pairs, va = evaluate(clf, val_f, batch_size)
-        t, v = tr.first(), va.first()
+        scored_tr = score_rows(clf, train_f).persist()
+        pairs = score_rows(clf, val_f).persist()
+        scored_frames = (scored_tr, pairs)
+        t = summarize_scored(scored_tr, batch_size, shuffle=True, epoch=epoch, seed=seed).first()
+        v = summarize_scored(pairs, batch_size).first()
+        pairs = pairs.select(ROW_ID, F.col("code").alias("y_true"), "y_pred")
         say("evaluate", time.time() - t0)
         rows.append((epoch, float(t["mean_loss"]), float(t["accuracy"]), float(v["mean_loss"]),
                      float(v["accuracy"])))
         t0 = time.time()
+        ckpt = os.path.join(out_dir, f"checkpoint-epoch-{epoch}")
+        if epoch % checkpoint_every == 0:                 # F6 rule
+            save_model(model, ckpt, dictionary)
         if v["accuracy"] > best_acc:                      # W4 rule
             best_acc, best_epoch = float(v["accuracy"]), epoch
-            save_model(model, os.path.join(out_dir, "best"), dictionary,
-                       {"epoch": epoch, "val_acc": best_acc, "num_features": num_features})
+            params = {"epoch": epoch, "val_acc": best_acc, "num_features": num_features}
+            if epoch % checkpoint_every == 0:
+                point_best_to(spark, os.path.join(out_dir, "best"), ckpt, params)
+            else:
+                save_model(model, os.path.join(out_dir, "best"), dictionary, params)
             ev = evaluation_report(pairs, dictionary)
             write_classification_report(ev.per_class, os.path.join(out_dir, "classification_report"),
                                         epoch, best_acc)
             write_metrics_json(ev.per_class, os.path.join(out_dir, "detailed_metrics"))
             write_confusion(ev.confusion, os.path.join(out_dir, "confusion_matrix"))
-        if epoch % checkpoint_every == 0:                 # F6 rule
-            save_model(model, os.path.join(out_dir, f"checkpoint-epoch-{epoch}"), dictionary)
         say("save", time.time() - t0)
         hist = spark.createDataFrame([(r[0], r[4]) for r in rows], "epoch INT, score DOUBLE") \
             .withColumn("run", F.lit("fit"))
