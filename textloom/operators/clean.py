@@ -21,8 +21,16 @@ SECTION_KEPT = "kept"
 
 
 def drop_null_rows(df: DataFrame, cols=(TEXT, LABEL)) -> DataFrame:
-    """drop rows that are null in any of ``cols``."""
-    return df.na.drop(subset=list(cols))
+    """drop rows that are null in any of ``cols``.
+
+    Written as ``IS NOT NULL`` predicates (not ``na.drop``, whose
+    ``AtLeastNNonNulls`` is not translated into a data source filter), so
+    the checks reach the Parquet scan as pushed filters.
+    """
+    cond = None
+    for c in cols:
+        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+    return df.where(cond)
 
 
 def drop_blank_text(df: DataFrame, col: str = TEXT) -> DataFrame:

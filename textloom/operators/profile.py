@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.scores import LENGTH_BIN_LABELS, length_bin, length_bin_ord
 from textloom.functions.text import N_SPECIAL_TOKENS, basic_tokens, text_preview, token_count, token_preview
+from textloom.session import spread_for_cpu
 from textloom.sources.corpus import ROW_ID, TEXT
 
 # ---------------------------------------------------------------------------
@@ -35,7 +36,7 @@ def length_table(df: DataFrame, text_col: str = TEXT, keep_text: bool = False) -
     cols = [F.col(ROW_ID), (token_count(F.col(text_col)) + F.lit(N_SPECIAL_TOKENS)).alias(LEN)]
     if keep_text:
         cols.insert(1, F.col(text_col).alias(TEXT))
-    return df.select(*cols)
+    return spread_for_cpu(df).select(*cols)
 
 
 def length_frequencies(lens: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from textloom.operators.encode import build_vocab, encode_fixed_length
 from textloom.operators.split import TRAIN, VALIDATION, assign_batches, stratified_split
 from textloom.plans.evaluation import evaluation_report, write_classification_report, write_confusion, \
     write_metrics_json
-from textloom.session import cut_lineage
+from textloom.session import cut_lineage, spread_for_cpu
 from textloom.sources.corpus import LABEL, ROW_ID, TEXT
 
 # ---------------------------------------------------------------------------
@@ -113,7 +113,7 @@ def _with_label_idx(df: DataFrame) -> DataFrame:
 
 def featurize(df: DataFrame, num_features: int = NUM_FEATURES, text_col: str = TEXT) -> DataFrame:
     """``row_id, code, label_idx, features``: texts hashed once."""
-    out = PipelineModel(stages=text_stages(num_features, text_col)).transform(_with_label_idx(df))
+    out = PipelineModel(stages=text_stages(num_features, text_col)).transform(_with_label_idx(spread_for_cpu(df)))
     return out.select(ROW_ID, "code", "label_idx", "features")
 
 
