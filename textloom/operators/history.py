@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.session import broadcast_if_small, cut_lineage
+
 BATCHES_PER_BUCKET = 4096
 
 
@@ -77,6 +79,9 @@ def running_sums(df: DataFrame, part_cols, order_col: str, value_cols,
     wb = Window.partitionBy(*part_cols).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*part_cols, "_bk", *[F.coalesce(F.sum(f"_t_{v}").over(wb), F.lit(0)).alias(f"_o_{v}")
                                            for v in value_cols])
+    # one row per bucket of ``per_bucket`` order values: small, materialised
+    # once and broadcast after its size is checked
+    offs = broadcast_if_small(cut_lineage(offs))
     wr = Window.partitionBy(*part_cols, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     out = b.join(offs, part_cols + ["_bk"])
     for v in value_cols:
@@ -90,6 +95,8 @@ def running_train_metrics(rows: DataFrame, part_cols=("run", "epoch"), batch_col
     per = rows.groupBy(*part_cols, batch_col).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(correct_col).cast("bigint")).alias("n_correct"),
         F.avg(loss_col).alias("batch_loss"))
+    # one row per batch (rows / batch size), read twice below: written once
+    per = cut_lineage(per)
     run = running_sums(per, part_cols, batch_col, ["n", "n_correct"])
     return run.select(*part_cols, batch_col, "n", "n_correct", "batch_loss",
                       (F.col("cum_n_correct") / F.col("cum_n")).alias("running_acc"))

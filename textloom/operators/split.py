@@ -128,8 +128,7 @@ def stratified_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
 
 
 # -- W6 ----------------------------------------------------------------------
-def global_positions(df: DataFrame, key: Column, bucket: Column,
-                     order_cols: list, n_buckets_hint: int | None = None) -> DataFrame:
+def global_positions(df: DataFrame, key: Column, bucket: Column, order_cols: list) -> DataFrame:
     """0-based position of each row in the order ``order_cols``.
 
     ``bucket`` must be a monotone function of that order; positions are the
@@ -139,7 +138,9 @@ def global_positions(df: DataFrame, key: Column, bucket: Column,
     b = df.withColumn("_k", key).withColumn("_b", bucket)
     sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_b", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    # one row per bucket (rows / bucket size): materialised once, so the
+    # size check and the broadcast do not rescan the rows
+    offsets = cut_lineage(sizes.select("_b", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off")))
     wr = Window.partitionBy("_b").orderBy(*order_cols)
     return (b.join(broadcast_if_small(offsets), "_b")
             .withColumn("pos", (F.col("_off") + F.row_number().over(wr) - 1).cast("bigint"))
