@@ -14,16 +14,19 @@ ROW_ID = "row_id"
 
 def read_corpus(spark: SparkSession, path: str, fmt: str = "csv",
                 text_col: str = TEXT, label_col: str = LABEL,
-                row_id_col: str | None = None) -> DataFrame:
+                row_id_col: str | None = None, multiline: bool = True) -> DataFrame:
     """Scan a labelled corpus; output ``row_id, summary, label`` + extras.
 
     CSV is read with a header, quoted multi-line fields and doubled quotes,
     all columns as strings (no schema inference pass over the data). Extra
     columns pass through untouched. Without ``row_id_col`` a row id is made
     with ``monotonically_increasing_id`` (stable for the same files/config).
+    A multi-line CSV file cannot be split, so each file is one task: at
+    scale use many moderate files, Parquet, or ``multiline=False`` when no
+    quoted field holds a line break.
     """
     if fmt == "csv":
-        df = (spark.read.option("header", True).option("multiLine", True)
+        df = (spark.read.option("header", True).option("multiLine", multiline)
               .option("escape", '"').option("inferSchema", False).csv(path))
     elif fmt == "parquet":
         df = spark.read.parquet(path)

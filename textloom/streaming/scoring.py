@@ -23,18 +23,23 @@ INPUT_SCHEMA = f"{ROW_ID} BIGINT, {TEXT} STRING"
 
 
 def scored_stream(spark: SparkSession, model: PipelineModel, dictionary: DataFrame, input_path: str,
-                  fmt: str = "parquet", schema: str = INPUT_SCHEMA, k: int = TOP_K) -> DataFrame:
+                  fmt: str = "parquet", schema: str = INPUT_SCHEMA, k: int = TOP_K,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
     """The streaming DataFrame of ranked predictions."""
-    src = spark.readStream.schema(schema).format(fmt).load(input_path)
+    reader = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = reader.load(input_path)
     texts = drop_blank_text(src.where(F.col(TEXT).isNotNull()))
     return score_top5(model, texts, dictionary, k)
 
 
 def score_stream(spark: SparkSession, model: PipelineModel, dictionary: DataFrame, input_path: str,
                  output_path: str, checkpoint_path: str, fmt: str = "parquet", k: int = TOP_K,
-                 available_now: bool = True) -> StreamingQuery:
+                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the scoring query (append mode, parquet sink)."""
-    w = (scored_stream(spark, model, dictionary, input_path, fmt, k=k).writeStream
+    w = (scored_stream(spark, model, dictionary, input_path, fmt, k=k,
+                       max_files_per_trigger=max_files_per_trigger).writeStream
          .format("parquet").outputMode("append")
          .option("path", output_path).option("checkpointLocation", checkpoint_path))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
