@@ -171,3 +171,28 @@ def test_softmax_sums_to_one(spark):
 def test_drop_blank_text(spark):
     df = spark.createDataFrame([(1, "　 "), (2, " x "), (3, None)], "row_id bigint, summary string")
     assert [r[0] for r in C.drop_blank_text(df).collect()] == [2]
+
+
+def test_old_report_is_empty_without_deleted_classes(spark):
+    rows = [(i, "t", "big") for i in range(5)]
+    df = spark.createDataFrame(rows, "row_id bigint, summary string, label string")
+    from textloom.plans.cleaning import clean_corpus_two_stage
+    res = clean_corpus_two_stage(df, min_samples=3, materialize=False)
+    assert cleaning_report_lines(res.stats, res.classes, style="old").count() == 0
+    assert cleaning_report_lines(res.stats, res.classes, style="new").count() > 0
+
+
+def test_process_dataset_end_to_end(spark):
+    from textloom.plans.cleaning import process_dataset
+    from textloom.session import work_path
+    src = work_path(spark, "raw_csv")
+    rows = ([(i, f"text {i}", "a，b") for i in range(6)] + [(10 + i, f"t{i}", " c ") for i in range(2)]
+            + [(20, None, "a")])
+    spark.createDataFrame(rows, "id bigint, summary string, label string").write.option("header", True).csv(src)
+    out = work_path(spark, "clean_csv")
+    res = process_dataset(spark, src, out, min_samples=3, row_id_col="id")
+    back = S.read_corpus(spark, out, "csv", row_id_col="row_id")
+    assert sorted(r["label"] for r in back.collect()) == ["a"] * 6
+    report = [r[0] for r in spark.read.text(out + "_stats").collect()]
+    assert "原始样本数: 9" in report and "删除样本数: 2" in report and "c: 2 样本" in report
+    assert res.stats.first()["n_null_dropped"] == 1

@@ -13,7 +13,8 @@ from textloom.operators.clean import (
     filter_rare_classes, label_summary,
 )
 from textloom.session import checked_small, cut_lineage
-from textloom.sources.corpus import LABEL, TEXT, normalize_na
+from textloom.sources.corpus import LABEL, TEXT, normalize_na, read_corpus, write_corpus
+from textloom.sources.reports import write_stats_report
 
 
 class Cleaned(NamedTuple):
@@ -53,3 +54,15 @@ def clean_corpus_two_stage(df: DataFrame, min_samples: int = 100,
     between the two old jobs turns null words back into nulls (S2)."""
     stage1 = df.withColumn(LABEL, first_label_ascii(F.col(LABEL), "literal_nan"))
     return _finish(normalize_na(stage1, (TEXT, LABEL)), min_samples, materialize)
+
+
+def process_dataset(spark, input_path: str, output_path: str, min_samples: int = 100,
+                    fmt: str = "csv", out_fmt: str = "csv", text_col: str = TEXT,
+                    label_col: str = LABEL, row_id_col: str | None = None) -> Cleaned:
+    """M1 end to end: read the corpus, clean it, write the cleaned corpus to
+    ``output_path`` and the audit report to ``output_path + '_stats'``."""
+    raw = read_corpus(spark, input_path, fmt, text_col, label_col, row_id_col)
+    res = clean_corpus(raw, min_samples)
+    write_corpus(res.corpus, output_path, out_fmt)
+    write_stats_report(res.stats, res.classes, output_path.rstrip("/") + "_stats")
+    return res

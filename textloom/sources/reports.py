@@ -81,7 +81,21 @@ def cleaning_report_lines(stats: DataFrame, classes: DataFrame, style: str = "ne
         F.col("rank").cast("bigint").alias("ord"),
         F.concat(F.col("label"), F.lit(": "), F.col("n").cast("string"), F.lit(f" {SAMPLES_WORD}")).alias("line"),
     ).where(F.col("block").isin(2, 4))
-    return header.unionByName(body)
+    lines = header.unionByName(body)
+    if style != "new":
+        # the old job writes no report at all when nothing is deleted
+        lines = lines.where(stats.agg(F.max("n_classes_deleted")).scalar() > 0)
+    return lines
+
+
+def write_stats_report(stats: DataFrame, classes: DataFrame, path: str, style: str = "new") -> str:
+    """Write the cleaning report as text (see ``cleaning_report_lines``)."""
+    return write_lines(cleaning_report_lines(stats, classes, style), path)
+
+
+def write_length_report(summary: DataFrame, coverage: DataFrame, path: str) -> str:
+    """Write the length report as text (see ``length_report_lines``)."""
+    return write_lines(length_report_lines(summary, coverage), path)
 
 
 def length_report_lines(summary: DataFrame, coverage: DataFrame) -> DataFrame:
@@ -106,5 +120,5 @@ def write_lines(lines: DataFrame, path: str) -> str:
     return path
 
 
-__all__ = ["cleaning_report_lines", "length_report_lines", "write_lines", "pyformat",
-           "SECTION_KEPT"]
+__all__ = ["cleaning_report_lines", "length_report_lines", "write_lines", "write_stats_report",
+           "write_length_report", "pyformat", "SECTION_KEPT"]
