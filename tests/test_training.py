@@ -82,3 +82,18 @@ def test_stream_equals_batch(spark, fitted, sf001):
     batch = score_top5(fit.model, rows, prep.dictionary).select("row_id", "rank", "code")
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
     assert streamed.where(F.col("row_id") == 10**9).count() == 0
+
+
+def test_run_training_and_score_texts(spark, sf0001):
+    from textloom.plans.scoring import score_texts
+    out = work_path(spark, "run_training")
+    fit = TR.run_training(spark, f"{sf0001}/documents.parquet", out, fmt="parquet", text_col="text",
+                          label_col="lang", row_id_col="doc_id", test_size=0.2, seed=42, epochs=1,
+                          num_features=1 << 10, iters_per_epoch=3)
+    cfg = spark.read.json(os.path.join(out, "training_config")).first()
+    assert cfg["train_samples"] + cfg["val_samples"] == 200 and cfg["num_labels"] == 4
+    assert cfg["best_epoch"] == fit.best_epoch == 1
+    scored = score_texts(spark, os.path.join(out, "best"), f"{sf0001}/documents.parquet",
+                         work_path(spark, "scored"), text_col="text", row_id_col="doc_id")
+    res = spark.read.parquet(scored)
+    assert res.select("row_id").distinct().count() == 200 and res.where("rank > 4").count() == 0

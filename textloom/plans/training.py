@@ -277,3 +277,24 @@ def split_frames(prepared: Prepared) -> tuple[DataFrame, DataFrame]:
 
 __all__ = ["prepare_training", "encoded_examples", "fit_text_classifier", "evaluate", "save_model",
            "load_model", "score_rows", "split_frames", "LABEL"]
+
+
+def run_training(spark: SparkSession, input_path: str, out_dir: str, fmt: str = "csv",
+                 text_col: str = TEXT, label_col: str = LABEL, row_id_col: str | None = None,
+                 test_size: float = TEST_SIZE, seed: int = SEED, **fit_args) -> Fitted:
+    """M6 + M7 end to end: read the cleaned corpus, prepare, train, and
+    write the run configuration (parameters, class count, split sizes,
+    best accuracy) as one JSON row beside the models."""
+    from textloom.sources.corpus import read_corpus
+    prep = prepare_training(read_corpus(spark, input_path, fmt, text_col, label_col, row_id_col),
+                            test_size, seed)
+    train, val = split_frames(prep)
+    fitted = fit_text_classifier(train, val, prep.dictionary, out_dir, seed=seed, **fit_args)
+    sizes = {r["split"]: r["n"] for r in prep.data.groupBy("split").count().withColumnRenamed("count", "n").collect()}
+    config = dict(fit_args, test_size=test_size, seed=seed, num_labels=prep.dictionary.count(),
+                  train_samples=sizes.get(TRAIN, 0), val_samples=sizes.get(VALIDATION, 0),
+                  best_accuracy=fitted.best_accuracy, best_epoch=fitted.best_epoch,
+                  stopped_at=fitted.stopped_at)
+    spark.createDataFrame([(json.dumps(config, sort_keys=True),)], "value STRING") \
+        .write.mode("overwrite").text(os.path.join(out_dir, "training_config"))
+    return fitted
