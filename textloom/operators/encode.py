@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import basic_tokens
-from textloom.session import broadcast_if_small, cut_lineage, spread_for_cpu
+from textloom.session import broadcast_if_small, cut_lineage
 from textloom.sources.corpus import ROW_ID, TEXT
 
 # ---------------------------------------------------------------------------
@@ -48,7 +48,7 @@ def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, tokens_col: str | None =
     is checkpointed, so size checks and broadcasts do not re-tokenise.
     """
     toks = F.col(tokens_col) if tokens_col else basic_tokens(F.col(text_col))
-    counts = (spread_for_cpu(df).select(F.explode(toks).alias(TOKEN))
+    counts = (df.select(F.explode(toks).alias(TOKEN))
               .groupBy(TOKEN).agg(F.count(F.lit(1)).alias("n")))
     order = [F.desc("n"), F.col(TOKEN)]
     top = counts.orderBy(*order).limit(size)
@@ -90,7 +90,7 @@ def encode_fixed_length(df: DataFrame, vocab: DataFrame, max_length: int = MAX_L
     """M4: ``input_ids`` and ``attention_mask`` of exactly ``max_length``;
     only the first ``max_length - 2`` tokens are exploded."""
     toks = basic_tokens(F.col(text_col))
-    ids = ids_by_vocab(spread_for_cpu(df), vocab, toks, max_tokens=max_length - 2, keep=keep)
+    ids = ids_by_vocab(df, vocab, toks, max_tokens=max_length - 2, keep=keep)
     input_ids, mask = with_special_and_padding("ids", max_length)
     return ids.select(*keep, input_ids.alias("input_ids"), mask.alias("attention_mask"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -66,16 +67,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_for_cpu(df: DataFrame, factor: int = 2) -> DataFrame:
+def spread_for_cpu(df: DataFrame, input_bytes: int | None, factor: int = 2) -> DataFrame:
     """Round-robin spread rows before CPU-heavy per-row work (tokenising)
-    when the scan yields fewer partitions than the cluster has cores.
+    when the input is too small to give every core its own scan split.
 
-    Large inputs already have many more scan splits than cores, so this is
-    a no-op there; a small input (at most about one split per core) is
-    cheap to redistribute and otherwise runs in a handful of tasks.
+    The decision uses the input's byte size (known without running a job):
+    below ``cores x maxPartitionBytes`` a file may still be one large row
+    group read by a single task, and redistributing it is cheap. Large
+    inputs have more splits than cores and are left as they are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if input_bytes is None:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")
+    m = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", str(split).strip().lower())
+    unit = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    split_bytes = int(m.group(1)) * unit[m.group(2)] if m else 128 << 20
+    if input_bytes < cores * split_bytes:
         return df.repartition(cores * factor)
     return df
 

@@ -18,9 +18,22 @@ from textloom.sources.corpus import LABEL, ROW_ID, TEXT
 TEXT_TABLES = ("documents", "benchmark", "pages", "conversations")
 
 
+def _local_bytes(path: str) -> int | None:
+    """Size of a local file or folder; None for remote paths."""
+    if "://" in path and not path.startswith("file:"):
+        return None
+    p = path[len("file:"):] if path.startswith("file:") else path
+    if os.path.isfile(p):
+        return os.path.getsize(p)
+    if os.path.isdir(p):
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(p) for f in fs)
+    return None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    return spread_for_cpu(df) if name in TEXT_TABLES else df
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
+    return spread_for_cpu(df, _local_bytes(path)) if name in TEXT_TABLES else df
 
 
 def corpus_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
