@@ -77,3 +77,15 @@ def test_first_label_on_documents_is_lang(spark, sf001):
     docs = T.table(spark, sf001, "documents").select(F.col("doc_id").alias("row_id"), "lang")
     bad = raw.join(docs, "row_id").where(first_label("label") != F.col("lang")).count()
     assert bad == 0
+
+
+def test_two_stage_with_real_csv_round_trip(spark, sf001):
+    from textloom.plans.cleaning import clean_corpus_two_stage
+    from textloom.session import work_path
+    raw = T.corpus_from_documents(spark, sf001)
+    a = clean_corpus_two_stage(raw, 120)
+    b = clean_corpus_two_stage(raw, 120, intermediate_path=work_path(spark, "stage1_csv"))
+    cols = ["row_id", "summary", "label"]
+    assert a.corpus.select(cols).exceptAll(b.corpus.select(cols)).count() == 0
+    assert b.corpus.select(cols).exceptAll(a.corpus.select(cols)).count() == 0
+    assert a.stats.first().asDict() == b.stats.first().asDict()

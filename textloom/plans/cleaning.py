@@ -49,10 +49,19 @@ def clean_corpus(df: DataFrame, min_samples: int = 100, null_label: str = "drop"
 
 
 def clean_corpus_two_stage(df: DataFrame, min_samples: int = 100,
-                           materialize: bool = True) -> Cleaned:
+                           materialize: bool = True, intermediate_path: str | None = None) -> Cleaned:
     """M2: ASCII-comma first label with null as ``nan``; the CSV round trip
-    between the two old jobs turns null words back into nulls (S2)."""
+    between the two old jobs turns null words back into nulls (S2).
+
+    With ``intermediate_path`` the stage-1 result is really written as CSV
+    there and read back by stage 2 (two jobs, as in the old flow);
+    otherwise the round trip is applied as the equivalent null mapping.
+    """
     stage1 = df.withColumn(LABEL, first_label_ascii(F.col(LABEL), "literal_nan"))
+    if intermediate_path is not None:
+        write_corpus(stage1, intermediate_path, "csv")
+        stage1 = read_corpus(df.sparkSession, intermediate_path, "csv", row_id_col="row_id")
+        stage1 = stage1.withColumn("row_id", F.col("row_id").cast("bigint"))
     return _finish(normalize_na(stage1, (TEXT, LABEL)), min_samples, materialize)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.scores import row_cross_entropy
-from textloom.functions.text import TOKEN_PATTERN
+from textloom.functions.text import TOKEN_PATTERN, strip_text
 from textloom.operators import history as H
 from textloom.operators import labels as L
 from textloom.operators import metrics as MT
@@ -57,9 +57,9 @@ class Prepared(NamedTuple):
 
 def prepare_training(df: DataFrame, test_size: float = TEST_SIZE, seed: int = SEED,
                      materialize: bool = True) -> Prepared:
-    """M6: drop nulls and blank texts, build the dictionary, encode labels,
-    split exactly by class."""
-    clean = drop_blank_text(drop_null_rows(df))
+    """M6: drop nulls and blank texts, strip the texts, build the
+    dictionary, encode labels, split exactly by class."""
+    clean = drop_blank_text(drop_null_rows(df)).withColumn(TEXT, strip_text(F.col(TEXT)))
     dictionary = L.label_dictionary(clean, materialize=materialize)
     if materialize:
         dictionary = cut_lineage(dictionary)
