@@ -28,7 +28,8 @@ def label_dictionary(df: DataFrame, label_col: str = LABEL, materialize: bool =
         labels = cut_lineage(labels)
         checked_small(labels, "label dictionary")
     w = Window.orderBy(LABEL)
-    return labels.select((F.row_number().over(w) - 1).cast("int").alias(CODE), LABEL)
+    ranked = labels.select((F.row_number().over(w) - 1).cast("int").alias(CODE), LABEL)
+    return cut_lineage(ranked) if materialize else ranked
 
 
 def encode_labels(df: DataFrame, dictionary: DataFrame, label_col: str = LABEL,

@@ -61,8 +61,6 @@ def prepare_training(df: DataFrame, test_size: float = TEST_SIZE, seed: int = SE
     dictionary, encode labels, split exactly by class."""
     clean = drop_blank_text(drop_null_rows(df)).withColumn(TEXT, strip_text(F.col(TEXT)))
     dictionary = L.label_dictionary(clean, materialize=materialize)
-    if materialize:
-        dictionary = cut_lineage(dictionary)
     coded = L.encode_labels(clean, dictionary)
     split = stratified_split(coded, test_size, seed, materialize=materialize)
     if materialize:
