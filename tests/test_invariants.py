@@ -84,3 +84,12 @@ def test_encode_decode_labels(spark, docs):
     back = L.decode_labels(enc.drop("label"), d)
     assert back.join(docs.select("row_id", F.col("label").alias("orig")), "row_id") \
         .where(F.col("label") != F.col("orig")).count() == 0
+
+
+def test_ordered_batches_with_sparse_ids(spark):
+    # ids shaped like monotonically_increasing_id (partition index << 33): very sparse
+    df = spark.range(3000).select(((F.col("id") % 7) * (1 << 33) + F.col("id")).alias("row_id"))
+    b = SP.assign_batches(df, 64, shuffle=False, rows_per_bucket=100)
+    got = [r["row_id"] for r in b.orderBy("pos").collect()]
+    assert got == sorted(got) and b.agg(F.max("pos")).first()[0] == 2999
+    assert b.agg(F.max("batch")).first()[0] == 2999 // 64

@@ -152,20 +152,21 @@ def assign_batches(df: DataFrame, batch_size: int, seed: int = 42, epoch: int =
     """Global position and ``batch = pos div batch_size``.
 
     ``shuffle=True``: order by ``md5(seed|epoch|row_id)`` (a fresh order per
-    epoch); ``shuffle=False``: keep row-id order (validation loader). Row ids
-    are assumed roughly dense for the ordered case (equal-width id buckets).
+    epoch); buckets are ranges of the hash, so they are even by design.
+    ``shuffle=False``: keep row-id order (validation loader); buckets are the
+    partitions of a range partitioning on ``row_id`` (sampled bounds, so
+    sparse or clustered ids still give even buckets), materialised once so
+    the counting pass and the ranking pass see the same ranges.
     """
-    agg = df.agg(F.count(F.lit(1)).alias("n"), F.min(ROW_ID).alias("lo"), F.max(ROW_ID).alias("hi")).first()
-    n = int(agg["n"] or 0)
+    n = int(df.agg(F.count(F.lit(1))).first()[0] or 0)
     nb = max(1, math.ceil(n / _bucket_rows(df, n, rows_per_bucket)))
     if shuffle:
         key = shuffle_key(F.lit(seed), F.lit(epoch), F.col(ROW_ID).cast("string"))
         out = global_positions(df, key, _key_bucket(key, F.lit(nb)), [key, F.col(ROW_ID)])
     else:
-        lo, hi = int(agg["lo"] or 0), int(agg["hi"] or 0)
-        width = (hi - lo + 1) / nb
-        bucket = F.floor((F.col(ROW_ID) - F.lit(lo)) / F.lit(width)).cast("bigint")
-        out = global_positions(df, F.col(ROW_ID), bucket, [F.col(ROW_ID)])
+        ranged = cut_lineage(df.repartitionByRange(nb, F.col(ROW_ID))
+                             .withColumn("_rb", F.spark_partition_id().cast("bigint")))
+        out = global_positions(ranged, F.col(ROW_ID), F.col("_rb"), [F.col(ROW_ID)]).drop("_rb")
     return out.withColumn("batch", F.floor(F.col("pos") / F.lit(batch_size)).cast("bigint"))
 
 
