@@ -196,3 +196,8 @@ def test_process_dataset_end_to_end(spark):
     report = [r[0] for r in spark.read.text(out + "_stats").collect()]
     assert "原始样本数: 9" in report and "删除样本数: 2" in report and "c: 2 样本" in report
     assert res.stats.first()["n_null_dropped"] == 1
+
+
+def test_null_text_measured_as_nan(spark):
+    df = spark.createDataFrame([(1, None), (2, "a b")], "row_id bigint, summary string")
+    assert sorted(r["len"] for r in P.length_table(df).collect()) == [3, 4]

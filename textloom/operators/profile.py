@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.scores import LENGTH_BIN_LABELS, length_bin, length_bin_ord
-from textloom.functions.text import N_SPECIAL_TOKENS, basic_tokens, text_preview, token_count, token_preview
+from textloom.functions.text import (
+    N_SPECIAL_TOKENS, basic_tokens, text_preview, to_text, token_count, token_preview,
+)
 from textloom.sources.corpus import ROW_ID, TEXT
 
 # ---------------------------------------------------------------------------
@@ -31,8 +33,11 @@ LEN = "len"
 
 
 def length_table(df: DataFrame, text_col: str = TEXT, keep_text: bool = False) -> DataFrame:
-    """P15 + P17 per row: ``row_id, len`` (and the text when asked)."""
-    cols = [F.col(ROW_ID), (token_count(F.col(text_col)) + F.lit(N_SPECIAL_TOKENS)).alias(LEN)]
+    """P3 + P15 + P17 per row: ``row_id, len`` (and the text when asked).
+    A null text is measured as the text ``nan``, as the reference's string
+    cast does."""
+    text = to_text(F.col(text_col), "literal_nan")
+    cols = [F.col(ROW_ID), (token_count(text) + F.lit(N_SPECIAL_TOKENS)).alias(LEN)]
     if keep_text:
         cols.insert(1, F.col(text_col).alias(TEXT))
     return df.select(*cols)

@@ -30,7 +30,7 @@ from textloom.operators import history as H
 from textloom.operators import labels as L
 from textloom.operators import metrics as MT
 from textloom.operators.clean import drop_blank_text, drop_null_rows
-from textloom.operators.encode import build_vocab, encode_fixed_length
+from textloom.operators.encode import MAX_LENGTH, build_vocab, encode_fixed_length
 from textloom.operators.split import TRAIN, VALIDATION, assign_batches, stratified_split
 from textloom.plans.evaluation import evaluation_report, write_classification_report, write_confusion, \
     write_metrics_json
@@ -81,10 +81,12 @@ def encoded_examples(prepared: Prepared, vocab_size: int = 21128, max_length: in
     return enc, vocab
 
 
-def text_stages(num_features: int = NUM_FEATURES, text_col: str = TEXT) -> list:
-    """Text -> ``tokens`` (P15 pattern) -> hashed term counts ``features``."""
+def text_stages(num_features: int = NUM_FEATURES, text_col: str = TEXT, max_length: int = MAX_LENGTH) -> list:
+    """Text -> ``tokens`` (P15 pattern, truncated to ``max_length - 2`` like
+    the reference's encoder) -> hashed term counts ``features``."""
     tok = SQLTransformer(statement=(
-        f"SELECT *, regexp_extract_all(lower({text_col}), R'{TOKEN_PATTERN}', 0) AS tokens FROM __THIS__"))
+        f"SELECT *, slice(regexp_extract_all(lower({text_col}), R'{TOKEN_PATTERN}', 0), 1, {max_length - 2}) "
+        "AS tokens FROM __THIS__"))
     return [tok, HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features)]
 
 
