@@ -180,14 +180,14 @@ SELECT 1 AS block, CAST(0 AS BIGINT) AS ord,
   repeat(' ', width) || ' ' || ' precision    recall  f1-score   support' AS line FROM w
 UNION ALL SELECT 1, 1, ''
 UNION ALL SELECT 3, 0, ''
-UNION ALL SELECT 2, code + 1, lpad(label, width, ' ') || '  ' || printf('%9.4f', precision) || ' '
-  || printf('%9.4f', recall) || ' ' || printf('%9.4f', f1_score) || ' ' || printf('%9d', support) FROM pcm, w
-UNION ALL SELECT 4, 2, lpad('accuracy', width, ' ') || ' ' || repeat(' ', 20) || ' ' || printf('%9.4f', acc) || ' '
-  || printf('%9d', n) FROM o, w
-UNION ALL SELECT 4, 3, lpad('macro avg', width, ' ') || '  ' || printf('%9.4f', mp) || ' ' || printf('%9.4f', mr)
-  || ' ' || printf('%9.4f', mf) || ' ' || printf('%9d', n) FROM o, w
-UNION ALL SELECT 4, 4, lpad('weighted avg', width, ' ') || '  ' || printf('%9.4f', wp) || ' ' || printf('%9.4f', wr)
-  || ' ' || printf('%9.4f', wf) || ' ' || printf('%9d', n) FROM o, w""")
+UNION ALL SELECT 2, code + 1, lpad(label, (SELECT width FROM w), ' ') || '  ' || printf('%9.4f', precision) || ' '
+  || printf('%9.4f', recall) || ' ' || printf('%9.4f', f1_score) || ' ' || printf('%9d', support) FROM pcm
+UNION ALL SELECT 4, 2, lpad('accuracy', (SELECT width FROM w), ' ') || ' ' || repeat(' ', 20) || ' ' || printf('%9.4f', acc) || ' '
+  || printf('%9d', n) FROM o
+UNION ALL SELECT 4, 3, lpad('macro avg', (SELECT width FROM w), ' ') || '  ' || printf('%9.4f', mp) || ' ' || printf('%9.4f', mr)
+  || ' ' || printf('%9.4f', mf) || ' ' || printf('%9d', n) FROM o
+UNION ALL SELECT 4, 4, lpad('weighted avg', (SELECT width FROM w), ' ') || '  ' || printf('%9.4f', wp) || ' ' || printf('%9.4f', wr)
+  || ' ' || printf('%9.4f', wf) || ' ' || printf('%9d', n) FROM o""")
 def q_write_classification_report(spark, sf):
     ev = EV.evaluation_report(_scored(spark, sf), _class_dict(spark, sf))
     lines = EV.classification_report_lines(ev.per_class)

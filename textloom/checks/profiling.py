@@ -41,6 +41,21 @@ PCTS = (50, 75, 80, 85, 90, 95, 99)
 LIMITS = (64, 128, 192, 256, 384, 512)
 
 
+def _per_limit(expr: str) -> str:
+    return "[" + ", ".join(expr.format(L=L) for L in LIMITS) + "]"
+
+
+# One pass over the lengths: per-limit counts as lists, unnested into one
+# row per limit (no limits x rows pairs).
+COV = f"""covagg AS (SELECT count(*) AS total,
+    {_per_limit('count(*) FILTER (WHERE len <= {L})')} AS within,
+    {_per_limit('count(*) FILTER (WHERE len > {L})')} AS over,
+    {_per_limit('sum(len - {L}) FILTER (WHERE len > {L})')} AS s_over,
+    {_per_limit('max(len - {L}) FILTER (WHERE len > {L})')} AS m_over FROM lens),
+cov AS (SELECT unnest({list(LIMITS)}) AS "limit", unnest(within) AS n_within, unnest(over) AS n_over,
+    unnest(s_over) AS s_over, unnest(m_over) AS m_over, total FROM covagg)"""
+
+
 def r6(c):
     return F.round(c, 6)
 
@@ -127,10 +142,8 @@ def q_recommend(spark, sf):
     return P.recommend_max_length(_freq(spark, sf))
 
 
-COVERAGE_SQL = f"""{W}, lim AS (SELECT unnest({list(LIMITS)}) AS "limit")
-SELECT "limit", round(100.0 * count(*) FILTER (WHERE len <= "limit") / count(*), 6) AS coverage_pct,
-  count(*) FILTER (WHERE len > "limit") AS n_truncated
-FROM lim, lens GROUP BY "limit\""""
+COVERAGE_SQL = f"""{W}, {COV}
+SELECT "limit", round(100.0 * n_within / total, 6) AS coverage_pct, n_over AS n_truncated FROM cov"""
 
 
 @reg("length_coverage", COVERAGE_SQL)
@@ -145,10 +158,8 @@ def q_coverage_by_limit(spark, sf):
     return c.select("limit", r6("coverage_pct").alias("coverage_pct"), "n_truncated")
 
 
-@reg("truncation_loss", f"""{W}, lim AS (SELECT unnest({list(LIMITS)}) AS "limit")
-SELECT "limit", round(avg(len - "limit") FILTER (WHERE len > "limit"), 6) AS mean_loss,
-  CAST(max(len - "limit") FILTER (WHERE len > "limit") AS INTEGER) AS max_loss
-FROM lim, lens GROUP BY "limit\"""")
+@reg("truncation_loss", f"""{W}, {COV}
+SELECT "limit", round(s_over / n_over, 6) AS mean_loss, CAST(m_over AS INTEGER) AS max_loss FROM cov""")
 def q_truncation_loss(spark, sf):
     t = P.truncation_loss(_freq(spark, sf))
     return t.select("limit", r6("mean_loss").alias("mean_loss"), "max_loss")
@@ -188,11 +199,13 @@ def q_bins_left_join(spark, sf):
 rng AS (SELECT CASE WHEN min(len) = max(len) THEN min(len) - 0.5 ELSE min(len) END::DOUBLE AS lo,
                CASE WHEN min(len) = max(len) THEN max(len) + 0.5 ELSE max(len) END::DOUBLE AS hi FROM freq),
 ids AS (SELECT CAST(range AS INTEGER) AS bin FROM range(50)),
-per AS (SELECT CAST(least(floor((len - lo) * 50 / (hi - lo)), 49) AS INTEGER) AS bin, sum(n)::BIGINT AS n
-        FROM freq, rng GROUP BY 1)
-SELECT ids.bin, round(lo + ids.bin * ((hi - lo) / 50), 6) AS lo_edge,
-  round(lo + (ids.bin + 1) * ((hi - lo) / 50), 6) AS hi_edge, coalesce(per.n, 0)::BIGINT AS n
-FROM ids LEFT JOIN per ON ids.bin = per.bin, rng""")
+per AS (SELECT CAST(least(floor((len - (SELECT lo FROM rng)) * 50 / ((SELECT hi FROM rng) - (SELECT lo FROM rng))),
+                          49) AS INTEGER) AS bin, sum(n)::BIGINT AS n FROM freq GROUP BY 1)
+SELECT ids.bin,
+  round((SELECT lo FROM rng) + ids.bin * (((SELECT hi FROM rng) - (SELECT lo FROM rng)) / 50), 6) AS lo_edge,
+  round((SELECT lo FROM rng) + (ids.bin + 1) * (((SELECT hi FROM rng) - (SELECT lo FROM rng)) / 50), 6) AS hi_edge,
+  coalesce(per.n, 0)::BIGINT AS n
+FROM ids LEFT JOIN per ON ids.bin = per.bin""")
 def q_length_histogram(spark, sf):
     h = P.length_histogram(_freq(spark, sf))
     return h.select("bin", r6("lo_edge").alias("lo_edge"), r6("hi_edge").alias("hi_edge"), "n")
@@ -236,21 +249,19 @@ summary AS (SELECT * FROM (VALUES ('n', ''), ('min', ''), ('max', ''), ('mean',
   t(metric, key)),
 s AS (SELECT count(*)::DOUBLE AS n, min(len)::DOUBLE AS mn, max(len)::DOUBLE AS mx, avg(len) AS mean,
   median(len)::DOUBLE AS med, stddev_samp(len) AS std FROM lens),
-lim AS (SELECT unnest({list(LIMITS)}) AS "limit")
-SELECT metric, key, round(CASE metric WHEN 'n' THEN n WHEN 'min' THEN mn WHEN 'max' THEN mx WHEN 'mean' THEN mean
-  WHEN 'median' THEN med ELSE std END, 6) AS value FROM summary, s
+{COV}
+SELECT metric, key, round(CASE metric WHEN 'n' THEN (SELECT n FROM s) WHEN 'min' THEN (SELECT mn FROM s)
+  WHEN 'max' THEN (SELECT mx FROM s) WHEN 'mean' THEN (SELECT mean FROM s) WHEN 'median' THEN (SELECT med FROM s)
+  ELSE (SELECT std FROM s) END, 6) AS value FROM summary
 UNION ALL
 SELECT 'percentile', CAST(unnest({list(PCTS)}) AS VARCHAR),
   round(unnest(quantile_cont(len, {[p / 100 for p in PCTS]})), 6) FROM lens
 UNION ALL
-SELECT 'coverage_pct', CAST("limit" AS VARCHAR), round(100.0 * count(*) FILTER (WHERE len <= "limit") / count(*), 6)
-  FROM lim, lens GROUP BY "limit"
+SELECT 'coverage_pct', CAST("limit" AS VARCHAR), round(100.0 * n_within / total, 6) FROM cov
 UNION ALL
-SELECT 'n_truncated', CAST("limit" AS VARCHAR), count(*) FILTER (WHERE len > "limit")::DOUBLE
-  FROM lim, lens GROUP BY "limit"
+SELECT 'n_truncated', CAST("limit" AS VARCHAR), n_over::DOUBLE FROM cov
 UNION ALL
-SELECT 'mean_loss', CAST("limit" AS VARCHAR), round(avg(len - "limit") FILTER (WHERE len > "limit"), 6)
-  FROM lim, lens GROUP BY "limit\"""")
+SELECT 'mean_loss', CAST("limit" AS VARCHAR), round(s_over / n_over, 6) FROM cov""")
 def q_profile_lengths(spark, sf):
     p = profile_lengths(labelled_documents(spark, sf))
     return profile_metrics(p).select("metric", "key", r6("value").alias("value"))
@@ -259,7 +270,7 @@ def q_profile_lengths(spark, sf):
 @reg("write_length_report", f"""{W},
 s AS (SELECT count(*) AS n, min(len) AS mn, max(len) AS mx, avg(len) AS mean, median(len) AS med,
   stddev_samp(len) AS std FROM lens),
-lim AS (SELECT unnest({list(LIMITS)}) AS "limit")
+{COV}
 SELECT CAST(block AS INTEGER) AS block, CAST(ord AS BIGINT) AS ord, line FROM (
 SELECT * FROM (VALUES (0, 0, 'Summary Token长度统计'), (0, 1, repeat('=', 60)), (0, 8, '')) t(block, ord, line)
 UNION ALL SELECT 0, 2, '总样本数: ' || n FROM s
@@ -269,8 +280,7 @@ UNION ALL SELECT 0, 5, '平均token长度: ' || printf('%.2f', mean) FROM s
 UNION ALL SELECT 0, 6, '中位数token长度: ' || printf('%.2f', med) FROM s
 UNION ALL SELECT 0, 7, '标准差: ' || printf('%.2f', std) FROM s
 UNION ALL SELECT 1, "limit", 'MAX_LENGTH=' || "limit" || ': 覆盖 '
-  || printf('%.2f', 100.0 * count(*) FILTER (WHERE len <= "limit") / count(*)) || '% 的数据'
-  FROM lim, lens GROUP BY "limit")""")
+  || printf('%.2f', 100.0 * n_within / total) || '% 的数据' FROM cov)""")
 def q_write_length_report(spark, sf):
     p = profile_lengths(labelled_documents(spark, sf))
     lines = length_report_lines(p.summary, p.coverage)

@@ -66,7 +66,8 @@ def q_write_label_dict(spark, sf):
 SPLIT_SQL = """docs AS (SELECT doc_id AS row_id, lang AS label FROM documents),
 counts AS (SELECT label, count(*) AS n FROM docs GROUP BY label),
 tot AS (SELECT sum(n)::BIGINT AS n_total, (sum(n) - ceil(CAST({ts} AS DOUBLE) * sum(n)))::BIGINT AS n_train FROM counts),
-base AS (SELECT label, n, (n * n_train) // n_total AS q_floor, (n * n_train) % n_total AS rem, n_train FROM counts, tot),
+base AS (SELECT label, n, (n * (SELECT n_train FROM tot)) // (SELECT n_total FROM tot) AS q_floor,
+  (n * (SELECT n_train FROM tot)) % (SELECT n_total FROM tot) AS rem, (SELECT n_train FROM tot) AS n_train FROM counts),
 seats AS (SELECT max(n_train) - sum(q_floor) AS seats FROM base),
 q AS (SELECT label, q_floor + CASE WHEN row_number() OVER (ORDER BY rem DESC, label) <= (SELECT seats FROM seats)
       THEN 1 ELSE 0 END AS quota FROM base),
