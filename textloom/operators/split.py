@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.session import broadcast_if_small, checked_small, cut_lineage
+from textloom.session import SMALL_TABLE_ROWS, broadcast_if_small, checked_small, cut_lineage
 from textloom.sources.corpus import LABEL, ROW_ID
 
 ROWS_PER_BUCKET = 1_000_000
@@ -128,21 +128,27 @@ def stratified_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
 
 
 # -- W6 ----------------------------------------------------------------------
-def global_positions(df: DataFrame, key: Column, bucket: Column, order_cols: list) -> DataFrame:
+def global_positions(df: DataFrame, key: Column, bucket: Column, order_cols: list,
+                     n_buckets: int | None = None) -> DataFrame:
     """0-based position of each row in the order ``order_cols``.
 
     ``bucket`` must be a monotone function of that order; positions are the
     bucket's offset (from a small per-bucket count table) plus the rank
-    inside the bucket.
+    inside the bucket. When the caller knows the number of buckets (a bound
+    derived from the row count), the offsets table is broadcast on that
+    proven bound without being counted or materialised first.
     """
     b = df.withColumn("_k", key).withColumn("_b", bucket)
     sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per bucket (rows / bucket size): materialised once, so the
-    # size check and the broadcast do not rescan the rows
-    offsets = cut_lineage(sizes.select("_b", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off")))
+    offsets = sizes.select("_b", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
+    if n_buckets is not None and n_buckets <= SMALL_TABLE_ROWS:
+        offsets = F.broadcast(offsets)
+    else:
+        # unknown size: materialise once, then count before broadcasting
+        offsets = broadcast_if_small(cut_lineage(offsets))
     wr = Window.partitionBy("_b").orderBy(*order_cols)
-    return (b.join(broadcast_if_small(offsets), "_b")
+    return (b.join(offsets, "_b")
             .withColumn("pos", (F.col("_off") + F.row_number().over(wr) - 1).cast("bigint"))
             .drop("_k", "_b", "_off"))
 
@@ -162,11 +168,11 @@ def assign_batches(df: DataFrame, batch_size: int, seed: int = 42, epoch: int =
     nb = max(1, math.ceil(n / _bucket_rows(df, n, rows_per_bucket)))
     if shuffle:
         key = shuffle_key(F.lit(seed), F.lit(epoch), F.col(ROW_ID).cast("string"))
-        out = global_positions(df, key, _key_bucket(key, F.lit(nb)), [key, F.col(ROW_ID)])
+        out = global_positions(df, key, _key_bucket(key, F.lit(nb)), [key, F.col(ROW_ID)], n_buckets=nb)
     else:
         ranged = cut_lineage(df.repartitionByRange(nb, F.col(ROW_ID))
                              .withColumn("_rb", F.spark_partition_id().cast("bigint")))
-        out = global_positions(ranged, F.col(ROW_ID), F.col("_rb"), [F.col(ROW_ID)]).drop("_rb")
+        out = global_positions(ranged, F.col(ROW_ID), F.col("_rb"), [F.col(ROW_ID)], n_buckets=nb).drop("_rb")
     return out.withColumn("batch", F.floor(F.col("pos") / F.lit(batch_size)).cast("bigint"))
 
 
