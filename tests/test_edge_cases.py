@@ -5,7 +5,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from textloom.functions import basic_tokens, first_label, first_label_ascii, length_bin, strip_text
 from textloom.operators import clean as C

@@ -1,7 +1,5 @@
 """Physical-plan properties the scale design relies on."""
 
-from pyspark.sql import functions as F
-
 from textloom.operators import profile as P
 from textloom.plans.cleaning import clean_corpus
 from textloom.sources import corpus as S

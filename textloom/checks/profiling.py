@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from textloom.checks.sqlfrag import LENGTHS, q, tokens
 from textloom.functions import (
-    basic_tokens, length_bin, strip_accents, text_preview, token_length, token_preview,
+    basic_tokens, length_bin, strip_accents, text_preview, token_preview,
     truncation_excess,
 )
 from textloom.operators import profile as P

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.functions.scores import LENGTH_BIN_LABELS, length_bin, length_bin_ord
+from textloom.functions.scores import LENGTH_BIN_LABELS, length_bin_ord
 from textloom.functions.text import (
     N_SPECIAL_TOKENS, basic_tokens, text_preview, to_text, token_count, token_preview,
 )

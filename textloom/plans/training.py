@@ -275,8 +275,8 @@ def split_frames(prepared: Prepared) -> tuple[DataFrame, DataFrame]:
     return d.where(F.col("split") == TRAIN), d.where(F.col("split") == VALIDATION)
 
 
-__all__ = ["prepare_training", "encoded_examples", "fit_text_classifier", "evaluate", "save_model",
-           "load_model", "score_rows", "split_frames", "LABEL"]
+__all__ = ["prepare_training", "encoded_examples", "fit_text_classifier", "run_training", "evaluate",
+           "summarize_scored", "save_model", "load_model", "point_best_to", "score_rows", "split_frames"]
 
 
 def run_training(spark: SparkSession, input_path: str, out_dir: str, fmt: str = "csv",
