@@ -220,10 +220,11 @@ def q_length_cdf(spark, sf):
     return c.select("len", "n", "cum_n", r6("cum_pct").alias("cum_pct"))
 
 
-def extremes_sql(order: str) -> str:
+def extremes_sql(order: str, ellipsis: bool) -> str:
+    preview = "concat(substring(text, 1, 100), '...')" if ellipsis else "substring(text, 1, 100)"
     return f"""{W}
-SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, row_id, len,
-  substring(text, 1, 100) AS text_preview, array_to_string({tokens('text')}[1:20], ' ') AS token_preview
+SELECT CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, row_id, len, {preview} AS text_preview,
+  array_to_string(list_concat(['[CLS]'], {tokens('text')}, ['[SEP]'])[1:20], ' ') AS token_preview
 FROM (SELECT * FROM lens ORDER BY {order} LIMIT 3)"""
 
 
@@ -232,12 +233,12 @@ def _ext(df):
                      F.array_join("token_preview", " ").alias("token_preview"))
 
 
-@reg("shortest_k", extremes_sql("len, row_id"))
+@reg("shortest_k", extremes_sql("len, row_id", False))
 def q_shortest_k(spark, sf):
     return _ext(P.shortest_k(_lens(spark, sf, keep_text=True)))
 
 
-@reg("longest_k", extremes_sql("len DESC, row_id"))
+@reg("longest_k", extremes_sql("len DESC, row_id", True))
 def q_longest_k(spark, sf):
     corpus = labelled_documents(spark, sf)
     return _ext(P.longest_k(_lens(spark, sf), corpus=corpus))

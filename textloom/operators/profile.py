@@ -27,6 +27,7 @@ RECOMMEND_PERCENTILES = (90, 95, 99)
 COMMON_LIMITS = (64, 128, 192, 256, 384, 512)
 HISTOGRAM_BINS = 50
 EXTREME_K = 3
+CLS_TOKEN, SEP_TOKEN = "[CLS]", "[SEP]"
 # ---------------------------------------------------------------------------
 
 LEN = "len"
@@ -188,7 +189,7 @@ def over_length(lens: DataFrame, limit: int) -> DataFrame:
 
 
 def _extremes(lens: DataFrame, order, k: int, text_col: str,
-              corpus: DataFrame | None) -> DataFrame:
+              corpus: DataFrame | None, ellipsis: bool) -> DataFrame:
     top = lens.orderBy(*order).limit(k)          # TakeOrderedAndProject
     if text_col not in lens.columns:
         # Fetch the k texts by id: k is a small parameter, so the id list is
@@ -196,10 +197,11 @@ def _extremes(lens: DataFrame, order, k: int, text_col: str,
         ids = [r[0] for r in top.select(ROW_ID).collect()]
         top = top.join(corpus.where(F.col(ROW_ID).isin(ids)).select(ROW_ID, text_col), ROW_ID)
     w = Window.orderBy(*order)                   # over k rows only
-    toks = basic_tokens(F.col(text_col))
+    # the preview shows the encoded sequence, special tokens included
+    toks = F.concat(F.array(F.lit(CLS_TOKEN)), basic_tokens(F.col(text_col)), F.array(F.lit(SEP_TOKEN)))
     return top.select(
         F.row_number().over(w).alias("rank"), ROW_ID, LEN,
-        text_preview(F.col(text_col)).alias("text_preview"),
+        text_preview(F.col(text_col), ellipsis=ellipsis).alias("text_preview"),
         token_preview(toks).alias("token_preview"),
     )
 
@@ -208,10 +210,10 @@ def shortest_k(lens: DataFrame, k: int = EXTREME_K, text_col: str = TEXT,
                corpus: DataFrame | None = None) -> DataFrame:
     """K shortest texts, ties by row id. ``lens`` either carries the text
     or the texts are fetched from ``corpus`` by id."""
-    return _extremes(lens, [F.col(LEN), F.col(ROW_ID)], k, text_col, corpus)
+    return _extremes(lens, [F.col(LEN), F.col(ROW_ID)], k, text_col, corpus, ellipsis=False)
 
 
 def longest_k(lens: DataFrame, k: int = EXTREME_K, text_col: str = TEXT,
               corpus: DataFrame | None = None) -> DataFrame:
-    """T4: k longest texts, ties by row id."""
-    return _extremes(lens, [F.desc(LEN), F.col(ROW_ID)], k, text_col, corpus)
+    """T4: k longest texts, ties by row id; the text preview ends in ``...``."""
+    return _extremes(lens, [F.desc(LEN), F.col(ROW_ID)], k, text_col, corpus, ellipsis=True)
