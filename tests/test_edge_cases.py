@@ -200,3 +200,17 @@ def test_process_dataset_end_to_end(spark):
 def test_null_text_measured_as_nan(spark):
     df = spark.createDataFrame([(1, None), (2, "a b")], "row_id bigint, summary string")
     assert sorted(r["len"] for r in P.length_table(df).collect()) == [3, 4]
+
+
+def test_confusion_wide_is_square_over_seen_classes(spark):
+    pairs = spark.createDataFrame([(0, 0), (0, 2), (1, 1)], "y_true int, y_pred int")
+    wide = MT.confusion_wide(MT.confusion_matrix(pairs)).orderBy("y_true").collect()
+    assert [r["y_true"] for r in wide] == [0, 1, 2]
+    assert [tuple(r[c] for c in ("0", "1", "2")) for r in wide] == [(1, 0, 1), (0, 1, 0), (0, 0, 0)]
+
+
+def test_early_stopping_min_mode(spark):
+    hist = spark.createDataFrame([("r", i + 1, s) for i, s in enumerate([1.0, 0.8, 0.85, 0.9, 0.95])],
+                                 "run string, epoch int, score double")
+    r = H.early_stopping(hist, patience=3, min_delta=0.01, mode="min").first()
+    assert (r["best_epoch"], r["stop_epoch"]) == (2, 5) and r["best_score"] == pytest.approx(0.8)

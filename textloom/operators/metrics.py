@@ -29,13 +29,22 @@ def confusion_matrix(pairs: DataFrame, true_col: str = "y_true", pred_col: str =
         F.count(F.lit(1)).alias("n"))
 
 
-def confusion_wide(confusion: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """A11 wide form: one row per true code, one column per predicted code,
-    zeros filled. The pivot values come from the size-checked dictionary."""
-    checked_small(dictionary, "class dictionary", max_rows=10_000)
-    codes = [r[0] for r in dictionary.select(CODE).orderBy(CODE).collect()]
+def confusion_wide(confusion: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """A11 wide form: a square matrix, one row per true code and one column
+    per predicted code, zeros filled. The codes are every class of the
+    dictionary when given, else every class seen as truth or prediction
+    (the scikit-learn default). The code list is size-checked before it
+    reaches the driver as pivot values."""
+    if dictionary is not None:
+        codes_df = dictionary.select(F.col(CODE).cast("int").alias("c"))
+    else:
+        codes_df = (confusion.select(F.col("y_true").cast("int").alias("c"))
+                    .union(confusion.select(F.col("y_pred").cast("int").alias("c"))).distinct())
+    checked_small(codes_df, "class codes", max_rows=10_000)
+    codes = sorted(r[0] for r in codes_df.collect())
     wide = confusion.groupBy("y_true").pivot("y_pred", codes).agg(F.sum("n"))
-    return wide.fillna(0)
+    rows = confusion.sparkSession.createDataFrame([(c,) for c in codes], "y_true int")
+    return rows.join(wide, "y_true", "left").fillna(0)
 
 
 def class_totals(confusion: DataFrame) -> DataFrame:
