@@ -214,7 +214,7 @@ def q_write_metrics_json(spark, sf):
 def q_write_confusion(spark, sf):
     conf = MT.confusion_matrix(_scored(spark, sf))
     path = EV.write_confusion(conf, work_path(spark, "confusion"))
-    EV.write_confusion(conf, work_path(spark, "confusion_wide"), _class_dict(spark, sf))
+    EV.write_confusion(conf, work_path(spark, "confusion_wide"), wide=True, dictionary=_class_dict(spark, sf))
     return spark.read.parquet(path)
 
 

@@ -61,9 +61,11 @@ def write_metrics_json(per_class: DataFrame, path: str) -> str:
     return path
 
 
-def write_confusion(confusion: DataFrame, path: str, dictionary: DataFrame | None = None) -> str:
-    """Long confusion matrix as parquet (wide/pivoted with a dictionary)."""
-    out = MT.confusion_wide(confusion, dictionary) if dictionary is not None else confusion
+def write_confusion(confusion: DataFrame, path: str, wide: bool = False,
+                    dictionary: DataFrame | None = None) -> str:
+    """The confusion matrix as parquet: long cells, or the square wide
+    matrix (over seen classes, or over the dictionary when given)."""
+    out = MT.confusion_wide(confusion, dictionary) if wide else confusion
     out.write.mode("overwrite").parquet(path)
     return path
 

@@ -255,7 +255,7 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
             write_classification_report(ev.per_class, os.path.join(out_dir, "classification_report"),
                                         epoch, best_acc)
             write_metrics_json(ev.per_class, os.path.join(out_dir, "detailed_metrics"))
-            write_confusion(ev.confusion, os.path.join(out_dir, "confusion_matrix"))
+            write_confusion(ev.confusion, os.path.join(out_dir, "confusion_matrix"), wide=True)
         say("save", time.time() - t0)
         hist = spark.createDataFrame([(r[0], r[4]) for r in rows], "epoch INT, score DOUBLE") \
             .withColumn("run", F.lit("fit"))
