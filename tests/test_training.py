@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from textloom.operators import labels as L
 from textloom.plans import training as TR
 from textloom.plans.scoring import score_top5
 from textloom.session import work_path
@@ -91,6 +92,10 @@ def test_run_training_and_score_texts(spark, sf0001):
                           label_col="lang", row_id_col="doc_id", test_size=0.2, seed=42, epochs=1,
                           num_features=1 << 10, iters_per_epoch=3)
     cfg = spark.read.json(os.path.join(out, "training_config")).first()
+    stats = spark.read.json(os.path.join(out, "training_stats")).collect()
+    assert [r["epoch"] for r in stats] == [1]
+    mapping = L.read_label_dict(spark, os.path.join(out, "label_mapping"), "map")
+    assert sorted(r["label"] for r in mapping.collect()) == ["de", "en", "es", "fr"]
     assert cfg["train_samples"] + cfg["val_samples"] == 200 and cfg["num_labels"] == 4
     assert cfg["best_epoch"] == fit.best_epoch == 1
     scored = score_texts(spark, os.path.join(out, "best"), f"{sf0001}/documents.parquet",

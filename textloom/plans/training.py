@@ -265,8 +265,10 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
             break
     history = spark.createDataFrame(
         rows, "epoch INT, train_loss DOUBLE, train_acc DOUBLE, val_loss DOUBLE, val_acc DOUBLE")
+    metrics = ["train_loss", "train_acc", "val_loss", "val_acc"]
     H.write_history(history.withColumn("run", F.lit("fit")), os.path.join(out_dir, "training_history"),
-                    ["train_loss", "train_acc", "val_loss", "val_acc"], form="columns")
+                    metrics, form="columns")                           # one array per metric (v2)
+    H.write_history(history, os.path.join(out_dir, "training_stats"), metrics, form="rows")  # per epoch (v0)
     return Fitted(model, history, best_epoch, best_acc, stopped)
 
 
@@ -290,6 +292,7 @@ def run_training(spark: SparkSession, input_path: str, out_dir: str, fmt: str =
                             test_size, seed)
     train, val = split_frames(prep)
     fitted = fit_text_classifier(train, val, prep.dictionary, out_dir, seed=seed, **fit_args)
+    L.write_label_dict(prep.dictionary, os.path.join(out_dir, "label_mapping"), "map")
     sizes = {r["split"]: r["n"] for r in prep.data.groupBy("split").count().withColumnRenamed("count", "n").collect()}
     config = dict(fit_args, test_size=test_size, seed=seed, num_labels=prep.dictionary.count(),
                   train_samples=sizes.get(TRAIN, 0), val_samples=sizes.get(VALIDATION, 0),
