@@ -214,3 +214,8 @@ def test_early_stopping_min_mode(spark):
                                  "run string, epoch int, score double")
     r = H.early_stopping(hist, patience=3, min_delta=0.01, mode="min").first()
     assert (r["best_epoch"], r["stop_epoch"]) == (2, 5) and r["best_score"] == pytest.approx(0.8)
+
+
+def test_tokens_without_accents(spark):
+    toks = one(spark, ["Café Ñandú straße"]).select(basic_tokens("x", accents=False)).first()[0]
+    assert toks == ["cafe", "nandu", "straße"]

@@ -113,10 +113,14 @@ def token_preview(tokens, n: int = PREVIEW_TOKENS) -> Column:
     return F.slice(_c(tokens), 1, n)
 
 
-def basic_tokens(col) -> Column:
+def basic_tokens(col, accents: bool = True) -> Column:
     """Lower-case, one token per CJK character or punctuation mark,
-    otherwise runs of the remaining non-space characters."""
-    return F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), 0)
+    otherwise runs of the remaining non-space characters. ``accents=False``
+    also strips accents (P16), as a lower-casing BERT tokenizer does."""
+    text = F.lower(_c(col))
+    if not accents:
+        text = strip_accents(text)
+    return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
 
 
 def token_length(tokens) -> Column:
