@@ -136,8 +136,8 @@ def vectors(bs: list) -> np.ndarray:
         for k, step in enumerate(path):
             for s in _path_slots(step, k == len(path) - 1):
                 x[i, s] = 1
-        w = text.lower().split()
-        h = np.fromiter((zlib.crc32(t.encode()) for t in w), np.int64, len(w)) % WORDS
+        w = text.lower().encode().split()
+        h = np.array(list(map(zlib.crc32, w))) % WORDS
         x[i, PATH:PATH + WORDS] = np.bincount(h, minlength=WORDS) / len(w)
         x[i, -SHAPE:] = (np.log1p(len(w)) / 5, np.log1p(len(text)) / 7, links / max(1, len(text)), i / n, (n - i) / n,
                          float(text[-1] in ".!?"), float("\N{COPYRIGHT SIGN}" in text), 1)
