@@ -38,12 +38,13 @@ def _scored(spark, sf):
 
 
 def _class_dict(spark, sf):
-    """Dictionary of the embedding classes: code = label, name ``class_<label>``."""
-    d = table(spark, sf, "embeddings").select(F.concat(F.lit("class_"), F.col("label")).alias("label"))
+    """Dictionary of the logits' classes: code = place, name ``class_<place>``."""
+    d = table(spark, sf, "embeddings").select(F.posexplode("embedding")).select(
+        F.concat(F.lit("class_"), F.lpad(F.col("pos").cast("string"), 3, "0")).alias("label"))
     return L.label_dictionary(d)
 
 
-Z = """z AS (SELECT vec_id AS row_id, CAST(embedding[1:10] AS DOUBLE[]) AS z, CAST(label AS INTEGER) AS y_true
+Z = """z AS (SELECT vec_id AS row_id, CAST(embedding AS DOUBLE[]) AS z, CAST(label AS INTEGER) AS y_true
   FROM embeddings),
 zm AS (SELECT *, list_max(z) AS m, list_transform(z, lambda x: exp(x - list_max(z))) AS e FROM z),
 s AS (SELECT row_id, y_true, CAST(list_position(z, m) - 1 AS INTEGER) AS y_pred,
@@ -51,7 +52,8 @@ s AS (SELECT row_id, y_true, CAST(list_position(z, m) - 1 AS INTEGER) AS y_pred,
   list_transform(e, lambda x: x / list_sum(e)) AS probs FROM zm)"""
 
 CDICT = """cdict AS (SELECT CAST(row_number() OVER (ORDER BY name) - 1 AS INTEGER) AS code, name AS label
-  FROM (SELECT DISTINCT 'class_' || label AS name FROM embeddings))"""
+  FROM (SELECT DISTINCT 'class_' || lpad(CAST(i AS VARCHAR), 3, '0') AS name
+    FROM (SELECT unnest(generate_series(0, len(embedding) - 1)) AS i FROM embeddings)))"""
 
 PAIRS = "pairs AS (SELECT doc_id AS row_id, CAST(quality AS INTEGER) AS y_true, CAST(toxic AS INTEGER) AS y_pred FROM labels)"
 
@@ -248,10 +250,9 @@ HIST = """hist AS (SELECT event_type AS run, CAST(day(ts) AS INTEGER) AS epoch,
 
 
 @reg("best_so_far", f"""WITH {HIST}
-SELECT run, epoch, score, coalesce(max(score) OVER (PARTITION BY run ORDER BY epoch
-  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS prev_best,
-  score > coalesce(max(score) OVER (PARTITION BY run ORDER BY epoch
-  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS is_best FROM hist""")
+SELECT run, epoch, score, max(bar) OVER w AS prev_best, score > max(bar) OVER w AS is_best
+FROM (SELECT *, greatest(0.0, lag(score) OVER (PARTITION BY run ORDER BY epoch)) AS bar FROM hist)
+WINDOW w AS (PARTITION BY run ORDER BY epoch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""")
 def q_best_so_far(spark, sf):
     return H.best_so_far(history_from_events(spark, sf))
 
@@ -315,9 +316,9 @@ def q_write_history(spark, sf):
 __all__ = ["QUERIES", "ORACLES", "Window"]
 
 
-@reg("confusion_wide", f"""WITH {Z}
-SELECT y_true, {", ".join(f'CAST(sum(CASE WHEN y_pred = {i} THEN 1 ELSE 0 END) AS BIGINT) AS "{i}"' for i in range(10))}
-FROM s GROUP BY y_true""")
+@reg("confusion_wide", f"""WITH {Z}, {CDICT}
+SELECT code AS y_true, {", ".join(f'CAST(sum(CASE WHEN y_pred = {i} THEN 1 ELSE 0 END) AS BIGINT) AS "{i}"' for i in range(64))}
+FROM cdict LEFT JOIN s ON s.y_true = cdict.code GROUP BY code""")
 def q_confusion_wide(spark, sf):
     conf = MT.confusion_matrix(_scored(spark, sf))
     return MT.confusion_wide(conf, _class_dict(spark, sf))

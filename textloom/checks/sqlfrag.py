@@ -1,8 +1,16 @@
-"""SQL fragments shared by the DuckDB oracles (mirror textloom.functions)."""
+"""SQL fragments shared by the DuckDB oracles, written apart from
+textloom.functions so that a wrong character class there shows."""
 
 from __future__ import annotations
 
-from textloom.functions.text import STRIP_PATTERN, TOKEN_PATTERN
+# Code points that Python's str.strip() removes.
+STRIP_POINTS = (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+# CJK blocks (first, last code point).
+CJK_BLOCKS = ((0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x2A6DF), (0x2A700, 0x2CEAF), (0x2F800, 0x2FA1F))
+_CJK = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in CJK_BLOCKS)
+_PUNCT = "\\pP$+<=>^`|~"
+TOKEN_PATTERN = f"[{_CJK}]|[{_PUNCT}]|[^\\s\\x0b\\pZ{_CJK}{_PUNCT}]+"
+CONTROL_PATTERN = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f\\p{Cf}\\x{fffd}]"
 
 
 def q(s: str) -> str:
@@ -11,7 +19,7 @@ def q(s: str) -> str:
 
 
 def strip(x: str) -> str:
-    return f"regexp_replace({x}, {q(STRIP_PATTERN)}, '', 'g')"
+    return f"trim({x}, {' || '.join(f'chr({p})' for p in STRIP_POINTS)})"
 
 
 def first_label(x: str, literal_nan: bool = False) -> str:
@@ -27,7 +35,8 @@ def first_label_ascii(x: str, literal_nan: bool = False) -> str:
 
 
 def tokens(x: str) -> str:
-    return f"regexp_extract_all(lower({x}), {q(TOKEN_PATTERN)})"
+    clean = f"regexp_replace({x}, {q(CONTROL_PATTERN)}, '', 'g')"
+    return f"regexp_extract_all(strip_accents(lower({clean})), {q(TOKEN_PATTERN)})"
 
 
 def token_len(x: str) -> str:

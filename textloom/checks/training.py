@@ -30,7 +30,7 @@ def reg(key, sql=None):
     return deco
 
 
-VOCAB_SIZE = 1000
+VOCAB_SIZE = EN.VOCAB_SIZE
 
 VOCAB_SQL = f"""toks AS (SELECT doc_id, {tokens('text')} AS t FROM documents),
 cnt AS (SELECT token, count(*) AS n FROM (SELECT unnest(t) AS token FROM toks) GROUP BY token),
@@ -38,12 +38,12 @@ top AS (SELECT token, row_number() OVER (ORDER BY n DESC, token) AS r FROM cnt Q
 vocab AS (SELECT token, CAST(CASE WHEN r < 100 THEN r ELSE r + 4 END AS INTEGER) AS id FROM top
   UNION ALL SELECT * FROM (VALUES ('[PAD]', 0), ('[UNK]', 100), ('[CLS]', 101), ('[SEP]', 102), ('[MASK]', 103))
   v(token, id)),
-ex AS (SELECT doc_id, unnest(t[1:126]) AS token, generate_subscripts(t[1:126], 1) AS pos FROM toks),
+ex AS (SELECT doc_id, unnest(t) AS token, generate_subscripts(t, 1) AS pos FROM toks),
 ids AS (SELECT d.doc_id AS row_id,
   coalesce(list(coalesce(v.id, 100) ORDER BY ex.pos) FILTER (WHERE ex.token IS NOT NULL), []) AS ids
   FROM documents d LEFT JOIN ex ON d.doc_id = ex.doc_id LEFT JOIN vocab v ON ex.token = v.token GROUP BY d.doc_id),
-enc AS (SELECT row_id, list_concat([101], ids, [102], list_transform(range(126 - len(ids)), lambda x: 0)) AS input_ids,
-  CAST(len(ids) + 2 AS INTEGER) AS mask_sum FROM ids)"""
+enc AS (SELECT row_id, list_concat([101], ids[1:126], [102], list_transform(range(126 - least(126, len(ids))), lambda x: 0)) AS input_ids,
+  CAST(least(126, len(ids)) + 2 AS INTEGER) AS mask_sum FROM ids)"""
 
 
 def _vocab(spark, sf):
@@ -64,7 +64,7 @@ def q_build_vocab(spark, sf):
 @reg("ids_by_vocab", f"WITH {VOCAB_SQL} SELECT row_id, array_to_string(ids, ' ') AS ids FROM ids")
 def q_ids_by_vocab(spark, sf):
     docs = labelled_documents(spark, sf)
-    ids = EN.ids_by_vocab(docs, _vocab(spark, sf), basic_tokens("summary"), max_tokens=126)
+    ids = EN.ids_by_vocab(docs, _vocab(spark, sf), basic_tokens("summary"))
     return ids.select("row_id", F.array_join("ids", " ").alias("ids"))
 
 

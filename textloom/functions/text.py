@@ -24,6 +24,9 @@ PY_WHITESPACE_CLASS = (
     r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 )
+# The same set as explicit characters, for ``btrim``.
+PY_WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+                 "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # pandas.read_csv default null tokens.
 PANDAS_NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -47,8 +50,6 @@ PREVIEW_CHARS = 100
 PREVIEW_TOKENS = 20
 # ---------------------------------------------------------------------------
 
-STRIP_PATTERN = rf"\A{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+\z"
-
 
 def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
@@ -56,7 +57,7 @@ def _c(col) -> Column:
 
 def strip_text(col) -> Column:
     """Unicode-wide strip with Python ``str.strip()`` semantics."""
-    return F.regexp_replace(_c(col), STRIP_PATTERN, "")
+    return F.btrim(_c(col), F.lit(PY_WHITESPACE))
 
 
 def has_visible_text(col) -> Column:
@@ -113,11 +114,18 @@ def token_preview(tokens, n: int = PREVIEW_TOKENS) -> Column:
     return F.slice(_c(tokens), 1, n)
 
 
-def basic_tokens(col, accents: bool = True) -> Column:
-    """Lower-case, one token per CJK character or punctuation mark,
-    otherwise runs of the remaining non-space characters. ``accents=False``
-    also strips accents (P16), as a lower-casing BERT tokenizer does."""
-    text = F.lower(_c(col))
+def clean_controls(col, marks: bool = False) -> Column:
+    """Drop control and format characters (and U+FFFD), except tab and line
+    breaks, which separate tokens; with ``marks`` also combining marks."""
+    mark = r"\p{Mn}" if marks else ""
+    return F.regexp_replace(_c(col), rf"[\x{{FFFD}}\p{{Cc}}\p{{Cf}}{mark}&&[^\t\n\r]]+", "")
+
+
+def basic_tokens(col, accents: bool = False) -> Column:
+    """Control characters dropped, lower-case, accents stripped (P16),
+    one token per CJK character or punctuation mark, otherwise runs of the
+    remaining non-space characters. ``accents=True`` keeps accents."""
+    text = F.lower(clean_controls(col))
     if not accents:
         text = strip_accents(text)
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
@@ -129,10 +137,10 @@ def token_length(tokens) -> Column:
 
 
 def token_count(col) -> Column:
-    """Number of basic tokens of a text. Lower-casing never moves a token
-    boundary (case maps letters to letters and combining marks), so the
-    count skips it and only matches the pattern."""
-    return F.size(F.regexp_extract_all(_c(col), F.lit(TOKEN_PATTERN), 0))
+    """Number of basic tokens of a text. Lower-casing and stripping accents
+    off letters never move a token boundary, so the count only drops control
+    characters and combining marks and matches the pattern."""
+    return F.size(F.regexp_extract_all(clean_controls(col, marks=True), F.lit(TOKEN_PATTERN), 0))
 
 
 def truncation_excess(length, limit: int) -> Column:
@@ -142,10 +150,10 @@ def truncation_excess(length, limit: int) -> Column:
 
 @lru_cache(maxsize=1)
 def _accent_table() -> tuple[str, str]:
-    """Latin letters whose canonical decomposition is one base letter plus
+    """Letters whose canonical decomposition is one base letter plus
     combining marks, built by rule from the Unicode database."""
     src, dst = [], []
-    for cp in list(range(0x00C0, 0x0250)) + list(range(0x1E00, 0x1F00)):
+    for cp in list(range(0x00C0, 0x3100)):
         ch = chr(cp)
         base = "".join(c for c in unicodedata.normalize("NFD", ch)
                        if unicodedata.category(c) != "Mn")
@@ -156,6 +164,6 @@ def _accent_table() -> tuple[str, str]:
 
 
 def strip_accents(col) -> Column:
-    """Remove accents from Latin letters."""
+    """Remove accents from letters, and combining marks."""
     src, dst = _accent_table()
-    return F.translate(_c(col), src, dst)
+    return F.regexp_replace(F.translate(_c(col), src, dst), r"\p{Mn}+", "")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from textloom.functions.scores import keep_flag
 from textloom.functions.text import has_visible_text
-from textloom.session import broadcast_if_small
+from textloom.session import small_table
 from textloom.sources.corpus import LABEL, TEXT
 
 SECTION_DELETED = "deleted"
@@ -86,7 +86,7 @@ def filter_rare_classes(df: DataFrame, min_samples: int = 100,
     """
     counts = counts if counts is not None else label_counts(df, label_col)
     kept = kept_classes(counts, min_samples).withColumnRenamed(LABEL, label_col)
-    return df.join(broadcast_if_small(kept), label_col, "left_semi").select(*df.columns)
+    return df.join(small_table(kept), label_col, "left_semi").select(*df.columns)
 
 
 def rare_rows(df: DataFrame, min_samples: int = 100,
@@ -95,7 +95,7 @@ def rare_rows(df: DataFrame, min_samples: int = 100,
     counts = counts if counts is not None else label_counts(df, label_col)
     kept = kept_classes(counts, min_samples).withColumnRenamed(LABEL, label_col)
     return (df.where(F.col(label_col).isNotNull())
-            .join(broadcast_if_small(kept), label_col, "left_anti").select(*df.columns))
+            .join(small_table(kept), label_col, "left_anti").select(*df.columns))
 
 
 def cleaning_stats(summary: DataFrame, min_samples: int) -> DataFrame:

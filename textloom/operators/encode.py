@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import basic_tokens
-from textloom.session import broadcast_if_small, cut_lineage
+from textloom.session import cut_lineage, small_table
 from textloom.sources.corpus import ROW_ID, TEXT
 
 # ---------------------------------------------------------------------------
@@ -68,7 +68,7 @@ def ids_by_vocab(df: DataFrame, vocab: DataFrame, tokens, max_tokens: int | None
     if max_tokens is not None:
         t = F.slice(t, 1, max_tokens)
     ex = df.select(*keep, F.posexplode_outer(t).alias("pos", TOKEN))
-    v = broadcast_if_small(vocab.select(TOKEN, ID))
+    v = small_table(vocab.select(TOKEN, ID))
     j = ex.join(v, TOKEN, "left")
     item = F.when(F.col(TOKEN).isNotNull(),
                   F.struct(F.col("pos"), F.coalesce(F.col(ID), F.lit(UNK_ID)).alias(ID)))
@@ -99,7 +99,7 @@ def decode_ids(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids",
                keep=(ROW_ID,), out_col: str = "tokens") -> DataFrame:
     """M5: id array -> token strings (unknown ids -> [UNK])."""
     ex = df.select(*keep, F.posexplode_outer(ids_col).alias("pos", ID))
-    v = broadcast_if_small(vocab.select(TOKEN, ID).dropDuplicates([ID]))
+    v = small_table(vocab.select(TOKEN, ID).dropDuplicates([ID]))
     j = ex.join(v, ID, "left")
     item = F.when(F.col(ID).isNotNull(),
                   F.struct(F.col("pos"), F.coalesce(F.col(TOKEN), F.lit("[UNK]")).alias(TOKEN)))

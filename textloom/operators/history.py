@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.session import broadcast_if_small, cut_lineage
+from textloom.session import cut_lineage, small_table
 
 BATCHES_PER_BUCKET = 4096
 
@@ -26,7 +26,7 @@ def best_so_far(history: DataFrame, run_col: str = "run", epoch_col: str = "epoc
     """Flag the epochs whose score strictly beats every earlier one
     (starting from 0); a NaN score is never an improvement."""
     w = Window.partitionBy(run_col).orderBy(epoch_col).rowsBetween(Window.unboundedPreceding, -1)
-    prev = F.coalesce(F.max(_clean(F.col(score_col))).over(w), F.lit(0.0))
+    prev = F.greatest(F.max(_clean(F.col(score_col))).over(w), F.lit(0.0))
     s = F.col(score_col)
     return history.withColumn("prev_best", prev).withColumn(
         "is_best", (~F.isnan(s)) & (s > F.col("prev_best")))
@@ -81,7 +81,7 @@ def running_sums(df: DataFrame, part_cols, order_col: str, value_cols,
                                            for v in value_cols])
     # one row per bucket of ``per_bucket`` order values: small, materialised
     # once and broadcast after its size is checked
-    offs = broadcast_if_small(cut_lineage(offs))
+    offs = small_table(offs)
     wr = Window.partitionBy(*part_cols, "_bk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     out = b.join(offs, part_cols + ["_bk"])
     for v in value_cols:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from textloom.session import broadcast_if_small, checked_small, cut_lineage
+from textloom.session import cut_lineage, small_table
 from textloom.sources.corpus import LABEL
 
 CODE = "code"
@@ -20,13 +20,12 @@ CODE = "code"
 def label_dictionary(df: DataFrame, label_col: str = LABEL, materialize: bool = True) -> DataFrame:
     """Sorted distinct labels -> codes 0..n-1 (code-point order).
 
-    The ranking window runs over the distinct-label table, whose size is
-    checked first; it never sees corpus rows.
+    The ranking window runs over the distinct-label table only; it never
+    sees corpus rows.
     """
     labels = df.where(F.col(label_col).isNotNull()).select(F.col(label_col).alias(LABEL)).distinct()
     if materialize:
         labels = cut_lineage(labels)
-        checked_small(labels, "label dictionary")
     w = Window.orderBy(LABEL)
     ranked = labels.select((F.row_number().over(w) - 1).cast("int").alias(CODE), LABEL)
     return cut_lineage(ranked) if materialize else ranked
@@ -36,14 +35,14 @@ def encode_labels(df: DataFrame, dictionary: DataFrame, label_col: str = LABEL,
                   code_col: str = CODE) -> DataFrame:
     """Label -> code by an inner join with the broadcast dictionary."""
     d = dictionary.select(F.col(LABEL).alias(label_col), F.col(CODE).alias(code_col))
-    return df.join(broadcast_if_small(d), label_col, "inner").select(*df.columns, code_col)
+    return df.join(small_table(d), label_col, "inner").select(*df.columns, code_col)
 
 
 def decode_labels(df: DataFrame, dictionary: DataFrame, code_col: str = CODE,
                   label_col: str = LABEL) -> DataFrame:
     """Code -> class name by a left join with the broadcast dictionary."""
     d = dictionary.select(F.col(CODE).alias(code_col), F.col(LABEL).alias(label_col))
-    return df.join(broadcast_if_small(d), code_col, "left").select(*df.columns, label_col)
+    return df.join(small_table(d), code_col, "left").select(*df.columns, label_col)
 
 
 def dictionary_map_json(dictionary: DataFrame) -> DataFrame:

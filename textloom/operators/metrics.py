@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.labels import CODE
-from textloom.session import broadcast_if_small, checked_small
+from textloom.session import small_table
 from textloom.sources.corpus import LABEL
 
 TOP_K = 5
@@ -33,17 +33,23 @@ def confusion_wide(confusion: DataFrame, dictionary: DataFrame | None = None) ->
     """A11 wide form: a square matrix, one row per true code and one column
     per predicted code, zeros filled. The codes are every class of the
     dictionary when given, else every class seen as truth or prediction
-    (the scikit-learn default). The code list is size-checked before it
-    reaches the driver as pivot values."""
+    (the scikit-learn default). A matrix of many classes is one column a
+    class; the long form (``confusion_matrix``) has no such width."""
     if dictionary is not None:
         codes_df = dictionary.select(F.col(CODE).cast("int").alias("c"))
     else:
         codes_df = (confusion.select(F.col("y_true").cast("int").alias("c"))
                     .union(confusion.select(F.col("y_pred").cast("int").alias("c"))).distinct())
-    checked_small(codes_df, "class codes", max_rows=10_000)
     codes = sorted(r[0] for r in codes_df.collect())
-    wide = confusion.groupBy("y_true").pivot("y_pred", codes).agg(F.sum("n"))
-    rows = confusion.sparkSession.createDataFrame([(c,) for c in codes], "y_true int")
+    spark = confusion.sparkSession
+    limit = spark.conf.get("spark.sql.pivotMaxValues")
+    if len(codes) >= int(limit):      # Spark's guard against unmeant width; here it is meant
+        spark.conf.set("spark.sql.pivotMaxValues", len(codes) + 1)
+    try:
+        wide = confusion.groupBy("y_true").pivot("y_pred", codes).agg(F.sum("n"))
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", limit)
+    rows = codes_df.select(F.col("c").alias("y_true"))
     return rows.join(wide, "y_true", "left").fillna(0)
 
 
@@ -74,7 +80,7 @@ def per_class_metrics(confusion: DataFrame, dictionary: DataFrame | None = None)
     (left join, zeros when absent) and its name."""
     t = class_totals(confusion)
     if dictionary is not None:
-        t = (broadcast_if_small(dictionary.select(CODE, LABEL)).join(t, CODE, "left")
+        t = (dictionary.select(CODE, LABEL).join(t, CODE, "left")
              .fillna(0, subset=["tp", "support", "predicted"]))
     tp, sup, pred = F.col("tp"), F.col("support"), F.col("predicted")
     cols = [CODE] + ([LABEL] if dictionary is not None else [])
@@ -141,5 +147,5 @@ def topk_classes(df: DataFrame, probs_col: str = "probs", k: int = TOP_K,
     out = df.select(*keep, F.explode(topk_struct(probs_col, k)).alias("t")).select(*keep, "t.*")
     if dictionary is not None:
         d = dictionary.select(CODE, F.col(LABEL).alias("class"))
-        out = out.join(broadcast_if_small(d), CODE, "left")
+        out = out.join(small_table(d), CODE, "left")
     return out

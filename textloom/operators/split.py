@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.session import SMALL_TABLE_ROWS, broadcast_if_small, checked_small, cut_lineage
+from textloom.session import cut_lineage, small_table
 from textloom.sources.corpus import LABEL, ROW_ID
 
 ROWS_PER_BUCKET = 1_000_000
@@ -83,8 +83,8 @@ def stratified_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
         F.count(F.lit(1)).alias("n"))
     if materialize:
         counts = cut_lineage(counts)
-    n_classes = checked_small(counts, "class table")
-    row = counts.agg(F.sum("n").alias("n"), F.min("n").alias("mn")).first()
+    row = counts.agg(F.sum("n").alias("n"), F.min("n").alias("mn"), F.count("*").alias("c")).first()
+    n_classes = int(row["c"])
     n_total, smallest = int(row["n"] or 0), int(row["mn"] or 0)
     n_test = math.ceil(test_size * n_total)
     n_train = n_total - n_test
@@ -104,19 +104,19 @@ def stratified_split(df: DataFrame, test_size: float = 0.2, seed: int = 42,
         quotas = cut_lineage(quotas)
 
     keyed = (df.withColumn("_h", shuffle_key(F.lit(seed), F.col(ROW_ID).cast("string")))
-             .join(broadcast_if_small(quotas.select(F.col(LABEL).alias(label_col), "quota", "n_buckets")),
+             .join(small_table(quotas.select(F.col(LABEL).alias(label_col), "quota", "n_buckets")),
                    label_col))
     keyed = keyed.withColumn("_b", _key_bucket(F.col("_h"), F.col("n_buckets")))
 
     # Per (class, bucket) counts -> where each bucket starts in its class.
     buckets = keyed.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
     wb = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    decided = (buckets.join(broadcast_if_small(quotas.select(F.col(LABEL).alias(label_col), "quota")), label_col)
+    decided = (buckets.join(small_table(quotas.select(F.col(LABEL).alias(label_col), "quota")), label_col)
                .withColumn("_start", F.coalesce(F.sum("_cnt").over(wb), F.lit(0)))
                .select(label_col, "_b", (F.col("quota") - F.col("_start")).alias("_need"), "_cnt"))
     if materialize:
         decided = cut_lineage(decided)
-    keyed = keyed.join(broadcast_if_small(decided), [label_col, "_b"])
+    keyed = keyed.join(small_table(decided), [label_col, "_b"])
 
     whole = keyed.where((F.col("_need") <= 0) | (F.col("_need") >= F.col("_cnt"))).withColumn(
         "split", F.when(F.col("_need") <= 0, F.lit(VALIDATION)).otherwise(F.lit(TRAIN)))
@@ -142,11 +142,7 @@ def global_positions(df: DataFrame, key: Column, bucket: Column, order_cols: lis
     sizes = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_b", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    if n_buckets is not None and n_buckets <= SMALL_TABLE_ROWS:
-        offsets = F.broadcast(offsets)
-    else:
-        # unknown size: materialise once, then count before broadcasting
-        offsets = broadcast_if_small(cut_lineage(offsets))
+    offsets = small_table(offsets, "offsets")
     wr = Window.partitionBy("_b").orderBy(*order_cols)
     return (b.join(offsets, "_b")
             .withColumn("pos", (F.col("_off") + F.row_number().over(wr) - 1).cast("bigint"))

@@ -12,7 +12,7 @@ from textloom.operators.clean import (
     cleaning_classes, cleaning_stats, counts_from_summary, drop_null_rows,
     filter_rare_classes, label_summary,
 )
-from textloom.session import checked_small, cut_lineage
+from textloom.session import cut_lineage
 from textloom.sources.corpus import LABEL, TEXT, normalize_na, read_corpus, write_corpus
 from textloom.sources.reports import write_stats_report
 
@@ -30,7 +30,6 @@ def _finish(prepared: DataFrame, min_samples: int, materialize: bool) -> Cleaned
         # One small row per class; cut lineage so the corpus scan behind it
         # runs once and survives executor loss.
         summary = cut_lineage(summary)
-        checked_small(summary, "label summary")
     counts = counts_from_summary(summary)
     corpus = filter_rare_classes(drop_null_rows(prepared), min_samples, counts)
     return Cleaned(corpus, counts, cleaning_stats(summary, min_samples),
@@ -67,11 +66,15 @@ def clean_corpus_two_stage(df: DataFrame, min_samples: int = 100,
 
 def process_dataset(spark, input_path: str, output_path: str, min_samples: int = 100,
                     fmt: str = "csv", out_fmt: str = "csv", text_col: str = TEXT,
-                    label_col: str = LABEL, row_id_col: str | None = None) -> Cleaned:
-    """M1 end to end: read the corpus, clean it, write the cleaned corpus to
+                    label_col: str = LABEL, row_id_col: str | None = None, null_label: str = "drop",
+                    null_words: bool = True, multiline: bool = True) -> Cleaned:
+    """M1 end to end: read the corpus, turn null words into nulls (S2, as the
+    reference's scan does), clean it, write the cleaned corpus to
     ``output_path`` and the audit report to ``output_path + '_stats'``."""
-    raw = read_corpus(spark, input_path, fmt, text_col, label_col, row_id_col)
-    res = clean_corpus(raw, min_samples)
+    raw = read_corpus(spark, input_path, fmt, text_col, label_col, row_id_col, multiline)
+    if null_words:
+        raw = normalize_na(raw)
+    res = clean_corpus(raw, min_samples, null_label)
     write_corpus(res.corpus, output_path, out_fmt)
     write_stats_report(res.stats, res.classes, output_path.rstrip("/") + "_stats")
     return res

@@ -17,10 +17,11 @@ import os
 import time
 from typing import NamedTuple
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.feature import HashingTF, SQLTransformer
 from pyspark.ml.functions import vector_to_array
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +31,7 @@ from textloom.operators import history as H
 from textloom.operators import labels as L
 from textloom.operators import metrics as MT
 from textloom.operators.clean import drop_blank_text, drop_null_rows
-from textloom.operators.encode import MAX_LENGTH, build_vocab, encode_fixed_length
+from textloom.operators.encode import build_vocab, encode_fixed_length
 from textloom.operators.split import TRAIN, VALIDATION, assign_batches, stratified_split
 from textloom.plans.evaluation import evaluation_report, write_classification_report, write_confusion, \
     write_metrics_json
@@ -48,6 +49,8 @@ CHECKPOINT_EVERY = 1
 # ---------------------------------------------------------------------------
 NUM_FEATURES = 1 << 14
 ITERS_PER_EPOCH = 10
+# a square matrix file has a column a class; beyond this the long form is written
+WIDE_CLASSES = 1000
 
 
 class Prepared(NamedTuple):
@@ -81,12 +84,14 @@ def encoded_examples(prepared: Prepared, vocab_size: int = 21128, max_length: in
     return enc, vocab
 
 
-def text_stages(num_features: int = NUM_FEATURES, text_col: str = TEXT, max_length: int = MAX_LENGTH) -> list:
-    """Text -> ``tokens`` (P15 pattern, truncated to ``max_length - 2`` like
-    the reference's encoder) -> hashed term counts ``features``."""
-    tok = SQLTransformer(statement=(
-        f"SELECT *, slice(regexp_extract_all(lower({text_col}), R'{TOKEN_PATTERN}', 0), 1, {max_length - 2}) "
-        "AS tokens FROM __THIS__"))
+def text_stages(num_features: int = NUM_FEATURES, text_col: str = TEXT, max_length: int | None = None) -> list:
+    """Text -> ``tokens`` (P15 pattern, the whole text) -> hashed term counts
+    ``features``. ``max_length`` cuts to ``max_length - 2`` tokens, as an encoder
+    with a fixed input would; it is saved with the model."""
+    tokens = f"regexp_extract_all(lower({text_col}), R'{TOKEN_PATTERN}', 0)"
+    if max_length is not None:
+        tokens = f"slice({tokens}, 1, {max_length - 2})"
+    tok = SQLTransformer(statement=f"SELECT *, {tokens} AS tokens FROM __THIS__")
     return [tok, HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features)]
 
 
@@ -100,20 +105,14 @@ def classifier(n_classes: int, num_features: int = NUM_FEATURES, max_iter: int =
     return mlp
 
 
-def feature_pipeline(n_classes: int, num_features: int = NUM_FEATURES, max_iter: int = ITERS_PER_EPOCH,
-                     initial_weights=None, text_col: str = TEXT, seed: int = SEED) -> Pipeline:
-    """The whole trainable pipeline: text stages + classifier."""
-    return Pipeline(stages=text_stages(num_features, text_col)
-                    + [classifier(n_classes, num_features, max_iter, initial_weights, seed)])
-
-
 def _with_label_idx(df: DataFrame) -> DataFrame:
     return df.withColumn("label_idx", F.col("code").cast("double"))
 
 
-def featurize(df: DataFrame, num_features: int = NUM_FEATURES, text_col: str = TEXT) -> DataFrame:
+def featurize(df: DataFrame, num_features: int = NUM_FEATURES, text_col: str = TEXT,
+              max_length: int | None = None) -> DataFrame:
     """``row_id, code, label_idx, features``: texts hashed once."""
-    out = PipelineModel(stages=text_stages(num_features, text_col)).transform(_with_label_idx(df))
+    out = PipelineModel(stages=text_stages(num_features, text_col, max_length)).transform(_with_label_idx(df))
     return out.select(ROW_ID, "code", "label_idx", "features")
 
 
@@ -159,6 +158,7 @@ def save_model(model: PipelineModel, path: str, dictionary: DataFrame, params: d
     """The pipeline model, its class dictionary (list form, beside the
     model) and one row of run parameters."""
     spark = dictionary.sparkSession
+    _write_text(spark, os.path.join(path, "manifest"), None)      # a full model replaces a pointer
     model.write().overwrite().save(os.path.join(path, "model"))
     L.write_label_dict(dictionary, os.path.join(path, "label_encoder"), "list")
     if params is not None:
@@ -170,18 +170,26 @@ def save_model(model: PipelineModel, path: str, dictionary: DataFrame, params: d
 def point_best_to(spark: SparkSession, best_path: str, target: str, params: dict) -> str:
     """Mark an already saved checkpoint as the best model (a one-line
     manifest instead of a second copy of the same model)."""
-    doc = json.dumps(dict(params, target=target), sort_keys=True)
-    spark.createDataFrame([(doc,)], "value STRING").write.mode("overwrite").text(os.path.join(best_path, "manifest"))
+    doc = json.dumps(dict(params, target=os.path.relpath(target, best_path)), sort_keys=True)
+    _write_text(spark, os.path.join(best_path, "manifest"), doc)
     return best_path
 
 
+def _write_text(spark: SparkSession, path: str, doc: str | None) -> None:
+    """One-line text table; ``None`` writes an empty one over an existing."""
+    rows = [] if doc is None else [(doc,)]
+    spark.createDataFrame(rows, "value STRING").write.mode("overwrite").text(path)
+
+
 def _resolve(spark: SparkSession, path: str) -> str:
-    manifest = os.path.join(path, "manifest")
+    """The folder a non-empty manifest points at (relative to ``path``)."""
     try:
-        doc = spark.read.text(manifest).first()
-    except Exception:  # noqa: BLE001 - no manifest: a full model folder
+        doc = spark.read.text(os.path.join(path, "manifest")).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return path
-    return json.loads(doc[0])["target"] if doc else path
+    return os.path.normpath(os.path.join(path, json.loads(doc[0])["target"])) if doc else path
 
 
 def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
@@ -196,7 +204,8 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
                         epochs: int = EPOCHS, patience: int = PATIENCE, min_delta: float = MIN_DELTA,
                         batch_size: int = BATCH_SIZE, checkpoint_every: int = CHECKPOINT_EVERY,
                         num_features: int = NUM_FEATURES, iters_per_epoch: int = ITERS_PER_EPOCH,
-                        resume_from: str | None = None, seed: int = SEED, log=None) -> Fitted:
+                        resume_from: str | None = None, seed: int = SEED, log=None,
+                        max_length: int | None = None) -> Fitted:
     """M7: epoch loop with validation, history, best model (strictly higher
     validation accuracy, from 0), periodic checkpoints and early stopping
     (``min_delta`` gain within ``patience`` epochs).
@@ -213,9 +222,9 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
     # each epoch (and any recomputation after an executor loss) starts here.
     # Cached on top of the reliable checkpoint: lost blocks are recomputed
     # from the checkpoint files, not from the raw scan.
-    train_f = cut_lineage(featurize(train, num_features)).persist()
-    val_f = cut_lineage(featurize(val, num_features)).persist()
-    text = text_stages(num_features)
+    train_f = cut_lineage(featurize(train, num_features, max_length=max_length)).persist()
+    val_f = cut_lineage(featurize(val, num_features, max_length=max_length)).persist()
+    text = text_stages(num_features, max_length=max_length)
     say("featurize", time.time() - t0)
     weights = None
     if resume_from:
@@ -255,7 +264,7 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
             write_classification_report(ev.per_class, os.path.join(out_dir, "classification_report"),
                                         epoch, best_acc)
             write_metrics_json(ev.per_class, os.path.join(out_dir, "detailed_metrics"))
-            write_confusion(ev.confusion, os.path.join(out_dir, "confusion_matrix"), wide=True)
+            write_confusion(ev.confusion, os.path.join(out_dir, "confusion_matrix"), wide=n_classes <= WIDE_CLASSES)
         say("save", time.time() - t0)
         hist = spark.createDataFrame([(r[0], r[4]) for r in rows], "epoch INT, score DOUBLE") \
             .withColumn("run", F.lit("fit"))
@@ -263,6 +272,8 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
         if stop is not None:
             stopped = int(stop)
             break
+    for d in (train_f, val_f, *(scored_frames if model is not None else ())):
+        d.unpersist()
     history = spark.createDataFrame(
         rows, "epoch INT, train_loss DOUBLE, train_acc DOUBLE, val_loss DOUBLE, val_acc DOUBLE")
     metrics = ["train_loss", "train_acc", "val_loss", "val_acc"]
@@ -287,9 +298,9 @@ def run_training(spark: SparkSession, input_path: str, out_dir: str, fmt: str =
     """M6 + M7 end to end: read the cleaned corpus, prepare, train, and
     write the run configuration (parameters, class count, split sizes,
     best accuracy) as one JSON row beside the models."""
-    from textloom.sources.corpus import read_corpus
-    prep = prepare_training(read_corpus(spark, input_path, fmt, text_col, label_col, row_id_col),
-                            test_size, seed)
+    from textloom.sources.corpus import normalize_na, read_corpus
+    raw = normalize_na(read_corpus(spark, input_path, fmt, text_col, label_col, row_id_col))
+    prep = prepare_training(raw, test_size, seed)
     train, val = split_frames(prep)
     fitted = fit_text_classifier(train, val, prep.dictionary, out_dir, seed=seed, **fit_args)
     L.write_label_dict(prep.dictionary, os.path.join(out_dir, "label_mapping"), "map")

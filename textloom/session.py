@@ -1,18 +1,12 @@
-"""Session set-up, the shared work folder, and size-checked broadcasts."""
+"""Session set-up, the shared work folder, and derived small tables."""
 
 from __future__ import annotations
 
 import os
-import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Upper bound on rows of a "small" side (class tables, vocabularies, bin and
-# bucket tables) before it may be broadcast or handled in a single task.
-SMALL_TABLE_ROWS = 2_000_000
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
@@ -43,8 +37,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when nothing is configured (local tests) a
-    fresh folder under /tmp is set.
+    Read from the session; only in local mode with nothing configured (tests)
+    a fresh folder under /tmp is set, elsewhere a missing folder is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="textloom-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
@@ -69,41 +65,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spread_for_cpu(df: DataFrame, input_bytes: int | None, factor: int = 2) -> DataFrame:
-    """Round-robin spread rows before CPU-heavy per-row work (tokenising)
-    when the input is too small to give every core its own scan split.
-
-    The decision uses the input's byte size (known without running a job):
-    below ``cores x maxPartitionBytes`` a file may still be one large row
-    group read by a single task, and redistributing it is cheap. Large
-    inputs have more splits than cores and are left as they are.
-    """
-    if input_bytes is None:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")
-    m = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", str(split).strip().lower())
-    unit = {"": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    split_bytes = int(m.group(1)) * unit[m.group(2)] if m else 128 << 20
-    if input_bytes < cores * split_bytes:
-        return df.repartition(cores * factor)
-    return df
-
-
-def checked_small(df: DataFrame, what: str, max_rows: int = SMALL_TABLE_ROWS) -> int:
-    """Count a derived small table and fail loudly if it is not small."""
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{what}: {n} rows exceeds the small-table bound {max_rows}")
-    return n
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when its counted size is within the bound.
+def small_table(df: DataFrame, name: str = "small") -> DataFrame:
+    """Write a derived table as Parquet in the shared folder and read it back.
 
-    Beyond the bound the plain DataFrame is returned and Spark plans a
-    shuffle join (AQE may still convert it at run time).
+    It is computed once, survives executor loss and has real byte statistics,
+    so Spark itself broadcasts it below ``spark.sql.autoBroadcastJoinThreshold``
+    and joins by shuffle (with skew handling) beyond; there is no row limit.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,8 +19,10 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "csv",
 
     CSV is read with a header, quoted multi-line fields and doubled quotes,
     all columns as strings (no schema inference pass over the data). Extra
-    columns pass through untouched. Without ``row_id_col`` a row id is made
-    with ``monotonically_increasing_id`` (stable for the same files/config).
+    columns pass through untouched; one that would clash with an output name
+    raises. An existing ``row_id`` column is used; without one a row id is made
+    with ``monotonically_increasing_id``, which depends on the input splits:
+    give an id column where a split must be the same on another cluster.
     A multi-line CSV file cannot be split, so each file is one task: at
     scale use many moderate files, Parquet, or ``multiline=False`` when no
     quoted field holds a line break.
@@ -37,8 +39,14 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "csv",
     missing = [c for c in (text_col, label_col) if c not in df.columns]
     if missing:
         raise ValueError(f"corpus is missing required column(s) {missing}")
+    if row_id_col is None and ROW_ID in df.columns:
+        row_id_col = ROW_ID
+    used = {text_col, label_col, row_id_col}
+    clash = [c for c in (TEXT, LABEL, ROW_ID) if c in df.columns and c not in used]
+    if clash:
+        raise ValueError(f"column(s) {clash} would be replaced; rename them or name them as text, label or row id")
     rid = F.col(row_id_col).cast("bigint") if row_id_col else F.monotonically_increasing_id()
-    extras = [c for c in df.columns if c not in (text_col, label_col, row_id_col, TEXT, LABEL, ROW_ID)]
+    extras = [c for c in df.columns if c not in used]
     return df.select(
         rid.alias(ROW_ID),
         F.col(text_col).cast("string").alias(TEXT),
@@ -56,7 +64,8 @@ def write_corpus(df: DataFrame, path: str, fmt: str = "csv") -> str:
     """S3: write all columns (no index) as a folder of part files."""
     w = df.write.mode("overwrite")
     if fmt == "csv":
-        w.option("header", True).option("escape", '"').option("encoding", "UTF-8").csv(path)
+        (w.option("header", True).option("escape", '"').option("encoding", "UTF-8")
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     elif fmt == "parquet":
         w.parquet(path)
     else:

@@ -6,34 +6,14 @@ corresponding oracle SQL derives the same way (see FIXTURES.md section 3).
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.session import spread_for_cpu
 from textloom.sources.corpus import LABEL, ROW_ID, TEXT
 
-# Tables whose rows carry long texts (per-row tokenising is CPU-heavy).
-TEXT_TABLES = ("documents", "benchmark", "pages", "conversations")
-
-
-def _local_bytes(path: str) -> int | None:
-    """Size of a local file or folder; None for remote paths."""
-    if "://" in path and not path.startswith("file:"):
-        return None
-    p = path[len("file:"):] if path.startswith("file:") else path
-    if os.path.isfile(p):
-        return os.path.getsize(p)
-    if os.path.isdir(p):
-        return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(p) for f in fs)
-    return None
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    return spread_for_cpu(df, _local_bytes(path)) if name in TEXT_TABLES else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def corpus_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,10 +46,10 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logits_from_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-logits: first 10 embedding values as logits, ``label`` as truth."""
+    """F-logits: the embedding values as logits, ``label`` as truth."""
     return table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias(ROW_ID),
-        F.slice("embedding", 1, 10).cast("array<double>").alias("logits"),
+        F.col("embedding").cast("array<double>").alias("logits"),
         F.col("label").cast("int").alias("y_true"),
     )
 
