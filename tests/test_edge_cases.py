@@ -97,7 +97,7 @@ def test_length_bins(spark):
 def test_tokens_pattern(spark):
     text = "Hello, \u4e16\u754c! foo_bar don't Stra\u00dfe \u00e9\u3000a\u00a0b"
     toks = one(spark, [text]).select(basic_tokens("x")).first()[0]
-    assert toks == ["hello", ",", "\u4e16", "\u754c", "!", "foo", "_", "bar", "don", "'", "t", "stra\u00dfe", "\u00e9", "a", "b"]
+    assert toks == ["hello", ",", "\u4e16", "\u754c", "!", "foo", "_", "bar", "don", "'", "t", "stra\u00dfe", "e", "a", "b"]
 
 
 def test_topk_tie_order(spark):
@@ -219,3 +219,69 @@ def test_early_stopping_min_mode(spark):
 def test_tokens_without_accents(spark):
     toks = one(spark, ["Café Ñandú straße"]).select(basic_tokens("x", accents=False)).first()[0]
     assert toks == ["cafe", "nandu", "straße"]
+
+
+def test_tokens_drop_controls_and_accents(spark):
+    rows = ["Café", "a ​ b", "a\u0000b", "﻿x", "été", "o\tn\ne"]
+    got = [r[0] for r in one(spark, rows).select(basic_tokens("x")).collect()]
+    assert got == [["cafe"], ["a", "b"], ["ab"], ["x"], ["ete"], ["o", "n", "e"]]
+
+
+def test_strip_of_many_inner_spaces_is_linear(spark):
+    import time
+
+    from textloom.functions.text import strip_text
+    df = one(spark, [" x" + " " * 40_000 + "y 　"])
+    t0 = time.time()
+    assert df.select(strip_text("x")).first()[0] == "x" + " " * 40_000 + "y"
+    assert time.time() - t0 < 10
+
+
+def test_csv_sink_keeps_outer_white_space(spark, tmp_path):
+    from textloom.sources.corpus import read_corpus, write_corpus
+    rows = [(1, "  lead and trail \n", "a"), (2, "\tx", "b"), (3, 'q "x", y', " c ")]
+    path = write_corpus(spark.createDataFrame(rows, "row_id long, summary string, label string"), str(tmp_path / "c"))
+    assert sorted(tuple(r) for r in read_corpus(spark, path).collect()) == rows
+
+
+def test_read_corpus_raises_on_a_clash(spark, tmp_path):
+    from textloom.sources.corpus import read_corpus
+    path = str(tmp_path / "p")
+    spark.createDataFrame([(5, "t", "s", "l")], "row_id long, text string, summary string, label string").write.parquet(path)
+    with pytest.raises(ValueError, match="summary"):
+        read_corpus(spark, path, "parquet", text_col="text")
+    assert read_corpus(spark, path, "parquet").first()["row_id"] == 5
+
+
+def test_best_so_far_starts_at_zero(spark):
+    from textloom.operators.history import best_so_far
+    df = spark.createDataFrame([("r", 1, -0.5), ("r", 2, -0.2), ("r", 3, 0.1)], "run string, epoch int, score double")
+    assert [r["is_best"] for r in best_so_far(df).orderBy("epoch").collect()] == [False, False, True]
+
+
+def test_matrix_of_more_than_ten_thousand_classes_is_written(spark, tmp_path):
+    from textloom.plans.evaluation import write_confusion
+    pairs = spark.range(10_050).selectExpr("cast(id as int) y_true", "cast(id as int) y_pred")
+    path = str(tmp_path / "m")
+    write_confusion(MT.confusion_matrix(pairs), path, wide=False)
+    assert sum(len(open(os.path.join(path, f)).read().splitlines()) for f in os.listdir(path) if f.startswith("part-")) >= 10_050
+
+
+def test_end_to_end_cleaning_drops_null_words(spark, tmp_path):
+    from textloom.plans.cleaning import process_dataset
+    from textloom.sources.corpus import write_corpus
+    rows = [(i, f"text {i}", "a") for i in range(5)] + [(5, "NA", "a"), (6, "x", "null")]
+    src = write_corpus(spark.createDataFrame(rows, "row_id long, summary string, label string"), str(tmp_path / "in"))
+    assert process_dataset(spark, src, str(tmp_path / "out"), min_samples=1).corpus.count() == 5
+    keep = process_dataset(spark, src, str(tmp_path / "out2"), min_samples=1, null_label="literal_nan")
+    assert keep.corpus.filter("label = 'nan'").count() == 1
+
+
+def test_best_model_pointer_follows_the_last_write(spark, tmp_path):
+    from textloom.plans.training import _resolve, _write_text, point_best_to
+    best = str(tmp_path / "run" / "best")
+    point_best_to(spark, best, str(tmp_path / "run" / "checkpoint-epoch-2"), {"epoch": 2})
+    assert _resolve(spark, best) == str(tmp_path / "run" / "checkpoint-epoch-2")
+    _write_text(spark, f"{best}/manifest", None)
+    assert _resolve(spark, best) == best
+    assert _resolve(spark, str(tmp_path / "none")) == str(tmp_path / "none")
