@@ -36,7 +36,7 @@ MAX_REPEAT_PERCENT = 30
 STATS = ("word_len", "symbols", "dup_lines", "upper")
 # Standard deviation below which a statistic is not trusted.
 FLOOR = {"word_len": 0.08, "symbols": 0.05, "dup_lines": 0.08, "upper": 0.06}
-CUTOFF = 40.0        # squared distance; the 4-dimensional chi-square exceeds it with p < 1e-7
+CUTOFF = 23.5        # squared distance: 0.9999 quantile of the 4-dimensional chi-square
 SHARE = 0.75
 MIN_GROUP = 50
 STEPS = 4
