@@ -212,12 +212,15 @@ def narrow_stats(docs: DataFrame) -> DataFrame:
 
 
 def keep_quality(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their own columns."""
-    stats = narrow_stats(docs)
+    """The documents that pass, with their own columns.
+
+    Documents are written once beside their statistics: estimates read only
+    the statistics' columns, and the filter meets stored numbers (pushed into
+    the counting expressions, it would repeat them many times over)."""
+    full = stored(with_stats(with_counts(docs.select(F.struct("*").alias("_doc"), "text", "lang", "source"))).drop("text"), "quality-docs")
+    stats = full.drop("_doc")
     groups = stored(grouped(stats), "mcd-pools")
-    params = fit(stats, groups)
-    named = docs.select(F.struct("*").alias("_doc"), "text", "lang", "source")
-    return judge(with_stats(with_counts(named)).drop("text"), groups, params).filter("kept").select("_doc.*")
+    return judge(full, groups, fit(stats, groups)).filter("kept").select("_doc.*")
 
 
 def op3_quality_rules(spark, sf_dir) -> DataFrame:
