@@ -46,7 +46,7 @@ def q_encode_labels(spark, sf):
 
 @reg("decode_labels", f"""WITH {DICT_SQL},
 z AS (SELECT vec_id AS row_id, CAST(list_position(e, list_max(e)) - 1 AS INTEGER) AS code
-      FROM (SELECT vec_id, CAST(embedding[1:10] AS DOUBLE[]) AS e FROM embeddings))
+      FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings))
 SELECT z.row_id, z.code, dict.label FROM z LEFT JOIN dict ON z.code = dict.code""")
 def q_decode_labels(spark, sf):
     z = logits_from_embeddings(spark, sf).select("row_id", argmax("logits").alias("code"))
