@@ -7,7 +7,8 @@ overlapping passages (twice the longest item, by half), so each stretch as long
 as an item lies whole in some passage; every passage is a query for all items
 that score at least ``THRESHOLD``. The sum of a passage's largest impacts is
 its WAND bound, taken for all passages of a batch at once; those that reach
-the threshold are evaluated item at a time with pivots and block maxima.
+the threshold are bounded again by the block maxima of short spans of items,
+and what is left is evaluated item at a time with pivots and block maxima.
 
 A retrieved item is verified on five-word shingles (the whole item if shorter)
 of the passage: its question (all but the last sentence) and its answer (the last
@@ -40,6 +41,7 @@ THRESHOLD = 0.6
 OVERLAP = 0.8
 SHINGLE = 5
 BLOCK = 64
+SPAN = 4          # items of a span whose block maxima bound a passage
 MAX_INDEX_BYTES = 256 << 20
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
@@ -92,6 +94,17 @@ class Index:
                         [max(p[1][k:k + BLOCK]) for k in range(0, len(p[0]), BLOCK)]) for p in posts]
         self.top = np.array([max(p[1]) for p in posts] + [0.0])
         self.span = max(size, default=1)
+        # by term: spans of SPAN neighbouring items and the largest impact in each
+        self.spans = []
+        for items, impact in posts:
+            at = np.asarray(items) // SPAN
+            first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+            self.spans.append((at[first], np.maximum.reduceat(np.asarray(impact), first)))
+
+    def reachable(self, query: list[int], theta: float) -> bool:
+        """Whether the block maxima of some span of items reach ``theta``."""
+        at, most = zip(*(self.spans[t] for t in query), strict=True)
+        return np.bincount(np.concatenate(at), np.concatenate(most)).max() >= theta - 1e-9
 
     def search(self, query: list[int], theta: float) -> list[tuple[int, float]]:
         """All items scoring ``theta`` or more (document at a time)."""
@@ -180,7 +193,7 @@ def _hits(index: Index, docs, theta: float):
             a = int(k) * step
             query = np.unique(ids[a:a + width])
             query = query[query < none]
-            if index.top[query].sum() < theta:
+            if index.top[query].sum() < theta or not index.reachable(query, theta):
                 continue
             found = index.search(query.tolist(), theta)
             if found:
