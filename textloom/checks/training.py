@@ -3,14 +3,15 @@ training, scoring, model storage and streaming scoring."""
 
 from __future__ import annotations
 
-import os
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from textloom.checks.sqlfrag import tokens
+from textloom.checks.sqlfrag import strip, tokens
 from textloom.checks.splitting import SPLIT_SQL
 from textloom.functions import basic_tokens
 from textloom.operators import encode as EN
+from textloom.operators import split as SP
+from textloom.operators.clean import drop_blank_text
 from textloom.plans import training as TR
 from textloom.plans.scoring import score_top5
 from textloom.session import work_path
@@ -95,7 +96,17 @@ def q_prepare_training(spark, sf):
     return p.data.select("row_id", "label", "code", "split")
 
 
-# -- training, evaluation, scoring (model output: rows-only checks) ------------
+# -- training, evaluation, scoring ----------------------------------------------
+# A trained model's numbers are not SQL. The oracles state which rows come out
+# and that each property, computed here from the model's output, holds.
+EPOCHS = 3
+
+VAL_SQL = f"""{SPLIT_SQL.format(ts=0.2, seed=42)},
+dict AS (SELECT CAST(row_number() OVER (ORDER BY label) - 1 AS INTEGER) AS code, label
+  FROM (SELECT DISTINCT label FROM docs)),
+val AS (SELECT s.row_id, dict.code FROM split s JOIN dict ON s.label = dict.label WHERE s.split = 'validation')"""
+RANKS = "CAST(unnest(range(1, least(5, (SELECT count(*) FROM dict)) + 1)) AS INTEGER) AS rank"
+
 _FITS: dict = {}
 
 
@@ -105,49 +116,91 @@ def _fit(spark, sf):
         prep = TR.prepare_training(labelled_documents(spark, sf), 0.2, 42)
         train, val = TR.split_frames(prep)
         out = work_path(spark, "fit")
-        fitted = TR.fit_text_classifier(train, val, prep.dictionary, out, epochs=3, num_features=1 << 12,
+        fitted = TR.fit_text_classifier(train, val, prep.dictionary, out, epochs=EPOCHS, num_features=1 << 12,
                                         iters_per_epoch=8, seed=42)
         _FITS[key] = (prep, fitted, out, val)
     return _FITS[key]
 
 
-@reg("fit_text_classifier")
+@reg("fit_text_classifier", f"""WITH {VAL_SQL},
+sizes AS (SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'validation') AS n_val FROM split)
+SELECT CAST(e AS INTEGER) AS epoch, n_train, n_val, CAST(ceil(n_train / {TR.BATCH_SIZE}) AS BIGINT) AS train_batches,
+  CAST(ceil(n_val / {TR.BATCH_SIZE}) AS BIGINT) AS val_batches, TRUE AS finite, TRUE AS best_agrees
+FROM (SELECT n_train, n_val, unnest(range(1, {EPOCHS} + 1)) AS e FROM sizes)""")
 def q_fit_text_classifier(spark, sf):
-    return _fit(spark, sf)[1].history
-
-
-@reg("evaluate")
+    prep, fitted, _, _ = _fit(spark, sf)
+    sizes = SP.batch_counts(prep.data, TR.BATCH_SIZE)
+    parts = {f"{name}_{c}": sizes.where(F.col("split") == split).select(c)
+             for name, split in (("train", SP.TRAIN), ("val", SP.VALIDATION)) for c in ("n", "n_batches")}
+    best = fitted.history.select(F.min_by("epoch", F.struct(-F.col("val_acc"), F.col("epoch"))))
+    finite = F.lit(True)
+    for c in ("train_loss", "train_acc", "val_loss", "val_acc"):
+        finite = finite & ~F.isnan(c) & (F.abs(c) < float("inf"))
+    return fitted.history.select(
+        "epoch", parts["train_n"].scalar().alias("n_train"), parts["val_n"].scalar().alias("n_val"),
+        parts["train_n_batches"].scalar().alias("train_batches"), parts["val_n_batches"].scalar().alias("val_batches"),
+        finite.alias("finite"), (best.scalar() == F.lit(fitted.best_epoch)).alias("best_agrees"))
+
+
+@reg("evaluate", f"WITH {VAL_SQL} SELECT row_id, code AS y_true, TRUE AS loss_ok, TRUE AS argmax_ok FROM val")
 def q_evaluate(spark, sf):
-    prep, fitted, out, val = _fit(spark, sf)
+    _, fitted, _, val = _fit(spark, sf)
     pairs, _ = TR.evaluate(fitted.model, val.withColumn("label_idx", F.col("code").cast("double")))
-    return pairs.select("row_id", "y_true", "y_pred", F.round("loss", 6).alias("loss"))
+    # against the model's own probabilities, where the logarithm still has its digits
+    p = F.get("probs", F.col("y_true"))
+    scored = TR.score_rows(fitted.model, val).select("row_id", "probs", "logits")
+    return pairs.join(scored, "row_id").select(
+        "row_id", "y_true",
+        (~F.isnan("loss") & F.when(p > 1e-9, F.abs(F.col("loss") + F.log(p)) < 1e-5).otherwise(F.col("loss") > 20)).alias("loss_ok"),
+        (F.get("logits", F.col("y_pred")) == F.array_max("logits")).alias("argmax_ok"))
 
 
-@reg("score_top5")
-def q_score_top5(spark, sf):
-    prep, fitted, out, val = _fit(spark, sf)
-    t = score_top5(fitted.model, val, prep.dictionary)
-    return t.select("row_id", "rank", "code", "class", F.round("probability", 6).alias("probability"))
+def _rank_flags(ranked, dictionary):
+    w = Window.partitionBy("row_id")
+    named = dictionary.select("code", F.col("label").alias("class"), F.lit(True).alias("known"))
+    return ranked.join(named, ["code", "class"], "left").withColumns({
+        "descending": F.col("probability") <= F.coalesce(F.lag("probability").over(w.orderBy("rank")), F.lit(1.0)),
+        "sum_ok": F.sum("probability").over(w) <= 1 + 1e-6,
+        "known_class": F.coalesce("known", F.lit(False))})
 
 
-@reg("save_model")
-def q_save_model(spark, sf):
-    prep, fitted, out, val = _fit(spark, sf)
-    model, dictionary = TR.load_model(spark, os.path.join(out, "best"))
-    return TR.score_rows(model, val).select("row_id", "y_pred")
+@reg("score_top5", f"WITH {VAL_SQL} SELECT row_id, {RANKS}, TRUE AS descending, TRUE AS sum_ok, TRUE AS known_class FROM val")
+def q_score_top5(spark, sf):
+    prep, fitted, _, val = _fit(spark, sf)
+    t = _rank_flags(score_top5(fitted.model, val, prep.dictionary), prep.dictionary)
+    return t.select("row_id", "rank", "descending", "sum_ok", "known_class")
 
 
-@reg("score_stream")
+@reg("save_model", f"WITH {VAL_SQL} SELECT row_id, TRUE AS dictionary_ok, TRUE AS reload_agrees FROM val")
+def q_save_model(spark, sf):
+    """The last model, saved and loaded again, against the one in memory."""
+    prep, fitted, _, val = _fit(spark, sf)
+    path = TR.save_model(fitted.model, work_path(spark, "saved_model"), prep.dictionary)
+    model, dictionary = TR.load_model(spark, path)
+    held = TR.score_rows(fitted.model, val).select("row_id", "code", "label", F.col("probs").alias("held"))
+    again = TR.score_rows(model, val).select("row_id", "probs")
+    named = dictionary.select("code", F.col("label").alias("name"))
+    return held.join(again, "row_id").join(named, "code", "left").select(
+        "row_id", F.coalesce(F.col("name") == F.col("label"), F.lit(False)).alias("dictionary_ok"),
+        (F.col("held") == F.col("probs")).alias("reload_agrees"))
+
+
+@reg("score_stream", f"""WITH {VAL_SQL}
+SELECT doc_id AS row_id, {RANKS}, TRUE AS descending, TRUE AS sum_ok, TRUE AS known_class, TRUE AS batch_agrees
+FROM documents WHERE {strip('text')} <> ''""")
 def q_score_stream(spark, sf):
-    prep, fitted, out, val = _fit(spark, sf)
+    prep, fitted, _, _ = _fit(spark, sf)
     src = work_path(spark, "stream_in")
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), F.col("text").alias("summary"))
     docs.repartition(4).write.parquet(src)
     sink, ckpt = work_path(spark, "stream_out"), work_path(spark, "stream_ckpt")
     q = score_stream(spark, fitted.model, prep.dictionary, src, sink, ckpt)
     q.awaitTermination()
-    return spark.read.parquet(sink).select("row_id", "rank", "code", "class",
-                                           F.round("probability", 6).alias("probability"))
+    batch = score_top5(fitted.model, drop_blank_text(docs.where("summary is not null")), prep.dictionary).select(
+        "row_id", "rank", F.col("code").alias("b_code"), F.col("probability").alias("b_probability"))
+    t = _rank_flags(spark.read.parquet(sink), prep.dictionary).join(batch, ["row_id", "rank"], "left")
+    agrees = (F.col("code") == F.col("b_code")) & (F.abs(F.col("probability") - F.col("b_probability")) < 1e-9)
+    return t.select("row_id", "rank", "descending", "sum_ok", "known_class", F.coalesce(agrees, F.lit(False)).alias("batch_agrees"))
 
 
 __all__ = ["QUERIES", "ORACLES"]
