@@ -87,6 +87,51 @@ def test_spans_match_brute_force(spark):
     assert passage in got[0] and not any(passage in got[i] for i in range(3, 30, 3))
 
 
+def removed_words(rows):
+    """Per text, in order: whether each word is covered, by the module's pieces and runs."""
+    first, out = {}, []
+    for d, t in rows:
+        found = list(P.runs(t))
+        for i, j, hi, lo in found:
+            first.setdefault((hi, lo), (d, i))
+        gone = {k for i, j, hi, lo in found if first[hi, lo] != (d, i) for k in range(i, j + 1)}
+        out.append([(w, k in gone) for k, p in enumerate(P.pieces(t)) for w in p.encode().lower().split()])
+    return out
+
+
+def seen_windows(words_of, n=50):
+    """Per text, the ranges of words in windows of ``n`` that stood before."""
+    seen, out = set(), []
+    for words in words_of:
+        hit = [False] * len(words)
+        for i in range(len(words) - n + 1):
+            w = tuple(words[i:i + n])
+            if w in seen:
+                hit[i:i + n] = [True] * n
+            seen.add(w)
+        out.append(hit)
+    return out
+
+
+def least_cover(rows):
+    """Of the texts that repeat windows: the least covered share of their repeated words."""
+    marked = removed_words(rows)
+    shares = [sum(c for (_, c), h in zip(m, hit, strict=True) if h) / sum(hit)
+              for m, hit in zip(marked, seen_windows([[w for w, _ in m] for m in marked]), strict=True) if any(hit)]
+    return len(shares), min(shares)
+
+
+def test_short_sentences_are_covered():
+    r = random.Random(7)
+    passages = ["".join(r.choice(["{}. ", "{} {}\n", "{}! ", "{} {} {}. "]).format(*r.choices(range(10**6), k=3)) for _ in range(60))
+                for _ in range(20)]
+    rows = []
+    for i in range(40):
+        own = [" ".join(f"o{r.randrange(10**9)}" for _ in range(9)) + ". " for _ in range(6)]
+        rows.append((i, "".join(own[:3]) + passages[i % 20] + "".join(own[3:])))
+    assert least_cover(rows) == (20, 1.0)
+
+
 def test_spans_edge_rows(spark, docs, no_docs):
     out = P.dedup_spans(docs)
     assert out.count() == docs.count() and out.filter("text is null").count() == 1

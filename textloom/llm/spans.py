@@ -2,8 +2,10 @@
 
 A text is cut into pieces that join back to it: sentences with the white space
 behind them, a sentence of over ``MAX_WORDS`` words into pieces of that many.
-Every run of ``RUN`` consecutive pieces with at least ``MIN_RUN_WORDS`` words is
-hashed (128 bits of its ASCII-lowered words) and all runs are joined globally.
+A run has at least ``RUN`` consecutive pieces and ``MIN_RUN_WORDS`` words. The
+shortest run from every piece on and the shortest run up to every piece are
+hashed (128 bits of the ASCII-lowered words) and joined globally; with both, a
+repeated stretch of whole pieces of that size is covered from end to end.
 The first occurrence (smallest ``doc_id``, then row, then place) of a repeated
 run stays; pieces covered by any other occurrence are removed from the text.
 
@@ -54,14 +56,28 @@ def pieces(text: str) -> list[str]:
 
 
 def runs(text: str):
-    """``(place, high, low)`` of every run long enough."""
-    norm = [b" ".join(p.encode().lower().split()) for p in pieces(text)]
-    full = [(i, s) for i, s in enumerate(norm) if s]
-    for k in range(len(full) - RUN + 1):
-        s = b"\n".join(x for _, x in full[k:k + RUN])
-        if s.count(b" ") + RUN >= MIN_RUN_WORDS:
-            d = xxhash.xxh3_128_intdigest(s)
-            yield full[k][0], full[k + RUN - 1][0], (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
+    """``(place, last place, high, low)`` of every run, by place."""
+    full = [(i, w) for i, p in enumerate(pieces(text)) if (w := p.encode().lower().split())]
+    words, total = [], [0]
+    for _, w in full:
+        words += w
+        total.append(len(words))
+    found, j = set(), 0
+    for i in range(len(full)):          # shortest from piece i on
+        while j < len(full) and (j - i < RUN or total[j] - total[i] < MIN_RUN_WORDS):
+            j += 1
+        if j - i < RUN or total[j] - total[i] < MIN_RUN_WORDS:
+            break
+        found.add((i, j))
+    i = 0
+    for j in range(1, len(full) + 1):   # shortest up to piece j
+        while j - i > RUN and total[j] - total[i + 1] >= MIN_RUN_WORDS:
+            i += 1
+        if j - i >= RUN and total[j] - total[i] >= MIN_RUN_WORDS:
+            found.add((i, j))
+    for i, j in sorted(found):
+        d = xxhash.xxh3_128_intdigest(b" ".join(words[total[i]:total[j]]))
+        yield full[i][0], full[j - 1][0], (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
 
 
 def _span_rows(batches):
