@@ -132,6 +132,31 @@ def test_short_sentences_are_covered():
     assert least_cover(rows) == (20, 1.0)
 
 
+def test_passages_inside_long_sentences_are_covered():
+    r = random.Random(11)
+    passages = [[f"p{r.randrange(10**6)}" for _ in range(r.randrange(60, 200))] for _ in range(40)]
+    rows = []
+    for i in range(80):
+        own = [f"o{r.randrange(10**9)}" for _ in range(r.randrange(40, 80))]
+        at, p = r.randrange(5, 35), list(passages[i % 40])
+        if i >= 40:                      # one inserted word, behind which the cuts must meet again
+            p.insert(r.randrange(3, 9), f"x{i}")
+        rows.append((i, " ".join(own[:at] + p + own[at:]) + "."))
+    n, least = least_cover(rows)
+    assert n == 40 and least > 0.6
+    assert all("".join(P.pieces(t)) == t for _, t in rows)
+
+
+def test_every_fifty_word_window_has_a_run():
+    r = random.Random(12)
+    for _ in range(300):
+        p = [f"p{r.randrange(10**6)}" for _ in range(50)]
+        rows = [(i, " ".join([f"o{r.randrange(10**9)}" for _ in range(r.randrange(1, 30))] + p
+                             + [f"o{r.randrange(10**9)}" for _ in range(r.randrange(1, 30))])) for i in range(2)]
+        marked = removed_words(rows)
+        assert sum(c for _, c in marked[1]) >= P.MIN_RUN_WORDS
+
+
 def test_spans_edge_rows(spark, docs, no_docs):
     out = P.dedup_spans(docs)
     assert out.count() == docs.count() and out.filter("text is null").count() == 1

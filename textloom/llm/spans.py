@@ -1,7 +1,10 @@
 """Substring dedup (operator 7): sliding sentence spans.
 
 A text is cut into pieces that join back to it: sentences with the white space
-behind them, a sentence of over ``MAX_WORDS`` words into pieces of that many.
+behind them, a sentence of over ``MAX_WORDS`` words before every word whose hash
+is the least of some ``WINDOW`` neighbouring words of the sentence. Such cuts
+depend on the words around them only, so equal text gets equal cuts wherever it
+starts, and no piece holds more than ``WINDOW`` words.
 A run has at least ``RUN`` consecutive pieces and ``MIN_RUN_WORDS`` words. The
 shortest run from every piece on and the shortest run up to every piece are
 hashed (128 bits of the ASCII-lowered words) and joined globally; with both, a
@@ -9,9 +12,9 @@ repeated stretch of whole pieces of that size is covered from end to end.
 The first occurrence (smallest ``doc_id``, then row, then place) of a repeated
 run stays; pieces covered by any other occurrence are removed from the text.
 
-Runs are first counted with map-side combine, so a hot run crosses the shuffle
-once per task; only runs found twice are joined back (a join Spark can split),
-and each document's hits are combined to one list of places.
+Equal runs are combined in the tasks that find them, so a hot run crosses the
+shuffle once per some ``COMBINE`` runs; all runs cross it once, and each
+document's hits are combined to one list of places.
 
 Defined results: null text stays null and has no pieces; empty or short texts
 stay whole; repeated rows count as occurrences, the first row keeps its text;
@@ -22,10 +25,11 @@ columns are kept (``n_chars``, where present, follows the new text).
 from __future__ import annotations
 
 import re
+from zlib import crc32
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,31 +37,57 @@ from textloom.llm.common import stored, table
 
 RUN = 3
 MAX_WORDS = 12
+WINDOW = 8
 MIN_RUN_WORDS = 15
+COMBINE = 100_000
 # a sentence ends behind . ! ? and white space, or at a line end
-_END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
-_WORDS = re.compile(r"(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){1,%d}[\x20\x09-\x0D]*" % MAX_WORDS)
-
-
-def pieces(text: str) -> list[str]:
-    """Pieces whose concatenation is ``text``."""
+_END = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
+_WORD = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+
+
+def _cut(words: list[bytes], plain: list[bytes]) -> list[bytes]:
+    """The words of a long sentence, joined to pieces; ``plain`` has them
+    lowered and without white space."""
+    h = [crc32(w) for w in plain]
+    out, at, least = [], 0, -1
+    for end in range(WINDOW, len(h) + 1):
+        if least < end - WINDOW:        # left the window; of equal words the last
+            part = h[end - WINDOW:end]
+            part.reverse()
+            least = end - 1 - part.index(min(part))
+        elif h[end - 1] <= h[least]:
+            least = end - 1
+        if least > at:
+            out.append(b"".join(words[at:least]))
+            at = least
+    out.append(b"".join(words[at:]))
+    return out
+
+
+def _pieces(text: bytes) -> list[bytes]:
     out, at = [], 0
     for m in _END.finditer(text):
-        out.append(text[at:m.end()])
-        at = m.end()
+        end = m.end()
+        out.append(text[at:end])
+        at = end
     out.append(text[at:])
     cut = []
     for s in out:
-        if len(s) > 2 * MAX_WORDS and s.count(" ") >= MAX_WORDS:
-            cut.extend(_WORDS.findall(s) or [s])
+        if len(s) > 2 * MAX_WORDS and len(plain := s.lower().split()) > MAX_WORDS:
+            cut += _cut(_WORD.findall(s), plain)
         elif s:
             cut.append(s)
     return cut
 
 
+def pieces(text: str) -> list[str]:
+    """Pieces whose concatenation is ``text``."""
+    return [p.decode() for p in _pieces(text.encode())]
+
+
 def runs(text: str):
     """``(place, last place, high, low)`` of every run, by place."""
-    full = [(i, w) for i, p in enumerate(pieces(text)) if (w := p.encode().lower().split())]
+    full = [(i, w) for i, p in enumerate(_pieces(text.encode().lower())) if (w := p.split())]
     words, total = [], [0]
     for _, w in full:
         words += w
@@ -80,17 +110,34 @@ def runs(text: str):
         yield full[i][0], full[j - 1][0], (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
 
 
+def _combined(found: dict):
+    """One row of each run: its first place and the flat list of its others."""
+    cols = ([], [], [], [], [], [])
+    for (hi, lo), (at, more) in found.items():
+        for c, x in zip(cols, (hi, lo, *at, more), strict=True):
+            c.append(x)
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int64()) if k == 5 else pa.int64()) for k, c in enumerate(cols)],
+                                      ["hi", "lo", "doc", "row", "span", "more"])
+
+
 def _span_rows(batches):
-    for b in batches:
-        for at in range(0, b.num_rows, 32):
-            part, cols = b.slice(at, 32), ([], [], [], [], [], [])
-            for doc, row, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                for i, j, hi, lo in runs(text or ""):
-                    for c, x in zip(cols, (doc, row, i, j, hi, lo), strict=True):
-                        c.append(x)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()], strict=True)],
-                ["doc", "row", "first", "last", "hi", "lo"])
+    """Runs of the documents, equal ones combined within ``COMBINE`` runs."""
+    found = {}
+    for part in (b.slice(at, 32) for b in batches for at in range(0, b.num_rows, 32)):
+        for doc, row, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for i, j, hi, lo in runs(text or ""):
+                # start << 20 | length: places of a text are far below 2^43
+                at = (doc, row, i << 20 | j - i)
+                held = found.setdefault((hi, lo), [at, None])
+                if held[0] is not at:
+                    held[1] = held[1] or []
+                    held[1].extend(max(at, held[0]))
+                    held[0] = min(at, held[0])
+            if len(found) >= COMBINE:
+                yield _combined(found)
+                found = {}
+    if found:
+        yield _combined(found)
 
 
 @F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType())]))
@@ -102,12 +149,12 @@ def _without(text, covered):
         if t is None:
             out.append((None, 0))
             continue
-        p = pieces(t)
+        p = _pieces(t.encode())
         if spans is not None and len(spans):
             gone = set()
             for s in spans:
                 gone.update(range(int(s) >> 20, (int(s) >> 20) + (int(s) & 0xFFFFF) + 1))
-            out.append(("".join(x for i, x in enumerate(p) if i not in gone), len(p)))
+            out.append((b"".join(x for i, x in enumerate(p) if i not in gone).decode(), len(p)))
         else:
             out.append((t, len(p)))
     return pd.DataFrame(out, columns=["text", "n"])
@@ -116,17 +163,17 @@ def _without(text, covered):
 def dedup_spans(df: DataFrame) -> DataFrame:
     """The rows of ``df`` without covered pieces, plus ``n_sentences`` (pieces
     before) and ``n_removed`` (pieces removed)."""
-    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "span-docs")
-    spans = stored(rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.col("_row").alias("row"), "text")
-                   .mapInArrow(_span_rows, "doc long, row long, first int, last int, hi long, lo long"), "span-runs")
-    place = F.struct("doc", "row", "first")
-    known = (spans.groupBy("hi", "lo").agg(F.count("*").alias("n"), F.min(place).alias("at"))
-             .filter("n > 1").select("hi", "lo", "at"))
-    known = stored(known, "span-repeated")
-    # start << 20 | length: places of a text are far below 2^43
-    hits = (spans.join(known, ["hi", "lo"]).filter(place != F.col("at"))
-            .select("row", F.expr("shiftleft(cast(first as bigint), 20) + (last - first)").alias("span")))
-    covered = stored(hits.groupBy("row").agg(F.collect_set("span").alias("spans")), "span-covered")
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "span-docs", "zstd")
+    spans = (rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.col("_row").alias("row"), "text")
+             .mapInArrow(_span_rows, "hi long, lo long, doc long, row long, span long, more array<long>"))
+    same, place = Window.partitionBy("hi", "lo"), F.struct("doc", "row", "span")
+    known = (spans.withColumns({"n": F.count("*").over(same), "at": F.min(place).over(same)})
+             .filter("n > 1 or more is not null"))
+    own = F.when(place != F.col("at"), F.array("doc", "row", "span")).otherwise(F.array().cast("array<bigint>"))
+    flat = known.select(F.concat(own, F.coalesce("more", F.array().cast("array<bigint>"))).alias("x"))
+    hits = (flat.select(F.explode(F.expr("transform(sequence(0, cast(size(x) / 3 as int)), k -> if(k * 3 < size(x), struct(x[k * 3 + 1] as row, x[k * 3 + 2] as span), null))")).alias("h"))
+            .filter("h is not null").select("h.row", "h.span"))
+    covered = stored(hits.groupBy("row").agg(F.collect_set("span").alias("spans")), "span-covered", "zstd")
     out = rows.join(covered.withColumnRenamed("row", "_row"), "_row", "left")
     out = out.withColumn("_x", _without("text", "spans")).withColumns({
         "n_sentences": F.col("_x.n"),
