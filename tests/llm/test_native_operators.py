@@ -34,6 +34,71 @@ def test_license_rules_need_their_order(spark):
     assert got == {1: ["Apache-2.0"], 2: [], 3: [], 4: ["MIT"], 5: [], 6: [], 7: ["proprietary"]}
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+GPL = """ * This {} is free software{} you can redistribute it and/or modify
+ * it under the terms of the GNU {}General Public License as published by
+ * the Free Software Foundation{} either version {} of the License, or
+ * (at your option) any later version.
+ *
+ * It is distributed in the hope that it will be useful,
+"""
+BSD = """Copyright (c) 2020, Some One.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+{}
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+THIRD = """3. Neither the name of the Some One Project nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+MPL = """# This Source Code Form is subject to the terms of the Mozilla Public
+# License, v. 2.0. If a copy of the MPL was not distributed with this
+# file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+
+
+def test_wrapped_license_texts_are_found(spark):
+    texts = {
+        MIT: ["MIT"], MIT.replace("\n", " ").replace(":  The", ":\n\nThe").replace("License  Copy", "License\n\nCopy").replace("One  Perm", "One\n\nPerm"): ["MIT"],
+        GPL.format("program", ":", "", ",", 3): ["GPL-3.0", "GPL-3.0-or-later"], GPL.format("program", ";", "", ";", 2): ["GPL-2.0", "GPL-2.0-or-later"],
+        GPL.format("library", ";", "Lesser ", ";", "2.1"): ["LGPL-2.1", "LGPL-2.1-or-later"],
+        GPL.format("library", ":", "Lesser ", ",", 3): ["LGPL-3.0", "LGPL-3.0-or-later"],
+        BSD.format(""): ["BSD", "BSD-2-Clause"], BSD.format(THIRD): ["BSD", "BSD-3-Clause"], MPL: ["MPL-2.0"], ISC: ["ISC"],
+        "Permission is granted to no one,\nand a version 2.0 of nothing.\n": [],
+        "/" + "*" * 5000 + " All rights reserved. ": ["proprietary"]}
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r["licenses"] for r in L.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(texts.values()))
+
+
 def brute_counts(text):
     w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     wins = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
