@@ -102,3 +102,17 @@ def test_run_training_and_score_texts(spark, sf0001):
                          work_path(spark, "scored"), text_col="text", row_id_col="doc_id")
     res = spark.read.parquet(scored)
     assert res.select("row_id").distinct().count() == 200 and res.where("rank > 4").count() == 0
+
+
+def test_registered_fit_has_full_width(spark, monkeypatch):
+    from textloom.checks import training as C
+    from textloom.plans import training as plans
+
+    asked = {}
+    monkeypatch.setattr(C, "_FITS", {})
+    monkeypatch.setattr(C, "labelled_documents", lambda *a: None)
+    monkeypatch.setattr(plans, "prepare_training", lambda *a: plans.Prepared(None, None))
+    monkeypatch.setattr(plans, "split_frames", lambda prep: (None, None))
+    monkeypatch.setattr(plans, "fit_text_classifier", lambda *a, **k: asked.update(k))
+    C._fit(spark, "none")
+    assert asked["num_features"] == plans.NUM_FEATURES and asked["iters_per_epoch"] == plans.ITERS_PER_EPOCH

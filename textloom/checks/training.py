@@ -116,8 +116,8 @@ def _fit(spark, sf):
         prep = TR.prepare_training(labelled_documents(spark, sf), 0.2, 42)
         train, val = TR.split_frames(prep)
         out = work_path(spark, "fit")
-        fitted = TR.fit_text_classifier(train, val, prep.dictionary, out, epochs=EPOCHS, num_features=1 << 12,
-                                        iters_per_epoch=8, seed=42)
+        fitted = TR.fit_text_classifier(train, val, prep.dictionary, out, epochs=EPOCHS, num_features=TR.NUM_FEATURES,
+                                        iters_per_epoch=TR.ITERS_PER_EPOCH, seed=42)
         _FITS[key] = (prep, fitted, out, val)
     return _FITS[key]
 
