@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.session import work_path
@@ -37,3 +37,20 @@ def words(c):
     """``array<string>`` of the contract's words; empty for null text."""
     parts = F.split(F.coalesce(c, F.lit("")), GAP)
     return F.filter(parts, lambda w: w != "")
+
+
+def positions(df: DataFrame, order: list, name: str = "positions") -> DataFrame:
+    """``df`` (a narrow table) with ``pos``, the 0-based place of each row in
+    the total order ``order``. One range exchange and a sort inside each
+    partition; a place is the partition's offset plus the index inside it. The
+    offsets have one row a partition, which bounds their broadcast."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = stored(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                    .withColumn("_i", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_i", 33)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+               .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    return (placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+            .withColumn("pos", F.col("_before") + F.col("_i").bitwiseAND(F.lit((1 << 33) - 1)))
+            .drop("_i", "_part", "_before"))
