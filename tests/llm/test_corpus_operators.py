@@ -9,6 +9,7 @@ from fractions import Fraction
 from hashlib import md5, sha256
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,8 +75,6 @@ def test_resample_long_text_in_pieces(spark, monkeypatch):
 
 
 def _batch(rows):
-    import pyarrow as pa
-
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], ["a", "b"])
 
 
@@ -129,12 +128,17 @@ def test_index_counts_every_phrase():
     r = np.random.default_rng(3)
     ids = np.concatenate([[0], r.integers(0, 6, 400), [0]]).astype(np.int32)
     full = np.full(P.FILTER_BITS // 8, 255, np.uint8)
-    words = [b"."] + [bytes([97 + i]) for i in range(5)]
-    for k in range(2, 5):
-        w, phrase, size = P.levels("en", words, ids, [full] * (k - 1), 4)
+    words = pa.array([".", *"abcde"])
+    for k in range(2, 7):
+        w, phrase, size = P.levels("en", words, ids, [full] * (k - 1))
         got = {tuple(int(p[i]) + 1 for p in phrase): int(size[i]) for i in range(len(size))}
         want = Counter(t for i in range(len(ids) - k + 1) if 0 not in (t := tuple(ids[i:i + k].tolist())))
-        assert got == want and w == words[1:]
+        assert got == want and w.to_pylist() == list("abcde")
+
+
+def test_sort_of_wide_keys_is_stable():
+    key = np.random.default_rng(1).integers(0, 9, 1000) << 55
+    assert P._sorted(key, 9 << 55)[0].tolist() == np.argsort(key, kind="stable").tolist() == P._sorted(key >> 55, 9)[0].tolist()
 
 
 def test_phrase_score_passes_64_bits(spark):

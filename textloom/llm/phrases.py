@@ -2,8 +2,8 @@
 
 A shard holds some ``SHARD_WORDS`` words of one language, pieces parted by id 0.
 Its index is the Burrows-Wheeler transform of the word ids and of their reverse,
-over suffixes sorted by their first ``depth`` words, which is all that phrases of
-up to ``depth`` words need. A phrase is an interval in both; all phrases of a
+over suffixes sorted by no more words than the phrases sought have. Shards are
+stored; each level builds the index to the depth it needs. A phrase is an interval in both; all phrases of a
 length are extended at once by every word to the left (in the forward transform) or,
 by turns, to the right (in the reverse one), with the other interval following.
 
@@ -41,7 +41,7 @@ SCALE, ABSORBED = 2_000_000, 80
 NO_LANG = "und"
 SHARD_WORDS = 1 << 20
 FILTER_BITS = 1 << 25
-ROWS = 1 << 18
+ROWS = 1 << 16
 # A-Z lowered; the signs that end a piece become a line end
 _FOLD = bytes(10 if c in b".,;:!?" or 10 <= c <= 13 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _BREAK = b"."         # no word: all full stops are line ends by then
@@ -53,7 +53,7 @@ def spelled(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_FOLD).replace(b"\n", b" . ").split()
 
 
-def word_hash(lang: str, word: bytes) -> int:
+def word_hash(lang: str, word: str) -> int:
     return xxhash.xxh64_intdigest(word, xxhash.xxh32_intdigest(lang.encode()))
 
 
@@ -102,70 +102,104 @@ def shards(batches, size: int):
         yield close(lang)
 
 
-class Index:
-    """Forward and reverse transforms over ids 1 to ``m``; 0 parts pieces."""
+def _sorted(key: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
+    """Stable order of ``key`` (0 to ``top``), and the sorted keys. Key and
+    place are sorted as one integer wherever they fit."""
+    bits = len(key).bit_length()
+    if top.bit_length() + bits <= 63:
+        both = np.sort((key.astype(np.int64) << bits) | np.arange(len(key)))
+        return both & ((1 << bits) - 1), both >> bits
+    order = np.argsort(key, kind="stable")
+    return order, key[order]
 
-    def __init__(self, ids: np.ndarray, depth: int):
-        self.m = int(ids.max(initial=0))
-        self.bwt, self.step = self._transform(ids, depth)
-        self.back, self.back_step = self._transform(ids[::-1], depth)
-
-    @staticmethod
-    def _transform(ids: np.ndarray, depth: int):
-        """The transform, and for each row the row of the suffix that is one
-        word longer (the last-to-first map)."""
-        rank, seen = ids.astype(np.int64), 1
-        while seen < depth:             # ranks of the first 2, 4, ... words
+
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where each run of equal sorted keys starts."""
+    return np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+
+
+def transform(ids: np.ndarray, m: int, depth: int, stepped: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """The Burrows-Wheeler transform over suffixes in order of their first
+    ``depth`` ids, and the last-to-first map: for each row, the row of the
+    suffix that is one id longer."""
+    rank, top, seen = ids.astype(np.int64), m, 1
+    while True:                         # ranks of the first 1, 2, 4, ... ids
+        if seen < depth:
             ahead = np.zeros_like(rank)
             ahead[:-seen] = rank[seen:]
-            _, rank = np.unique(rank * (int(rank.max()) + 1) + ahead, return_inverse=True)
-            seen *= 2
-        rows = np.argsort(rank, kind="stable")
-        bwt = ids[rows - 1]
+            rank, top, seen = rank * (top + 1) + ahead, top * (top + 2), 2 * seen
+        order, key = _sorted(rank, top)
+        if seen >= depth:
+            break
+        starts = _starts(key)
+        rank = np.empty_like(rank)
+        rank[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(key))))
+        top = len(starts) - 1
+    bwt, step = ids[order - 1], None
+    if stepped:
         step = np.empty(len(ids), np.int64)
-        step[np.argsort(bwt, kind="stable")] = np.arange(len(ids))
-        return bwt, step
+        step[_sorted(bwt, m)[0]] = np.arange(len(ids))
+    return bwt, step
+
+
+class Index:
+    """Forward and reverse transforms over ids 1 to ``m`` (0 parts pieces), as
+    deep as extending single words to phrases of ``length`` words needs: even
+    lengths are reached by a word to the left, odd ones by a word to the right."""
+
+    def __init__(self, ids: np.ndarray, length: int):
+        self.m = int(ids.max(initial=0))
+        left, right = length - length % 2, length - 1 + length % 2
+        self.left = transform(ids, self.m, left - 1, left > 2)
+        self.right = transform(ids[::-1], self.m, right - 1, right > 3) if right > 1 else None
 
     def words(self):
         """Intervals (forward and reverse start, size) of the single words."""
-        n = np.bincount(self.bwt, minlength=self.m + 1)
+        n = np.bincount(self.left[0], minlength=self.m + 1)
         start = np.cumsum(n) - n
         return start[1:], start[1:], n[1:]
 
     def extend(self, at: np.ndarray, other: np.ndarray, size: np.ndarray, left: bool):
         """All one-word extensions of the intervals at ``at`` (forward rows if
         ``left``, else reverse rows) with the intervals at ``other`` following:
-        ``parent, word, at, other, size``."""
-        bwt, step = (self.bwt, self.step) if left else (self.back, self.back_step)
+        ``parent, word, at, other, size``. ``at`` is None, and may be
+        given as ``other``, where no later extension needs it."""
+        bwt, step = self.left if left else self.right
         offset = np.cumsum(size) - size
         rows = np.repeat(at - offset, size) + np.arange(int(size.sum()))
         parent = np.repeat(np.arange(len(size)), size)
-        key, first, n = np.unique(parent * (self.m + 1) + bwt[rows], return_index=True, return_counts=True)
-        parent, word = np.divmod(key, self.m + 1)
-        before = np.cumsum(n) - n       # smaller words of the same interval come first in the other one
-        before -= offset[parent]
+        order, key = _sorted(parent * (self.m + 1) + bwt[rows], len(size) * (self.m + 1))
+        starts = _starts(key) if len(key) else np.empty(0, np.int64)
+        parent, word = np.divmod(key[starts], self.m + 1)
+        # smaller words of the same interval come first in the other one
+        before = starts - offset[parent]
+        n = np.diff(np.append(starts, len(key)))
         keep = word > 0
-        return parent[keep], word[keep], step[rows[first[keep]]], (other[parent] + before)[keep], n[keep]
+        found = step[rows[order[starts[keep]]]] if step is not None else None
+        follows = None if other is None else (other[parent] + before)[keep]
+        return parent[keep], word[keep], found, follows, n[keep]
 
 
-def levels(lang: str, words: list[bytes], ids: np.ndarray, filters: list[np.ndarray], depth: int):
-    """``word id columns, counts`` of the shard's phrases of one word more than
-    ``filters`` covers, and the shard's words."""
-    hashes = np.array([word_hash(lang, w) for w in words], np.uint64)
+def levels(lang: str, words: pa.Array, ids: np.ndarray, filters: list[np.ndarray]):
+    """``words, word id columns, counts`` of the shard's phrases of one word
+    more than ``filters`` covers."""
+    hashes = np.array([word_hash(lang, w) for w in words.to_pylist()], np.uint64)
     keep = passes(filters[0], joined([hashes]))
     keep[0] = False
-    new = np.where(keep, np.cumsum(keep), 0).astype(np.int32)
-    ids = new[ids]
+    ids = np.where(keep, np.cumsum(keep), 0).astype(np.int32)[ids]
     ids = ids[(ids > 0) | np.concatenate([[True], ids[:-1] > 0])]     # one break in a row is enough
-    hashes, words = hashes[keep], [w for w, k in zip(words, keep, strict=True) if k]
-    if not words or not ids.any():
+    hashes, words = hashes[keep], words.filter(pa.array(keep))
+    length = len(filters) + 1
+    if not ids.any():
         return words, [], np.empty(0, np.int64)
-    if ids[-1]:
-        ids = np.append(ids, np.int32(0))
-    index = Index(ids, depth)
+    index = Index(ids, length)
     fwd, rev, size = index.words()
     phrase = [np.arange(index.m)]
-    for k in range(2, len(filters) + 2):
+
+    def only(ok):
+        return [p[ok] for p in phrase], None if fwd is None else fwd[ok], None if rev is None else rev[ok], size[ok]
+
+    for k in range(2, length + 1):
         left = k % 2 == 0
         if left:
             parent, word, fwd, rev, size = index.extend(fwd, rev, size, True)
@@ -175,21 +209,17 @@ def levels(lang: str, words: list[bytes], ids: np.ndarray, filters: list[np.ndar
         phrase = [word - 1, *phrase] if left else [*phrase, word - 1]
         # both parts that are one word shorter must pass; one of them has been extended and did
         if k > 2:
-            part = phrase[:-1] if left else phrase[1:]
-            ok = passes(filters[k - 2], joined([hashes[p] for p in part]))
-            phrase, fwd, rev, size = [p[ok] for p in phrase], fwd[ok], rev[ok], size[ok]
-        if k <= len(filters):
-            ok = passes(filters[k - 1], joined([hashes[p] for p in phrase]))
-            phrase, fwd, rev, size = [p[ok] for p in phrase], fwd[ok], rev[ok], size[ok]
+            phrase, fwd, rev, size = only(passes(filters[k - 2], joined([hashes[p] for p in (phrase[:-1] if left else phrase[1:])])))
+        if k < length:
+            phrase, fwd, rev, size = only(passes(filters[k - 1], joined([hashes[p] for p in phrase])))
     return words, phrase, size
 
 
-def _rows_of(lang: str, words: list[bytes], phrase: list[np.ndarray], size: np.ndarray):
-    spelling = pa.array([w.decode() for w in words], pa.string())
+def _rows_of(lang: str, words: pa.Array, phrase: list[np.ndarray], size: np.ndarray):
     for a in range(0, len(size), ROWS):
-        parts = [spelling.take(pa.array(p[a:a + ROWS])) for p in phrase]
+        parts = [words.take(pa.array(p[a:a + ROWS])) for p in phrase]
         text = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(text), pa.string()), text, pa.array(size[a:a + ROWS], pa.int64())],
+        yield pa.RecordBatch.from_arrays([pa.repeat(lang, len(text)), text, pa.array(size[a:a + ROWS], pa.int64())],
                                          ["lang", "phrase", "n"])
 
 
@@ -197,13 +227,28 @@ def _summed(rows: DataFrame) -> DataFrame:
     return rows.groupBy("lang", "phrase").agg(F.sum("n").alias("f"))
 
 
-def word_counts(df: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``lang, phrase, f`` of every single word."""
+def stored_shards(df: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """``lang, words, ids`` of each shard: texts are cut into words once."""
     def run(batches):
         for lang, words, ids in shards(batches, shard_words):
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([[w.decode() for w in words]], pa.list_(pa.string())),
+                                              pa.array([ids.tobytes()], pa.binary())], ["lang", "words", "ids"])
+    return stored(df.select("lang", "text").mapInArrow(run, "lang string, words array<string>, ids binary"), "phrase-shards", "zstd")
+
+
+def _read(batches):
+    for b in batches:
+        for lang, words, ids in zip(*b.columns, strict=True):
+            yield lang.as_py(), words.values, np.frombuffer(ids.as_buffer(), np.int32)
+
+
+def word_counts(parts: DataFrame) -> DataFrame:
+    """``lang, phrase, f`` of every single word of stored shards."""
+    def run(batches):
+        for lang, words, ids in _read(batches):
             n = np.bincount(ids, minlength=len(words))[1:]
-            yield from _rows_of(lang, words[1:], [np.arange(len(n))], n)
-    return _summed(df.select("lang", "text").mapInArrow(run, "lang string, phrase string, n long"))
+            yield from _rows_of(lang, words.slice(1), [np.arange(len(n))], n)
+    return _summed(parts.mapInArrow(run, "lang string, phrase string, n long"))
 
 
 def filter_bits(frequent: DataFrame) -> bytes:
@@ -215,7 +260,7 @@ def filter_bits(frequent: DataFrame) -> bytes:
             if not b.num_rows:
                 continue
             langs, phrases = b.column(0).to_pylist(), b.column(1).to_pylist()
-            split = [p.encode().split(b" ") for p in phrases]
+            split = [p.split(" ") for p in phrases]
             hashes = [np.array([word_hash(x, p[k]) for x, p in zip(langs, split, strict=True)], np.uint64) for k in range(len(split[0]))]
             at = joined(hashes)
             np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
@@ -229,29 +274,30 @@ def filter_bits(frequent: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def phrase_counts(df: DataFrame, filters: list[bytes], depth: int = DEPTH, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``lang, phrase, f`` of the phrases of one word more than ``filters``
-    covers (one filter a length, from 1 on) that pass them."""
-    shared = df.sparkSession.sparkContext.broadcast(filters)
+def phrase_counts(parts: DataFrame, filters: list[bytes]) -> DataFrame:
+    """``lang, phrase, f`` of the phrases of stored shards of one word more than
+    ``filters`` covers (one filter a length, from 1 on) that pass them."""
+    shared = parts.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches):
         bits = [np.frombuffer(b, np.uint8) for b in shared.value]
-        for lang, words, ids in shards(batches, shard_words):
-            yield from _rows_of(lang, *levels(lang, words, ids, bits, depth))
-    return _summed(df.select("lang", "text").mapInArrow(run, "lang string, phrase string, n long"))
+        for lang, words, ids in _read(batches):
+            yield from _rows_of(lang, *levels(lang, words, ids, bits))
+    return _summed(parts.mapInArrow(run, "lang string, phrase string, n long"))
 
 
 def frequent_phrases(df: DataFrame, min_count: int = MIN_COUNT, depth: int = DEPTH,
                      shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, len, f`` of all phrases of 1 to ``depth`` words with at
     least ``min_count`` occurrences, and ``lang, n`` (all words)."""
-    words = stored(word_counts(df, shard_words), "phrase-words")
+    parts = stored_shards(df, shard_words)
+    words = stored(word_counts(parts), "phrase-words")
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
     out = kept = words.filter(F.col("f") >= min_count).withColumn("len", F.lit(1))
     filters = []
     for k in range(2, depth + 1):
         filters.append(filter_bits(kept))
-        kept = stored(phrase_counts(df, filters, depth, shard_words).filter(F.col("f") >= min_count).withColumn("len", F.lit(k)), f"phrase-{k}")
+        kept = stored(phrase_counts(parts, filters).filter(F.col("f") >= min_count).withColumn("len", F.lit(k)), f"phrase-{k}")
         out = out.unionByName(kept)
     return out, sizes
 
