@@ -5,6 +5,13 @@ Public surface: plain functions ``op(df, ...) -> DataFrame`` (in
 ``expr(col) -> Column`` (in ``textloom.functions``).
 """
 
+import sys
+
+from pyspark import cloudpickle
+
 from textloom.session import get_session, shared_dir, work_path
 
+# Functions run on executors are pickled by value: those need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __all__ = ["get_session", "shared_dir", "work_path"]

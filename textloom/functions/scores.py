@@ -31,13 +31,21 @@ def keep_flag(n, min_samples: int) -> Column:
     return F.when(_c(n) >= F.lit(min_samples), F.lit(STATUS_KEEP)).otherwise(F.lit(STATUS_DELETE))
 
 
+def _with(value, fn) -> Column:
+    """``fn(value)`` with ``value`` evaluated once a row: inside a lambda a
+    plain column expression would be evaluated again for every element."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
+def _exp_sum(e) -> Column:
+    return F.aggregate(e, F.lit(0.0).cast("double"), lambda acc, v: acc + v)
+
+
 def softmax(logits) -> Column:
-    """Row softmax with max subtraction."""
-    z = _c(logits)
-    m = F.array_max(z)
-    e = F.transform(z, lambda v: F.exp(v - m))
-    s = F.aggregate(e, F.lit(0.0).cast("double"), lambda acc, v: acc + v)
-    return F.transform(e, lambda v: v / s)
+    """Row softmax with max subtraction, linear in the classes."""
+    return _with(_c(logits), lambda z: _with(F.array_max(z), lambda m: _with(
+        F.transform(z, lambda v: F.exp(v - m)), lambda e: _with(
+            _exp_sum(e), lambda s: F.transform(e, lambda v: v / s)))))
 
 
 def argmax(logits) -> Column:
@@ -48,11 +56,9 @@ def argmax(logits) -> Column:
 
 def row_cross_entropy(logits, label) -> Column:
     """-log softmax(z)[label] computed as logsumexp(z) - z[label]."""
-    z = _c(logits)
-    m = F.array_max(z)
-    lse = F.log(F.aggregate(F.transform(z, lambda v: F.exp(v - m)),
-                            F.lit(0.0).cast("double"), lambda acc, v: acc + v)) + m
-    return lse - F.element_at(z, _c(label).cast("int") + F.lit(1))
+    lse = _with(_c(logits), lambda z: _with(F.array_max(z), lambda m: F.log(
+        F.aggregate(z, F.lit(0.0).cast("double"), lambda acc, v: acc + F.exp(v - m))) + m))
+    return lse - F.element_at(_c(logits), _c(label).cast("int") + F.lit(1))
 
 
 def length_bin(n) -> Column:

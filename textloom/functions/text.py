@@ -121,6 +121,12 @@ def clean_controls(col, marks: bool = False) -> Column:
     return F.regexp_replace(_c(col), rf"[\x{{FFFD}}\p{{Cc}}\p{{Cf}}{mark}&&[^\t\n\r]]+", "")
 
 
+def _if_special(col, cleaned: Column, plain: Column) -> Column:
+    """``cleaned`` for texts that hold anything beyond printable ASCII, tabs and
+    line breaks (one search); others have nothing to clean."""
+    return F.when(_c(col).rlike(r"[^\t\n\r -~]"), cleaned).otherwise(plain)
+
+
 def basic_tokens(col, accents: bool = False) -> Column:
     """Control characters dropped, lower-case, accents stripped (P16),
     one token per CJK character or punctuation mark, otherwise runs of the
@@ -128,7 +134,7 @@ def basic_tokens(col, accents: bool = False) -> Column:
     text = F.lower(clean_controls(col))
     if not accents:
         text = strip_accents(text)
-    return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0)
+    return F.regexp_extract_all(_if_special(col, text, F.lower(_c(col))), F.lit(TOKEN_PATTERN), 0)
 
 
 def token_length(tokens) -> Column:
@@ -140,7 +146,7 @@ def token_count(col) -> Column:
     """Number of basic tokens of a text. Lower-casing and stripping accents
     off letters never move a token boundary, so the count only drops control
     characters and combining marks and matches the pattern."""
-    return F.size(F.regexp_extract_all(clean_controls(col, marks=True), F.lit(TOKEN_PATTERN), 0))
+    return F.size(F.regexp_extract_all(_if_special(col, clean_controls(col, marks=True), _c(col)), F.lit(TOKEN_PATTERN), 0))
 
 
 def truncation_excess(length, limit: int) -> Column:

@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textloom.operators.metrics import TOP_K, topk_classes
+from textloom.operators.softmax import Softmax
 from textloom.plans.training import score_rows
 from textloom.sources.corpus import ROW_ID
 
 
-def score_top5(model: PipelineModel, df: DataFrame, dictionary: DataFrame, k: int = TOP_K,
+def score_top5(model: Softmax, df: DataFrame, dictionary: DataFrame, k: int = TOP_K,
                keep=(ROW_ID,)) -> DataFrame:
     """``rank, code, class, probability, percentage`` for the top
     ``min(k, n_classes)`` classes of every row (one output row per rank)."""

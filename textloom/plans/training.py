@@ -2,12 +2,12 @@
 (SURVEY M6, M7, M8, S11; uses W3-W7, A11-A16, J3, M4).
 
 The reference fine-tunes a transformer on GPUs; its weights are not
-available, so training is re-aimed at a distributed MLlib classifier: the
-token pattern (P15) -> ``HashingTF`` -> ``MultilayerPerceptronClassifier``
-with no hidden layer (a softmax layer). One "epoch" is a few L-BFGS
-iterations restarted from the previous epoch's weights, so the epoch
-history, best-model saving, periodic checkpoints, early stopping and resume
-keep their meaning. Gradients are aggregated across executors by MLlib.
+available, so training is re-aimed at a softmax layer over hashed basic tokens
+(P15), trained by synchronous distributed steps (``operators.softmax``). An
+epoch passes over all training rows once, in ``iters_per_epoch`` global
+batches; warm-up, clipping, weight decay and gradient accumulation are
+step rules, and the epoch history, best-model saving, periodic checkpoints,
+early stopping and resume keep their meaning.
 """
 
 from __future__ import annotations
@@ -17,25 +17,24 @@ import os
 import time
 from typing import NamedTuple
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.feature import HashingTF, SQLTransformer
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions.scores import row_cross_entropy
-from textloom.functions.text import TOKEN_PATTERN, strip_text
+from textloom.functions.scores import argmax, row_cross_entropy, softmax
+from textloom.functions.text import strip_text
 from textloom.operators import history as H
 from textloom.operators import labels as L
 from textloom.operators import metrics as MT
+from textloom.operators import softmax as SM
 from textloom.operators.clean import drop_blank_text, drop_null_rows
 from textloom.operators.encode import build_vocab, encode_fixed_length
 from textloom.operators.split import TRAIN, VALIDATION, assign_batches, stratified_split
 from textloom.plans.evaluation import evaluation_report, write_classification_report, write_confusion, \
     write_metrics_json
-from textloom.session import cut_lineage
+from textloom.session import cut_lineage, work_path
 from textloom.sources.corpus import LABEL, ROW_ID, TEXT
 
 # ---------------------------------------------------------------------------
@@ -48,9 +47,7 @@ PATIENCE, MIN_DELTA = 3, 0.001
 CHECKPOINT_EVERY = 1
 # ---------------------------------------------------------------------------
 NUM_FEATURES = 1 << 14
-ITERS_PER_EPOCH = 10
-# a square matrix file has a column a class; beyond this the long form is written
-WIDE_CLASSES = 1000
+ITERS_PER_EPOCH = 10      # global batches of an epoch
 
 
 class Prepared(NamedTuple):
@@ -84,86 +81,68 @@ def encoded_examples(prepared: Prepared, vocab_size: int = 21128, max_length: in
     return enc, vocab
 
 
-def text_stages(num_features: int = NUM_FEATURES, text_col: str = TEXT, max_length: int | None = None) -> list:
-    """Text -> ``tokens`` (P15 pattern, the whole text) -> hashed term counts
-    ``features``. ``max_length`` cuts to ``max_length - 2`` tokens, as an encoder
-    with a fixed input would; it is saved with the model."""
-    tokens = f"regexp_extract_all(lower({text_col}), R'{TOKEN_PATTERN}', 0)"
-    if max_length is not None:
-        tokens = f"slice({tokens}, 1, {max_length - 2})"
-    tok = SQLTransformer(statement=f"SELECT *, {tokens} AS tokens FROM __THIS__")
-    return [tok, HashingTF(inputCol="tokens", outputCol="features", numFeatures=num_features)]
+def score_rows(model: SM.Softmax, df: DataFrame, text_col: str = TEXT) -> DataFrame:
+    """Model output as arrays: ``logits``, ``probs``, ``y_pred``; from the
+    text, or from ``idx, val`` of a featurized table."""
+    spark = df.sparkSession
+    if "idx" in df.columns:
+        z = SM.logits(model, spark, F.col("idx"), F.col("val"))
+    else:
+        z = SM.logits(model, spark, SM.token_buckets(F.col(text_col), model.num_features, model.max_length))
+    return df.withColumn("logits", z).withColumns({"probs": softmax("logits"), "y_pred": argmax("logits")})
 
 
-def classifier(n_classes: int, num_features: int = NUM_FEATURES, max_iter: int = ITERS_PER_EPOCH,
-               initial_weights=None, seed: int = SEED) -> MultilayerPerceptronClassifier:
-    """A softmax layer over the hashed features (MLP without hidden layer)."""
-    mlp = MultilayerPerceptronClassifier(layers=[num_features, n_classes], maxIter=max_iter, seed=seed,
-                                         labelCol="label_idx", featuresCol="features", blockSize=128)
-    if initial_weights is not None:
-        mlp.setInitialWeights(initial_weights)
-    return mlp
-
-
-def _with_label_idx(df: DataFrame) -> DataFrame:
-    return df.withColumn("label_idx", F.col("code").cast("double"))
-
-
-def featurize(df: DataFrame, num_features: int = NUM_FEATURES, text_col: str = TEXT,
-              max_length: int | None = None) -> DataFrame:
-    """``row_id, code, label_idx, features``: texts hashed once."""
-    out = PipelineModel(stages=text_stages(num_features, text_col, max_length)).transform(_with_label_idx(df))
-    return out.select(ROW_ID, "code", "label_idx", "features")
-
-
-def score_rows(model, df: DataFrame) -> DataFrame:
-    """Model output as arrays: ``logits`` (raw prediction), ``probs``, ``y_pred``."""
-    out = model.transform(df)
-    return out.withColumn("logits", vector_to_array("rawPrediction")) \
-        .withColumn("probs", vector_to_array("probability")) \
-        .withColumn("y_pred", F.col("prediction").cast("int"))
+def summarize_pairs(pairs: DataFrame, batch_size: int = BATCH_SIZE, shuffle: bool = False,
+                    epoch: int = 1, seed: int = SEED) -> DataFrame:
+    """Batch-mean loss (W6 batches, A15) and accuracy (A14) of rows
+    ``row_id, y_true, y_pred, loss``: one summary row."""
+    loss = MT.batch_mean_loss(assign_batches(pairs, batch_size, seed=seed, epoch=epoch, shuffle=shuffle))
+    return loss.select("mean_loss", "n_batches").withColumn("accuracy", MT.accuracy(pairs).scalar())
 
 
 def summarize_scored(scored: DataFrame, batch_size: int = BATCH_SIZE, shuffle: bool = False,
                      epoch: int = 1, seed: int = SEED) -> DataFrame:
-    """Batch-mean loss (P13 per row, W6 batches, A15) and accuracy (A14) of
-    scored rows (``row_id, code, y_pred, logits``): one summary row."""
-    rows = scored.select(ROW_ID, F.col("code").alias("y_true"), "y_pred",
-                         row_cross_entropy("logits", "code").alias("loss"))
-    batched = assign_batches(rows, batch_size, seed=seed, epoch=epoch, shuffle=shuffle)
-    loss = MT.batch_mean_loss(batched)
-    return loss.select("mean_loss", "n_batches").withColumn("accuracy", MT.accuracy(rows).scalar())
+    """``summarize_pairs`` of scored rows (``row_id, code, y_pred, logits``),
+    with P13 a row."""
+    rows = scored.select(ROW_ID, F.col("code").alias("y_true"), "y_pred", row_cross_entropy("logits", "code").alias("loss"))
+    return summarize_pairs(rows, batch_size, shuffle, epoch, seed)
 
 
 def evaluate(model, df: DataFrame, batch_size: int = BATCH_SIZE,
              shuffle: bool = False, epoch: int = 1, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """M8: predictions, per-row loss, batch-mean loss and accuracy. ``model``
-    is a full pipeline over texts, or the classifier alone over a
-    featurized table. Returns (pairs, one-row summary)."""
+    """M8: predictions, per-row loss, batch-mean loss and accuracy over texts
+    or a featurized table. Returns (pairs, one-row summary)."""
     scored = score_rows(model, df)
     pairs = scored.select(ROW_ID, F.col("code").alias("y_true"), "y_pred",
                           row_cross_entropy("logits", "code").alias("loss"))
-    return pairs, summarize_scored(scored, batch_size, shuffle, epoch, seed)
+    return pairs, summarize_pairs(pairs, batch_size, shuffle, epoch, seed)
 
 
 class Fitted(NamedTuple):
-    model: PipelineModel
+    model: SM.Softmax
     history: DataFrame      # epoch, train_loss, train_acc, val_loss, val_acc
     best_epoch: int
     best_accuracy: float
     stopped_at: int | None
 
 
-def save_model(model: PipelineModel, path: str, dictionary: DataFrame, params: dict | None = None) -> str:
-    """The pipeline model, its class dictionary (list form, beside the
-    model) and one row of run parameters."""
+def save_model(model: SM.Softmax, path: str, dictionary: DataFrame, params: dict | None = None) -> str:
+    """The model (weights in blocks, a row a class and block, and its
+    parameters), its class dictionary (list form, beside the model) and one row of
+    run parameters."""
     spark = dictionary.sparkSession
     _write_text(spark, os.path.join(path, "manifest"), None)      # a full model replaces a pointer
-    model.write().overwrite().save(os.path.join(path, "model"))
+    n_classes, width = model.weights.shape
+    at = [(c, a) for c in range(n_classes) for a in range(0, width, SM.BLOCK)]
+    spark.createDataFrame(pa.table({
+        "code": pa.array([c for c, _ in at], pa.int32()), "first": pa.array([a for _, a in at], pa.int32()),
+        "weights": pa.array([model.weights[c, a:a + SM.BLOCK] for c, a in at], pa.list_(pa.float64()))})) \
+        .write.mode("overwrite").parquet(os.path.join(path, "model"))
+    shape = {"n_classes": n_classes, "num_features": model.num_features, "max_length": model.max_length}
+    _write_text(spark, os.path.join(path, "model_config"), json.dumps(shape, sort_keys=True))
     L.write_label_dict(dictionary, os.path.join(path, "label_encoder"), "list")
     if params is not None:
-        spark.createDataFrame([(json.dumps(params, sort_keys=True),)], "value STRING") \
-            .write.mode("overwrite").text(os.path.join(path, "run_config"))
+        _write_text(spark, os.path.join(path, "run_config"), json.dumps(params, sort_keys=True))
     return path
 
 
@@ -192,12 +171,16 @@ def _resolve(spark: SparkSession, path: str) -> str:
     return os.path.normpath(os.path.join(path, json.loads(doc[0])["target"])) if doc else path
 
 
-def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
+def load_model(spark: SparkSession, path: str) -> tuple[SM.Softmax, DataFrame]:
     """Load a model folder written by ``save_model`` (or a best-model
     manifest pointing at one)."""
     path = _resolve(spark, path)
-    return (PipelineModel.load(os.path.join(path, "model")),
-            L.read_label_dict(spark, os.path.join(path, "label_encoder"), "list"))
+    shape = json.loads(spark.read.text(os.path.join(path, "model_config")).first()[0])
+    weights = np.zeros((shape["n_classes"], shape["num_features"] + 1))
+    blocks = spark.read.parquet(os.path.join(path, "model")).toArrow()
+    for code, first, block in zip(blocks["code"].to_pylist(), blocks["first"].to_pylist(), blocks["weights"], strict=True):
+        weights[code, first:first + len(block)] = block.values.to_numpy()
+    return SM.Softmax(weights, shape["max_length"]), L.read_label_dict(spark, os.path.join(path, "label_encoder"), "list")
 
 
 def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame, out_dir: str,
@@ -205,50 +188,41 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
                         batch_size: int = BATCH_SIZE, checkpoint_every: int = CHECKPOINT_EVERY,
                         num_features: int = NUM_FEATURES, iters_per_epoch: int = ITERS_PER_EPOCH,
                         resume_from: str | None = None, seed: int = SEED, log=None,
-                        max_length: int | None = None) -> Fitted:
+                        max_length: int | None = None, rules: SM.Rules | None = None) -> Fitted:
     """M7: epoch loop with validation, history, best model (strictly higher
     validation accuracy, from 0), periodic checkpoints and early stopping
     (``min_delta`` gain within ``patience`` epochs).
 
-    Texts are tokenised and hashed once into checkpointed feature tables;
-    each epoch runs L-BFGS over them (gradients summed across executors)
-    and scores both splits with the classifier alone. Saved models are the
-    full text -> prediction pipeline."""
+    Texts are tokenised and hashed once into feature tables in the shared
+    folder, the training rows in one folder a global batch; an epoch reads each
+    once. Its training loss and accuracy are those its steps met. ``rules`` are
+    the step rules (rate, warm-up, clipping, decay, accumulation); ``resume_from``
+    takes up a saved model's weights. Rows with a null code are not for training."""
     spark = train.sparkSession
     n_classes = dictionary.count()
     say = log or (lambda *_: None)
     t0 = time.time()
-    # Both splits are read every epoch: hash them once and cut lineage so
-    # each epoch (and any recomputation after an executor loss) starts here.
-    # Cached on top of the reliable checkpoint: lost blocks are recomputed
-    # from the checkpoint files, not from the raw scan.
-    train_f = cut_lineage(featurize(train, num_features, max_length=max_length)).persist()
-    val_f = cut_lineage(featurize(val, num_features, max_length=max_length)).persist()
-    text = text_stages(num_features, max_length=max_length)
-    say("featurize", time.time() - t0)
+    train_path, val_path = work_path(spark, "train-features"), work_path(spark, "val-features")
+    train_f = SM.featurize(train, num_features, train_path, iters_per_epoch, seed, max_length=max_length)
+    val_f = SM.featurize(val, num_features, val_path, max_length=max_length)
     weights = None
     if resume_from:
-        weights = load_model(spark, resume_from)[0].stages[-1].weights
+        weights = load_model(spark, resume_from)[0].weights
+    trainer = SM.Trainer(train_f, train_path, n_classes, num_features, epochs, rules, weights, seed)
+    say("featurize", time.time() - t0)
     rows, best_acc, best_epoch, stopped, model = [], 0.0, 0, None, None
     for epoch in range(1, epochs + 1):
-        if model is not None:
-            for d in scored_frames:
-                d.unpersist()
         t0 = time.time()
-        clf = classifier(n_classes, num_features, iters_per_epoch, weights, seed).fit(train_f)
-        weights = clf.weights
-        model = PipelineModel(stages=text + [clf])
+        train_loss, train_acc = trainer.epoch(epoch)
+        model = SM.Softmax(trainer.weights, max_length)
         say("fit", time.time() - t0)
         t0 = time.time()
-        scored_tr = score_rows(clf, train_f).persist()
-        pairs = score_rows(clf, val_f).persist()
-        scored_frames = (scored_tr, pairs)
-        t = summarize_scored(scored_tr, batch_size, shuffle=True, epoch=epoch, seed=seed).first()
-        v = summarize_scored(pairs, batch_size).first()
-        pairs = pairs.select(ROW_ID, F.col("code").alias("y_true"), "y_pred")
+        # narrow (id, codes, loss): the summary and the report both read it
+        pairs = cut_lineage(score_rows(model, val_f).select(
+            ROW_ID, F.col("code").alias("y_true"), "y_pred", row_cross_entropy("logits", "code").alias("loss")))
+        v = summarize_pairs(pairs, batch_size).first()
         say("evaluate", time.time() - t0)
-        rows.append((epoch, float(t["mean_loss"]), float(t["accuracy"]), float(v["mean_loss"]),
-                     float(v["accuracy"])))
+        rows.append((epoch, train_loss, train_acc, float(v["mean_loss"]), float(v["accuracy"])))
         t0 = time.time()
         ckpt = os.path.join(out_dir, f"checkpoint-epoch-{epoch}")
         if epoch % checkpoint_every == 0:                 # F6 rule
@@ -264,7 +238,7 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
             write_classification_report(ev.per_class, os.path.join(out_dir, "classification_report"),
                                         epoch, best_acc)
             write_metrics_json(ev.per_class, os.path.join(out_dir, "detailed_metrics"))
-            write_confusion(ev.confusion, os.path.join(out_dir, "confusion_matrix"), wide=n_classes <= WIDE_CLASSES)
+            write_confusion(ev.confusion, os.path.join(out_dir, "confusion_matrix"), wide=True)
         say("save", time.time() - t0)
         hist = spark.createDataFrame([(r[0], r[4]) for r in rows], "epoch INT, score DOUBLE") \
             .withColumn("run", F.lit("fit"))
@@ -272,8 +246,6 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
         if stop is not None:
             stopped = int(stop)
             break
-    for d in (train_f, val_f, *(scored_frames if model is not None else ())):
-        d.unpersist()
     history = spark.createDataFrame(
         rows, "epoch INT, train_loss DOUBLE, train_acc DOUBLE, val_loss DOUBLE, val_acc DOUBLE")
     metrics = ["train_loss", "train_acc", "val_loss", "val_acc"]

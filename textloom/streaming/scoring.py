@@ -9,20 +9,20 @@ resumes exactly where it stopped.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from textloom.operators.clean import drop_blank_text
 from textloom.operators.metrics import TOP_K
+from textloom.operators.softmax import Softmax
 from textloom.plans.scoring import score_top5
 from textloom.sources.corpus import ROW_ID, TEXT
 
 INPUT_SCHEMA = f"{ROW_ID} BIGINT, {TEXT} STRING"
 
 
-def scored_stream(spark: SparkSession, model: PipelineModel, dictionary: DataFrame, input_path: str,
+def scored_stream(spark: SparkSession, model: Softmax, dictionary: DataFrame, input_path: str,
                   fmt: str = "parquet", schema: str = INPUT_SCHEMA, k: int = TOP_K,
                   max_files_per_trigger: int | None = None) -> DataFrame:
     """The streaming DataFrame of ranked predictions."""
@@ -34,7 +34,7 @@ def scored_stream(spark: SparkSession, model: PipelineModel, dictionary: DataFra
     return score_top5(model, texts, dictionary, k)
 
 
-def score_stream(spark: SparkSession, model: PipelineModel, dictionary: DataFrame, input_path: str,
+def score_stream(spark: SparkSession, model: Softmax, dictionary: DataFrame, input_path: str,
                  output_path: str, checkpoint_path: str, fmt: str = "parquet", k: int = TOP_K,
                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the scoring query (append mode, parquet sink)."""
