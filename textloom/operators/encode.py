@@ -1,18 +1,23 @@
 """Vocabulary and fixed-length encoding.
 
-Token -> id lookup is a broadcast hash join against the vocabulary (its
-size is a parameter, so it is bounded), applied to exploded (row, pos,
-token) triples; regrouping by row id runs a partial ``collect_list`` in
-the same stage, so only one compact row per document crosses the shuffle.
+The vocabulary's size is a parameter, so it is small enough to be shared.
+Tokens are looked up in place: each Arrow batch of token arrays is probed against
+a hash table of the shared vocabulary, and ids are turned back by reading an
+id-ordered token array. Rows stay where they are; nothing is exploded or regrouped.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.functions.text import basic_tokens
-from textloom.session import cut_lineage, small_table
+from textloom.session import cut_lineage
 from textloom.sources.corpus import ROW_ID, TEXT
 
 # ---------------------------------------------------------------------------
@@ -57,23 +62,28 @@ def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, tokens_col: str | None =
     return cut_lineage(vocab) if materialize else vocab
 
 
+def lookup_ids(tokens: Column, vocab: DataFrame) -> Column:
+    """Token array -> id array in place; unknown -> [UNK], null -> empty."""
+    table = vocab.select(TOKEN, F.col(ID).cast("int")).toArrow()
+    shared = vocab.sparkSession.sparkContext.broadcast(
+        (table.column(0).combine_chunks(), table.column(1).combine_chunks()))
+
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known, ids = shared.value
+        for lists in batches:
+            at = pc.index_in(lists.flatten(), value_set=known)
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.fill_null(ids.take(at), UNK_ID))
+    return F.arrow_udf(find, "array<int>")(F.coalesce(tokens, F.array().cast("array<string>")))
+
+
 def ids_by_vocab(df: DataFrame, vocab: DataFrame, tokens, max_tokens: int | None = None,
                  keep=(ROW_ID,), out_col: str = "ids") -> DataFrame:
-    """Token array -> id array in position order; unknown -> [UNK].
-
-    ``keep`` must contain ``row_id``; the other kept columns ride along as
-    grouping keys (they are functionally dependent on the row id).
-    """
+    """Token array -> id array in position order; unknown -> [UNK]."""
     t = F.col(tokens) if isinstance(tokens, str) else tokens
     if max_tokens is not None:
         t = F.slice(t, 1, max_tokens)
-    ex = df.select(*keep, F.posexplode_outer(t).alias("pos", TOKEN))
-    v = small_table(vocab.select(TOKEN, ID))
-    j = ex.join(v, TOKEN, "left")
-    item = F.when(F.col(TOKEN).isNotNull(),
-                  F.struct(F.col("pos"), F.coalesce(F.col(ID), F.lit(UNK_ID)).alias(ID)))
-    return (j.groupBy(*keep).agg(F.array_sort(F.collect_list(item)).alias("_p"))
-            .select(*keep, F.transform("_p", lambda x: x[ID]).alias(out_col)))
+    return df.select(*keep, lookup_ids(t, vocab).alias(out_col))
 
 
 def with_special_and_padding(ids, max_length: int = MAX_LENGTH) -> tuple[Column, Column]:
@@ -88,20 +98,33 @@ def with_special_and_padding(ids, max_length: int = MAX_LENGTH) -> tuple[Column,
 def encode_fixed_length(df: DataFrame, vocab: DataFrame, max_length: int = MAX_LENGTH,
                         text_col: str = TEXT, keep=(ROW_ID,)) -> DataFrame:
     """M4: ``input_ids`` and ``attention_mask`` of exactly ``max_length``;
-    only the first ``max_length - 2`` tokens are exploded."""
+    only the first ``max_length - 2`` tokens are looked up."""
     toks = basic_tokens(F.col(text_col))
     ids = ids_by_vocab(df, vocab, toks, max_tokens=max_length - 2, keep=keep)
     input_ids, mask = with_special_and_padding("ids", max_length)
     return ids.select(*keep, input_ids.alias("input_ids"), mask.alias("attention_mask"))
 
 
+def lookup_tokens(ids: Column, vocab: DataFrame) -> Column:
+    """Id array -> token array in place, read from one array that holds each
+    token at its id; unknown -> [UNK], null -> empty."""
+    rows = vocab.select(ID, TOKEN).collect()
+    names: list = [None] * (max((r[ID] for r in rows), default=-1) + 1)
+    for r in rows:
+        names[r[ID]] = r[TOKEN] if names[r[ID]] is None else min(names[r[ID]], r[TOKEN])
+    shared = vocab.sparkSession.sparkContext.broadcast(pa.array(names, pa.string()))
+
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held = shared.value
+        for lists in batches:
+            flat = lists.flatten()
+            inside = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(held)))
+            ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.fill_null(held.take(pc.if_else(inside, flat, None)), "[UNK]"))
+    return F.arrow_udf(find, "array<string>")(F.coalesce(ids.cast("array<int>"), F.array().cast("array<int>")))
+
+
 def decode_ids(df: DataFrame, vocab: DataFrame, ids_col: str = "input_ids",
                keep=(ROW_ID,), out_col: str = "tokens") -> DataFrame:
     """M5: id array -> token strings (unknown ids -> [UNK])."""
-    ex = df.select(*keep, F.posexplode_outer(ids_col).alias("pos", ID))
-    v = small_table(vocab.select(TOKEN, ID).dropDuplicates([ID]))
-    j = ex.join(v, ID, "left")
-    item = F.when(F.col(ID).isNotNull(),
-                  F.struct(F.col("pos"), F.coalesce(F.col(TOKEN), F.lit("[UNK]")).alias(TOKEN)))
-    return (j.groupBy(*keep).agg(F.array_sort(F.collect_list(item)).alias("_p"))
-            .select(*keep, F.transform("_p", lambda x: x[TOKEN]).alias(out_col)))
+    return df.select(*keep, lookup_tokens(F.col(ids_col), vocab).alias(out_col))
