@@ -10,7 +10,9 @@ from textloom.functions import first_label_ascii as fla
 from textloom.functions import keep_flag, strip_text, to_text
 from textloom.operators import clean as C
 from textloom.plans.cleaning import clean_corpus, clean_corpus_two_stage
+from textloom.session import work_path
 from textloom.sources import corpus as S
+from textloom.sources.reports import read_lines, write_stats_report
 from textloom.sources.tables import corpus_from_documents, rare_threshold, table
 
 QUERIES: dict = {}
@@ -236,7 +238,6 @@ __all__ = ["QUERIES", "ORACLES", "q"]
 SELECT p.row_id, p.summary, p.label, p.source FROM prepared p JOIN counts c ON p.label = c.label
 WHERE p.summary IS NOT NULL AND c.n >= {THRESHOLD}""")
 def q_write_corpus(spark, sf):
-    from textloom.session import work_path
     path = S.write_corpus(_m1(spark, sf).corpus, work_path(spark, "clean_corpus_csv"), "csv")
     return S.read_corpus(spark, path, "csv", row_id_col="row_id").select("row_id", "summary", "label", "source")
 
@@ -244,7 +245,7 @@ def q_write_corpus(spark, sf):
 REPORT_SQL = f"""{PREPARED},
 st AS ({STATS_SQL}),
 cls AS ({CLASSES_SQL})
-SELECT CAST(block AS INTEGER) AS block, CAST(ord AS BIGINT) AS ord, line FROM (
+SELECT row_number() OVER (ORDER BY block, ord) AS line_no, line FROM (
   SELECT 0 AS block, 0 AS ord, repeat('=', 60) AS line
   UNION ALL SELECT 0, 1, '数据处理统计信息'
   UNION ALL SELECT 0, 2, repeat('=', 60)
@@ -267,12 +268,9 @@ SELECT CAST(block AS INTEGER) AS block, CAST(ord AS BIGINT) AS ord, line FROM (
 
 @reg("write_stats_report", REPORT_SQL)
 def q_write_stats_report(spark, sf):
-    from textloom.session import work_path
-    from textloom.sources.reports import cleaning_report_lines, write_lines
+    """Lines as the written file holds them."""
     m = _m1(spark, sf)
-    lines = cleaning_report_lines(m.stats, m.classes)
-    write_lines(lines, work_path(spark, "stats_report"))
-    return lines
+    return read_lines(spark, write_stats_report(m.stats, m.classes, work_path(spark, "stats_report")))
 
 
 @reg("pct_of_total", f"""{PREPARED}
@@ -285,7 +283,7 @@ def q_pct_of_total(spark, sf):
 OLD_REPORT_SQL = f"""{PREPARED_OLD},
 st AS ({STATS_SQL}),
 cls AS ({CLASSES_SQL})
-SELECT CAST(block AS INTEGER) AS block, CAST(ord AS BIGINT) AS ord, line FROM (
+SELECT row_number() OVER (ORDER BY block, ord) AS line_no, line FROM (
   SELECT 0 AS block, 0 AS ord, repeat('=', 60) AS line
   UNION ALL SELECT 0, 1, '数据清洗统计信息'
   UNION ALL SELECT 0, 2, repeat('=', 60)
@@ -308,6 +306,6 @@ SELECT CAST(block AS INTEGER) AS block, CAST(ord AS BIGINT) AS ord, line FROM (
 
 @reg("write_stats_report_two_stage", OLD_REPORT_SQL)
 def q_write_stats_report_two_stage(spark, sf):
-    from textloom.sources.reports import cleaning_report_lines
+    """Lines as the written file holds them."""
     m = _m2(spark, sf)
-    return cleaning_report_lines(m.stats, m.classes, style="old")
+    return read_lines(spark, write_stats_report(m.stats, m.classes, work_path(spark, "stats_report"), style="old"))

@@ -11,6 +11,7 @@ from textloom.operators import labels as L
 from textloom.operators import metrics as MT
 from textloom.plans import evaluation as EV
 from textloom.session import work_path
+from textloom.sources.reports import read_lines
 from textloom.sources.tables import history_from_events, logits_from_embeddings, pairs_from_labels, table
 
 QUERIES: dict = {}
@@ -177,9 +178,11 @@ w AS (SELECT CAST(greatest(12, 4, max(length(label))) AS INTEGER) AS width FROM
 o AS (SELECT sum(tp) / sum(support) AS acc, avg(precision) FILTER (WHERE support + predicted > 0) AS mp,
   avg(recall) FILTER (WHERE support + predicted > 0) AS mr, avg(f1_score) FILTER (WHERE support + predicted > 0) AS mf,
   sum(precision * support) / sum(support) AS wp, sum(recall * support) / sum(support) AS wr,
-  sum(f1_score * support) / sum(support) AS wf, sum(support) AS n FROM pcm)
-SELECT 1 AS block, CAST(0 AS BIGINT) AS ord,
-  repeat(' ', width) || ' ' || ' precision    recall  f1-score   support' AS line FROM w
+  sum(f1_score * support) / sum(support) AS wf, sum(support) AS n FROM pcm),
+report AS (SELECT * FROM (
+SELECT 0 AS block, 0 AS ord, 'Best Epoch: 3' AS line UNION ALL SELECT 0, 1, 'Validation Accuracy: 0.9120' UNION ALL SELECT 0, 2, ''
+UNION ALL SELECT 1, 0,
+  repeat(' ', width) || ' ' || ' precision    recall  f1-score   support'  FROM w
 UNION ALL SELECT 1, 1, ''
 UNION ALL SELECT 3, 0, ''
 UNION ALL SELECT 2, code + 1, lpad(label, (SELECT width FROM w), ' ') || '  ' || printf('%9.4f', precision) || ' '
@@ -189,35 +192,53 @@ UNION ALL SELECT 4, 2, lpad('accuracy', (SELECT width FROM w), ' ') || ' ' || re
 UNION ALL SELECT 4, 3, lpad('macro avg', (SELECT width FROM w), ' ') || '  ' || printf('%9.4f', mp) || ' ' || printf('%9.4f', mr)
   || ' ' || printf('%9.4f', mf) || ' ' || printf('%9d', n) FROM o
 UNION ALL SELECT 4, 4, lpad('weighted avg', (SELECT width FROM w), ' ') || '  ' || printf('%9.4f', wp) || ' ' || printf('%9.4f', wr)
-  || ' ' || printf('%9.4f', wf) || ' ' || printf('%9d', n) FROM o""")
+  || ' ' || printf('%9.4f', wf) || ' ' || printf('%9d', n) FROM o))
+SELECT row_number() OVER (ORDER BY block, ord) AS line_no, line FROM report""")
 def q_write_classification_report(spark, sf):
+    """Lines as the written file holds them, with the header of a best epoch."""
     ev = EV.evaluation_report(_scored(spark, sf), _class_dict(spark, sf))
-    lines = EV.classification_report_lines(ev.per_class)
-    EV.write_classification_report(ev.per_class, work_path(spark, "classification_report"))
-    return lines
+    return read_lines(spark, EV.write_classification_report(ev.per_class, work_path(spark, "classification_report"), 3, 0.912))
 
 
-@reg("write_metrics_json", f"""WITH {Z}, {CDICT}, {per_class_sql('s', 'cdict')}
+@reg("write_metrics_json", f"""WITH {Z}, {CDICT}, {per_class_sql('s', 'cdict')},
+o AS (SELECT sum(tp) / sum(support) AS acc, avg(precision) FILTER (WHERE support + predicted > 0) AS mp,
+  avg(recall) FILTER (WHERE support + predicted > 0) AS mr, avg(f1_score) FILTER (WHERE support + predicted > 0) AS mf,
+  sum(precision * support) / sum(support) AS wp, sum(recall * support) / sum(support) AS wr,
+  sum(f1_score * support) / sum(support) AS wf FROM pcm)
 SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1_score, 6) AS f1_score,
-  CAST(support AS INTEGER) AS support, round((SELECT sum(tp) / sum(support) FROM pcm), 6) AS accuracy FROM pcm""")
+  CAST(support AS INTEGER) AS support, round(acc, 6) AS accuracy, round(mp, 6) AS macro_precision, round(mr, 6) AS macro_recall,
+  round(mf, 6) AS macro_f1, round(wp, 6) AS weighted_precision, round(wr, 6) AS weighted_recall, round(wf, 6) AS weighted_f1
+FROM pcm, o""")
 def q_write_metrics_json(spark, sf):
+    """Classes and all averages as the written document holds them."""
     ev = EV.evaluation_report(_scored(spark, sf), _class_dict(spark, sf))
     path = EV.write_metrics_json(ev.per_class, work_path(spark, "metrics_json"))
+    mean = "struct<precision: double, recall: double, f1_score: double>"
     schema = ("struct<per_class: map<string, struct<precision: double, recall: double, f1_score: double, "
-              "support: int>>, overall: struct<accuracy: double>>")
+              f"support: int>>, overall: struct<accuracy: double, macro_avg: {mean}, weighted_avg: {mean}>>")
     doc = spark.read.text(path).select(F.from_json("value", schema).alias("d"))
-    return (doc.select(F.explode("d.per_class").alias("label", "m"), F.col("d.overall.accuracy").alias("acc"))
+    averages = [r6(f"o.{avg}_avg.{key}").alias(f"{avg}_{name}") for avg in ("macro", "weighted")
+                for key, name in (("precision", "precision"), ("recall", "recall"), ("f1_score", "f1"))]
+    return (doc.select(F.explode("d.per_class").alias("label", "m"), F.col("d.overall").alias("o"))
             .select("label", r6("m.precision").alias("precision"), r6("m.recall").alias("recall"),
                     r6("m.f1_score").alias("f1_score"), F.col("m.support").alias("support"),
-                    r6("acc").alias("accuracy")))
+                    r6("o.accuracy").alias("accuracy"), *averages))
 
 
 @reg("write_confusion", f"WITH {Z} SELECT y_true, y_pred, count(*) AS n FROM s GROUP BY ALL")
 def q_write_confusion(spark, sf):
     conf = MT.confusion_matrix(_scored(spark, sf))
-    path = EV.write_confusion(conf, work_path(spark, "confusion"))
-    EV.write_confusion(conf, work_path(spark, "confusion_wide"), wide=True, dictionary=_class_dict(spark, sf))
-    return spark.read.parquet(path)
+    return spark.read.parquet(EV.write_confusion(conf, work_path(spark, "confusion")))
+
+
+@reg("write_confusion_wide", f"""WITH {Z}, {CDICT}
+SELECT a.code AS y_true, b.code AS y_pred, count(s.row_id) AS n FROM cdict a JOIN cdict b ON TRUE
+LEFT JOIN s ON s.y_true = a.code AND s.y_pred = b.code GROUP BY ALL""")
+def q_write_confusion_wide(spark, sf):
+    """All cells of the square matrix, read back from its column blocks."""
+    conf = MT.confusion_matrix(_scored(spark, sf))
+    path = EV.write_confusion(conf, work_path(spark, "confusion_wide"), wide=True, dictionary=_class_dict(spark, sf))
+    return EV.read_confusion_wide(spark, path)
 
 
 @reg("batch_mean_loss", f"""WITH {Z},

@@ -11,7 +11,8 @@ from textloom.functions import (
 )
 from textloom.operators import profile as P
 from textloom.plans.profiling import profile_lengths, profile_metrics
-from textloom.sources.reports import length_report_lines
+from textloom.session import work_path
+from textloom.sources.reports import read_lines, write_length_report
 from textloom.sources.tables import labelled_documents, table
 
 QUERIES: dict = {}
@@ -272,7 +273,7 @@ def q_profile_lengths(spark, sf):
 s AS (SELECT count(*) AS n, min(len) AS mn, max(len) AS mx, avg(len) AS mean, median(len) AS med,
   stddev_samp(len) AS std FROM lens),
 {COV}
-SELECT CAST(block AS INTEGER) AS block, CAST(ord AS BIGINT) AS ord, line FROM (
+SELECT row_number() OVER (ORDER BY block, ord) AS line_no, line FROM (
 SELECT * FROM (VALUES (0, 0, 'Summary Token长度统计'), (0, 1, repeat('=', 60)), (0, 8, '')) t(block, ord, line)
 UNION ALL SELECT 0, 2, '总样本数: ' || n FROM s
 UNION ALL SELECT 0, 3, '最小token长度: ' || mn FROM s
@@ -284,12 +285,7 @@ UNION ALL SELECT 1, "limit", 'MAX_LENGTH=' || "limit" || ': 覆盖 '
   || printf('%.2f', 100.0 * n_within / total) || '% 的数据' FROM cov)""")
 def q_write_length_report(spark, sf):
     p = profile_lengths(labelled_documents(spark, sf))
-    lines = length_report_lines(p.summary, p.coverage)
-    from textloom.session import work_path
-    from textloom.sources.reports import write_lines
-    path = write_lines(lines, work_path(spark, "length_report"))
-    spark.read.text(path)  # the written report is readable
-    return lines
+    return read_lines(spark, write_length_report(p.summary, p.coverage, work_path(spark, "length_report")))
 
 
 __all__ = ["QUERIES", "ORACLES", "q"]

@@ -8,7 +8,7 @@ dictionary.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textloom.operators.labels import CODE
@@ -16,6 +16,7 @@ from textloom.session import small_table
 from textloom.sources.corpus import LABEL
 
 TOP_K = 5
+BLOCK_COLUMNS = 256       # of the blocked confusion matrix
 
 
 def accuracy(pairs: DataFrame, true_col: str = "y_true", pred_col: str = "y_pred") -> DataFrame:
@@ -29,30 +30,55 @@ def confusion_matrix(pairs: DataFrame, true_col: str = "y_true", pred_col: str =
         F.count(F.lit(1)).alias("n"))
 
 
+def _codes(confusion: DataFrame, dictionary: DataFrame | None) -> DataFrame:
+    """Codes of a square matrix: every class of the dictionary when given,
+    else every class seen as truth or prediction (the scikit-learn default)."""
+    if dictionary is not None:
+        return dictionary.select(F.col(CODE).cast("int").alias("c"))
+    return (confusion.select(F.col("y_true").cast("int").alias("c"))
+            .union(confusion.select(F.col("y_pred").cast("int").alias("c"))).distinct())
+
+
 def confusion_wide(confusion: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
     """A11 wide form: a square matrix, one row per true code and one column
-    per predicted code, zeros filled. The codes are every class of the
-    dictionary when given, else every class seen as truth or prediction
-    (the scikit-learn default). A matrix of many classes is one column a
-    class; the long form (``confusion_matrix``) has no such width."""
-    if dictionary is not None:
-        codes_df = dictionary.select(F.col(CODE).cast("int").alias("c"))
-    else:
-        codes_df = (confusion.select(F.col("y_true").cast("int").alias("c"))
-                    .union(confusion.select(F.col("y_pred").cast("int").alias("c"))).distinct())
+    per predicted code, zeros filled (codes as in ``_codes``). A matrix of many
+    classes is one column a class; ``confusion_blocks`` and the long form
+    (``confusion_matrix``) have no such width."""
+    codes_df = _codes(confusion, dictionary)
     codes = sorted(r[0] for r in codes_df.collect())
-    spark = confusion.sparkSession
-    limit = spark.conf.get("spark.sql.pivotMaxValues")
-    if len(codes) >= int(limit):      # Spark's guard against unmeant width; here it is meant
-        spark.conf.set("spark.sql.pivotMaxValues", len(codes) + 1)
-    try:
-        wide = confusion.groupBy("y_true").pivot("y_pred", codes).agg(F.sum("n"))
-    finally:
-        spark.conf.set("spark.sql.pivotMaxValues", limit)
+    cells = [F.sum(F.when(F.col("y_pred") == c, F.col("n")).otherwise(0)).alias(str(c)) for c in codes]
+    wide = confusion.groupBy("y_true").agg(*cells) if cells else confusion.select("y_true").distinct()
     rows = codes_df.select(F.col("c").alias("y_true"))
     return rows.join(wide, "y_true", "left").fillna(0)
 
 
+def confusion_blocks(confusion: DataFrame, dictionary: DataFrame | None = None, width: int = BLOCK_COLUMNS) -> DataFrame:
+    """The square matrix in blocks of ``width`` columns, the same layout
+    for any number of classes: ``y_true``, ``first`` (the block's first column,
+    counted over the sorted codes), ``codes`` and ``n`` (arrays of at most
+    ``width`` predicted codes and their counts, zeros filled)."""
+    order = small_table(_codes(confusion, dictionary).select(
+        "c", (F.row_number().over(Window.orderBy("c")) - 1).alias("place")), "matrix-codes")
+    blocks = order.groupBy((F.floor(F.col("place") / width) * width).cast("int").alias("first")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("place", "c"))), lambda x: x["c"]).alias("codes"))
+    at = order.select(F.col("c").alias("y_pred"), (F.floor(F.col("place") / width) * width).cast("int").alias("first"))
+    held = confusion.join(at, "y_pred").groupBy("y_true", "first").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("y_pred").cast("int"), F.col("n")))).alias("m"))
+    # classes x blocks: every row of the matrix has every block
+    n_blocks = blocks.agg(F.count("*")).scalar()
+    grid = order.select(F.col("c").alias("y_true"), F.explode(F.sequence(F.lit(0), (n_blocks - 1).cast("int"))).alias("b"))
+    grid = grid.select("y_true", (F.col("b") * width).alias("first"))
+    return (grid.join(blocks, "first").join(held, ["y_true", "first"], "left")
+            .select("y_true", "first", "codes", F.transform("codes", lambda c: F.coalesce(
+                F.try_element_at("m", c), F.lit(0).cast("bigint"))).alias("n")))
+
+
+def cells_of_blocks(blocks: DataFrame) -> DataFrame:
+    """Long cells ``y_true, y_pred, n`` of a blocked matrix, zeros included."""
+    return blocks.select("y_true", F.explode(F.arrays_zip("codes", "n")).alias("x")).select(
+        "y_true", F.col("x.codes").alias("y_pred"), F.col("x.n").alias("n"))
+
+
 def class_totals(confusion: DataFrame) -> DataFrame:
     """Per class code: true positives, support (row sum), predicted (column sum).
 

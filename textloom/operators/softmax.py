@@ -67,7 +67,7 @@ class Optimizer:
         warm = int(np.ceil(self.rules.warmup * self.total))
         if t <= warm:
             return self.rules.rate * t / warm
-        return self.rules.rate * (self.total - t + 1) / (self.total - warm + 1)
+        return self.rules.rate * (self.total - t + 1) / (self.total - warm)
 
     def step(self, weights: np.ndarray, gradient: np.ndarray) -> np.ndarray:
         r, self.t = self.rules, self.t + 1

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.operators import metrics as MT
+from textloom.session import small_table
 from textloom.sources.corpus import LABEL
 from textloom.sources.reports import pyformat, write_lines
 
@@ -28,8 +29,9 @@ class Evaluation(NamedTuple):
 
 def evaluation_report(pairs: DataFrame, dictionary: DataFrame,
                       true_col: str = "y_true", pred_col: str = "y_pred") -> Evaluation:
-    """M9: confusion matrix, per-class and overall metrics from pairs."""
-    conf = MT.confusion_matrix(pairs, true_col, pred_col)
+    """M9: confusion matrix, per-class and overall metrics from pairs. The
+    cells (classes squared at most) are written once for all that read them."""
+    conf = small_table(MT.confusion_matrix(pairs, true_col, pred_col), "confusion")
     per = MT.per_class_metrics(conf, dictionary)
     return Evaluation(conf, per, MT.overall_metrics(per))
 
@@ -63,13 +65,19 @@ def write_metrics_json(per_class: DataFrame, path: str) -> str:
 
 def write_confusion(confusion: DataFrame, path: str, wide: bool = False,
                     dictionary: DataFrame | None = None) -> str:
-    """The confusion matrix as parquet: long cells, or the square wide
-    matrix (over seen classes, or over the dictionary when given)."""
-    out = MT.confusion_wide(confusion, dictionary) if wide else confusion
+    """The confusion matrix as parquet: long cells, or the square
+    matrix in column blocks (over seen classes, or over the dictionary when
+    given), whatever the number of classes."""
+    out = MT.confusion_blocks(confusion, dictionary) if wide else confusion
     out.write.mode("overwrite").parquet(path)
     return path
 
 
+def read_confusion_wide(spark: SparkSession, path: str) -> DataFrame:
+    """Cells ``y_true, y_pred, n`` of a written square matrix."""
+    return MT.cells_of_blocks(spark.read.parquet(path))
+
+
 def report_rows(per_class: DataFrame) -> DataFrame:
     """Numeric rows of the classification report: classes, then accuracy,
     macro avg and weighted avg (``kind`` orders them)."""

@@ -25,13 +25,15 @@ def score_texts(spark, model_dir: str, input_path: str, output_path: str, fmt: s
     from textloom.operators.clean import drop_blank_text
     from textloom.plans.training import load_model
     from textloom.sources.corpus import TEXT
+    from textloom.sources.positions import with_positions
 
     model, dictionary = load_model(spark, model_dir)
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
     df = reader.load(input_path)
-    rid = F.col(row_id_col).cast("bigint") if row_id_col else F.monotonically_increasing_id()
-    texts = drop_blank_text(df.select(rid.alias(ROW_ID), F.col(text_col).alias(TEXT)))
+    if row_id_col is None:
+        df, row_id_col = with_positions(df, "_row_id", fmt == "parquet"), "_row_id"
+    texts = drop_blank_text(df.select(F.col(row_id_col).cast("bigint").alias(ROW_ID), F.col(text_col).alias(TEXT)))
     score_top5(model, texts, dictionary, k).write.mode("overwrite").parquet(output_path)
     return output_path

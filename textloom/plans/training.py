@@ -30,7 +30,7 @@ from textloom.operators import labels as L
 from textloom.operators import metrics as MT
 from textloom.operators import softmax as SM
 from textloom.operators.clean import drop_blank_text, drop_null_rows
-from textloom.operators.encode import build_vocab, encode_fixed_length
+from textloom.operators.encode import MAX_LENGTH, VOCAB_SIZE, build_vocab, encode_fixed_length
 from textloom.operators.split import TRAIN, VALIDATION, assign_batches, stratified_split
 from textloom.plans.evaluation import evaluation_report, write_classification_report, write_confusion, \
     write_metrics_json
@@ -58,26 +58,44 @@ class Prepared(NamedTuple):
 def prepare_training(df: DataFrame, test_size: float = TEST_SIZE, seed: int = SEED,
                      materialize: bool = True) -> Prepared:
     """M6: drop nulls and blank texts, strip the texts, build the
-    dictionary, encode labels, split exactly by class."""
+    dictionary, encode labels, split exactly by class. The result is written
+    once, in one folder a split, so each later step (vocabulary, features, both
+    splits) reads only its files."""
     clean = drop_blank_text(drop_null_rows(df)).withColumn(TEXT, strip_text(F.col(TEXT)))
     dictionary = L.label_dictionary(clean, materialize=materialize)
     coded = L.encode_labels(clean, dictionary)
     split = stratified_split(coded, test_size, seed, materialize=materialize)
     if materialize:
-        # The training set is read by every later step (vocabulary, features,
-        # both splits): write it once to the shared folder.
-        split = cut_lineage(split)
+        path = work_path(df.sparkSession, "prepared")
+        split = read_by_split(df.sparkSession, write_by_split(split, path), split.schema)
     return Prepared(split, dictionary)
 
 
-def encoded_examples(prepared: Prepared, vocab_size: int = 21128, max_length: int = 128,
-                     materialize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """M6 + A17 + M4: fixed-length ids and masks for every prepared row,
-    with the vocabulary built on the training split only."""
+def write_by_split(df: DataFrame, path: str) -> str:
+    """M6: a table with a ``split`` column as Parquet, a folder a split."""
+    df.write.mode("overwrite").partitionBy("split").parquet(path)
+    return path
+
+
+def read_by_split(spark: SparkSession, path: str, schema=None, split: str | None = None) -> DataFrame:
+    """M6: the table back; with ``split`` only that folder's files are listed."""
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(path if split is None else os.path.join(path, f"split={split}"))
+
+
+def encoded_examples(prepared: Prepared, vocab_size: int = VOCAB_SIZE, max_length: int = MAX_LENGTH,
+                     path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """M6 + A17 + M4: ``row_id, code, input_ids, attention_mask, split`` of every
+    prepared row, with the vocabulary built on the training split only; with
+    ``path`` written there in one folder a split."""
     vocab = build_vocab(prepared.data.where(F.col("split") == TRAIN), vocab_size)
-    if materialize:
-        vocab = cut_lineage(vocab)
     enc = encode_fixed_length(prepared.data, vocab, max_length, keep=(ROW_ID, "code", "split"))
+    enc = enc.select(ROW_ID, "code", "input_ids", "attention_mask", "split")
+    if path is not None:
+        spark = enc.sparkSession
+        enc = read_by_split(spark, write_by_split(enc, path), enc.schema)
     return enc, vocab
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.text import PANDAS_NA_TOKENS, null_if_token
+from textloom.sources.positions import with_positions
 
 TEXT = "summary"
 LABEL = "label"
@@ -20,9 +21,9 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "csv",
     CSV is read with a header, quoted multi-line fields and doubled quotes,
     all columns as strings (no schema inference pass over the data). Extra
     columns pass through untouched; one that would clash with an output name
-    raises. An existing ``row_id`` column is used; without one a row id is made
-    with ``monotonically_increasing_id``, which depends on the input splits:
-    give an id column where a split must be the same on another cluster.
+    raises. An existing ``row_id`` column is used; without one a row id is the
+    row's place in its file (``with_positions``), so it is the same however the
+    input is split; for CSV and JSON that takes one more scan, which counts rows.
     A multi-line CSV file cannot be split, so each file is one task: at
     scale use many moderate files, Parquet, or ``multiline=False`` when no
     quoted field holds a line break.
@@ -45,8 +46,10 @@ def read_corpus(spark: SparkSession, path: str, fmt: str = "csv",
     clash = [c for c in (TEXT, LABEL, ROW_ID) if c in df.columns and c not in used]
     if clash:
         raise ValueError(f"column(s) {clash} would be replaced; rename them or name them as text, label or row id")
-    rid = F.col(row_id_col).cast("bigint") if row_id_col else F.monotonically_increasing_id()
     extras = [c for c in df.columns if c not in used]
+    if row_id_col is None:
+        df, row_id_col = with_positions(df, ROW_ID, fmt == "parquet"), ROW_ID
+    rid = F.col(row_id_col).cast("bigint")
     return df.select(
         rid.alias(ROW_ID),
         F.col(text_col).cast("string").alias(TEXT),

@@ -10,11 +10,12 @@ small Arrow-batched helper that only ever sees the few report rows.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from textloom.operators.clean import SECTION_DELETED, SECTION_KEPT
+from textloom.sources.positions import with_positions
 
 # ---------------------------------------------------------------------------
 # Fixed values (report wording and layout of the reference)
@@ -120,5 +121,12 @@ def write_lines(lines: DataFrame, path: str) -> str:
     return path
 
 
-__all__ = ["cleaning_report_lines", "length_report_lines", "write_lines", "write_stats_report",
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line_no, line`` of a written report: from 1, in file order."""
+    text = spark.read.text(path)
+    placed = with_positions(text, "_at")
+    return placed.select(F.row_number().over(Window.orderBy("_at")).cast("bigint").alias("line_no"), F.col("value").alias("line"))
+
+
+__all__ = ["read_lines", "cleaning_report_lines", "length_report_lines", "write_lines", "write_stats_report",
            "write_length_report", "pyformat", "SECTION_KEPT"]
