@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next stage's ``docs``. All but the last
-return the columns of their input. Stages read nothing else but ``benchmark``
+return the columns of their input. As ``docs`` is a plain scan, its rows have
+places in their files: stages pass on what goes, by row, and copy no texts. Stages read nothing else but ``benchmark``
 and ``labels``.
 """
 
@@ -18,22 +19,22 @@ from textloom.llm.spans import dedup_spans
 
 def quality_rules(spark, docs, sf_dir):
     """Documents that pass the base rules and are no outliers of their group."""
-    return keep_quality(docs)
+    return keep_quality(docs, scan=True)
 
 
 def simhash_dedup(spark, docs, sf_dir):
     """One document (the smallest id) of each near-duplicate group."""
-    return keep_first(docs, shingle=3, max_bits=2)
+    return keep_first(docs, shingle=3, max_bits=2, scan=True)
 
 
 def substring_dedup(spark, docs, sf_dir):
     """All documents, without sentences of non-first repeated spans."""
-    return dedup_spans(docs).select(*docs.columns)
+    return dedup_spans(docs, scan=True).select(*docs.columns)
 
 
 def decontaminate(spark, docs, sf_dir):
     """Documents that hold no benchmark item."""
-    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"), scan=True)
 
 
 def mix_sources(spark, docs, sf_dir):
