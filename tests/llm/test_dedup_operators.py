@@ -193,3 +193,49 @@ def test_decontamination_finds_planted_items(spark, sf0001, docs, no_docs):
     assert D.drop_contaminated(docs, items).columns == docs.columns
     assert D.contaminated(no_docs, items).count() == 0
     assert D.contaminated(docs, items.limit(0)).count() == 0
+
+
+def test_plain_scans_are_not_copied(spark, docs, tmp_path):
+    """Rows by their places in files give what numbered copies give, and
+    columns of clashing names come through."""
+    from pyspark.sql import functions as F
+
+    from textloom.llm import quality as Q
+
+    path = str(tmp_path / "docs")
+    wide = docs.withColumns({c: F.lit(c) for c in ("_row", "row", "spans", "_row_x", "n", "gone")})
+    wide.repartition(3).write.parquet(path)
+    scan, items = spark.read.parquet(path), spark.createDataFrame([(1, "word1x1 word2x2 word3x3 word4x4 word5x5 word6x6 word7x7")], "item_id long, text string")
+    for run in (lambda d, s: S.keep_first(d, scan=s), lambda d, s: P.dedup_spans(d, s), lambda d, s: Q.keep_quality(d, s),
+                lambda d, s: D.drop_contaminated(d, items, s)):
+        a, b = run(scan, True), run(scan, False)
+        assert a.columns == b.columns and set(wide.columns) <= set(a.columns)
+        assert sorted(map(repr, a.drop("text").collect())) == sorted(map(repr, b.drop("text").collect()))
+
+
+def test_a_hot_run_is_found_in_every_text(spark):
+    passage = " ".join(f"hot{i}" for i in range(40)) + "."
+    rows = [(i, f"own {i} text here. {passage} end {i}.") for i in range(500)]
+    got = P.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    assert sum(passage in r["text"] for r in got) == 1 and {r["doc_id"] for r in got if passage in r["text"]} == {0}
+
+
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    rows = [(i, f"{' '.join(f'w{(i * 31 + k) % 50}' for k in range(60))}. own{i}.") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(tuple(r) for r in P.dedup_spans(df).collect())
+    monkeypatch.setattr(P, "repeated_filter", lambda found: b"\xff" * (P.FILTER_BITS // 8))
+    assert sorted(tuple(r) for r in P.dedup_spans(df).collect()) == want
+
+
+def test_merged_spans_cover_the_same_pieces():
+    import pyarrow as pa
+
+    r = random.Random(3)
+    rows = [[(r.randrange(300) << 20) | r.randrange(8) for _ in range(r.randrange(1, 60))] for _ in range(50)] + [[5 << 20 | 0xFFFFE, (5 + 0xFFFFF) << 20 | 7]]
+    got = next(P._merged([pa.RecordBatch.from_arrays([pa.array(range(51)), pa.array(rows, pa.list_(pa.int64()))], ["row", "spans"])]))
+
+    def pieces(spans):
+        return {k for s in spans for k in range(s >> 20, (s >> 20) + (s & 0xFFFFF) + 1)}
+    for want, x in zip(rows, got["spans"].to_pylist(), strict=True):
+        assert pieces(want) == pieces(x) and len(x) <= len(want)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textloom.session import work_path
+from textloom.sources.positions import with_positions
 
 # The ASCII word class of the contracts, as Java regex.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -54,3 +55,38 @@ def positions(df: DataFrame, order: list, name: str = "positions") -> DataFrame:
     return (placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
             .withColumn("pos", F.col("_before") + F.col("_i").bitwiseAND(F.lit((1 << 33) - 1)))
             .drop("_i", "_part", "_before"))
+
+
+BROADCAST_BYTES = 64 << 20
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def numbered(df: DataFrame, name: str, scan: bool = False) -> tuple[DataFrame, str]:
+    """``df`` with a unique, repeatable row number, and that column's name.
+
+    ``scan``: ``df`` is a plain scan of Parquet files, whose rows have places in
+    their files; nothing is written. Otherwise a numbered copy is stored."""
+    row = fresh(df, "_row")
+    if scan:
+        return with_positions(df, row, indexed=True), row
+    return stored(df.withColumn(row, F.monotonically_increasing_id()), name, "zstd"), row
+
+
+def small_side(df: DataFrame, row_bytes, bound: int = BROADCAST_BYTES) -> DataFrame:
+    """``df``, a stored table, marked for broadcast if its rows (``row_bytes``
+    each) are counted to stay within ``bound``; else Spark joins by shuffle."""
+    size = df.agg(F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)).first()[0] or 0
+    return F.broadcast(df) if size <= bound else df
+
+
+def without_rows(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """``rows`` less those numbered in ``gone`` (one column), and less ``row``."""
+    gone = stored(gone.toDF(row), "gone-rows")
+    return rows.join(small_side(gone, 32), row, "left_anti").drop(row)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import stored, table
+from textloom.llm.common import numbered, stored, table, without_rows
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -233,11 +233,12 @@ def contaminated(docs: DataFrame, items: DataFrame, theta: float = THRESHOLD) ->
         run, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents without a verified hit, row by row."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "decontam-docs")
-    hits = stored(contaminated(rows.select(F.col("_row").alias("doc_id"), "text"), items).select(F.col("doc_id").alias("_row")).distinct(), "decontam-hits")
-    return rows.join(hits, "_row", "left_anti").drop("_row")
+def drop_contaminated(docs: DataFrame, items: DataFrame, scan: bool = False) -> DataFrame:
+    """The documents without a verified hit, row by row. ``scan``: see
+    ``numbered``."""
+    rows, row = numbered(docs, "decontam-docs", scan)
+    hits = contaminated(rows.select(F.col(row).alias("doc_id"), "text"), items)
+    return without_rows(rows, row, hits.select(F.col("doc_id").alias("row")).distinct())
 
 
 def op5_decontaminate(spark, sf_dir) -> DataFrame:

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import stored, table, words
+from textloom.llm.common import numbered, stored, table, without_rows, words
 
 # Fixed values of the contract.
 SYMBOLS = "#*$%&|<>"
@@ -211,16 +211,15 @@ def narrow_stats(docs: DataFrame) -> DataFrame:
     return stored(stats.drop("text"), "quality-stats")
 
 
-def keep_quality(docs: DataFrame) -> DataFrame:
+def keep_quality(docs: DataFrame, scan: bool = False) -> DataFrame:
     """The documents that pass, with their own columns.
 
-    Documents are written once beside their statistics: estimates read only
-    the statistics' columns, and the filter meets stored numbers (pushed into
-    the counting expressions, it would repeat them many times over)."""
-    full = stored(with_stats(with_counts(docs.select(F.struct("*").alias("_doc"), "text", "lang", "source"))).drop("text"), "quality-docs")
-    stats = full.drop("_doc")
+    Estimates and verdicts read a stored table of the statistics; rows that go are
+    listed and left out of ``docs``. ``scan``: see ``numbered``."""
+    rows, row = numbered(docs, "quality-docs", scan)
+    stats = stored(with_stats(with_counts(rows.select(F.col(row).alias("row"), "text", "lang", "source"))).drop("text"), "quality-stats")
     groups = stored(grouped(stats), "mcd-pools")
-    return judge(full, groups, fit(stats, groups)).filter("kept").select("_doc.*")
+    return without_rows(rows, row, judge(stats, groups, fit(stats, groups)).filter("not kept").select("row"))
 
 
 def op3_quality_rules(spark, sf_dir) -> DataFrame:

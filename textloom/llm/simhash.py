@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import stored, table
+from textloom.llm.common import numbered, stored, table, without_rows
 
 SEED = 42        # fixed value of the contract
 BUCKET = 32
@@ -208,15 +208,17 @@ def near_duplicates(df: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataF
     return fps.join(label, "fp")
 
 
-def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """One document of each group: the first row with the smallest id."""
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "simhash-docs")
+def keep_first(docs: DataFrame, shingle: int = 3, max_bits: int = 2, scan: bool = False) -> DataFrame:
+    """One document of each group: the first row with the smallest id. Rows
+    that go are listed and left out of ``docs``; ``scan``: see ``numbered``."""
+    rows, row = numbered(docs, "simhash-docs", scan)
     # rows are numbered apart from their ids, which may be null or repeated
-    found = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), shingle, max_bits)
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
-    kept = stored(rows.select("_row", "doc_id").join(found.select(F.col("doc_id").alias("_row"), "component_id"), "_row")
-                  .groupBy("component_id").agg(F.min_by("_row", order).alias("_row")).select("_row"), "simhash-kept")
-    return rows.join(kept, "_row", "left_semi").drop("_row")
+    found = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), shingle, max_bits)
+    ids = rows.select(F.col(row).alias("row"), "doc_id").join(found.select(F.col("doc_id").alias("row"), "component_id"), "row")
+    ids = stored(ids, "simhash-members")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    kept = ids.groupBy("component_id").agg(F.min_by("row", order).alias("row")).select("row")
+    return without_rows(rows, row, ids.select("row").join(kept, "row", "left_anti"))
 
 
 def op4_simhash_dedup(spark, sf_dir) -> DataFrame:

@@ -12,14 +12,20 @@ repeated stretch of whole pieces of that size is covered from end to end.
 The first occurrence (smallest ``doc_id``, then row, then place) of a repeated
 run stays; pieces covered by any other occurrence are removed from the text.
 
-Equal runs are combined in the tasks that find them, so a hot run crosses the
-shuffle once per some ``COMBINE`` runs; all runs cross it once, and each
-document's hits are combined to one list of places.
+Each text is cut once, into a stored table of its runs. Of all runs only the
+first 64 bits of the hash are exchanged and counted; those found more than once
+are kept as bits of a filter of fixed size (``FILTER_BITS``), and only runs that pass
+it give rows with whole hashes and places. A run's first place is a minimum, so
+occurrences of a hot run are never brought together: a text loses the passing
+runs it holds, less those it holds first (a run that passed by chance is held first
+by its only text). What a text loses is joined to it by row number, by broadcast
+while all of it stays within ``BROADCAST_BYTES``, else by shuffle.
 
 Defined results: null text stays null and has no pieces; empty or short texts
 stay whole; repeated rows count as occurrences, the first row keeps its text;
 rows with null ``doc_id`` come last; an empty table gives no rows; all input
-columns are kept (``n_chars``, where present, follows the new text).
+columns are kept (``n_chars``, where present, follows the new text), but that
+``n_sentences`` and ``n_removed`` replace columns of these names.
 """
 
 from __future__ import annotations
@@ -27,19 +33,21 @@ from __future__ import annotations
 import re
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import stored, table
+from textloom.llm.common import numbered, small_side, stored, table
 
 RUN = 3
 MAX_WORDS = 12
 WINDOW = 8
 MIN_RUN_WORDS = 15
-COMBINE = 100_000
+COMBINE = 100_000         # hashes counted in a task at once
+FILTER_BITS = 1 << 26
 # a sentence ends behind . ! ? and white space, or at a line end
 _END = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
 _WORD = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
@@ -110,82 +118,131 @@ def runs(text: str):
         yield full[i][0], full[j - 1][0], (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
 
 
-def _combined(found: dict):
-    """One row of each run: its first place and the flat list of its others."""
-    cols = ([], [], [], [], [], [])
-    for (hi, lo), (at, more) in found.items():
-        for c, x in zip(cols, (hi, lo, *at, more), strict=True):
-            c.append(x)
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int64()) if k == 5 else pa.int64()) for k, c in enumerate(cols)],
-                                      ["hi", "lo", "doc", "row", "span", "more"])
-
-
-def _span_rows(batches):
-    """Runs of the documents, equal ones combined within ``COMBINE`` runs."""
-    found = {}
+def _run_rows(batches):
+    """``doc, row, n`` (pieces), ``spans`` and ``hashes`` (high and low halves, by
+    turns) of each document. A span is start << 20 | length: places of a text are
+    far below 2^43."""
     for part in (b.slice(at, 32) for b in batches for at in range(0, b.num_rows, 32)):
-        for doc, row, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-            for i, j, hi, lo in runs(text or ""):
-                # start << 20 | length: places of a text are far below 2^43
-                at = (doc, row, i << 20 | j - i)
-                held = found.setdefault((hi, lo), [at, None])
-                if held[0] is not at:
-                    held[1] = held[1] or []
-                    held[1].extend(max(at, held[0]))
-                    held[0] = min(at, held[0])
-            if len(found) >= COMBINE:
-                yield _combined(found)
-                found = {}
-    if found:
-        yield _combined(found)
-
-
-@F.pandas_udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType())]))
-def _without(text, covered):
+        spans, hashes = [], []
+        for text in part.column(2).to_pylist():
+            found = list(runs(text or ""))
+            spans.append(np.array([i << 20 | j - i for i, j, _, _ in found], np.int64).tobytes())
+            hashes.append(np.array([x for _, _, hi, lo in found for x in (hi, lo)], np.int64).tobytes())
+        yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(spans, pa.binary()), pa.array(hashes, pa.binary())],
+                                         ["doc", "row", "spans", "hashes"])
+
+
+def _counts(batches):
+    """``h, n``: first halves of hashes, equal ones combined within
+    ``COMBINE``."""
+    def counted(held):
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.minimum(n, 2).astype(np.int8))], ["h", "n"])
+
+    held, size = [], 0
+    for batch in batches:
+        for hashes in batch.column(0):
+            held.append(np.frombuffer(hashes.as_buffer(), np.int64)[::2])
+            size += len(held[-1])
+            if size >= COMBINE:
+                yield counted(held)
+                held, size = [], 0
+    if size:
+        yield counted(held)
+
+
+def repeated_filter(found: DataFrame) -> bytes:
+    """Bits of the first halves that occur more than once."""
+    twice = found.select("hashes").mapInArrow(_counts, "h long, n byte").groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1")
+    shift = 65 - FILTER_BITS.bit_length()
+    at = twice.select(F.shiftrightunsigned("h", shift).alias("at"))
+    longs = (at.groupBy(F.shiftright("at", 6).alias("k")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
+             .toArrow())
+    out = np.zeros(FILTER_BITS // 64, "<i8")
+    out[longs.column("k").to_numpy()] = longs.column("bits").to_numpy()
+    return out.tobytes()
+
+
+def _passing(batches, bits: np.ndarray):
+    """``hi, lo, doc, row, span`` of the runs that pass the filter."""
+    shift = np.uint64(65 - FILTER_BITS.bit_length())
+    for batch in batches:
+        docs, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        parts = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(3)]
+        which = np.repeat(np.arange(len(parts)), [len(p) // 2 for p in parts])
+        both = np.concatenate([*parts, np.empty(0, np.int64)]).reshape(-1, 2)
+        spans = np.concatenate([*[np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(2)], np.empty(0, np.int64)])
+        at = both[:, 0].astype(np.uint64) >> shift
+        ok = (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in (both[ok, 0], both[ok, 1], docs[which[ok]], rows[which[ok]], spans[ok])],
+                                         ["hi", "lo", "doc", "row", "span"])
+
+
+def _merged(batches):
+    """Each row's spans, those that meet joined to one (of under 2^20 pieces)."""
+    for batch in batches:
+        out = []
+        for spans in batch.column(1):
+            x = np.sort(spans.values.to_numpy())
+            start, end = x >> 20, (x >> 20) + (x & 0xFFFFF)
+            reach = np.maximum.accumulate(end)
+            at = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1] + 1]))
+            out.append([a << 20 | min(b, a + 0xFFFFE) - a for first, b in zip(start[at].tolist(), np.append(reach[at[1:] - 1], reach[-1]).tolist(), strict=True)
+                        for a in range(first, b + 1, 0xFFFFF)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64()))], ["row", "spans"])
+
+
+def covered_spans(texts: DataFrame) -> DataFrame:
+    """``row, spans`` of the rows of ``texts`` (``doc``, ``row``, ``text``) that
+    lose something; stored."""
+    found = stored(texts.mapInArrow(_run_rows, "doc long, row long, spans binary, hashes binary"), "span-runs", "zstd")
+    shared = texts.sparkSession.sparkContext.broadcast(repeated_filter(found))
+    held = stored(found.mapInArrow(lambda batches: _passing(batches, np.frombuffer(shared.value, np.uint8)),
+                                   "hi long, lo long, doc long, row long, span long"), "span-passing", "zstd")
+    first = held.groupBy("hi", "lo").agg(F.min(F.struct("doc", "row", "span")).alias("at")).select("at.row", "at.span")
+    # a span of a row is one run: it stays where it is that run's first place
+    sides = held.select("row", "span", F.lit(False).alias("first")).unionByName(first.withColumn("first", F.lit(True)))
+    lost = sides.groupBy("row", "span").agg(F.bool_or("first").alias("first")).filter("not first")
+    lost = lost.groupBy("row").agg(F.collect_list("span").alias("spans"))
+    return stored(lost.mapInArrow(_merged, "row long, spans array<long>"), "span-covered", "zstd")
+
+
+_REWRITTEN = T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType()), T.StructField("gone", T.LongType())])
+
+
+def _without(text, spans):
+    """The text less its covered pieces, its pieces, and those covered."""
     import pandas as pd
 
     out = []
-    for t, spans in zip(text, covered, strict=True):
+    for t, lost in zip(text, spans, strict=True):
         if t is None:
-            out.append((None, 0))
+            out.append((None, 0, 0))
             continue
-        p = _pieces(t.encode())
-        if spans is not None and len(spans):
-            gone = set()
-            for s in spans:
-                gone.update(range(int(s) >> 20, (int(s) >> 20) + (int(s) & 0xFFFFF) + 1))
-            out.append((b"".join(x for i, x in enumerate(p) if i not in gone).decode(), len(p)))
-        else:
-            out.append((t, len(p)))
-    return pd.DataFrame(out, columns=["text", "n"])
-
-
-def dedup_spans(df: DataFrame) -> DataFrame:
+        p, gone = _pieces(t.encode()), set()
+        for s in lost if lost is not None else ():
+            gone.update(range(int(s) >> 20, (int(s) >> 20) + (int(s) & 0xFFFFF) + 1))
+        out.append((b"".join(x for i, x in enumerate(p) if i not in gone).decode() if gone else t, len(p), len(gone)))
+    return pd.DataFrame(out, columns=["text", "n", "gone"])
+
+
+def dedup_spans(df: DataFrame, scan: bool = False) -> DataFrame:
     """The rows of ``df`` without covered pieces, plus ``n_sentences`` (pieces
-    before) and ``n_removed`` (pieces removed)."""
-    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "span-docs", "zstd")
-    spans = (rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.col("_row").alias("row"), "text")
-             .mapInArrow(_span_rows, "hi long, lo long, doc long, row long, span long, more array<long>"))
-    same, place = Window.partitionBy("hi", "lo"), F.struct("doc", "row", "span")
-    known = (spans.withColumns({"n": F.count("*").over(same), "at": F.min(place).over(same)})
-             .filter("n > 1 or more is not null"))
-    own = F.when(place != F.col("at"), F.array("doc", "row", "span")).otherwise(F.array().cast("array<bigint>"))
-    flat = known.select(F.concat(own, F.coalesce("more", F.array().cast("array<bigint>"))).alias("x"))
-    hits = (flat.select(F.explode(F.expr("transform(sequence(0, cast(size(x) / 3 as int)), k -> if(k * 3 < size(x), struct(x[k * 3 + 1] as row, x[k * 3 + 2] as span), null))")).alias("h"))
-            .filter("h is not null").select("h.row", "h.span"))
-    covered = stored(hits.groupBy("row").agg(F.collect_set("span").alias("spans")), "span-covered", "zstd")
-    out = rows.join(covered.withColumnRenamed("row", "_row"), "_row", "left")
-    out = out.withColumn("_x", _without("text", "spans")).withColumns({
-        "n_sentences": F.col("_x.n"),
-        "n_removed": F.size(F.array_distinct(F.flatten(F.transform(F.coalesce("spans", F.array().cast("array<bigint>")), lambda s: F.sequence(
-            F.shiftright(s, 20), F.shiftright(s, 20) + s.bitwiseAND(F.lit(0xFFFFF))))))).cast("long"),
-        "text": F.col("_x.text")})
+    before) and ``n_removed`` (pieces removed). ``scan``: see ``numbered``."""
+    rows, row = numbered(df, "span-docs", scan)
+    lost = covered_spans(rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
+                                     F.col(row).alias("row"), "text"))
+    lost = small_side(lost, 32 + 8 * F.size("spans")).select(F.col("row").alias(row), F.col("spans").alias(row + "_spans"))
+    out = rows.join(lost, row, "left").withColumn(row + "_x", F.pandas_udf(_without, _REWRITTEN)("text", row + "_spans"))
+    new = {"n_sentences": F.col(f"{row}_x.n"), "n_removed": F.col(f"{row}_x.gone"), "text": F.col(f"{row}_x.text")}
     if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*df.columns, "n_sentences", "n_removed")
+        new["n_chars"] = F.when(F.col(f"{row}_x.gone") > 0, F.length(f"{row}_x.text").cast("long")).otherwise(F.col("n_chars"))
+    kept = [c for c in df.columns if c not in ("n_sentences", "n_removed")]
+    return out.select(*[new[c].alias(c) if c in new else F.col(c) for c in kept], new["n_sentences"].alias("n_sentences"),
+                      new["n_removed"].alias("n_removed"))
 
 
 def op7_substring_dedup(spark, sf_dir) -> DataFrame:
     """Every document with its text after removal."""
-    out = dedup_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = dedup_spans(table(spark, sf_dir, "documents"), scan=True)
     return out.select("doc_id", "text", "n_sentences", "n_removed")
