@@ -1,7 +1,8 @@
 """Operators of a training-data pipeline, with their queries and oracle SQL.
 
 Nothing outside this subpackage imports it. Its functions are pickled by value,
-so executors need no installed copy of the package.
+and broadcast objects travel with their classes (``common.Shared``), so executors
+need no installed copy of the package.
 """
 
 import sys

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -90,3 +93,21 @@ def without_rows(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
     """``rows`` less those numbered in ``gone`` (one column), and less ``row``."""
     gone = stored(gone.toDF(row), "gone-rows")
     return rows.join(small_side(gone, 32), row, "left_anti").drop(row)
+
+
+class Shared:
+    """A broadcast value that may hold instances of the package's own classes:
+    they travel as bytes with their classes, so executors need no copy of the
+    package. A task unpickles it once."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self):
+        return {"_bytes": self._bytes}
+
+    @property
+    def value(self):
+        if "_held" not in self.__dict__:
+            self._held = pickle.loads(self._bytes.value)
+        return self._held

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import numbered, stored, table, without_rows
+from textloom.llm.common import Shared, numbered, stored, table, without_rows
 
 K1, B = 1.2, 0.75
 THRESHOLD = 0.6
@@ -220,7 +220,7 @@ def contaminated(docs: DataFrame, items: DataFrame, theta: float = THRESHOLD) ->
     """``doc_id, item_id, score, question_overlap, answer_overlap`` of every
     verified hit."""
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(build_index(items, spark))
+    shared = Shared(spark, build_index(items, spark))
 
     def run(batches):
         for b in batches:

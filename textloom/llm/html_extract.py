@@ -27,14 +27,13 @@ from __future__ import annotations
 import html as _html
 import re
 import zlib
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import table
+from textloom.llm.common import Shared, table
 
 TRAIN_PAGES = 200     # bound of the labeller's sample
 PATH, WORDS, SHAPE = 96, 32, 8
@@ -120,7 +119,6 @@ def weak_label(path: tuple) -> int:
     return int(any(t in GOOD or "article" in c or "content" in c for t, c in path))
 
 
-@lru_cache(200_000)
 def _path_slots(step: tuple, last: bool) -> tuple:
     tag, name = step
     keys = [f"t:{tag}", *(f"c:{x}" for x in re.split(r"[^a-z0-9]+", name.lower()) if x)]
@@ -129,12 +127,17 @@ def _path_slots(step: tuple, last: bool) -> tuple:
     return tuple(zlib.crc32(k.encode()) % PATH for k in keys)
 
 
-def vectors(bs: list) -> np.ndarray:
-    """One row of ``PATH + WORDS + SHAPE`` numbers a block."""
+def vectors(bs: list, seen: dict | None = None) -> np.ndarray:
+    """One row of ``PATH + WORDS + SHAPE`` numbers a block; ``seen`` keeps the
+    slots of path steps between pages."""
+    seen = {} if seen is None else seen
     x, n = np.zeros((len(bs), PATH + WORDS + SHAPE), np.float32), len(bs)
     for i, (path, text, links) in enumerate(bs):
         for k, step in enumerate(path):
-            for s in _path_slots(step, k == len(path) - 1):
+            key = step, k == len(path) - 1
+            if key not in seen:
+                seen[key] = _path_slots(*key)
+            for s in seen[key]:
                 x[i, s] = 1
         w = text.lower().encode().split()
         h = np.array(list(map(zlib.crc32, w))) % WORDS
@@ -303,9 +306,9 @@ def train(df: DataFrame, limit: int = TRAIN_PAGES) -> BiLstm:
 def main_texts(pages: list, model: BiLstm) -> list[str]:
     """Main text of each page of a batch."""
     found = [blocks(p) for p in pages]
-    out = [""] * len(pages)
+    out, seen = [""] * len(pages), {}
     for at in batched([len(b) for b in found]):
-        x, mask = padded([vectors(found[i]) for i in at])
+        x, mask = padded([vectors(found[i], seen) for i in at])
         z = model.scores(x, mask)
         for k, i in enumerate(at):
             out[i] = " ".join(b[1] for b, s in zip(found[i], z[k], strict=False) if s > 0)
@@ -314,7 +317,7 @@ def main_texts(pages: list, model: BiLstm) -> list[str]:
 
 def extract(df: DataFrame, model: BiLstm | None = None) -> DataFrame:
     """Add ``text`` (main text) and ``n_chars``."""
-    shared = df.sparkSession.sparkContext.broadcast(model or train(df))
+    shared = Shared(df.sparkSession, model or train(df))
 
     @F.pandas_udf(T.StringType())
     def run(page):

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.llm.common import stored, table
+from textloom.llm.common import Shared, stored, table
 
 VOCAB, CLASSES = 1023, 32
 SLOTS = (VOCAB + 1) // CLASSES
@@ -171,8 +171,7 @@ class Model:
 
 def _train_round(rows: DataFrame, model: Model, k: int, rounds: int, blocks: int = 16) -> Model:
     """Local updates in every task; weighted mean of the tasks' changes."""
-    sc = rows.sparkSession.sparkContext
-    shared = sc.broadcast(model)
+    shared = Shared(rows.sparkSession, model)
 
     def run(batches):
         import copy
@@ -239,7 +238,7 @@ def score(rows: DataFrame, fitted) -> DataFrame:
     that of rare tokens is joined to their counts."""
     model, common, n, v, counts = fitted
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((model, {t: float(np.log10(c + SMOOTH)) for t, c in common.items()}))
+    shared = Shared(spark, (model, {t: float(np.log10(c + SMOOTH)) for t, c in common.items()}))
     rest = float(np.log10(model.rest)) if model.rest > 0 else 0.0
     base_of = np.log10(n + SMOOTH * (v + 1))
 

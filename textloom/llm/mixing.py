@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import stored, table
+from textloom.llm.common import Shared, stored, table
 
 LABEL_ROWS = 8000     # bound of the classifier's sample
 BUCKETS = 1 << 16
@@ -113,7 +113,7 @@ POSTERIOR = T.StructType([T.StructField("p", T.ArrayType(T.DoubleType())), T.Str
 
 def with_posteriors(docs: DataFrame, model: Softmax) -> DataFrame:
     """Add ``p`` (domain posteriors) and ``n_tokens``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     @F.pandas_udf(POSTERIOR)
     def score(text):
