@@ -88,7 +88,8 @@ ex2 AS (SELECT row_id, unnest(input_ids) AS id, generate_subscripts(input_ids, 1
 SELECT row_id, array_to_string(list(coalesce(v.token, '[UNK]') ORDER BY pos), ' ') AS tokens
 FROM ex2 LEFT JOIN vocab v ON ex2.id = v.id GROUP BY row_id""")
 def q_decode_ids(spark, sf):
-    d = EN.decode_ids(_encoded(spark, sf), _vocab(spark, sf))
+    vocab = _vocab(spark, sf)
+    d = EN.decode_ids(EN.encode_fixed_length(labelled_documents(spark, sf), vocab, 128), vocab)
     return d.select("row_id", F.array_join("tokens", " ").alias("tokens"))
 
 
