@@ -98,16 +98,13 @@ def without_rows(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
 class Shared:
     """A broadcast value that may hold instances of the package's own classes:
     they travel as bytes with their classes, so executors need no copy of the
-    package. A task unpickles it once."""
+    package. A worker unpickles it once and keeps it beside the broadcast."""
 
     def __init__(self, spark: SparkSession, value):
         self._bytes = spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
-    def __getstate__(self):
-        return {"_bytes": self._bytes}
-
     @property
     def value(self):
-        if "_held" not in self.__dict__:
-            self._held = pickle.loads(self._bytes.value)
-        return self._held
+        if not hasattr(self._bytes, "held"):
+            self._bytes.held = pickle.loads(self._bytes.value)
+        return self._bytes.held
