@@ -239,3 +239,26 @@ def test_merged_spans_cover_the_same_pieces():
         return {k for s in spans for k in range(s >> 20, (s >> 20) + (s & 0xFFFFF) + 1)}
     for want, x in zip(rows, got["spans"].to_pylist(), strict=True):
         assert pieces(want) == pieces(x) and len(x) <= len(want)
+
+
+def test_question_and_answer_must_both_be_found(spark):
+    """A question without its answer is no hit, a glued or damaged end of a text
+    does not hide one, and an item without an answer is its question."""
+    q = "which of the seven rivers in the old valley runs north past the ruined tower"
+    a = "the river of stones runs north past it all year"
+    items = spark.createDataFrame([(1, q, a), (2, "one sentence only that has no answer of its own here", None)], "item_id long, text string, answer string")
+    rows = [(1, f"x1 x2 {q} {a} x3"), (2, f"x1 x2 {q} x3"), (3, f"{a} x3"), (4, f"%%% {q.upper()}? &&&{a}.%%%x9 x3"), (5, f"{q}? {a}.###"),
+            (6, "one sentence only that has no answer of its own here")]
+    got = {(x["doc_id"], x["item_id"]) for x in D.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert got >= {(1, 1), (5, 1), (6, 2)} and not got & {(2, 1), (3, 1)}
+
+
+def test_items_in_parts_give_the_hits_of_one_index(spark, sf0001):
+    items = spark.read.parquet(f"{sf0001}/benchmark.parquet")
+    docs = spark.read.parquet(f"{sf0001}/documents.parquet")
+    first = items.limit(3).selectExpr("item_id + 5000 as doc_id", "concat('aa bb cc ', text, ' dd') as text")
+    docs = docs.select("doc_id", "text").unionByName(first)
+    one, many = ({(r["doc_id"], r["item_id"]): r["score"] for r in D.contaminated(docs, items, part_bytes=b).collect()} for b in (D.PART_BYTES, 1500))
+    assert len(list(D.indexes(items, 1500))) > 2
+    assert one.keys() == many.keys() and len(one) >= 3
+    assert all(abs(one[k] - many[k]) < 1e-9 for k in one)

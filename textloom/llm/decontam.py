@@ -12,10 +12,14 @@ and what is left is evaluated item at a time with pivots and block maxima.
 
 A retrieved item is verified on five-word shingles (the whole item if shorter)
 of the passage: its question (all but the last sentence) and its answer (the last
-one, or an ``answer`` column) must be found to 0.8 or more, or the whole item.
+one, or an ``answer`` column) must both be found to 0.8 or more; an item without an
+answer is its question.
 
-The index is broadcast after a check of its size (``MAX_INDEX_BYTES``); it
-grows with the test sets, not with the corpus.
+The index is broadcast. Items of more than ``PART_BYTES`` are dealt to parts by a
+hash of their text, each part is indexed and searched by itself with the statistics
+(item count, mean length, document frequencies, longest item) of all items, so the
+hits do not depend on the parts. A part's index is what the driver and a worker
+hold; one item is the least part.
 
 Defined results: null or empty texts give no hit, null or empty items are not
 indexed; repeated items and rows give a hit each; an empty table gives no
@@ -26,8 +30,10 @@ from __future__ import annotations
 
 import math
 import re
+import string
 from bisect import bisect_left
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,13 +48,14 @@ OVERLAP = 0.8
 SHINGLE = 5
 BLOCK = 64
 SPAN = 4          # items of a span whose block maxima bound a passage
-MAX_INDEX_BYTES = 256 << 20
+PART_BYTES = 16 << 20      # text of the items of one index, which takes some 16 times as much
+_SIGNS = string.punctuation.encode()
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
 def tokens(text: str | None) -> list[bytes]:
-    """ASCII-lowered words without outer punctuation."""
-    return [x for x in (w.strip(b".,;:!?\"'()[]") for w in (text or "").encode().lower().split()) if x]
+    """ASCII-lowered words without outer ASCII punctuation."""
+    return [x for x in (w.strip(_SIGNS) for w in (text or "").encode().lower().split()) if x]
 
 
 def shingles(w: list[bytes]) -> set:
@@ -64,9 +71,11 @@ def split_item(text: str, answer: str | None = None) -> tuple[list, list]:
 
 
 class Index:
-    """Block-max BM25 index of ``(item_id, text[, answer])`` rows."""
+    """Block-max BM25 index of ``(item_id, text[, answer])`` rows. ``stats``:
+    number of items, their words, the longest one and the document frequencies,
+    where there are more items than these."""
 
-    def __init__(self, items):
+    def __init__(self, items, stats=None):
         self.ids, self.parts, docs = [], [], []
         for item in sorted(items, key=str):
             q, a = split_item(item[1] or "", item[2] if len(item) > 2 else None)
@@ -74,9 +83,9 @@ class Index:
                 self.ids.append(item[0])
                 self.parts.append((q, a))
                 docs.append(Counter(q + a))
-        n, size = len(docs), [sum(d.values()) for d in docs]
-        mean = sum(size) / max(1, n)
-        df = Counter(t for d in docs for t in d)
+        size = [sum(d.values()) for d in docs]
+        n, total, longest, df = stats or (len(docs), sum(size), max(size, default=1), Counter(t for d in docs for t in d))
+        mean = total / max(1, n)
         idf = {t: math.log(1 + (n - c + 0.5) / (c + 0.5)) for t, c in df.items()}
         self.terms, posts = {}, []
         weights = [{t: idf[t] * c * (K1 + 1) / (c + K1 * (1 - B + B * size[i] / mean)) for t, c in d.items()} for i, d in enumerate(docs)]
@@ -93,7 +102,7 @@ class Index:
         self.blocks = [([p[0][min(k + BLOCK, len(p[0])) - 1] for k in range(0, len(p[0]), BLOCK)],
                         [max(p[1][k:k + BLOCK]) for k in range(0, len(p[0]), BLOCK)]) for p in posts]
         self.top = np.array([max(p[1]) for p in posts] + [0.0])
-        self.span = max(size, default=1)
+        self.span = longest
         # by term: spans of SPAN neighbouring items and the largest impact in each
         self.spans = []
         for items, impact in posts:
@@ -201,26 +210,60 @@ def _hits(index: Index, docs, theta: float):
                 sh = shingles(part)
                 for item, score in found:
                     q, x, both = index.overlaps(item, sh, {tuple(part)} if len(part) < SHINGLE else set())
-                    if (q >= OVERLAP and x >= OVERLAP) or both >= OVERLAP:
+                    if q >= OVERLAP and x >= OVERLAP:
                         best[item] = max(best.get(item, (0,)), (score, q, x))
         for item, (score, q, x) in sorted(best.items()):
             yield doc, index.ids[item], score, q, x
 
 
-def build_index(items: DataFrame, spark) -> Index:
-    """Index of the items, after a check of their bytes."""
+def _item_terms(items: DataFrame, cols: list) -> DataFrame:
+    """``part, term, df, words, items, longest`` by part: a row for each term, and
+    one without a term for the part's items."""
+    def run(batches):
+        for b in batches:
+            rows = Counter()
+            size = {}
+            for p, *item in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                q, a = split_item(item[0] or "", item[1] if len(item) > 1 else None)
+                if q or a:
+                    rows.update((p, t) for t in set(q + a))
+                    n, total, longest = size.get(p, (0, 0, 0))
+                    size[p] = (n + 1, total + len(q + a), max(longest, len(q + a)))
+            out = [(p, t, c, 0, 0, 0) for (p, t), c in rows.items()] + [(p, None, 0, *x) for p, x in size.items()]
+            names = ["part", "term", "df", "items", "words", "longest"]
+            types = [pa.int64(), pa.binary(), *[pa.int64()] * 4]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, types, strict=True)], names)
+    found = items.select("_part", *cols).mapInArrow(run, "part long, term binary, df long, items long, words long, longest long")
+    return found.groupBy("part", "term").agg(*[F.sum(c).alias(c) for c in ("df", "items", "words")], F.max("longest").alias("longest"))
+
+
+def indexes(items: DataFrame, part_bytes: int = PART_BYTES):
+    """The indexes of all items, one at a time, each of a bounded part."""
     cols = [c for c in ("item_id", "text", "answer") if c in items.columns]
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if 16 * size > MAX_INDEX_BYTES:
-        raise ValueError(f"test items of {size} bytes exceed the index bound; search them in parts")
-    return Index([tuple(r) for r in items.select(*cols).collect()])
-
-
-def contaminated(docs: DataFrame, items: DataFrame, theta: float = THRESHOLD) -> DataFrame:
+    size = items.agg(*[F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in cols[1:]]).first()
+    parts = max(1, -(-sum(size) // part_bytes))
+    if parts == 1:
+        yield Index([tuple(r) for r in items.select(*cols).collect()])
+        return
+    items = stored(items.select(*cols, F.pmod(F.xxhash64(*cols), F.lit(parts)).alias("_part")), "decontam-items")
+    terms = stored(_item_terms(items, cols[1:]), "decontam-terms")
+    n, total, longest = terms.agg(F.sum("items"), F.sum("words"), F.max("longest")).first()
+    df = stored(terms.filter("term is not null").groupBy("term").agg(F.sum("df").alias("df")), "decontam-df")
+    for part in range(parts):
+        mine = terms.filter((F.col("part") == part) & F.col("term").isNotNull()).select("term")
+        stats = (n, total, longest, {bytes(t): c for t, c in df.join(mine, "term").collect()})
+        yield Index([tuple(r) for r in items.filter(F.col("_part") == part).select(*cols).collect()], stats)
+
+
+def contaminated(docs: DataFrame, items: DataFrame, theta: float = THRESHOLD, part_bytes: int = PART_BYTES) -> DataFrame:
     """``doc_id, item_id, score, question_overlap, answer_overlap`` of every
     verified hit."""
-    spark = docs.sparkSession
-    shared = Shared(spark, build_index(items, spark))
+    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    return reduce(DataFrame.unionByName, [_search(docs, index, theta) for index in indexes(items, part_bytes)])
+
+
+def _search(docs: DataFrame, index: Index, theta: float) -> DataFrame:
+    shared = Shared(docs.sparkSession, index)
 
     def run(batches):
         for b in batches:
@@ -229,7 +272,7 @@ def contaminated(docs: DataFrame, items: DataFrame, theta: float = THRESHOLD) ->
                 cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int64(), *[pa.float64()] * 3], strict=True)],
                                                  ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.mapInArrow(
         run, "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
 
 
