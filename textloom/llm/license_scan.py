@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import lower_ascii, table
+from textloom.llm.common import fresh, lower_ascii, table
 
 # Known licence sentences, normalised, with their identifiers.
 SENTENCES = {
@@ -128,7 +128,7 @@ def _paragraph_ids(text: Column, known: Column) -> Column:
                         lambda s: F.regexp_replace(_normal(s), "^([0-9]{1,2}|-) ", ""))
     parts = F.filter(parts, lambda s: ~s.rlike("^([0-9]{1,2}|-)?$"))
     # the holder's name stands in the sentence
-    named = r"^neither the name of .{1,200} (nor the names of (its|any|the) contributors) may "
+    named = r"^neither the name of .+ (nor the names of (its|any|the) contributors) may "
     return F.transform(parts, lambda s: F.coalesce(F.try_element_at(known, F.when(
         s.startswith("neither the name of "), F.regexp_replace(s, named, "neither the name of the copyright holder nor the names of its contributors may ")).otherwise(s)), F.lit("-")))
 
@@ -138,21 +138,19 @@ def scan_licenses(df: DataFrame, text_col: str = "text", sentences: dict = SENTE
     """Add ``sentence_ids`` (ordered identifiers), ``licenses`` (sorted names
     of the rules that match) and ``n_sentences``."""
     known = F.create_map(*[F.lit(x) for kv in sentences.items() for x in kv])
-    longest = max(map(len, sentences))
     parts = F.filter(F.transform(F.split(F.coalesce(F.col(text_col), F.lit("")), SPLIT),
                                  lambda s: F.trim(s, F.lit(" \t\r\x0b\x0c"))), lambda s: s != "")
-    # texts far longer than any known sentence cannot normalise to one
-    ids = F.transform("_s", lambda s: F.coalesce(F.try_element_at(
-        known, F.when(F.length(s) <= 4 * longest, _normal(s)).otherwise(F.lit(""))), F.lit("-")))
-    out = df.withColumn("_s", parts).withColumn("_i", ids)
+    s, i, p = (fresh(df, name) for name in ("_s", "_i", "_p"))
+    ids = F.transform(s, lambda x: F.coalesce(F.try_element_at(known, _normal(x)), F.lit("-")))
+    out = df.withColumn(s, parts).withColumn(i, ids)
     every = {name: rules.get(name, []) + FULL_RULES.get(name, []) for name in {**rules, **FULL_RULES}}
     whole = F.create_map(*[F.lit(x) for kv in {**FULL_SENTENCES, **sentences}.items() for x in kv])
-    out = out.withColumn("_p", _paragraph_ids(F.col(text_col), whole))
-    hits = F.array_union(_found(F.col("_i"), rules), _found(F.col("_p"), every))
-    return (out.withColumn("n_sentences", F.size("_s").cast("long"))
-            .withColumn("sentence_ids", F.filter("_i", lambda x: x != "-"))
+    out = out.withColumn(p, _paragraph_ids(F.col(text_col), whole))
+    hits = F.array_union(_found(F.col(i), rules), _found(F.col(p), every))
+    return (out.withColumn("n_sentences", F.size(s).cast("long"))
+            .withColumn("sentence_ids", F.filter(i, lambda x: x != "-"))
             .withColumn("licenses", F.array_sort(F.filter(hits, lambda x: x.isNotNull())))
-            .drop("_s", "_i", "_p"))
+            .drop(s, i, p))
 
 
 def op8_license_scan(spark, sf_dir) -> DataFrame:
@@ -167,14 +165,13 @@ def _sql() -> str:
     known = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in SENTENCES.items()) + "}"
     cases = ", ".join("CASE WHEN " + " OR ".join(f"contains(q, ' {' '.join(r)} ')" for r in alts)
                       + f" THEN '{name}' END" for name, alts in sorted(RULES.items()))
-    longest = 4 * max(map(len, SENTENCES))
     return f"""
 WITH s AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''),
     '[!?;\\n]+|\\.[\\x20\\x09-\\x0D]+|\\.$'), lambda x: trim(x, chr(32) || chr(9) || chr(13) || chr(11) || chr(12))), lambda x: x <> '') AS s
   FROM documents),
-i AS (SELECT doc_id, s, list_transform(s, lambda x: coalesce(({known})[CASE WHEN length(x) <= {longest} THEN
+i AS (SELECT doc_id, s, list_transform(s, lambda x: coalesce(({known})[
     trim(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[^a-z0-9.\\-\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g'), ' .') ELSE '' END], '-')) AS i FROM s),
+    '[^a-z0-9.\\-\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g'), ' .')], '-')) AS i FROM s),
 q AS (SELECT *, ' ' || regexp_replace(array_to_string(i, ' '), '-( -)*', '-', 'g') || ' ' AS q FROM i)
 SELECT doc_id, len(s)::BIGINT AS n_sentences, len(list_filter(i, lambda x: x <> '-'))::BIGINT AS n_known,
   array_to_string(list_filter(i, lambda x: x <> '-'), ' ') AS sentence_ids, concat_ws(' ', {cases}) AS licenses FROM q"""
