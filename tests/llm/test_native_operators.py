@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from textloom.llm import chat_format as C
@@ -125,3 +126,67 @@ def test_quality_keeps_clean_and_rejects_outliers(spark, docs, no_docs):
     assert got == set(range(200))
     assert Q.keep_quality(docs).columns == docs.columns
     assert Q.keep_quality(no_docs).count() == 0
+
+
+def _vectors(spark, groups):
+    """A statistics table of normal vectors: ``(lang, source, rows, shift)``."""
+    r = np.random.default_rng(3)
+    rows = []
+    for lang, source, n, shift in groups:
+        x = r.normal(size=(n, 4)) @ np.array([[2.0, .5, 0, 0], [0, 1.5, .3, 0], [0, 0, 3.0, 1], [0, 0, 0, 2.5]]) + shift
+        rows += [(len(rows) + i, lang, source, False, *map(float, v)) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "doc_id long, lang string, source string, base_failed boolean, " + ", ".join(f"{s} double" for s in Q.STATS))
+
+
+def _judged(stats):
+    groups = Q.stored(Q.grouped(stats), "t-groups")
+    return Q.judge(stats, groups, Q.fit(stats, groups)).toPandas().set_index("doc_id").sort_index()
+
+
+def test_consistency_factor():
+    # chi-square with 4 and 6 dimensions: 0.75 quantile 5.385
+    assert abs(Q._chi2_cdf(5.385, 4) - 0.75) < 1e-4
+    assert abs(Q.consistency(1 - 1e-12) - 1) < 1e-6 and 1.4 < Q.consistency() < 1.5
+
+
+def test_clean_vectors_are_rejected_at_the_stated_rate(spark):
+    got = _judged(_vectors(spark, [("en", "s", 40_000, 0.0)]))
+    assert abs(got["distance"].mean() - 4) < 0.2
+    assert (~got["kept"]).mean() <= 2e-4
+
+
+def test_estimate_reaches_the_least_determinant_of_brute_force(spark):
+    stats = _vectors(spark, [("en", "s", 150, 0.0), ("en", "s", 30, 40.0)])
+    x = stats.select(*Q.STATS).toPandas().to_numpy()
+    h, best, r = int(np.ceil(0.75 * len(x))), None, np.random.default_rng(1)
+    for _ in range(200):
+        keep = r.choice(len(x), 6, replace=False)
+        for _ in range(30):
+            m, c = x[keep].mean(0), np.cov(x[keep].T, bias=True) + 1e-9 * np.eye(4)
+            d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
+            keep = np.argsort(d)[:h]
+        c = np.cov(x[keep].T, bias=True)
+        if best is None or np.linalg.det(c) < best[0]:
+            best = np.linalg.det(c), x[keep].mean(0), c * Q.consistency()
+    want = np.einsum("ij,jk,ik->i", x - best[1], np.linalg.inv(best[2]), x - best[1])
+    got = _judged(stats)
+    # whole distance bins (1/32 of a doubling) are kept, so sets may differ by some rows
+    assert np.corrcoef(np.log(got["distance"]), np.log(want))[0, 1] > 0.99
+    assert (got["kept"].to_numpy() == (want <= Q.CUTOFF)).mean() > 0.98 and not got["kept"][150:].any()
+
+
+def test_small_pools_are_judged(spark):
+    """Rows of a small source are judged by the language or the table."""
+    for sizes in ([("en", "s", 48, 0.0)], [("en", "s", 40, 0.0), ("en", "big", 500, 0.0)],
+                  [("en", "s", 20, 0.0), ("de", "t", 20, 0.0), ("fr", "u", 600, 0.0)], [("en", "s", 3, 0.0)]):
+        got = _judged(_vectors(spark, [*sizes, (sizes[0][0], "s", 1, 1000.0)]))
+        assert got["distance"].notna().all() and got["kept"][:-1].mean() > 0.95
+        if len(got) > 10:
+            assert not got["kept"].iloc[-1], sizes
+
+
+def test_padded_license_lines_are_read(spark):
+    rows = [(1, "All rights" + " " * 3000 + "reserved."), (2, "Released under" + " *" * 2000 + " the MIT License.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as _s", "2 as _i", "3 as _p")
+    out = L.scan_licenses(df)
+    assert [(r["licenses"], len(r["sentence_ids"]), r["_s"], r["_i"], r["_p"]) for r in out.collect()] == [(["proprietary"], 1, 1, 2, 3), (["MIT"], 1, 1, 2, 3)]

@@ -3,16 +3,21 @@
 Texts get counts, the counts a vector of transformed statistics. Per language
 and source the minimum covariance determinant is estimated by concentration
 steps: from a start (medians; and means) keep the 75 % of documents nearest by
-Mahalanobis distance, estimate again, repeat; of both starts the smaller
-determinant stays. A document whose distance to its group's estimate exceeds
-the cutoff is rejected, as are documents that fail the base rules.
+Mahalanobis distance, estimate again, repeat until no group's determinant moves
+(``STEPS`` at most); of both starts the smaller determinant stays. The nearest
+75 % of normal vectors spread less than all of them, so their covariance is
+scaled by the consistency factor. A document whose distance to its group's
+estimate exceeds the cutoff is rejected, as are documents that fail the base rules.
 
 All of it is grouped aggregation: the nearest 75 % are found by counts of
 distances in logarithmic bins (32 a doubling), whole bins at a time, so a hot
 group is pre-aggregated and nothing is gathered. Covariances get a documented
 floor on the diagonal (``FLOOR``), so a statistic that is constant in most of
 a group does not make it singular. Groups under ``MIN_GROUP`` documents are
-pooled by language, then overall; a pool that is still smaller rejects nothing.
+pooled by language, then overall. Where those pools are smaller too, all documents
+of the language judge, and under ``MIN_GROUP`` of them all of the table, whose
+covariance then starts from ``PRIOR`` with the weight of ``MIN_GROUP`` documents,
+so it is defined for any number of rows.
 
 Defined results: null or empty text has all counts zero and fails the base
 rules; null language or source is a group value of its own; repeated rows are
@@ -22,6 +27,8 @@ results replace columns of the same name.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,12 +46,29 @@ FLOOR = {"word_len": 0.08, "symbols": 0.05, "dup_lines": 0.08, "upper": 0.06}
 CUTOFF = 23.5        # squared distance: 0.9999 quantile of the 4-dimensional chi-square
 SHARE = 0.75
 MIN_GROUP = 50
-STEPS = 4
+PRIOR = {s: 4 * f for s, f in FLOOR.items()}     # standard deviations the whole table starts from
+STEPS = 12
+MOVE = 1e-3          # change of a log determinant that counts as none
 BINS = 32
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 PAIRS = [(i, j) for i in range(len(STATS)) for j in range(i, len(STATS))]
 
 
+def _chi2_cdf(x: float, dims: int) -> float:
+    """Distribution function of the chi-square with an even number of dimensions."""
+    return 1 - math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(dims // 2))
+
+
+def consistency(share: float = SHARE, dims: int = len(STATS)) -> float:
+    """What the covariance of the nearest ``share`` of normal vectors (``dims``
+    even) is multiplied by to equal that of all."""
+    lo, hi = 0.0, 100.0 * dims
+    for _ in range(100):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if _chi2_cdf(mid, dims) < share else (lo, mid)
+    return share / _chi2_cdf(hi, dims + 2)
+
+
 def _covered(starts: Column) -> Column:
     """Words covered by windows that begin at the sorted ``starts``."""
     return F.aggregate(starts, F.struct(F.lit(0).alias("n"), F.lit(-WINDOW).alias("end")), lambda a, p: F.struct(
@@ -94,16 +118,37 @@ def with_stats(df: DataFrame) -> DataFrame:
 
 
 def grouped(stats: DataFrame) -> DataFrame:
-    """Group table ``lang, source, g_lang, g_source``: small groups pooled."""
-    n = (stats.filter("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n")))
+    """Group table ``lang, source, pool, g_lang, g_source``: the estimate that
+    judges each group. Pools: 0 the group, 1 the small groups of its language, 2
+    all small groups, 3 the whole language, 4 the whole table."""
+    n = (stats.groupBy("lang", "source").agg(F.count_if(~F.col("base_failed")).alias("n")))
     n = stored(n, "mcd-groups")
-    small = n.filter(F.col("n") < MIN_GROUP)
-    by_lang = small.groupBy("lang").agg(F.sum("n").alias("n_lang"))
+    small = F.when(F.col("n") < MIN_GROUP, F.col("n"))
+    by_lang = n.groupBy("lang").agg(F.sum(small).alias("n_small"), F.sum("n").alias("n_lang"))
+    rest = by_lang.filter(F.col("n_small") < MIN_GROUP).agg(F.sum("n_small").alias("n_rest"))
     m = n.alias("a").join(by_lang.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")), "left")
-    pool = F.when(F.col("a.n") >= MIN_GROUP, 0).when(F.col("b.n_lang") >= MIN_GROUP, 1).otherwise(2)
-    return m.select("a.lang", "a.source", pool.alias("pool"),
-                    F.when(pool < 2, F.col("a.lang")).alias("g_lang"),
-                    F.when(pool < 1, F.col("a.source")).alias("g_source"))
+    pool = (F.when(F.col("a.n") >= MIN_GROUP, 0).when(F.col("b.n_small") >= MIN_GROUP, 1)
+            .when(F.col("n_rest") >= MIN_GROUP, 2).when(F.col("b.n_lang") >= MIN_GROUP, 3).otherwise(4))
+    return m.join(F.broadcast(rest)).select(
+        "a.lang", "a.source", pool.alias("pool"),
+        F.when(pool.isin(0, 1, 3), F.col("a.lang")).alias("g_lang"),
+        F.when(pool == 0, F.col("a.source")).alias("g_source"))
+
+
+def members(groups: DataFrame) -> DataFrame:
+    """``lang, source`` and the keys of every pool its rows are part of: the one
+    that judges it, and whole languages and the whole table where they judge any."""
+    wide = groups.groupBy("lang").agg(F.max(F.col("pool") == 3).alias("whole"))
+    every = groups.agg(F.max(F.col("pool") == 4).alias("all"))
+    g = groups.alias("g").join(wide.alias("w"), F.col("g.lang").eqNullSafe(F.col("w.lang"))).join(F.broadcast(every))
+
+    def key(pool, lang, source):
+        return F.struct(pool.alias("pool"), lang.alias("g_lang"), source.alias("g_source"))
+    none = F.lit(None).cast("string")
+    return g.select("g.lang", "g.source", F.explode(F.array_compact(F.array(
+        F.when(F.col("pool") < 3, key(F.col("pool"), F.col("g_lang"), F.col("g_source"))),
+        F.when(F.col("whole"), key(F.lit(3), F.col("g.lang"), none)),
+        F.when(F.col("all"), key(F.lit(4), none, none))))).alias("k")).select("lang", "source", "k.*")
 
 
 KEY = ["pool", "g_lang", "g_source"]
@@ -116,12 +161,14 @@ def _same(a: str, b: str, cols) -> Column:
     return out
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    """Mean vector and covariance entries of each group."""
+def _moments(rows: DataFrame, scale: float = 1.0) -> DataFrame:
+    """Mean vector and covariance entries (times ``scale``) of each group."""
     out = rows.groupBy(*KEY).agg(
         F.count("*").alias("n"), *[F.avg(s).alias(f"m_{s}") for s in STATS],
-        *[F.covar_pop(STATS[i], STATS[j]).alias(f"c{i}{j}") for i, j in PAIRS])
-    return out.withColumns({f"c{i}{i}": F.col(f"c{i}{i}") + FLOOR[s] ** 2 for i, s in enumerate(STATS)})
+        *[(F.covar_pop(STATS[i], STATS[j]) * scale).alias(f"c{i}{j}") for i, j in PAIRS])
+    own = F.when(F.col("pool") == 4, F.col("n") / (F.col("n") + MIN_GROUP)).otherwise(F.lit(1.0))
+    return out.withColumns({f"c{i}{j}": F.col(f"c{i}{j}") * own + (
+        (1 - own) * PRIOR[STATS[i]] ** 2 + FLOOR[STATS[i]] ** 2 if i == j else F.lit(0.0)) for i, j in PAIRS})
 
 
 def _cholesky(p: DataFrame) -> DataFrame:
@@ -175,7 +222,7 @@ def _nearest(rows: DataFrame, params: DataFrame) -> DataFrame:
 
 def fit(stats: DataFrame, groups: DataFrame) -> DataFrame:
     """MCD estimate of each group: columns ``KEY`` and ``PARAMS``."""
-    rows = (stats.filter("not base_failed").alias("r").join(groups.alias("g"), _same("r", "g", ["lang", "source"]))
+    rows = (stats.filter("not base_failed").alias("r").join(members(groups).alias("g"), _same("r", "g", ["lang", "source"]))
             .select(*[F.col(f"g.{c}") for c in KEY], *[F.col(f"r.{s}") for s in STATS]))
     rows = stored(rows, "mcd-rows")
     centre = rows.groupBy(*KEY).agg(F.count("*").alias("n"), *[F.percentile_approx(s, 0.5, 1000).alias(f"m_{s}") for s in STATS])
@@ -184,19 +231,22 @@ def fit(stats: DataFrame, groups: DataFrame) -> DataFrame:
     robust = _attach(centre, spread, [f"_s{i}" for i in range(len(STATS))])
     robust = robust.withColumns({f"c{i}{j}": (F.pow(1.4826 * F.col(f"_s{i}"), 2) + FLOOR[STATS[i]] ** 2) if i == j
                                  else F.lit(0.0) for i, j in PAIRS})
-    best = None
+    best, scale = None, consistency()
     for start in (robust, _moments(rows)):
         p = stored(_cholesky(start).select(*KEY, *PARAMS), "mcd-step")
         for _ in range(STEPS):
-            p = stored(_cholesky(_moments(_nearest(rows, p))).select(*KEY, *PARAMS), "mcd-step")
+            last, p = p, stored(_cholesky(_moments(_nearest(rows, p), scale)).select(*KEY, *PARAMS), "mcd-step")
+            moved = p.alias("a").join(last.alias("b"), _same("a", "b", KEY)).agg(
+                F.max(F.abs(F.col("a.logdet") - F.col("b.logdet")))).first()[0]
+            if (moved or 0.0) < MOVE:
+                break
         best = p if best is None else best.unionByName(p)
     best = best.groupBy(*KEY).agg(F.min_by(F.struct(*PARAMS), F.struct("logdet", *PARAMS)).alias("p")).select(*KEY, "p.*")
-    sizes = rows.groupBy(*KEY).agg(F.count("*").alias("n"))
-    return stored(_attach(best, sizes, ["n"]).filter(F.col("n") >= MIN_GROUP).drop("n"), "mcd-params")
+    return stored(best, "mcd-params")
 
 
 def judge(stats: DataFrame, groups: DataFrame, params: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """Add ``distance`` (squared; null without estimate) and ``kept``."""
+    """Add ``distance`` (squared; null where no document passes the base rules) and ``kept``."""
     p = groups.alias("g").join(params.alias("p"), _same("g", "p", KEY), "left").select(
         F.col("g.lang").alias("lang"), F.col("g.source").alias("source"), *[F.col(f"p.{c}") for c in PARAMS])
     p = stored(p, "mcd-judge")
