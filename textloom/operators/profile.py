@@ -192,10 +192,9 @@ def _extremes(lens: DataFrame, order, k: int, text_col: str,
               corpus: DataFrame | None, ellipsis: bool) -> DataFrame:
     top = lens.orderBy(*order).limit(k)          # TakeOrderedAndProject
     if text_col not in lens.columns:
-        # Fetch the k texts by id: k is a small parameter, so the id list is
-        # bounded and becomes an IN filter pushed down to the scan.
-        ids = [r[0] for r in top.select(ROW_ID).collect()]
-        top = top.join(corpus.where(F.col(ROW_ID).isin(ids)).select(ROW_ID, text_col), ROW_ID)
+        # k is a parameter, so k ids and lengths are a bounded side; the texts
+        # come from one pass over two columns, when the result is run
+        top = F.broadcast(top.select(ROW_ID, LEN)).join(corpus.select(ROW_ID, text_col), ROW_ID)
     w = Window.orderBy(*order)                   # over k rows only
     # the preview shows the encoded sequence, special tokens included
     toks = F.concat(F.array(F.lit(CLS_TOKEN)), basic_tokens(F.col(text_col)), F.array(F.lit(SEP_TOKEN)))
