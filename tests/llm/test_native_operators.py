@@ -128,12 +128,12 @@ def test_quality_keeps_clean_and_rejects_outliers(spark, docs, no_docs):
     assert Q.keep_quality(no_docs).count() == 0
 
 
-def _vectors(spark, groups):
+def _vectors(spark, groups, spread=1.0):
     """A statistics table of normal vectors: ``(lang, source, rows, shift)``."""
     r = np.random.default_rng(3)
     rows = []
     for lang, source, n, shift in groups:
-        x = r.normal(size=(n, 4)) @ np.array([[2.0, .5, 0, 0], [0, 1.5, .3, 0], [0, 0, 3.0, 1], [0, 0, 0, 2.5]]) + shift
+        x = r.normal(size=(n, 4)) @ np.array([[2.0, .5, 0, 0], [0, 1.5, .3, 0], [0, 0, 3.0, 1], [0, 0, 0, 2.5]]) * spread + shift
         rows += [(len(rows) + i, lang, source, False, *map(float, v)) for i, v in enumerate(x)]
     return spark.createDataFrame(rows, "doc_id long, lang string, source string, base_failed boolean, " + ", ".join(f"{s} double" for s in Q.STATS))
 
@@ -168,7 +168,10 @@ def test_estimate_reaches_the_least_determinant_of_brute_force(spark):
         c = np.cov(x[keep].T, bias=True)
         if best is None or np.linalg.det(c) < best[0]:
             best = np.linalg.det(c), x[keep].mean(0), c * Q.consistency()
-    want = np.einsum("ij,jk,ik->i", x - best[1], np.linalg.inv(best[2]), x - best[1])
+    raw = np.einsum("ij,jk,ik->i", x - best[1], np.linalg.inv(best[2]), x - best[1])
+    core = x[raw <= Q.quantile(0.975)]
+    inverse = np.linalg.inv(np.cov(core.T, bias=True) * Q.consistency(0.975))
+    want = np.einsum("ij,jk,ik->i", x - core.mean(0), inverse, x - core.mean(0))
     got = _judged(stats)
     # whole distance bins (1/32 of a doubling) are kept, so sets may differ by some rows
     assert np.corrcoef(np.log(got["distance"]), np.log(want))[0, 1] > 0.99
@@ -179,7 +182,7 @@ def test_small_pools_are_judged(spark):
     """Rows of a small source are judged by the language or the table."""
     for sizes in ([("en", "s", 48, 0.0)], [("en", "s", 40, 0.0), ("en", "big", 500, 0.0)],
                   [("en", "s", 20, 0.0), ("de", "t", 20, 0.0), ("fr", "u", 600, 0.0)], [("en", "s", 3, 0.0)]):
-        got = _judged(_vectors(spark, [*sizes, (sizes[0][0], "s", 1, 1000.0)]))
+        got = _judged(_vectors(spark, [*sizes, (sizes[0][0], "s", 1, 1000.0)], 0.1))
         assert got["distance"].notna().all() and got["kept"][:-1].mean() > 0.95
         if len(got) > 10:
             assert not got["kept"].iloc[-1], sizes

@@ -6,7 +6,9 @@ steps: from a start (medians; and means) keep the 75 % of documents nearest by
 Mahalanobis distance, estimate again, repeat until no group's determinant moves
 (``STEPS`` at most); of both starts the smaller determinant stays. The nearest
 75 % of normal vectors spread less than all of them, so their covariance is
-scaled by the consistency factor. A document whose distance to its group's
+scaled by the consistency factor. Means and covariance are then taken once more
+over all documents within the 0.975 quantile (the reweighted estimate), scaled
+likewise, which small groups need. A document whose distance to its group's
 estimate exceeds the cutoff is rejected, as are documents that fail the base rules.
 
 All of it is grouped aggregation: the nearest 75 % are found by counts of
@@ -16,8 +18,8 @@ floor on the diagonal (``FLOOR``), so a statistic that is constant in most of
 a group does not make it singular. Groups under ``MIN_GROUP`` documents are
 pooled by language, then overall. Where those pools are smaller too, all documents
 of the language judge, and under ``MIN_GROUP`` of them all of the table, whose
-covariance then starts from ``PRIOR`` with the weight of ``MIN_GROUP`` documents,
-so it is defined for any number of rows.
+covariance is widened by ``PRIOR`` with the weight of ``MIN_GROUP`` documents, so
+few rows give a defined and cautious estimate.
 
 Defined results: null or empty text has all counts zero and fails the base
 rules; null language or source is a group value of its own; repeated rows are
@@ -46,9 +48,10 @@ FLOOR = {"word_len": 0.08, "symbols": 0.05, "dup_lines": 0.08, "upper": 0.06}
 CUTOFF = 23.5        # squared distance: 0.9999 quantile of the 4-dimensional chi-square
 SHARE = 0.75
 MIN_GROUP = 50
-PRIOR = {s: 4 * f for s, f in FLOOR.items()}     # standard deviations the whole table starts from
-STEPS = 12
-MOVE = 1e-3          # change of a log determinant that counts as none
+PRIOR = {s: 4 * f for s, f in FLOOR.items()}     # standard deviations that widen the table's estimate
+STEPS = 8
+MOVE = 1e-2          # change of a log determinant that counts as none
+CORE = 0.975         # share of normal vectors the reweighted estimate is taken over
 BINS = 32
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 PAIRS = [(i, j) for i in range(len(STATS)) for j in range(i, len(STATS))]
@@ -59,14 +62,19 @@ def _chi2_cdf(x: float, dims: int) -> float:
     return 1 - math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(dims // 2))
 
 
-def consistency(share: float = SHARE, dims: int = len(STATS)) -> float:
-    """What the covariance of the nearest ``share`` of normal vectors (``dims``
-    even) is multiplied by to equal that of all."""
+def quantile(share: float, dims: int = len(STATS)) -> float:
+    """Quantile of the chi-square with ``dims`` (even) dimensions, by bisection."""
     lo, hi = 0.0, 100.0 * dims
     for _ in range(100):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if _chi2_cdf(mid, dims) < share else (lo, mid)
-    return share / _chi2_cdf(hi, dims + 2)
+    return hi
+
+
+def consistency(share: float = SHARE, dims: int = len(STATS)) -> float:
+    """What the covariance of the nearest ``share`` of normal vectors (``dims``
+    even) is multiplied by to equal that of all."""
+    return share / _chi2_cdf(quantile(share, dims), dims + 2)
 
 
 def _covered(starts: Column) -> Column:
@@ -161,14 +169,13 @@ def _same(a: str, b: str, cols) -> Column:
     return out
 
 
-def _moments(rows: DataFrame, scale: float = 1.0) -> DataFrame:
+def _moments(rows: DataFrame, scale: float = 1.0, by=tuple(KEY)) -> DataFrame:
     """Mean vector and covariance entries (times ``scale``) of each group."""
-    out = rows.groupBy(*KEY).agg(
+    out = rows.groupBy(*by).agg(
         F.count("*").alias("n"), *[F.avg(s).alias(f"m_{s}") for s in STATS],
         *[(F.covar_pop(STATS[i], STATS[j]) * scale).alias(f"c{i}{j}") for i, j in PAIRS])
-    own = F.when(F.col("pool") == 4, F.col("n") / (F.col("n") + MIN_GROUP)).otherwise(F.lit(1.0))
-    return out.withColumns({f"c{i}{j}": F.col(f"c{i}{j}") * own + (
-        (1 - own) * PRIOR[STATS[i]] ** 2 + FLOOR[STATS[i]] ** 2 if i == j else F.lit(0.0)) for i, j in PAIRS})
+    few = F.when(F.col("pool") == 4, MIN_GROUP / (F.col("n") + MIN_GROUP)).otherwise(F.lit(0.0))
+    return out.withColumns({f"c{i}{i}": F.col(f"c{i}{i}") + FLOOR[s] ** 2 + few * PRIOR[s] ** 2 for i, s in enumerate(STATS)})
 
 
 def _cholesky(p: DataFrame) -> DataFrame:
@@ -203,21 +210,24 @@ def _distance(df: DataFrame, name: str = "d2") -> DataFrame:
 PARAMS = [f"m_{s}" for s in STATS] + [f"l{i}{j}" for j in range(len(STATS)) for i in range(j, len(STATS))] + ["logdet"]
 
 
-def _attach(rows: DataFrame, params: DataFrame, cols) -> DataFrame:
-    return rows.alias("r").join(params.alias("p"), _same("r", "p", KEY), "left").select(
+STARTED = [*KEY, "start"]
+
+
+def _attach(rows: DataFrame, params: DataFrame, cols, by=tuple(KEY)) -> DataFrame:
+    return rows.alias("r").join(params.alias("p"), _same("r", "p", by), "left").select(
         "r.*", *[F.col(f"p.{c}") for c in cols])
 
 
 def _nearest(rows: DataFrame, params: DataFrame) -> DataFrame:
-    """Rows of the distance bins that hold the nearest ``SHARE``."""
+    """Rows of the distance bins that hold the nearest ``SHARE``, by start."""
     from pyspark.sql import Window
 
-    d = _distance(_attach(rows, params, PARAMS)).withColumn("_b", F.floor(F.log2(F.col("d2") + 1e-6) * BINS))
-    counts = d.groupBy(*KEY, "_b").agg(F.count("*").alias("n"))
-    w = Window.partitionBy(*KEY)
+    d = _distance(_attach(rows, params, ["start", *PARAMS])).withColumn("_b", F.floor(F.log2(F.col("d2") + 1e-6) * BINS))
+    counts = d.groupBy(*STARTED, "_b").agg(F.count("*").alias("n"))
+    w = Window.partitionBy(*STARTED)
     cut = (counts.withColumn("_to", F.sum("n").over(w.orderBy("_b"))).withColumn("_all", F.sum("n").over(w))
-           .filter(F.col("_to") >= F.ceil(F.col("_all") * SHARE)).groupBy(*KEY).agg(F.min("_b").alias("cut")))
-    return _attach(d, cut, ["cut"]).filter("_b <= cut").select(*KEY, *STATS)
+           .filter(F.col("_to") >= F.ceil(F.col("_all") * SHARE)).groupBy(*STARTED).agg(F.min("_b").alias("cut")))
+    return _attach(d, cut, ["cut"], STARTED).filter("_b <= cut").select(*STARTED, *STATS)
 
 
 def fit(stats: DataFrame, groups: DataFrame) -> DataFrame:
@@ -231,18 +241,17 @@ def fit(stats: DataFrame, groups: DataFrame) -> DataFrame:
     robust = _attach(centre, spread, [f"_s{i}" for i in range(len(STATS))])
     robust = robust.withColumns({f"c{i}{j}": (F.pow(1.4826 * F.col(f"_s{i}"), 2) + FLOOR[STATS[i]] ** 2) if i == j
                                  else F.lit(0.0) for i, j in PAIRS})
-    best, scale = None, consistency()
-    for start in (robust, _moments(rows)):
-        p = stored(_cholesky(start).select(*KEY, *PARAMS), "mcd-step")
-        for _ in range(STEPS):
-            last, p = p, stored(_cholesky(_moments(_nearest(rows, p), scale)).select(*KEY, *PARAMS), "mcd-step")
-            moved = p.alias("a").join(last.alias("b"), _same("a", "b", KEY)).agg(
-                F.max(F.abs(F.col("a.logdet") - F.col("b.logdet")))).first()[0]
-            if (moved or 0.0) < MOVE:
-                break
-        best = p if best is None else best.unionByName(p)
-    best = best.groupBy(*KEY).agg(F.min_by(F.struct(*PARAMS), F.struct("logdet", *PARAMS)).alias("p")).select(*KEY, "p.*")
-    return stored(best, "mcd-params")
+    starts = [_cholesky(x).select(*KEY, F.lit(k).alias("start"), *PARAMS) for k, x in enumerate((robust, _moments(rows)))]
+    p = stored(starts[0].unionByName(starts[1]), "mcd-step")
+    for _ in range(STEPS):
+        after = _cholesky(_moments(_nearest(rows, p), consistency(), STARTED))
+        p = stored(_attach(after, p.withColumnRenamed("logdet", "last"), ["last"], STARTED).select(
+            *STARTED, *PARAMS, F.abs(F.col("logdet") - F.col("last")).alias("moved")), "mcd-step")
+        if (p.agg(F.max("moved")).first()[0] or 0.0) < MOVE:
+            break
+    best = p.groupBy(*KEY).agg(F.min_by(F.struct(*PARAMS), F.struct("logdet", *PARAMS)).alias("p")).select(*KEY, "p.*")
+    near = _distance(_attach(rows, stored(best, "mcd-best"), PARAMS)).filter(F.col("d2") <= quantile(CORE)).select(*KEY, *STATS)
+    return stored(_cholesky(_moments(near, consistency(CORE))).select(*KEY, *PARAMS), "mcd-params")
 
 
 def judge(stats: DataFrame, groups: DataFrame, params: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
