@@ -133,11 +133,11 @@ def grouped(stats: DataFrame) -> DataFrame:
     n = stored(n, "mcd-groups")
     small = F.when(F.col("n") < MIN_GROUP, F.col("n"))
     by_lang = n.groupBy("lang").agg(F.sum(small).alias("n_small"), F.sum("n").alias("n_lang"))
-    rest = by_lang.filter(F.col("n_small") < MIN_GROUP).agg(F.sum("n_small").alias("n_rest"))
-    m = n.alias("a").join(by_lang.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")), "left")
+    rest = by_lang.filter(F.col("n_small") < MIN_GROUP).agg(F.sum("n_small")).scalar()
+    m = n.alias("a").join(by_lang.alias("b"), F.col("a.lang").eqNullSafe(F.col("b.lang")), "left").withColumn("n_rest", rest)
     pool = (F.when(F.col("a.n") >= MIN_GROUP, 0).when(F.col("b.n_small") >= MIN_GROUP, 1)
             .when(F.col("n_rest") >= MIN_GROUP, 2).when(F.col("b.n_lang") >= MIN_GROUP, 3).otherwise(4))
-    return m.join(F.broadcast(rest)).select(
+    return m.select(
         "a.lang", "a.source", pool.alias("pool"),
         F.when(pool.isin(0, 1, 3), F.col("a.lang")).alias("g_lang"),
         F.when(pool == 0, F.col("a.source")).alias("g_source"))
@@ -147,8 +147,8 @@ def members(groups: DataFrame) -> DataFrame:
     """``lang, source`` and the keys of every pool its rows are part of: the one
     that judges it, and whole languages and the whole table where they judge any."""
     wide = groups.groupBy("lang").agg(F.max(F.col("pool") == 3).alias("whole"))
-    every = groups.agg(F.max(F.col("pool") == 4).alias("all"))
-    g = groups.alias("g").join(wide.alias("w"), F.col("g.lang").eqNullSafe(F.col("w.lang"))).join(F.broadcast(every))
+    every = groups.agg(F.max(F.col("pool") == 4)).scalar()
+    g = groups.alias("g").join(wide.alias("w"), F.col("g.lang").eqNullSafe(F.col("w.lang"))).withColumn("all", every)
 
     def key(pool, lang, source):
         return F.struct(pool.alias("pool"), lang.alias("g_lang"), source.alias("g_source"))
