@@ -1,17 +1,24 @@
 """LM scoring (operator 9): hashed maximum-entropy model.
 
-``log P(w | h) = log P(class(w) | h) + log P(w | class, h)``: both factors are
-softmaxes over weights summed from hashed features of the history (bias,
-previous word, the word before it as a skip feature, and both as a pair). The
-``VOCAB`` most frequent training tokens are dealt to ``CLASSES`` classes by rank;
-one more entry stands for all other tokens, which share its probability by their
-smoothed counts (c + 0.1). So the model is a proper distribution.
-
-Training: weights start at the smoothed unigram model. In each of ``ROUNDS``
-rounds every task runs minibatch gradient updates (AdaGrad) over its share of
-all training documents of the round; tasks' weight changes are combined by
-Spark in blocks, weighted by tokens, and added. Every training token is used
-once. Counts come from a distributed count of all tokens.
+Every word is predicted along a path of classes, ``P(w | h) = P(class | h)
+P(slot | class, h) [P(leaf | class, slot, h)] P(w | leaf)``. Each of the first
+factors is a softmax over weights summed from hashed features of the history: bias,
+previous word, the word before it as a skip feature, and both as a pair. All words
+of the history are hashed, frequent or not. The ``HEAD`` most frequent training
+tokens own a slot of the first ``HEAD_CLASSES`` classes. All other words, unseen
+ones too, lie in a leaf by their CRC-32 and share its probability by their smoothed
+counts (c + 0.1); each leaf keeps 0.1 for an unseen word. So every token has
+history-dependent factors and the model is a proper distribution. The number of
+leaves follows the counted distinct words, up to ``HEAD * MOST_LEAVES``; tables
+have at most 3 * (3 * ``BUCKETS`` + ``HEAD``) rows of 32 floats (about 9 MB).
+
+Training (each training document is used once; a hash of its id and text says
+where): weights start at the smoothed unigram model. The first step's gradient is
+taken there, where expected counts follow from observed ones without a softmax: it
+needs one distributed sum of feature counts. ``STEPS`` more synchronous steps each
+sum the gradient over all documents of their own share (one of ``SHARES``) at fixed
+weights, scaled by the counts of the first step. Sums go by blocks of weights, so a model does
+not depend on how the documents are partitioned (but for rounding).
 
 The counts of the most frequent tokens (``SHARED``, a fixed number) are broadcast;
 the rest are joined: each document's rare tokens are counted by key in an equi-
@@ -29,6 +36,7 @@ extra columns are ignored.
 from __future__ import annotations
 
 from collections import Counter
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +45,20 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import Shared, stored, table
 
-VOCAB, CLASSES = 1023, 32
-SLOTS = (VOCAB + 1) // CLASSES
-BUCKETS = 1 << 13
+CLASSES, SLOTS, HEAD_CLASSES = 32, 32, 16
+HEAD = HEAD_CLASSES * SLOTS
+MOST_LEAVES = 32      # leaves of a slot of the other classes, at most
+PATHS = (1, CLASSES, (CLASSES - HEAD_CLASSES) * SLOTS)     # softmaxes of each level
+BUCKETS = 1 << 13     # rows of a feature kind in each level's table
 SHARED = 100_000
-ROUNDS = 2
-BATCH = 4096
-CACHED = 1024         # tokens scored at once: their rows stay in a core's cache
-RATE = 0.12
+STEPS, SHARES = 2, 8  # gradient steps, each over one share of the training documents; the first step counts all other shares
+BATCH = 8192          # tokens of a softmax at once: their rows stay in a core's cache
+CACHED = 4096         # the same, where only probabilities are wanted
+TRUST = 0.35          # part of the log ratio that the first step takes
+PRIOR = 4.0           # tokens that a feature row counts as seen beforehand
+RATE = 0.5
+STEP = 1.0            # largest change of a weight in a step
+START = 1 << 32       # stands before the first token; no CRC-32 has this value
 END = b"\n"           # no word can be a line feed
 SMOOTH = 0.1
 
@@ -56,9 +70,9 @@ def tokens(text: str | None) -> list[bytes]:
 
 
 def with_split(df: DataFrame) -> DataFrame:
-    """``doc_id, text, held_out`` and a row key of its own (store it)."""
+    """``doc_id, text, held_out``."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
-    return df.select("doc_id", "text", held.alias("held_out")).withColumn("_row", F.monotonically_increasing_id())
+    return df.select("doc_id", "text", held.alias("held_out"))
 
 
 def count_tokens(rows: DataFrame) -> DataFrame:
@@ -82,154 +96,215 @@ def shared_from(counts: DataFrame, most: int = SHARED) -> int:
     return int(sizes.withColumn("_to", F.sum("n").over(at)).filter(F.col("_to") <= most).agg(F.coalesce(F.min("c"), F.lit(1 << 62))).first()[0])
 
 
+def leaves_for(distinct: int) -> int:
+    """Leaves of a slot: a power of two that follows the distinct words."""
+    n = 4
+    while n < MOST_LEAVES and n * HEAD * 4 < distinct:
+        n *= 2
+    return n
+
+
+def add_rows(total: np.ndarray, rows: np.ndarray, p: np.ndarray) -> None:
+    """``total[rows] += p``, rows that repeat included: those met once are
+    added as they are, the others summed in order of their row first."""
+    order = np.argsort(rows.astype(np.uint16), kind="stable")     # radix sort: rows are below 2^16
+    rows = rows[order]
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
+    n = np.diff(np.r_[first, len(rows)])
+    once = n == 1
+    alone = first[once]
+    total[rows[alone]] += p.take(order[alone], 0)
+    if not once.all():
+        many = order[np.repeat(~once, n)]
+        n, first = n[~once], first[~once]
+        total[rows[first]] += np.add.reduceat(p.take(many, 0), np.cumsum(n) - n, axis=0)
+
+
 class Model:
-    """Weights and vocabulary; entry 0 is "all other tokens"."""
-
-    def __init__(self, top: list[tuple[bytes, int]], total: int, distinct: int):
-        top = top[:VOCAB]
-        self.ids = {t: i + 1 for i, (t, _) in enumerate(top)}
-        known = sum(c for _, c in top)
-        # smoothed mass of all other tokens, one unseen token among them
-        self.rest = total - known + SMOOTH * (distinct - len(top) + 1)
-        mass = np.full(VOCAB + 1, 1e-9)
-        mass[0] = self.rest
-        mass[1:len(top) + 1] = [c + SMOOTH for _, c in top]
-        by_class = mass.reshape(SLOTS, CLASSES).T         # entry i: class i % CLASSES, slot i // CLASSES
-        self.wc = np.zeros((3 * BUCKETS + 1, CLASSES), np.float32)
-        self.ws = np.zeros((3 * BUCKETS + CLASSES, SLOTS), np.float32)
-        self.wc[-1] = np.log(by_class.sum(1) / mass.sum())
-        self.ws[3 * BUCKETS:] = np.log(by_class / by_class.sum(1, keepdims=True))
-
-    def encode(self, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Entry ids, and two previous entries, of all tokens of some texts;
-        ``VOCAB + 1`` stands before the first token."""
-        get = self.ids.get
-        y = np.fromiter((get(t, 0) for d in docs for t in d), np.int64, sum(map(len, docs)))
-        one, two = np.empty_like(y), np.empty_like(y)
-        one[1:], two[2:] = y[:-1], y[:-2]
+    """Weights and paths. Entries below ``HEAD`` are single words, entry
+    ``HEAD + i`` is leaf ``i``. ``mass[i]`` is a leaf's smoothed count."""
+
+    def __init__(self, top: list[tuple[bytes, int]], mass: np.ndarray):
+        top = top[:HEAD]
+        self.ids = {t: i for i, (t, _) in enumerate(top)}
+        self.leaves = len(mass)
+        self.log_mass = np.log10(mass)
+        own = np.full(HEAD, 1e-9)
+        own[:len(top)] = [c + SMOOTH for _, c in top]
+        # entry i: class i % 16 (tail: + 16), slot i // 16 % 32, leaf i // 512 - 1
+        tail = mass.reshape(-1, SLOTS, HEAD_CLASSES).T                     # class, slot, leaf
+        slots = np.concatenate([own.reshape(SLOTS, HEAD_CLASSES).T, tail.sum(2)])
+        shares = [slots.sum(1)[None, :], slots, tail.reshape(PATHS[2], -1)]
+        self.bias = [s / s.sum(1, keepdims=True) for s in shares]
+        self.w = [np.concatenate([np.zeros((3 * BUCKETS, b.shape[1])), np.log(b)]).astype(np.float32) for b in self.bias]
+        self.scale = None
+
+    def encode(self, docs: list[list[bytes]], ranks: dict[bytes, int] | None = None):
+        """All tokens of some texts, their rank in ``ranks`` (the own words; -1:
+        not there), their entries and the CRC-32 of the two tokens before."""
+        flat = [t for d in docs for t in d]
+        get = (self.ids if ranks is None else ranks).get
+        rank = np.fromiter((get(t, -1) for t in flat), np.int64, len(flat))
+        crc = np.fromiter(map(crc32, flat), np.uint64, len(flat))
+        y = np.where((rank >= 0) & (rank < len(self.ids)), rank, HEAD + (crc % np.uint64(self.leaves)).astype(np.int64))
+        one, two = np.empty_like(crc), np.empty_like(crc)
+        one[1:], two[2:] = crc[:-1], crc[:-2]
         start = np.cumsum([0] + [len(d) for d in docs[:-1]])
-        one[start] = two[start] = VOCAB + 1
+        one[start] = two[start] = START
         after = start + 1
-        two[after[after < len(y)]] = VOCAB + 1
-        return y, one, two
-
-    @staticmethod
-    def features(y, one, two):
-        """Rows of the class table and of the slot table for each token."""
-        cls = y % CLASSES
-        hs = [one * 7919 + 1, two * 104_729 + 2, (one * 1_000_003 + two) * 31 + 3]
-        fc = [(h * 2_654_435_761 >> 7) % BUCKETS + k * BUCKETS for k, h in enumerate(hs)]
-        fs = [((h * CLASSES + cls) * 2_654_435_761 >> 7) % BUCKETS + k * BUCKETS for k, h in enumerate(hs)]
-        return fc + [np.array(3 * BUCKETS)], fs + [cls + 3 * BUCKETS]      # one bias row for all
-
-    def factors(self, y, one, two):
-        """Probabilities of both softmaxes, with their feature rows."""
-        out = []
-        for w, f in zip((self.wc, self.ws), self.features(y, one, two), strict=True):
-            z = w.take(f[0], 0)
-            for r in f[1:]:
-                z += w.take(r, 0) if r.ndim else w[r]
-            top = z
-            while top.shape[1] > 1:         # row maxima by halves: widths are powers of two
-                half = top.shape[1] // 2
-                top = np.maximum(top[:, :half], top[:, half:])
-            z -= top
-            np.exp(z, out=z)
-            z /= (z @ np.ones(z.shape[1], np.float32))[:, None]
-            out.append((z, f))
-        return out
+        two[after[after < len(y)]] = START
+        return flat, rank, y, one, two
+
+    def levels(self, y, one, two):
+        """Of each level: which tokens meet it, their rows in its table (three
+        features, the bias) and the choice that was taken."""
+        mix = np.uint64(0x9E3779B97F4A7C15)       # fixed value: 2^64 by the golden ratio
+        hs = [((x * mix) ^ np.uint64(k)) * mix >> np.uint64(40) for k, x in enumerate((one, two, one * np.uint64(1_000_003) + two))]
+        hs = [h.astype(np.int64) for h in hs]
+        tail = np.flatnonzero(y >= HEAD)
+        cls, slot = y % HEAD_CLASSES + HEAD_CLASSES * (y >= HEAD), y // HEAD_CLASSES % SLOTS
+        t = y[tail]
+        for k, (at, path, hit) in enumerate(((slice(None), np.zeros_like(y), cls), (slice(None), cls, slot),
+                                             (tail, t % HEAD_CLASSES * SLOTS + t // HEAD_CLASSES % SLOTS, t // HEAD - 1))):
+            room = BUCKETS // PATHS[k]
+            yield k, at, [h[at] % room + path * room + f * BUCKETS for f, h in enumerate(hs)] + [path + 3 * BUCKETS], hit
+
+    def choices(self, k: int, rows) -> np.ndarray:
+        """Probabilities of all choices of level ``k``."""
+        w = self.w[k]
+        z = w.take(rows[0], 0)
+        for r in rows[1:]:
+            z += w.take(r, 0)
+        top = z
+        while top.shape[1] > 1:         # row maxima by halves: widths are powers of two
+            half = top.shape[1] // 2
+            top = np.maximum(top[:, :half], top[:, half:])
+        z -= top
+        np.exp(z, out=z)
+        z /= (z @ np.ones(z.shape[1], np.float32))[:, None]
+        return z
 
     def log10(self, y, one, two) -> np.ndarray:
-        """log10 probability of each entry, in bounded batches."""
-        out = np.empty(len(y))
+        """log10 probability of each entry, a leaf's per unit of smoothed
+        count (add log10(c + 0.1) of the word), in bounded batches."""
+        out = np.zeros(len(y))
         for a in range(0, len(y), CACHED):
             s = slice(a, a + CACHED)
-            (pc, _), (ps, _) = self.factors(y[s], one[s], two[s])
-            n = np.arange(len(pc))
-            out[s] = np.log10(np.maximum(pc[n, y[s] % CLASSES], 1e-30)) + np.log10(np.maximum(ps[n, y[s] // CLASSES], 1e-30))
+            got = out[s]
+            for k, at, rows, hit in self.levels(y[s], one[s], two[s]):
+                got[at] += np.log10(np.maximum(self.choices(k, rows)[np.arange(len(hit)), hit], 1e-30))
+        tail = y >= HEAD
+        out[tail] -= self.log_mass[y[tail] - HEAD]
         return out
 
-    def update(self, y, one, two, g2) -> None:
-        """One minibatch gradient step."""
-        n = np.arange(len(y))
-        for w, acc, (p, f), hit in zip((self.wc, self.ws), g2, self.factors(y, one, two), (y % CLASSES, y // CLASSES), strict=True):
-            p[n, hit] -= 1
-            for r in f:
-                if not r.ndim:
-                    g = np.ones(len(p), np.float32) @ p
-                    acc[r] += np.square(g).sum() / len(g)
-                    w[r] -= RATE / np.sqrt(acc[r]) * g
+    def zeros(self) -> list[np.ndarray]:
+        return [np.zeros(w.shape, np.float32) for w in self.w]
+
+    def observe(self, y, one, two, sums) -> None:
+        """Add how often each feature row met each choice."""
+        for k, _, rows, hit in self.levels(y, one, two):
+            width = sums[k].shape[1]
+            cells = np.concatenate([r * width + hit for r in rows])
+            sums[k] += np.bincount(cells, minlength=sums[k].size).reshape(sums[k].shape)
+
+    def gradient(self, y, one, two, sums) -> None:
+        """Add observed less expected choices of each feature row."""
+        for a in range(0, len(y), BATCH):
+            s = slice(a, a + BATCH)
+            for k, _, rows, hit in self.levels(y[s], one[s], two[s]):
+                if not len(hit):
                     continue
-                order = np.argsort(r.astype(np.uint16), kind="stable")     # radix sort: rows are below 2^16
-                rs = r[order]
-                first = np.flatnonzero(np.r_[True, rs[1:] != rs[:-1]])
-                g = np.add.reduceat(p.take(order, 0), first, axis=0)
-                u = rs[first]
-                acc[u] += np.einsum("ij,ij->i", g, g) / g.shape[1]
-                w[u] -= (RATE / np.sqrt(acc[u]))[:, None] * g
-
-
-def _train_round(rows: DataFrame, model: Model, k: int, rounds: int, blocks: int = 16) -> Model:
-    """Local updates in every task; weighted mean of the tasks' changes."""
+                p = self.choices(k, rows)
+                np.negative(p, out=p)
+                p[np.arange(len(hit)), hit] += 1
+                for r in rows:
+                    add_rows(sums[k], r, p)
+
+    def first_step(self, seen: list[np.ndarray]) -> None:
+        """Step from the unigram start: expected counts are the row's tokens
+        times the unigram share; the log ratio to the observed ones is taken in part."""
+        self.scale = []
+        for k, obs in enumerate(seen):
+            path = np.r_[np.tile(np.repeat(np.arange(PATHS[k]), BUCKETS // PATHS[k]), 3), np.arange(PATHS[k])]
+            b, n = self.bias[k][path], obs.sum(1, keepdims=True)
+            change = TRUST * np.log((obs + PRIOR * b) / ((n + PRIOR) * b))
+            change[3 * BUCKETS:] = 0
+            self.w[k] = (self.w[k] + change).astype(np.float32)
+            self.scale.append(((obs + n * b) / 2).astype(np.float32))
+
+    def step(self, grad: list[np.ndarray], share: float) -> None:
+        """One gradient step; ``share``: its tokens by those of the counts."""
+        for k, g in enumerate(grad):
+            self.w[k] = (self.w[k] + np.clip(RATE * g / (self.scale[k] * share + PRIOR), -STEP, STEP)).astype(np.float32)
+
+
+def summed(rows: DataFrame, model: Model, method: str, blocks: int = 64) -> tuple[list[np.ndarray], int]:
+    """``method``'s sums over all texts of ``rows`` at fixed weights, and the
+    number of tokens. Each task sends its sums in blocks, a block's are added in one task."""
     shared = Shared(rows.sparkSession, model)
 
     def run(batches):
-        import copy
-
-        m = copy.copy(shared.value)
-        m.wc, m.ws = m.wc.copy(), m.ws.copy()
-        g2, used, docs, size = (np.full(len(m.wc), 1.0, np.float32), np.full(len(m.ws), 1.0, np.float32)), 0, [], 0
+        m = shared.value
+        sums, used, docs, size = m.zeros(), 0, [], 0
 
-        def learn():
-            y, one, two = m.encode(docs)
-            for a in range(0, len(y), BATCH):
-                m.update(y[a:a + BATCH], one[a:a + BATCH], two[a:a + BATCH], g2)
+        def add():
+            _, _, y, one, two = m.encode(docs)
+            getattr(m, method)(y, one, two, sums)
             return len(y)
         for b in batches:
             for x in b.column(0):
                 docs.append(tokens(x.as_py()))
                 size += len(docs[-1])
                 if size >= 16 * BATCH:
-                    used += learn()
+                    used += add()
                     docs, size = [], 0
         if docs:
-            used += learn()
+            used += add()
         if used:
-            flat = np.concatenate([(m.wc - shared.value.wc).ravel(), (m.ws - shared.value.ws).ravel()])
-            parts = np.array_split(flat * np.float32(used), blocks)
-            yield pa.RecordBatch.from_arrays([pa.array(range(blocks)), pa.array([used] * blocks), pa.array([p.tobytes() for p in parts], pa.binary())], ["block", "n", "delta"])
+            parts = np.array_split(np.concatenate([s.ravel() for s in sums]), blocks)
+            yield pa.RecordBatch.from_arrays([pa.array(range(blocks)), pa.array([used] * blocks), pa.array([p.tobytes() for p in parts], pa.binary())], ["block", "n", "sums"])
 
     def add(batches):
-        """Sum of the tasks' changes by block, within one task."""
-        sums, n = {}, {}
+        total, n = {}, {}
         for b in batches:
             for i, c, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 v = np.frombuffer(d.as_py(), np.float32)
-                sums[i] = v.copy() if i not in sums else sums[i] + v
+                total[i] = total[i] + v if i in total else v.astype(np.float64)
                 n[i] = n.get(i, 0) + c
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([n[i] for i in sums]), pa.array([sums[i].tobytes() for i in sums], pa.binary())], ["block", "n", "delta"])
-    schema = "block long, n long, delta binary"
-    part = rows.filter("not held_out").filter(F.pmod(F.xxhash64("_row"), F.lit(rounds)) == k).select("text").mapInArrow(run, schema)
-    # blocks meet in one task each: the model's size divided by the blocks, per training task
-    got = part.repartition(blocks, "block").mapInArrow(add, schema).toPandas()
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([n[i] for i in total]), pa.array([total[i].tobytes() for i in total], pa.binary())], ["block", "n", "sums"])
+    schema = "block long, n long, sums binary"
+    got = rows.select("text").mapInArrow(run, schema).repartition(blocks, "block").mapInArrow(add, schema).toPandas()
+    out, n = [s.astype(np.float64) for s in model.zeros()], 0
     if len(got):
-        flat = np.concatenate([np.frombuffer(d, np.float32) / n for _, n, d in sorted(zip(got["block"], got["n"], got["delta"], strict=True))])
-        cut = model.wc.size
-        model.wc = model.wc + flat[:cut].reshape(model.wc.shape)
-        model.ws = model.ws + flat[cut:].reshape(model.ws.shape)
-    return model
+        got = got.sort_values("block")
+        flat, n = np.concatenate([np.frombuffer(d) for d in got["sums"]]), int(got["n"].iloc[0])
+        cuts = np.cumsum([s.size for s in out])[:-1]
+        out = [f.reshape(s.shape) for f, s in zip(np.split(flat, cuts), out, strict=True)]
+    return out, n
 
 
-def train(rows: DataFrame, rounds: int = ROUNDS):
+def train(rows: DataFrame, steps: int = STEPS):
     """``(model, shared counts, N, V, counts)`` learned from training rows."""
     counts = count_tokens(rows)
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = counts.filter(F.col("c") >= shared_from(counts)).toPandas()
     pairs = sorted(((bytes(t), int(c)) for t, c in zip(top["token"], top["c"], strict=True)), key=lambda x: (-x[1], x[0]))
-    model = Model(pairs, int(n), int(v))
-    for k in range(rounds):
-        model = _train_round(rows, model, k, rounds)
+    leaves = HEAD * leaves_for(int(v))
+    by_leaf = counts.groupBy((F.crc32("token") % leaves).alias("leaf")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).toPandas()
+    mass = np.full(leaves, SMOOTH)
+    mass[by_leaf["leaf"].to_numpy(int)] += by_leaf["c"].to_numpy(float) + SMOOTH * by_leaf["n"].to_numpy(float)
+    for t, c in pairs[:HEAD]:
+        mass[crc32(t) % leaves] -= c + SMOOTH
+    model = Model(pairs, np.maximum(mass, SMOOTH))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARES))
+    learn = rows.filter("not held_out")
+    seen, counted = summed(learn.filter(part >= steps), model, "observe")
+    model.first_step(seen)
+    for k in range(steps):
+        grad, used = summed(learn.filter(part == k), model, "gradient")
+        if used and counted:
+            model.step(grad, used / counted)
     return model, dict(pairs), int(n), int(v), counts
 
 
@@ -237,42 +312,36 @@ def score(rows: DataFrame, fitted) -> DataFrame:
     """Scores of every row: the part of frequent tokens is summed in place,
     that of rare tokens is joined to their counts."""
     model, common, n, v, counts = fitted
-    spark = rows.sparkSession
-    shared = Shared(spark, (model, {t: float(np.log10(c + SMOOTH)) for t, c in common.items()}))
-    rest = float(np.log10(model.rest)) if model.rest > 0 else 0.0
-    base_of = np.log10(n + SMOOTH * (v + 1))
+    model.scale = None                  # only training needs it
+    ranks = {t: i for i, t in enumerate(dict.fromkeys([*model.ids, *common]))}
+    shared = Shared(rows.sparkSession, (model, ranks, np.log10(np.array([common[t] for t in ranks], float) + SMOOTH)))
+    base_of = float(np.log10(n + SMOOTH * (v + 1)))
 
     def run(batches):
-        m, seen = shared.value
+        m, ranks, logs = shared.value
+        logs = np.append(logs, 0.0)     # rank -1: joined later
         for b in batches:
             for at in range(0, b.num_rows, 64):
                 part = b.slice(at, 64)
                 docs = [tokens(x.as_py()) for x in part.column(1)]
-                y, one, two = m.encode(docs)
+                flat, rank, y, one, two = m.encode(docs, ranks)
                 p = m.log10(y, one, two)
-                start = np.cumsum([0] + [len(d) for d in docs[:-1]])
-                total = np.add.reduceat(p, start)
-                base, known, extra, rare = [], [], [], []
-                for d in docs:
-                    s = e = k = 0
-                    left = []
-                    for t, f in Counter(d).items():
-                        x = seen.get(t)
-                        if x is None:
-                            left.append({"token": t, "f": f})
-                            continue
-                        s, k = s + f * x, k + f
-                        if t not in m.ids:
-                            e += f * (x - rest)
-                    base.append(s)
-                    known.append(k)
-                    extra.append(e)
-                    rare.append(left)
+                own = logs[rank]
+                size = np.array([len(d) for d in docs])
+                start = np.cumsum(size) - size
+                rare = np.flatnonzero(rank < 0)
+                doc = np.repeat(np.arange(len(docs)), size)[rare].tolist()
+                left = Counter(zip(doc, [flat[i] for i in rare.tolist()], strict=True))     # in the order of the texts
+                ends = np.cumsum(np.bincount([d for d, _ in left], minlength=len(docs))) if left else np.zeros(len(docs), int)
+                pairs = pa.StructArray.from_arrays([pa.array([t for _, t in left], pa.binary()), pa.array(list(left.values()), pa.int64())], ["token", "f"])
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(d) for d in docs], pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                     pa.array(total + np.array(extra, float)), pa.array(rare, pa.list_(pa.struct([("token", pa.binary()), ("f", pa.int64())])))],
-                    ["_row", "n_tokens", "known", "base", "model", "rare"])
-    out = stored(rows.select("_row", "text").mapInArrow(run, "_row long, n_tokens long, known long, base double, model double, rare array<struct<token: binary, f: bigint>>"), "lm-parts")
+                    [part.column(0), part.column(2), part.column(3), pa.array(size), pa.array(np.add.reduceat((rank >= 0).astype(np.int64), start)),
+                     pa.array(np.add.reduceat(own, start)), pa.array(np.add.reduceat(p + np.where(y >= HEAD, own, 0.0), start)),
+                     pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pairs)],
+                    ["doc_id", "held_out", "_row", "n_tokens", "known", "base", "model", "rare"])
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    out = stored(rows.select("doc_id", "text", "held_out", F.monotonically_increasing_id().alias("_row")).mapInArrow(
+        run, f"doc_id {kind}, held_out boolean, _row long, n_tokens long, known long, base double, model double, rare array<struct<token: binary, f: bigint>>"), "lm-parts")
     rare = out.select("_row", F.explode("rare").alias("x")).select("_row", F.col("x.token").alias("token"), F.col("x.f").alias("f"))
     low = counts
     if common:
@@ -280,15 +349,15 @@ def score(rows: DataFrame, fitted) -> DataFrame:
         low = counts.filter(F.col("c") <= least)        # what was not broadcast (and ties with it)
     c = F.coalesce("c", F.lit(0))
     sums = (rare.join(low, "token", "left").groupBy("_row").agg(
-        F.sum(F.col("f") * F.log10(c + SMOOTH)).alias("s"), F.sum(F.when(c > 0, F.col("f")).otherwise(0)).alias("k"), F.sum("f").alias("n")))
+        F.sum(F.col("f") * F.log10(c + SMOOTH)).alias("s"), F.sum(F.when(c > 0, F.col("f")).otherwise(0)).alias("k")))
     sums = stored(sums, "lm-rare")
-    s, k, f = (F.coalesce(x, F.lit(0)) for x in ("s", "k", "n"))
-    return (rows.select("_row", "doc_id", "held_out").join(out.drop("rare"), "_row").join(sums, "_row", "left").select(
+    s, k = (F.coalesce(x, F.lit(0)) for x in ("s", "k"))
+    return out.drop("rare").join(sums, "_row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + k).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") + s - F.col("n_tokens") * float(base_of)).alias("base_score"), (F.col("model") + s - f * rest).alias("score")))
+        (F.col("base") + s - F.col("n_tokens") * base_of).alias("base_score"), (F.col("model") + s).alias("score"))
 
 
 def op9_maxent_lm(spark, sf_dir) -> DataFrame:
     """Base and model score of every document."""
-    rows = stored(with_split(table(spark, sf_dir, "documents")), "lm-docs")
+    rows = with_split(table(spark, sf_dir, "documents"))
     return score(rows, train(rows))
