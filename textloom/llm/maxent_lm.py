@@ -54,6 +54,7 @@ SHARED = 100_000
 STEPS, SHARES = 2, 8  # gradient steps, each over one share of the training documents; the first step counts all other shares
 BATCH = 8192          # tokens of a softmax at once: their rows stay in a core's cache
 CACHED = 4096         # the same, where only probabilities are wanted
+TASK_TOKENS = 1 << 19 # tokens that a summing task takes at least: each sends sums of the size of the model
 TRUST = 0.35          # part of the log ratio that the first step takes
 PRIOR = 4.0           # tokens that a feature row counts as seen beforehand
 RATE = 0.5
@@ -238,10 +239,14 @@ class Model:
             self.w[k] = (self.w[k] + np.clip(RATE * g / (self.scale[k] * share + PRIOR), -STEP, STEP)).astype(np.float32)
 
 
-def summed(rows: DataFrame, model: Model, method: str, blocks: int = 64) -> tuple[list[np.ndarray], int]:
+def summed(rows: DataFrame, model: Model, method: str, expected: float, blocks: int = 64) -> tuple[list[np.ndarray], int]:
     """``method``'s sums over all texts of ``rows`` at fixed weights, and the
-    number of tokens. Each task sends its sums in blocks, a block's are added in one task."""
+    number of tokens. Each task sends its sums in blocks, a block's are added in one
+    task. Splits are put together, without a shuffle, where they hold few of the
+    ``expected`` tokens; every core still has one.
+    """
     shared = Shared(rows.sparkSession, model)
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, int(expected / TASK_TOKENS))
 
     def run(batches):
         m = shared.value
@@ -274,7 +279,7 @@ def summed(rows: DataFrame, model: Model, method: str, blocks: int = 64) -> tupl
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([n[i] for i in total]), pa.array([total[i].tobytes() for i in total], pa.binary())], ["block", "n", "sums"])
     schema = "block long, n long, sums binary"
-    got = rows.select("text").mapInArrow(run, schema).repartition(blocks, "block").mapInArrow(add, schema).toPandas()
+    got = rows.select("text").coalesce(tasks).mapInArrow(run, schema).repartition(blocks, "block").mapInArrow(add, schema).toPandas()
     out, n = [s.astype(np.float64) for s in model.zeros()], 0
     if len(got):
         got = got.sort_values("block")
@@ -299,10 +304,10 @@ def train(rows: DataFrame, steps: int = STEPS):
     model = Model(pairs, np.maximum(mass, SMOOTH))
     part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARES))
     learn = rows.filter("not held_out")
-    seen, counted = summed(learn.filter(part >= steps), model, "observe")
+    seen, counted = summed(learn.filter(part >= steps), model, "observe", n * (SHARES - steps) / SHARES)
     model.first_step(seen)
     for k in range(steps):
-        grad, used = summed(learn.filter(part == k), model, "gradient")
+        grad, used = summed(learn.filter(part == k), model, "gradient", n / SHARES)
         if used and counted:
             model.step(grad, used / counted)
     return model, dict(pairs), int(n), int(v), counts
