@@ -161,3 +161,24 @@ def test_wide_matrix_of_many_classes(spark):
     small = spark.createDataFrame([(5, 9, 2)], "y_true int, y_pred int, n long")
     got = EV.read_confusion_wide(spark, EV.write_confusion(small, work_path(spark, "t-wide"), wide=True)).collect()
     assert sorted(tuple(r) for r in got) == [(5, 5, 0), (5, 9, 2), (9, 5, 0), (9, 9, 0)]
+
+
+# -- texts measured once (length profile), plain texts matched by a short pattern -------
+@pytest.mark.parametrize("key", ["length_distribution", "length_histogram", "coverage_by_limit"])
+def test_length_statistics_measure_texts_once(spark, sf0001, key):
+    from textloom.checks import QUERIES
+    p = plan(QUERIES[key](spark, sf0001))
+    assert p.count("FileScan parquet") == 1 and "DataFilters: []" in p and "Filter CASE" not in p
+
+
+def test_length_bins_and_limits_of_odd_lengths(spark):
+    from textloom.operators import profile as P
+    none = spark.createDataFrame([], "len INT, n BIGINT")
+    assert {(r["n"], r["pct"]) for r in P.length_distribution(none).collect()} == {(0, None)}
+    assert {(r["n_truncated"], r["coverage_pct"]) for r in P.coverage_by_limit(none).collect()} == {(0, None)}
+    few = spark.createDataFrame([(0, 1), (2, 2), (40, 1)], "len INT, n BIGINT")
+    assert [r["n"] for r in P.length_distribution(few).collect()] == [2, 1, 0, 0, 0, 0, 0, 0]
+    assert {r["pct"] for r in P.length_distribution(few).where("n = 2").collect()} == {50.0}
+    assert {(r["n_truncated"], r["coverage_pct"]) for r in P.coverage_by_limit(few).collect()} == {(0, 100.0)}
+    assert [(r["bin"], r["n"], r["lo_edge"], r["hi_edge"]) for r in P.length_histogram(few, 2).orderBy("bin").collect()] == [
+        (0, 3, 0.0, 20.0), (1, 1, 20.0, 40.0)]

@@ -17,6 +17,7 @@ from textloom.functions.scores import LENGTH_BIN_LABELS, length_bin_ord
 from textloom.functions.text import (
     N_SPECIAL_TOKENS, basic_tokens, text_preview, to_text, token_count, token_preview,
 )
+from textloom.session import local_table
 from textloom.sources.corpus import ROW_ID, TEXT
 
 # ---------------------------------------------------------------------------
@@ -85,7 +86,7 @@ def recommend_max_length(freq: DataFrame, percentiles=RECOMMEND_PERCENTILES) ->
 
 
 def _limits(spark: SparkSession, limits) -> DataFrame:
-    return spark.createDataFrame([(int(x),) for x in limits], "limit INT")
+    return local_table(spark, [(int(x),) for x in limits], "limit INT")
 
 
 def length_coverage(freq: DataFrame, limits=COMMON_LIMITS) -> DataFrame:
@@ -109,10 +110,14 @@ def coverage_by_limit(freq: DataFrame, limits=COMMON_LIMITS) -> DataFrame:
     """The same coverage through a theta join of the (small) limits
     dimension with the frequency table on ``len > limit``."""
     lim = F.broadcast(_limits(freq.sparkSession, limits))
-    total = freq.agg(F.sum("n")).scalar()
-    over = (lim.join(freq, freq[LEN] > lim["limit"], "left")
-            .groupBy("limit").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_truncated")))
-    return over.select("limit", ((total - F.col("n_truncated")) / total * 100).alias("coverage_pct"),
+    every = Window.partitionBy()                 # over distinct lengths only, in the same pass
+    held = freq.select(LEN, "n", F.sum("n").over(every).alias("total"),
+                       F.col(LEN).eqNullSafe(F.min(LEN).over(every)).alias("least"))
+    # the least length meets every limit and brings the total along
+    over = (lim.join(held, (held[LEN] > lim["limit"]) | held["least"], "left")
+            .groupBy("limit").agg(F.coalesce(F.sum(F.when(F.col(LEN) > F.col("limit"), F.col("n"))), F.lit(0)).alias("n_truncated"),
+                                  F.max("total").alias("total")))
+    return over.select("limit", ((F.col("total") - F.col("n_truncated")) / F.col("total") * 100).alias("coverage_pct"),
                        F.col("n_truncated").cast("bigint").alias("n_truncated"))
 
 
@@ -138,18 +143,25 @@ def truncation_loss(freq: DataFrame, limits=COMMON_LIMITS) -> DataFrame:
 
 def length_bins(spark: SparkSession) -> DataFrame:
     """The 8-row bin dimension ``bin_ord, bin``."""
-    return spark.createDataFrame(list(enumerate(LENGTH_BIN_LABELS, start=1)), "bin_ord INT, bin STRING")
+    return local_table(spark, list(enumerate(LENGTH_BIN_LABELS, start=1)), "bin_ord INT, bin STRING")
 
 
 def length_distribution(freq: DataFrame) -> DataFrame:
     """A9 + J7: rows and % per bin in bin order; empty bins kept (left join
-    from the bin dimension)."""
-    total = freq.agg(F.sum("n")).scalar()
-    per_bin = (freq.where(length_bin_ord(LEN).isNotNull())
-               .groupBy(length_bin_ord(LEN).alias("bin_ord")).agg(F.sum("n").alias("n")))
+    from the bin dimension).
+
+    Bins and total come from one aggregate without keys: a filter on a bin
+    would be pushed below ``freq`` and measure every text again for each of its
+    comparisons, and a total of its own would be another pass.
+    """
+    at = length_bin_ord(LEN)
+    sums = [F.sum(F.when(at == i, F.col("n"))).alias(f"n_{i}") for i in range(1, len(LENGTH_BIN_LABELS) + 1)]
+    wide = freq.agg(F.sum("n").alias("total"), *sums)
+    stacked = ", ".join(f"{i}, n_{i}" for i in range(1, len(LENGTH_BIN_LABELS) + 1))
+    per_bin = wide.selectExpr(f"stack({len(LENGTH_BIN_LABELS)}, {stacked}) AS (bin_ord, n)", "total")
     n = F.coalesce(F.col("n"), F.lit(0))
     return (F.broadcast(length_bins(freq.sparkSession)).join(per_bin, "bin_ord", "left")
-            .select("bin_ord", "bin", n.cast("bigint").alias("n"), (n / total * 100).alias("pct"))
+            .select("bin_ord", "bin", n.cast("bigint").alias("n"), (n / F.col("total") * 100).alias("pct"))
             .orderBy("bin_ord"))
 
 
@@ -157,12 +169,15 @@ def length_histogram(freq: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
     """A10: equal-width histogram over [min, max] (last bin closed); a
     constant column uses [v - 0.5, v + 0.5]. Empty bins are kept."""
     spark = freq.sparkSession
-    lo0 = freq.agg(F.min(LEN)).scalar()
-    hi0 = freq.agg(F.max(LEN)).scalar()
+    every = Window.partitionBy()                 # over distinct lengths only, in the same pass
+    lo0, hi0 = F.min(LEN).over(every), F.max(LEN).over(every)
     lo = F.when(lo0 == hi0, lo0 - 0.5).otherwise(lo0).cast("double")
     hi = F.when(lo0 == hi0, hi0 + 0.5).otherwise(hi0).cast("double")
+    ranged = freq.select(LEN, "n", lo.alias("lo"), hi.alias("hi"))
+    lo, hi = F.col("lo"), F.col("hi")
     idx = F.least(F.floor((F.col(LEN) - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("int")
-    counts = freq.groupBy(idx.alias("bin")).agg(F.sum("n").alias("n"))
+    counts = ranged.groupBy(idx.alias("bin")).agg(F.sum("n").alias("n"), F.max("lo").alias("lo"), F.max("hi").alias("hi"))
+    lo, hi = F.max("lo").over(every), F.max("hi").over(every)
     ids = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     step = (hi - lo) / bins
     return (ids.join(counts, "bin", "left")
