@@ -182,3 +182,16 @@ def test_length_bins_and_limits_of_odd_lengths(spark):
     assert {(r["n_truncated"], r["coverage_pct"]) for r in P.coverage_by_limit(few).collect()} == {(0, 100.0)}
     assert [(r["bin"], r["n"], r["lo_edge"], r["hi_edge"]) for r in P.length_histogram(few, 2).orderBy("bin").collect()] == [
         (0, 3, 0.0, 20.0), (1, 1, 20.0, 40.0)]
+
+
+def test_plain_pattern_gives_the_same_tokens(spark):
+    from textloom.functions import text as T
+    points = spark.range(1, 0x30000).where("id NOT BETWEEN 55296 AND 57343").select(
+        F.expr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32')").alias("c"))
+    texts = points.select(F.concat(F.lit("aB"), "c", F.lit("9c"), "c", "c", F.lit(" "), "c", F.lit(", x"), "c").alias("t")).union(
+        spark.createDataFrame([(None,), ("",), (" \t\n",)], "t STRING"))
+    whole = F.regexp_extract_all(T.strip_accents(F.lower(T.clean_controls("t"))), F.lit(T.TOKEN_PATTERN), 0)
+    counted = F.size(F.regexp_extract_all(T.clean_controls("t", marks=True), F.lit(T.TOKEN_PATTERN), 0))
+    got = texts.select("t", T.basic_tokens("t").alias("tokens"), T.token_count("t").alias("n"))
+    assert T.PLAIN_TOKEN_PATTERN in plan(got)
+    assert got.where(~F.col("tokens").eqNullSafe(whole) | ~F.col("n").eqNullSafe(counted)).count() == 0
