@@ -195,3 +195,25 @@ def test_plain_pattern_gives_the_same_tokens(spark):
     got = texts.select("t", T.basic_tokens("t").alias("tokens"), T.token_count("t").alias("n"))
     assert T.PLAIN_TOKEN_PATTERN in plan(got)
     assert got.where(~F.col("tokens").eqNullSafe(whole) | ~F.col("n").eqNullSafe(counted)).count() == 0
+
+
+# -- memory of Python workers --------------------------------------------------
+def test_lookups_work_a_piece_at_a_time(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(EN, "PIECE", 3)
+    sizes = []
+
+    def look(flat):
+        sizes.append(len(flat))
+        return pa.array([10 * x for x in flat.to_pylist()], pa.int32())
+    lists = pa.array([[9], [1, 2], [], [3, 4, 5, 6, 7]], pa.list_(pa.int32())).slice(1)
+    assert EN._looked_up(lists, look, pa.int32()).to_pylist() == [[10, 20], [], [30, 40, 50, 60, 70]]
+    assert max(sizes) <= 3 and sum(sizes) == 7
+    assert EN._looked_up(lists.slice(1, 1), look, pa.int32()).to_pylist() == [[]]
+
+
+def test_small_tables_start_no_python_workers(spark):
+    from textloom.session import local_table
+    for df in (EN.special_tokens(spark), local_table(spark, [], "value STRING"), local_table(spark, [(None, 1.5)], "a INT, b DOUBLE")):
+        assert "LocalTableScan" in plan(df)
+    assert [tuple(r) for r in local_table(spark, [(None, 1.5), (2, None)], "a INT, b DOUBLE").collect()] == [(None, 1.5), (2, None)]

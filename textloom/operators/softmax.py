@@ -27,7 +27,7 @@ from textloom.functions.text import basic_tokens
 from textloom.sources.corpus import ROW_ID, TEXT
 
 BLOCK = 4096              # weights of a block
-CHUNK = 1 << 20           # tokens worked on at once
+CHUNK = 1 << 18           # tokens worked on at once
 FAN_IN = 64               # tasks whose blocks are added in one round
 STEP = "step"
 FEATURES = f"{ROW_ID} bigint, code int, idx array<int>, val array<double>"
@@ -168,17 +168,20 @@ def logits(model: Softmax, spark: SparkSession, *inputs: Column) -> Column:
         return _lists(np.full(len(z), n_classes), pa.array(z.ravel(), pa.float64()))
 
     def from_buckets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
+        def scored(lists):
             lengths, flat = _entries(lists)
-            yield finished([_logits(shared.value, b - a, *sparse_rows(lengths[a:b], flat[at:end], num_features))
-                            for a, b, at, end in _chunks(lengths)])
+            return finished([_logits(shared.value, b - a, *sparse_rows(lengths[a:b], flat[at:end], num_features))
+                             for a, b, at, end in _chunks(lengths)])
+        yield from map(scored, batches)       # holds no batch while the next is read
 
     def from_entries(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for idx, val in batches:
+        def scored(pair):
+            idx, val = pair
             lengths, flat = _entries(idx)
             values = val.flatten().to_numpy()
-            yield finished([_logits(shared.value, b - a, np.repeat(np.arange(b - a), lengths[a:b]), flat[at:end], values[at:end])
-                            for a, b, at, end in _chunks(lengths)])
+            return finished([_logits(shared.value, b - a, np.repeat(np.arange(b - a), lengths[a:b]), flat[at:end], values[at:end])
+                             for a, b, at, end in _chunks(lengths)])
+        yield from map(scored, batches)
 
     return F.arrow_udf(from_buckets if len(inputs) == 1 else from_entries, "array<double>")(*inputs)
 

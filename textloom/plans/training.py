@@ -34,7 +34,7 @@ from textloom.operators.encode import MAX_LENGTH, VOCAB_SIZE, build_vocab, encod
 from textloom.operators.split import TRAIN, VALIDATION, assign_batches, stratified_split
 from textloom.plans.evaluation import evaluation_report, write_classification_report, write_confusion, \
     write_metrics_json
-from textloom.session import cut_lineage, work_path
+from textloom.session import cut_lineage, local_table, work_path
 from textloom.sources.corpus import LABEL, ROW_ID, TEXT
 
 # ---------------------------------------------------------------------------
@@ -175,7 +175,7 @@ def point_best_to(spark: SparkSession, best_path: str, target: str, params: dict
 def _write_text(spark: SparkSession, path: str, doc: str | None) -> None:
     """One-line text table; ``None`` writes an empty one over an existing."""
     rows = [] if doc is None else [(doc,)]
-    spark.createDataFrame(rows, "value STRING").write.mode("overwrite").text(path)
+    local_table(spark, rows, "value STRING").write.mode("overwrite").text(path)
 
 
 def _resolve(spark: SparkSession, path: str) -> str:
@@ -258,14 +258,14 @@ def fit_text_classifier(train: DataFrame, val: DataFrame, dictionary: DataFrame,
             write_metrics_json(ev.per_class, os.path.join(out_dir, "detailed_metrics"))
             write_confusion(ev.confusion, os.path.join(out_dir, "confusion_matrix"), wide=True)
         say("save", time.time() - t0)
-        hist = spark.createDataFrame([(r[0], r[4]) for r in rows], "epoch INT, score DOUBLE") \
+        hist = local_table(spark, [(r[0], r[4]) for r in rows], "epoch INT, score DOUBLE") \
             .withColumn("run", F.lit("fit"))
         stop = H.early_stopping(hist, patience, min_delta).first()["stop_epoch"]   # W5 rule
         if stop is not None:
             stopped = int(stop)
             break
-    history = spark.createDataFrame(
-        rows, "epoch INT, train_loss DOUBLE, train_acc DOUBLE, val_loss DOUBLE, val_acc DOUBLE")
+    history = local_table(
+        spark, rows, "epoch INT, train_loss DOUBLE, train_acc DOUBLE, val_loss DOUBLE, val_acc DOUBLE")
     metrics = ["train_loss", "train_acc", "val_loss", "val_acc"]
     H.write_history(history.withColumn("run", F.lit("fit")), os.path.join(out_dir, "training_history"),
                     metrics, form="columns")                           # one array per metric (v2)
@@ -299,6 +299,6 @@ def run_training(spark: SparkSession, input_path: str, out_dir: str, fmt: str =
                   train_samples=sizes.get(TRAIN, 0), val_samples=sizes.get(VALIDATION, 0),
                   best_accuracy=fitted.best_accuracy, best_epoch=fitted.best_epoch,
                   stopped_at=fitted.stopped_at)
-    spark.createDataFrame([(json.dumps(config, sort_keys=True),)], "value STRING") \
+    local_table(spark, [(json.dumps(config, sort_keys=True),)], "value STRING") \
         .write.mode("overwrite").text(os.path.join(out_dir, "training_config"))
     return fitted
