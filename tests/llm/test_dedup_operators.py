@@ -262,3 +262,32 @@ def test_items_in_parts_give_the_hits_of_one_index(spark, sf0001):
     assert len(list(D.indexes(items, 1500))) > 2
     assert one.keys() == many.keys() and len(one) >= 3
     assert all(abs(one[k] - many[k]) < 1e-9 for k in one)
+
+
+def test_passages_of_a_text_are_bounded_at_once(sf0001, monkeypatch):
+    """Texts get the hits of full scoring, however many spans are bounded at
+    once; only few passages are bounded one by one."""
+    import pyarrow.parquet as pq
+
+    items = [tuple(r.values()) for r in pq.read_table(f"{sf0001}/benchmark.parquet").to_pylist()]
+    r = random.Random(5)
+    vocab = sorted({w.decode() for _, t in items for w in D.tokens(t)})
+
+    def filler(n):
+        return " ".join(r.choice(vocab) if r.random() < 0.3 else f"zz{r.randrange(10**6)}" for _ in range(n))
+    docs = [(i, f"{filler(r.randrange(400))} {items[i % len(items)][1]} {filler(r.randrange(400))}") for i in range(40)]
+    docs += [(40, None), (41, ""), (42, " .. ,"), (43, items[0][1]), (44, filler(3000)), (45, " ".join(t for _, t in items))]
+    exact, calls = D.Index.reachable, []
+    monkeypatch.setattr(D.Index, "reachable", lambda *a: calls.append(1) or exact(*a))
+    index = D.Index(items)
+    got = {}
+    for cells in (D.CELLS, 2 * index.n_spans, 1):
+        monkeypatch.setattr(D, "CELLS", cells)
+        calls.clear()
+        got[cells] = list(D._hits(index, docs, D.THRESHOLD))
+        passages = sum(len(D.tokens(t)) // index.span + 1 for _, t in docs)
+        assert len(calls) < passages / 2 or cells == 1
+    want = got.pop(1)           # none bounded at once
+    assert all(x == want for x in got.values())
+    assert {(d, items[d % len(items)][0]) for d in range(40)} | {(45, i) for i, _ in items} <= {x[:2] for x in want}
+    assert list(D._hits(D.Index([]), docs, D.THRESHOLD)) == []

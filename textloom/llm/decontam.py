@@ -34,6 +34,7 @@ import string
 from bisect import bisect_left
 from collections import Counter
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +49,7 @@ OVERLAP = 0.8
 SHINGLE = 5
 BLOCK = 64
 SPAN = 4          # items of a span whose block maxima bound a passage
+CELLS = 1 << 14   # passages x spans that are bounded at once
 PART_BYTES = 16 << 20      # text of the items of one index, which takes some 16 times as much
 _SIGNS = string.punctuation.encode()
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
@@ -55,7 +57,7 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 def tokens(text: str | None) -> list[bytes]:
     """ASCII-lowered words without outer ASCII punctuation."""
-    return [x for x in (w.strip(_SIGNS) for w in (text or "").encode().lower().split()) if x]
+    return list(filter(None, map(bytes.strip, (text or "").encode().lower().split(), repeat(_SIGNS))))
 
 
 def shingles(w: list[bytes]) -> set:
@@ -103,17 +105,41 @@ class Index:
                         [max(p[1][k:k + BLOCK]) for k in range(0, len(p[0]), BLOCK)]) for p in posts]
         self.top = np.array([max(p[1]) for p in posts] + [0.0])
         self.span = longest
-        # by term: spans of SPAN neighbouring items and the largest impact in each
-        self.spans = []
+        # spans of SPAN neighbouring items and a term's largest impact in each; term
+        # t has those from span_from[t] to span_from[t + 1]
+        spans = []
         for items, impact in posts:
             at = np.asarray(items) // SPAN
             first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-            self.spans.append((at[first], np.maximum.reduceat(np.asarray(impact), first)))
-
-    def reachable(self, query: list[int], theta: float) -> bool:
+            spans.append((at[first], np.maximum.reduceat(np.asarray(impact), first)))
+        self.n_spans = -(-len(self.ids) // SPAN)
+        self.span_from = np.cumsum([0, *(len(at) for at, _ in spans)])
+        self.span_at = np.concatenate([np.empty(0, np.int64), *(at for at, _ in spans)])
+        self.span_most = np.concatenate([np.empty(0), *(most for _, most in spans)])
+
+    def masses(self, row: np.ndarray, term: np.ndarray, rows: int) -> np.ndarray:
+        """By row and span, the sum of the row's terms' block maxima."""
+        size = self.span_from[term + 1] - self.span_from[term]
+        at = np.repeat(self.span_from[term] - np.cumsum(size) + size, size) + np.arange(size.sum())
+        cell = np.repeat(row, size) * self.n_spans + self.span_at[at]
+        return np.bincount(cell, self.span_most[at], rows * self.n_spans).reshape(rows, self.n_spans)
+
+    def reachable(self, query: np.ndarray, theta: float) -> bool:
         """Whether the block maxima of some span of items reach ``theta``."""
-        at, most = zip(*(self.spans[t] for t in query), strict=True)
-        return np.bincount(np.concatenate(at), np.concatenate(most)).max() >= theta - 1e-9
+        return self.masses(np.zeros(len(query), np.int64), query, 1).max() >= theta - 1e-9
+
+    def likely(self, step: np.ndarray, term: np.ndarray, n: int, theta: float):
+        """Of the passages of a text (step k and the next one, by ``step``), those
+        whose steps' block maxima reach ``theta`` together: all that ``reachable``
+        finds, some more where a term is in both steps."""
+        rows = CELLS // self.n_spans
+        if not rows:
+            yield from range(n)
+        for k in range(0, n, rows) if rows else ():
+            end = min(n, k + rows)
+            own = slice(*np.searchsorted(step, (k, end + 1)))
+            m = self.masses(step[own] - k, term[own], end + 1 - k)
+            yield from (k + np.flatnonzero((m[:-1] + m[1:]).max(1) >= theta - 2e-9)).tolist()
 
     def search(self, query: list[int], theta: float) -> list[tuple[int, float]]:
         """All items scoring ``theta`` or more (document at a time)."""
@@ -186,20 +212,25 @@ def _hits(index: Index, docs, theta: float):
         w = tokens(text)
         if not w:
             continue
-        ids = np.fromiter((get(x, none) for x in w), np.int64, len(w))
+        ids = np.fromiter(map(get, w, repeat(none)), np.int64, len(w))
         # bound of each passage by steps: distinct terms at most once a step
         known = np.flatnonzero(ids < none)
         if not len(known):
             continue
         pair = np.unique((known // step) * (none + 1) + ids[known])
         n = (len(w) - 1) // step + 1
-        mass = np.bincount(pair // (none + 1), index.top[pair % (none + 1)], n)
+        at, term = np.divmod(pair, none + 1)
+        mass = np.bincount(at, index.top[term], n)
         bound = mass + np.append(mass[1:], 0)
+        if n > 1:
+            bound[-1] = 0       # the last step lies whole in the passage before
+        if bound.max() < theta:
+            continue
         best = {}
-        for k in np.flatnonzero(bound >= theta):
-            if k and k == n - 1:
-                continue        # the last step lies whole in the passage before
-            a = int(k) * step
+        for k in index.likely(at, term, n, theta):
+            if bound[k] < theta:
+                continue
+            a = k * step
             query = np.unique(ids[a:a + width])
             query = query[query < none]
             if index.top[query].sum() < theta or not index.reachable(query, theta):
