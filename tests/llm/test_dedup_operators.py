@@ -291,3 +291,29 @@ def test_passages_of_a_text_are_bounded_at_once(sf0001, monkeypatch):
     assert all(x == want for x in got.values())
     assert {(d, items[d % len(items)][0]) for d in range(40)} | {(45, i) for i, _ in items} <= {x[:2] for x in want}
     assert list(D._hits(D.Index([]), docs, D.THRESHOLD)) == []
+
+
+def test_runs_and_texts_unfold_in_small_batches():
+    """A worker unfolds few rows of a large batch at once, with the same result."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = [None if i % 50 == 0 else f"One {i} a. Two {i} b. Three {i} c.\nFour {i} d." for i in range(1000)] + [""]
+    spans = [[1 << 20 | 1] if i % 3 == 0 else None if i % 3 == 1 else [] for i in range(1001)]
+    got = P._without(pa.array(texts), pa.array(spans, pa.list_(pa.int64()))).to_pylist()
+    for t, lost, x in zip(texts, spans, got, strict=True):
+        p = P.pieces(t or "")
+        keep = p[:1] + p[3:] if lost and t is not None else p
+        assert x == {"text": None if t is None else "".join(keep), "n": len(p), "gone": len(p) - len(keep)}
+    assert len(P._without(pa.array([], pa.string()), pa.array([], pa.list_(pa.int64())))) == 0
+
+    r = random.Random(8)
+    n = [r.randrange(5) for _ in range(1000)]
+    hashes = [np.array([r.randrange(-1 << 63, 1 << 63) for _ in range(2 * k)], np.int64).tobytes() for k in n]
+    held = [np.arange(k, dtype=np.int64).tobytes() for k in n]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(range(1000)), pa.array(held), pa.array(hashes)], ["doc", "row", "spans", "hashes"])
+    out = list(P._passing(iter([batch]), np.full(P.FILTER_BITS // 8, 255, np.uint8)))
+    assert max(len(set(b.column(3).to_pylist())) for b in out) <= P.ROWS
+    rows = [x for b in out for x in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+    assert [(hi, lo) for hi, lo, *_ in rows] == [tuple(x) for h in hashes for x in np.frombuffer(h, np.int64).reshape(-1, 2).tolist()]
+    assert [(d, k) for *_, d, k, s in rows] == [(i, i) for i, k in enumerate(n) for _ in range(k)]

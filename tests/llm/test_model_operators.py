@@ -194,3 +194,32 @@ def test_pipeline_stages(spark, sf0001):
         if name != cp.STAGES[-1][0]:
             assert d.columns == cols
     assert d.filter(F.col("rate") < 0).count() == 0
+
+
+def test_posteriors_stream_in_small_batches(spark, docs, monkeypatch):
+    """A worker turns few texts into Python objects at once; columns come through
+    with their order, types and names, repeats and nulls included."""
+    import pyarrow as pa
+
+    model, kinds = X.Softmax(len(X.DOMAINS)), {}
+    model.w[:] = np.random.default_rng(3).normal(size=model.w.shape)
+    wide = docs.withColumns({"p": F.lit("old"), "_p": F.lit(1.5), "_n": F.array("doc_id"), "at": F.lit("2024-05-06 07:08:09").cast("timestamp")})
+
+    def held(self, run, schema):
+        kinds["run"] = run
+        return plain(self, run, schema)
+    plain = type(wide).mapInArrow
+    monkeypatch.setattr(type(wide), "mapInArrow", held)
+    out = X.with_posteriors(wide, model)
+    assert out.columns == [*wide.columns, "n_tokens"]
+    rows = out.collect()
+    assert sorted(map(repr, (r[:5] + r[6:-1] for r in rows))) == sorted(map(repr, (r[:5] + r[6:] for r in wide.collect())))
+    for r in rows:
+        f, n = X.features(r["text"])
+        assert r["n_tokens"] == n and np.allclose(r["p"], model.posterior(f))
+    assert X.with_posteriors(wide, model, ["doc_id"]).columns == ["doc_id", "p", "n_tokens"]
+    assert X.with_posteriors(wide, model, []).count() == docs.count()
+    X.with_posteriors(docs, model, [])
+    many = pa.RecordBatch.from_arrays([pa.array([f"w{i} some words" for i in range(1000)])], ["text"])
+    seen = [b.num_rows for b in kinds["run"](iter([many]))]
+    assert sum(seen) == 1000 and max(seen) <= X.ROWS

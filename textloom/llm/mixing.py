@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import Shared, stored, table
+from textloom.llm.common import Shared, fresh, stored, table
 
 LABEL_ROWS = 8000     # bound of the classifier's sample
 BUCKETS = 1 << 16
 # domains: 2 * quality + toxic; target shares of the mixture's tokens
 DOMAINS = ("low_clean", "low_toxic", "high_clean", "high_toxic")
 TARGETS = (0.10, 0.02, 0.86, 0.02)
+ROWS = 64             # texts that a worker holds as Python objects at once
 STEPS = 30
 TOLERANCE = 1e-6
 
@@ -108,20 +109,27 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LABEL_ROWS) -> Softma
     return Softmax(len(DOMAINS)).fit([(np.asarray(f, np.int64), int(y)) for f, y in zip(rows["f"], rows["y"], strict=True)])
 
 
-POSTERIOR = T.StructType([T.StructField("p", T.ArrayType(T.DoubleType())), T.StructField("n_tokens", T.LongType())])
-
-
-def with_posteriors(docs: DataFrame, model: Softmax) -> DataFrame:
-    """Add ``p`` (domain posteriors) and ``n_tokens``."""
+def with_posteriors(docs: DataFrame, model: Softmax, keep: list[str] | None = None) -> DataFrame:
+    """Add ``p`` (domain posteriors) and ``n_tokens`` to the columns ``keep`` (all)
+    of ``docs``. Rows stream through the worker ``ROWS`` at a time."""
     shared = Shared(docs.sparkSession, model)
+    kept = docs if keep is None else docs.select(*keep)
+    p, n = fresh(docs, "_p"), fresh(docs, "_n")
+    names, text = [*kept.columns, p, n], len(kept.columns)
 
-    @F.pandas_udf(POSTERIOR)
-    def score(text):
-        import pandas as pd
-
-        got = [features(t) for t in text]
-        return pd.DataFrame({"p": [shared.value.posterior(f) for f, _ in got], "n_tokens": [n for _, n in got]})
-    return docs.withColumn("_s", score("text")).withColumns({"p": F.col("_s.p"), "n_tokens": F.col("_s.n_tokens")}).drop("_s")
+    def run(batches):
+        for b in (x.slice(at, ROWS) for x in batches for at in range(0, x.num_rows, ROWS)):
+            ps, ns = [], []
+            for t in b.column(text):
+                f, size = features(t.as_py())
+                ps.append(shared.value.posterior(f))
+                ns.append(size)
+            yield pa.RecordBatch.from_arrays([*b.columns[:text], pa.array(ps, pa.list_(pa.float64())), pa.array(ns, pa.int64())], names)
+    schema = T.StructType([*[T.StructField(f.name, f.dataType, True, f.metadata) for f in kept.schema],
+                           T.StructField(p, T.ArrayType(T.DoubleType())), T.StructField(n, T.LongType())])
+    # the text goes in once more as the last column; only kept ones come back
+    scored = docs.select(*kept.columns, F.col("text").alias(fresh(docs, "_text"))).mapInArrow(run, schema)
+    return scored.withColumns({"p": F.col(p), "n_tokens": F.col(n)}).drop(p, n)
 
 
 def _rate(steps: list[np.ndarray]):
@@ -165,14 +173,14 @@ def fit_rates(docs: DataFrame, targets=TARGETS, max_steps: int = STEPS, toleranc
 
 def mix(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:
     """Add ``p``, ``n_tokens`` and ``rate`` to every document."""
-    scored = with_posteriors(docs, train(docs, labels))
-    small = stored(scored.select("p", "n_tokens"), "mix-posteriors")
-    return scored.withColumn("rate", _rate(fit_rates(small, targets)))
+    model = train(docs, labels)
+    small = stored(with_posteriors(docs, model, []), "mix-posteriors")
+    return with_posteriors(docs, model).withColumn("rate", _rate(fit_rates(small, targets)))
 
 
 def op1_mixing(spark, sf_dir) -> DataFrame:
     """Posterior and rate of every document."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    scored = stored(with_posteriors(docs.select("doc_id", "text"), train(docs, labels)).drop("text"), "mix-posteriors")
+    scored = stored(with_posteriors(docs, train(docs, labels), ["doc_id"]), "mix-posteriors")
     return scored.withColumn("rate", _rate(fit_rates(scored))).select(
         "doc_id", "n_tokens", *[F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate")

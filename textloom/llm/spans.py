@@ -48,6 +48,7 @@ WINDOW = 8
 MIN_RUN_WORDS = 15
 COMBINE = 100_000         # hashes counted in a task at once
 FILTER_BITS = 1 << 26
+ROWS = 256                # rows whose runs or texts a worker unfolds at once
 # a sentence ends behind . ! ? and white space, or at a line end
 _END = re.compile(rb"(?<=[.!?])[\x20\x09-\x0D]+|\n[\x20\x09-\x0D]*")
 _WORD = re.compile(rb"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
@@ -166,7 +167,7 @@ def repeated_filter(found: DataFrame) -> bytes:
 def _passing(batches, bits: np.ndarray):
     """``hi, lo, doc, row, span`` of the runs that pass the filter."""
     shift = np.uint64(65 - FILTER_BITS.bit_length())
-    for batch in batches:
+    for batch in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
         docs, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy()
         parts = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(3)]
         which = np.repeat(np.arange(len(parts)), [len(p) // 2 for p in parts])
@@ -210,20 +211,22 @@ def covered_spans(texts: DataFrame) -> DataFrame:
 _REWRITTEN = T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType()), T.StructField("gone", T.LongType())])
 
 
-def _without(text, spans):
-    """The text less its covered pieces, its pieces, and those covered."""
-    import pandas as pd
-
-    out = []
-    for t, lost in zip(text, spans, strict=True):
-        if t is None:
-            out.append((None, 0, 0))
-            continue
-        p, gone = _pieces(t.encode()), set()
-        for s in lost if lost is not None else ():
-            gone.update(range(int(s) >> 20, (int(s) >> 20) + (int(s) & 0xFFFFF) + 1))
-        out.append((b"".join(x for i, x in enumerate(p) if i not in gone).decode() if gone else t, len(p), len(gone)))
-    return pd.DataFrame(out, columns=["text", "n", "gone"])
+def _without(text: pa.Array, spans: pa.Array) -> pa.Array:
+    """The texts less their covered pieces, their pieces, and those covered."""
+    done = []
+    for at in range(0, max(1, len(text)), ROWS):
+        out = []
+        for t, lost in zip(text.slice(at, ROWS).to_pylist(), spans.slice(at, ROWS).to_pylist(), strict=True):
+            if t is None:
+                out.append((None, 0, 0))
+                continue
+            p, gone = _pieces(t.encode()), set()
+            for s in lost or ():
+                gone.update(range(s >> 20, (s >> 20) + (s & 0xFFFFF) + 1))
+            out.append((b"".join(x for i, x in enumerate(p) if i not in gone).decode() if gone else t, len(p), len(gone)))
+        cols = [pa.array([r[i] for r in out], kind) for i, kind in enumerate((text.type, pa.int64(), pa.int64()))]
+        done.append(pa.StructArray.from_arrays(cols, ["text", "n", "gone"]))
+    return pa.concat_arrays(done)
 
 
 def dedup_spans(df: DataFrame, scan: bool = False) -> DataFrame:
@@ -233,7 +236,7 @@ def dedup_spans(df: DataFrame, scan: bool = False) -> DataFrame:
     lost = covered_spans(rows.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("doc"),
                                      F.col(row).alias("row"), "text"))
     lost = small_side(lost, 32 + 8 * F.size("spans")).select(F.col("row").alias(row), F.col("spans").alias(row + "_spans"))
-    out = rows.join(lost, row, "left").withColumn(row + "_x", F.pandas_udf(_without, _REWRITTEN)("text", row + "_spans"))
+    out = rows.join(lost, row, "left").withColumn(row + "_x", F.arrow_udf(_without, _REWRITTEN)("text", row + "_spans"))
     new = {"n_sentences": F.col(f"{row}_x.n"), "n_removed": F.col(f"{row}_x.gone"), "text": F.col(f"{row}_x.text")}
     if "n_chars" in df.columns:
         new["n_chars"] = F.when(F.col(f"{row}_x.gone") > 0, F.length(f"{row}_x.text").cast("long")).otherwise(F.col("n_chars"))
