@@ -223,3 +223,54 @@ def test_posteriors_stream_in_small_batches(spark, docs, monkeypatch):
     many = pa.RecordBatch.from_arrays([pa.array([f"w{i} some words" for i in range(1000)])], ["text"])
     seen = [b.num_rows for b in kinds["run"](iter([many]))]
     assert sum(seen) == 1000 and max(seen) <= X.ROWS
+
+
+def test_workers_get_texts_in_small_batches(spark, docs, monkeypatch):
+    """Tables written from texts are written with bounded Arrow batches, mixed rows
+    do not go through Arrow, and the session's own settings stay."""
+    import pyarrow as pa
+
+    from textloom.llm import common as C
+    from textloom.llm import spans as P
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+    wide = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 2000).alias("text")).mapInArrow(sizes, "n long, size long")
+    assert spark.conf.get(key, None) is None
+    with C.small_batches(spark):
+        got = wide.collect()
+    assert sum(r["n"] for r in got) == 3000 and len(got) > 3 and max(r["size"] for r in got) < 1.5 * C.BATCH_BYTES
+    with pytest.raises(ZeroDivisionError), C.small_batches(spark):
+        1 / 0
+    assert spark.conf.get(key, None) is None
+    spark.conf.set(key, "12345")
+    try:
+        with C.small_batches(spark):
+            assert spark.conf.get(key) == "12345"
+        assert spark.conf.get(key) == "12345"
+    finally:
+        spark.conf.unset(key)
+
+    bounds = {}
+
+    def recorded(df, name, *a):
+        bounds[name] = spark.conf.get(key, None)
+        return C_stored(df, name, *a)
+    C_stored = C.stored
+    for module in (C, X, P):
+        monkeypatch.setattr(module, "stored", recorded)
+    labels = spark.createDataFrame([(i, i % 2, i // 2 % 2) for i in range(10)], "doc_id long, quality int, toxic int")
+    mixed = X.mix(docs, labels)
+    P.dedup_spans(docs)
+    C.without_rows(docs.withColumn("row", F.lit(1)), "row", docs.select("doc_id").limit(0))
+    small = str(C.BATCH_BYTES)
+    assert [bounds[n] for n in ("mix-posteriors", "span-runs", "gone-rows")] == [small] * 3
+    assert spark.conf.get(key, None) is None
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "Arrow" not in plan
+    model = X.train(docs, labels)
+    assert mixed.columns == [*docs.columns, "p", "n_tokens", "rate"]
+    assert sorted(map(repr, mixed.drop("rate").collect())) == sorted(map(repr, X.with_posteriors(docs, model, docs.columns).collect()))

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import Shared, fresh, stored, table
+from textloom.llm.common import Shared, fresh, small_batches, stored, table
 
 LABEL_ROWS = 8000     # bound of the classifier's sample
 BUCKETS = 1 << 16
@@ -109,11 +109,23 @@ def train(docs: DataFrame, labels: DataFrame, limit: int = LABEL_ROWS) -> Softma
     return Softmax(len(DOMAINS)).fit([(np.asarray(f, np.int64), int(y)) for f, y in zip(rows["f"], rows["y"], strict=True)])
 
 
+POSTERIOR = T.StructType([T.StructField("p", T.ArrayType(T.DoubleType())), T.StructField("n_tokens", T.LongType())])
+
+
 def with_posteriors(docs: DataFrame, model: Softmax, keep: list[str] | None = None) -> DataFrame:
     """Add ``p`` (domain posteriors) and ``n_tokens`` to the columns ``keep`` (all)
-    of ``docs``. Rows stream through the worker ``ROWS`` at a time."""
+    of ``docs``. Rows stream through the worker ``ROWS`` at a time. With all columns
+    kept, a plain UDF gets the texts (Spark hands it a hundred rows at once, whatever
+    the session's Arrow batches) and the rows stay with Spark."""
     shared = Shared(docs.sparkSession, model)
-    kept = docs if keep is None else docs.select(*keep)
+    if keep is None:
+        def score(text):
+            f, size = features(text)
+            return shared.value.posterior(f).tolist(), size
+        s = fresh(docs, "_s")
+        scored = docs.withColumn(s, F.udf(score, POSTERIOR, useArrow=False)("text"))
+        return scored.withColumns({"p": F.col(f"{s}.p"), "n_tokens": F.col(f"{s}.n_tokens")}).drop(s)
+    kept = docs.select(*keep)
     p, n = fresh(docs, "_p"), fresh(docs, "_n")
     names, text = [*kept.columns, p, n], len(kept.columns)
 
@@ -126,12 +138,17 @@ def with_posteriors(docs: DataFrame, model: Softmax, keep: list[str] | None = No
                 ns.append(size)
             yield pa.RecordBatch.from_arrays([*b.columns[:text], pa.array(ps, pa.list_(pa.float64())), pa.array(ns, pa.int64())], names)
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True, f.metadata) for f in kept.schema],
-                           T.StructField(p, T.ArrayType(T.DoubleType())), T.StructField(n, T.LongType())])
-    # the text goes in once more as the last column; only kept ones come back
+                           *[T.StructField(c, f.dataType) for c, f in zip((p, n), POSTERIOR, strict=True)]])
+    # the text goes in as the last column; only kept ones come back
     scored = docs.select(*kept.columns, F.col("text").alias(fresh(docs, "_text"))).mapInArrow(run, schema)
     return scored.withColumns({"p": F.col(p), "n_tokens": F.col(n)}).drop(p, n)
 
 
+def _stored_posteriors(docs: DataFrame, model: Softmax, keep: list[str]) -> DataFrame:
+    with small_batches(docs.sparkSession):
+        return stored(with_posteriors(docs, model, keep), "mix-posteriors")
+
+
 def _rate(steps: list[np.ndarray]):
     """Rate of a document after the given projected steps, from 1."""
     if not steps:
@@ -174,13 +191,13 @@ def fit_rates(docs: DataFrame, targets=TARGETS, max_steps: int = STEPS, toleranc
 def mix(docs: DataFrame, labels: DataFrame, targets=TARGETS) -> DataFrame:
     """Add ``p``, ``n_tokens`` and ``rate`` to every document."""
     model = train(docs, labels)
-    small = stored(with_posteriors(docs, model, []), "mix-posteriors")
+    small = _stored_posteriors(docs, model, [])
     return with_posteriors(docs, model).withColumn("rate", _rate(fit_rates(small, targets)))
 
 
 def op1_mixing(spark, sf_dir) -> DataFrame:
     """Posterior and rate of every document."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    scored = stored(with_posteriors(docs, train(docs, labels), ["doc_id"]), "mix-posteriors")
+    scored = _stored_posteriors(docs, train(docs, labels), ["doc_id"])
     return scored.withColumn("rate", _rate(fit_rates(scored))).select(
         "doc_id", "n_tokens", *[F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate")

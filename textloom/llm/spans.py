@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import numbered, small_side, stored, table
+from textloom.llm.common import numbered, small_batches, small_side, stored, table
 
 RUN = 3
 MAX_WORDS = 12
@@ -196,7 +196,8 @@ def _merged(batches):
 def covered_spans(texts: DataFrame) -> DataFrame:
     """``row, spans`` of the rows of ``texts`` (``doc``, ``row``, ``text``) that
     lose something; stored."""
-    found = stored(texts.mapInArrow(_run_rows, "doc long, row long, spans binary, hashes binary"), "span-runs", "zstd")
+    with small_batches(texts.sparkSession):
+        found = stored(texts.mapInArrow(_run_rows, "doc long, row long, spans binary, hashes binary"), "span-runs", "zstd")
     shared = texts.sparkSession.sparkContext.broadcast(repeated_filter(found))
     held = stored(found.mapInArrow(lambda batches: _passing(batches, np.frombuffer(shared.value, np.uint8)),
                                    "hi long, lo long, doc long, row long, span long"), "span-passing", "zstd")
