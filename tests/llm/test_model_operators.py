@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,6 +156,75 @@ def test_lm_is_a_distribution():
     assert (10 ** p).sum() == pytest.approx(1, abs=1e-3)
 
 
+def test_lm_encodes_many_texts_by_distinct_words(monkeypatch):
+    """Tokens, ranks and entries are those of each text by itself, but a word that
+    comes often in a piece is looked up once."""
+    odd = "".join(f"A{chr(i)}" for i in [*range(256), 0x2028, 0x3000])
+    texts = [None, "", "  ", " a  b ", "\x1c", odd, "Same " * 5000, "\n\n", "a\u00c4 \x00 B", "same a"] * 3
+    want = [M.tokens(x) for x in texts]
+    for limit in (1, 100, 1 << 20):
+        monkeypatch.setattr(M, "PIECE", limit)
+        got = []
+        for part in M.pieces(pa.record_batch([pa.array(texts)], ["text"]).slice(1), 0):
+            words, ids, size = M.encoded(part.column(0))
+            flat = [M.as_list(words)[i] for i in ids]
+            got += [flat[b - n:b] for b, n in zip(np.cumsum(size), size, strict=True)]
+        assert got == want[1:]
+    assert not list(M.pieces(pa.record_batch([pa.array([], pa.string())], ["text"]), 0))
+
+    class Ranks(dict):
+        asked = 0
+
+        def get(self, *key):
+            Ranks.asked += 1
+            return super().get(*key)
+    m = M.Model([(b"same", 9), (b"a", 8)], np.full(M.HEAD * 4, 5.0))
+    words, ids, size = M.encoded(pa.array(texts))
+    ranks = Ranks({b"same": 0, b"a": 1, b"b": 7})
+    placed = m.place(M.as_list(words), ids, size, ranks)
+    assert Ranks.asked <= len(words) < len(ids) / 100
+    for a, b in zip(placed, m.encode(want, dict(ranks))[1:], strict=True):
+        assert np.array_equal(a, b)
+    assert placed[0].tolist() == [ranks.get(x, -1) for d in want for x in d]
+    prev = [zlib.crc32(x) for x in want[5]]
+    at = sum(map(len, want[:5]))
+    assert placed[2][at:at + len(prev)].tolist() == [M.START, *prev[:-1]]
+    assert placed[3][at:at + len(prev)].tolist() == [M.START, M.START, *prev[:-2]]
+
+
+def test_lm_choices_and_sums_are_those_of_a_softmax():
+    """Also where rows agree on nothing, so that products of their odds vanish."""
+    rng = np.random.default_rng(5)
+    m = M.Model([(f"t{i}".encode(), 900 - i) for i in range(600)], np.linspace(0.1, 9, M.HEAD * 8))
+    for k, w in enumerate(m.w):
+        m.w[k] = (w + rng.normal(0, 1, w.shape)).astype(np.float32)
+        m.w[k][:M.BUCKETS, 0] += 60
+        m.w[k][M.BUCKETS:2 * M.BUCKETS, 1] += 70
+        m.w[k][2 * M.BUCKETS:3 * M.BUCKETS:2, 2] += 80
+    y, one, two = rng.integers(0, M.HEAD + m.leaves, 400), *rng.integers(0, 1 << 32, (2, 400), np.uint64)
+    seen, grad, want, total = m.zeros(), m.zeros(), m.zeros(), np.zeros(400)
+    m.observe(y, one, two, seen)
+    m.gradient(y, one, two, grad)
+    low = 0
+    for k, at, rows, hit in m.levels(y, one, two):
+        z = sum(m.w[k][r].astype(float) for r in rows)
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        q, s = m.choices(k, rows)
+        low += (m.odds[k][rows[0]] * m.odds[k][rows[1]] * m.odds[k][rows[2]]).sum(1).min() < 1e-20
+        assert np.allclose(q / s[:, None], p, rtol=1e-4, atol=1e-20)
+        total[at] += np.log10(np.maximum(p[np.arange(len(hit)), hit], 1e-30))
+        taken = np.eye(p.shape[1])[hit]
+        for r in rows:
+            np.add.at(want[k], r, taken)
+        assert np.array_equal(seen[k], want[k])
+        want[k][:] = 0
+        for r in rows:
+            np.add.at(want[k], r, (taken - p).astype(np.float32))
+        assert np.allclose(grad[k], want[k], atol=1e-3)
+    assert low and np.allclose(m.log10(y, one, two) + np.where(y >= M.HEAD, m.log_mass[np.maximum(y - M.HEAD, 0)], 0), total, rtol=1e-5)
+
+
 def test_add_rows_is_a_sum_by_row():
     rng = np.random.default_rng(3)
     for high in (1, 40, 9000):

@@ -35,11 +35,12 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
+from itertools import repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -54,6 +55,7 @@ SHARED = 100_000
 STEPS, SHARES = 2, 8  # gradient steps, each over one share of the training documents; the first step counts all other shares
 BATCH = 8192          # tokens of a softmax at once: their rows stay in a core's cache
 CACHED = 4096         # the same, where only probabilities are wanted
+PIECE = 1 << 20       # bytes of texts that are split and encoded at once
 TASK_TOKENS = 1 << 19 # tokens that a summing task takes at least: each sends sums of the size of the model
 TRUST = 0.35          # part of the log ratio that the first step takes
 PRIOR = 4.0           # tokens that a feature row counts as seen beforehand
@@ -65,11 +67,43 @@ SMOOTH = 0.1
 
 
 def tokens(text: str | None) -> list[bytes]:
+    """Tokens of one text: what ``encoded`` gives for many."""
     out = (text or "").encode().lower().split()
     out.append(END)
     return out
 
 
+def pieces(batch: pa.RecordBatch, column: int):
+    """``batch`` in slices of about ``PIECE`` bytes of texts, one row at least."""
+    size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    at = (np.cumsum(size) - size) // PIECE
+    cuts = np.r_[0, np.flatnonzero(np.diff(at)) + 1, len(size)]
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def as_list(words: pa.Array) -> list[bytes]:
+    """As ``to_pylist``, many times faster."""
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
+def encoded(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of some texts (the last one is the end), for each token the
+    place of its word, and the number of tokens of each text."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    flat, ends = parts.flatten(), parts.offsets.to_numpy()
+    ends = ends - ends[0]
+    full = pc.greater(pc.binary_length(flat), 0)         # white space at an end leaves an empty part
+    upto = np.r_[0, np.cumsum(full.to_numpy(zero_copy_only=False))]
+    size = np.diff(upto[ends])
+    flat = flat.filter(full).dictionary_encode()
+    words = flat.dictionary.cast(pa.binary())
+    ids = np.full(len(flat) + len(texts), len(words))
+    ids[np.arange(len(flat)) + np.repeat(np.arange(len(texts)), size)] = flat.indices.to_numpy()
+    return pa.concat_arrays([words, pa.array([END], pa.binary())]), ids, size + 1
+
+
 def with_split(df: DataFrame) -> DataFrame:
     """``doc_id, text, held_out``."""
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
@@ -80,10 +114,13 @@ def count_tokens(rows: DataFrame) -> DataFrame:
     """``token, c`` over all training texts, combined per batch of texts."""
     def run(batches):
         for b in batches:
-            seen = Counter()
-            for x in b.column(0):
-                seen.update(tokens(x.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["token", "c"])
+            seen = []
+            for part in pieces(b, 0):
+                words, ids, _ = encoded(part.column(0))
+                seen.append(pa.table([words, np.bincount(ids, minlength=len(words))], ["token", "c"]))
+            if seen:
+                both = pa.concat_tables(seen).group_by("token", use_threads=False).aggregate([("c", "sum")])
+                yield from both.select(["token", "c_sum"]).rename_columns(["token", "c"]).combine_chunks().to_batches()
     return stored(rows.filter("not held_out").select("text").mapInArrow(run, "token binary, c long")
                   .groupBy("token").agg(F.sum("c").alias("c")), "lm-counts")
 
@@ -106,19 +143,10 @@ def leaves_for(distinct: int) -> int:
 
 
 def add_rows(total: np.ndarray, rows: np.ndarray, p: np.ndarray) -> None:
-    """``total[rows] += p``, rows that repeat included: those met once are
-    added as they are, the others summed in order of their row first."""
-    order = np.argsort(rows.astype(np.uint16), kind="stable")     # radix sort: rows are below 2^16
-    rows = rows[order]
-    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-    n = np.diff(np.r_[first, len(rows)])
-    once = n == 1
-    alone = first[once]
-    total[rows[alone]] += p.take(order[alone], 0)
-    if not once.all():
-        many = order[np.repeat(~once, n)]
-        n, first = n[~once], first[~once]
-        total[rows[first]] += np.add.reduceat(p.take(many, 0), np.cumsum(n) - n, axis=0)
+    """``total[rows] += p``, rows that repeat included, as pairs of floats."""
+    half = total.shape[1] // 2
+    cells = (rows[:, None] * half + np.arange(half)).ravel()
+    np.add.at(total.view(np.complex64).ravel(), cells, p.view(np.complex64).ravel())
 
 
 class Model:
@@ -139,61 +167,83 @@ class Model:
         self.bias = [s / s.sum(1, keepdims=True) for s in shares]
         self.w = [np.concatenate([np.zeros((3 * BUCKETS, b.shape[1])), np.log(b)]).astype(np.float32) for b in self.bias]
         self.scale = None
+        self.odds = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"odds": None}
 
     def encode(self, docs: list[list[bytes]], ranks: dict[bytes, int] | None = None):
-        """All tokens of some texts, their rank in ``ranks`` (the own words; -1:
-        not there), their entries and the CRC-32 of the two tokens before."""
+        """``place`` for texts given as tokens, and these in one list."""
         flat = [t for d in docs for t in d]
-        get = (self.ids if ranks is None else ranks).get
-        rank = np.fromiter((get(t, -1) for t in flat), np.int64, len(flat))
-        crc = np.fromiter(map(crc32, flat), np.uint64, len(flat))
+        place = {t: i for i, t in enumerate(dict.fromkeys(flat))}
+        return flat, *self.place(list(place), np.fromiter(map(place.get, flat), np.int64, len(flat)), np.array([len(d) for d in docs]), ranks)
+
+    def place(self, words: list[bytes], ids: np.ndarray, size: np.ndarray, ranks: dict[bytes, int] | None = None):
+        """All tokens of some texts, as ``encoded`` gives them: their rank in ``ranks``
+        (the own words; -1: not there), their entries and the CRC-32 of the two
+        tokens before."""
+        rank = np.fromiter(map((self.ids if ranks is None else ranks).get, words, repeat(-1)), np.int64, len(words))
+        crc = np.fromiter(map(crc32, words), np.uint64, len(words))
         y = np.where((rank >= 0) & (rank < len(self.ids)), rank, HEAD + (crc % np.uint64(self.leaves)).astype(np.int64))
+        rank, crc, y = rank[ids], crc[ids], y[ids]
         one, two = np.empty_like(crc), np.empty_like(crc)
         one[1:], two[2:] = crc[:-1], crc[:-2]
-        start = np.cumsum([0] + [len(d) for d in docs[:-1]])
+        start = np.cumsum(size) - size
         one[start] = two[start] = START
         after = start + 1
         two[after[after < len(y)]] = START
-        return flat, rank, y, one, two
+        return rank, y, one, two
 
     def levels(self, y, one, two):
         """Of each level: which tokens meet it, their rows in its table (three
         features, the bias) and the choice that was taken."""
         mix = np.uint64(0x9E3779B97F4A7C15)       # fixed value: 2^64 by the golden ratio
         hs = [((x * mix) ^ np.uint64(k)) * mix >> np.uint64(40) for k, x in enumerate((one, two, one * np.uint64(1_000_003) + two))]
-        hs = [h.astype(np.int64) for h in hs]
+        hs = [h.view(np.int64) for h in hs]
         tail = np.flatnonzero(y >= HEAD)
-        cls, slot = y % HEAD_CLASSES + HEAD_CLASSES * (y >= HEAD), y // HEAD_CLASSES % SLOTS
+        cls, slot = (y & HEAD_CLASSES - 1) + HEAD_CLASSES * (y >= HEAD), y // HEAD_CLASSES & SLOTS - 1
         t = y[tail]
         for k, (at, path, hit) in enumerate(((slice(None), np.zeros_like(y), cls), (slice(None), cls, slot),
-                                             (tail, t % HEAD_CLASSES * SLOTS + t // HEAD_CLASSES % SLOTS, t // HEAD - 1))):
+                                             (tail, (t & HEAD_CLASSES - 1) * SLOTS + (t // HEAD_CLASSES & SLOTS - 1), t // HEAD - 1))):
             room = BUCKETS // PATHS[k]
-            yield k, at, [h[at] % room + path * room + f * BUCKETS for f, h in enumerate(hs)] + [path + 3 * BUCKETS], hit
-
-    def choices(self, k: int, rows) -> np.ndarray:
-        """Probabilities of all choices of level ``k``."""
-        w = self.w[k]
-        z = w.take(rows[0], 0)
-        for r in rows[1:]:
-            z += w.take(r, 0)
-        top = z
-        while top.shape[1] > 1:         # row maxima by halves: widths are powers of two
-            half = top.shape[1] // 2
-            top = np.maximum(top[:, :half], top[:, half:])
-        z -= top
-        np.exp(z, out=z)
-        z /= (z @ np.ones(z.shape[1], np.float32))[:, None]
-        return z
+            yield k, at, [(h[at] & room - 1) + (path * room + f * BUCKETS) for f, h in enumerate(hs)] + [path + 3 * BUCKETS], hit
+
+    def paths(self, k: int) -> np.ndarray:
+        """The path of each row of a feature kind in level ``k``'s table."""
+        return np.repeat(np.arange(PATHS[k]), BUCKETS // PATHS[k])
+
+    def choices(self, k: int, rows) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of all choices of level ``k``, not yet divided by their
+        sums, and these. Products of e to the weights are looked up: a row's are
+        divided by its largest, the bias is in the first feature's rows."""
+        if self.odds is None:
+            self.odds = []
+            for j, w in enumerate(self.w):
+                w = w[:3 * BUCKETS].astype(np.float64)
+                w[:BUCKETS] += self.w[j][3 * BUCKETS + self.paths(j)]
+                self.odds.append(np.exp(w - w.max(1, keepdims=True)).astype(np.float32))
+        p = self.odds[k].take(rows[0], 0)
+        for r in rows[1:3]:
+            p *= self.odds[k].take(r, 0)
+        total = p @ np.ones(p.shape[1], np.float32)
+        low = np.flatnonzero(total < 1e-6)        # rows that agree on nothing: too small for products
+        if len(low):
+            z = sum(self.w[k].take(r[low], 0).astype(np.float64) for r in rows)
+            p[low] = np.exp(z - z.max(1, keepdims=True))
+            total[low] = p[low].sum(1)
+        return p, total
 
     def log10(self, y, one, two) -> np.ndarray:
         """log10 probability of each entry, a leaf's per unit of smoothed
         count (add log10(c + 0.1) of the word), in bounded batches."""
-        out = np.zeros(len(y))
+        out = np.ones(len(y))
         for a in range(0, len(y), CACHED):
             s = slice(a, a + CACHED)
             got = out[s]
             for k, at, rows, hit in self.levels(y[s], one[s], two[s]):
-                got[at] += np.log10(np.maximum(self.choices(k, rows)[np.arange(len(hit)), hit], 1e-30))
+                p, total = self.choices(k, rows)
+                got[at] *= np.maximum(p.ravel()[np.arange(0, p.size, p.shape[1]) + hit] / total, 1e-30)
+        np.log10(out, out=out)
         tail = y >= HEAD
         out[tail] -= self.log_mass[y[tail] - HEAD]
         return out
@@ -205,8 +255,10 @@ class Model:
         """Add how often each feature row met each choice."""
         for k, _, rows, hit in self.levels(y, one, two):
             width = sums[k].shape[1]
-            cells = np.concatenate([r * width + hit for r in rows])
-            sums[k] += np.bincount(cells, minlength=sums[k].size).reshape(sums[k].shape)
+            for f, r in enumerate(rows[:3]):
+                part = sums[k][f * BUCKETS:(f + 1) * BUCKETS]
+                part += np.bincount((r - f * BUCKETS) * width + hit, minlength=part.size).reshape(part.shape)
+        self.biases(sums)
 
     def gradient(self, y, one, two, sums) -> None:
         """Add observed less expected choices of each feature row."""
@@ -215,18 +267,25 @@ class Model:
             for k, _, rows, hit in self.levels(y[s], one[s], two[s]):
                 if not len(hit):
                     continue
-                p = self.choices(k, rows)
-                np.negative(p, out=p)
-                p[np.arange(len(hit)), hit] += 1
-                for r in rows:
+                p, total = self.choices(k, rows)
+                p *= (-1 / total)[:, None]
+                p.ravel()[np.arange(0, p.size, p.shape[1]) + hit] += 1
+                for r in rows[:3]:
                     add_rows(sums[k], r, p)
+        self.biases(sums)
+
+    def biases(self, sums) -> None:
+        """Set each path's bias to the sum over its rows of one feature kind: all
+        its tokens have one of these."""
+        for k, s in enumerate(sums):
+            s[3 * BUCKETS:] = s[:BUCKETS].reshape(PATHS[k], -1, s.shape[1]).sum(1, dtype=np.float64)
 
     def first_step(self, seen: list[np.ndarray]) -> None:
         """Step from the unigram start: expected counts are the row's tokens
         times the unigram share; the log ratio to the observed ones is taken in part."""
-        self.scale = []
+        self.scale, self.odds = [], None
         for k, obs in enumerate(seen):
-            path = np.r_[np.tile(np.repeat(np.arange(PATHS[k]), BUCKETS // PATHS[k]), 3), np.arange(PATHS[k])]
+            path = np.r_[np.tile(self.paths(k), 3), np.arange(PATHS[k])]
             b, n = self.bias[k][path], obs.sum(1, keepdims=True)
             change = TRUST * np.log((obs + PRIOR * b) / ((n + PRIOR) * b))
             change[3 * BUCKETS:] = 0
@@ -235,6 +294,7 @@ class Model:
 
     def step(self, grad: list[np.ndarray], share: float) -> None:
         """One gradient step; ``share``: its tokens by those of the counts."""
+        self.odds = None
         for k, g in enumerate(grad):
             self.w[k] = (self.w[k] + np.clip(RATE * g / (self.scale[k] * share + PRIOR), -STEP, STEP)).astype(np.float32)
 
@@ -250,21 +310,13 @@ def summed(rows: DataFrame, model: Model, method: str, expected: float, blocks:
 
     def run(batches):
         m = shared.value
-        sums, used, docs, size = m.zeros(), 0, [], 0
-
-        def add():
-            _, _, y, one, two = m.encode(docs)
-            getattr(m, method)(y, one, two, sums)
-            return len(y)
+        sums, used = m.zeros(), 0
         for b in batches:
-            for x in b.column(0):
-                docs.append(tokens(x.as_py()))
-                size += len(docs[-1])
-                if size >= 16 * BATCH:
-                    used += add()
-                    docs, size = [], 0
-        if docs:
-            used += add()
+            for part in pieces(b, 0):
+                words, ids, size = encoded(part.column(0))
+                _, y, one, two = m.place(as_list(words), ids, size)
+                getattr(m, method)(y, one, two, sums)
+                used += len(y)
         if used:
             parts = np.array_split(np.concatenate([s.ravel() for s in sums]), blocks)
             yield pa.RecordBatch.from_arrays([pa.array(range(blocks)), pa.array([used] * blocks), pa.array([p.tobytes() for p in parts], pa.binary())], ["block", "n", "sums"])
@@ -326,19 +378,17 @@ def score(rows: DataFrame, fitted) -> DataFrame:
         m, ranks, logs = shared.value
         logs = np.append(logs, 0.0)     # rank -1: joined later
         for b in batches:
-            for at in range(0, b.num_rows, 64):
-                part = b.slice(at, 64)
-                docs = [tokens(x.as_py()) for x in part.column(1)]
-                flat, rank, y, one, two = m.encode(docs, ranks)
+            for part in pieces(b, 1):
+                words, ids, size = encoded(part.column(1))
+                rank, y, one, two = m.place(as_list(words), ids, size, ranks)
                 p = m.log10(y, one, two)
                 own = logs[rank]
-                size = np.array([len(d) for d in docs])
                 start = np.cumsum(size) - size
                 rare = np.flatnonzero(rank < 0)
-                doc = np.repeat(np.arange(len(docs)), size)[rare].tolist()
-                left = Counter(zip(doc, [flat[i] for i in rare.tolist()], strict=True))     # in the order of the texts
-                ends = np.cumsum(np.bincount([d for d, _ in left], minlength=len(docs))) if left else np.zeros(len(docs), int)
-                pairs = pa.StructArray.from_arrays([pa.array([t for _, t in left], pa.binary()), pa.array(list(left.values()), pa.int64())], ["token", "f"])
+                doc = np.repeat(np.arange(len(size)), size)[rare]
+                left, f = np.unique(doc * len(words) + ids[rare], return_counts=True)      # a text's rare words
+                ends = np.cumsum(np.bincount(left // len(words), minlength=len(size)))
+                pairs = pa.StructArray.from_arrays([words.take(pa.array(left % len(words))), pa.array(f)], ["token", "f"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), part.column(3), pa.array(size), pa.array(np.add.reduceat((rank >= 0).astype(np.int64), start)),
                      pa.array(np.add.reduceat(own, start)), pa.array(np.add.reduceat(p + np.where(y >= HEAD, own, 0.0), start)),
